@@ -32,7 +32,8 @@ REASON_MISSING_ID = "missing_id"
 def _protect(fv: V.FieldValue, rule: Rule | None) -> Column:
     if rule is None or not rule.is_pii:
         return fv.passthrough
-    return F.when(fv.present, registry.build(fv, rule)).otherwise(fv.passthrough)
+    out = F.when(fv.present, registry.build(fv, rule))
+    return out if fv.fallback is None else out.otherwise(fv.fallback)
 
 
 def _uses_random_text(rule: Rule | None) -> bool:
@@ -42,6 +43,24 @@ def _uses_random_text(rule: Rule | None) -> bool:
 # ---------------------------------------------------------------------------
 # typed columns
 # ---------------------------------------------------------------------------
+def protected_columns(dtypes: dict, policy: Policy, fields: list[str], seed: Column,
+                      hash_key: str | None = None) -> dict[str, Column]:
+    """Protected expression of each typed field (by name), in ``fields`` order."""
+    out: dict[str, Column] = {}
+    for n in fields:
+        fv = V.typed_value(F.col(f"`{n}`"), n, dtypes[n], seed, hash_key)
+        out[n] = _protect(fv, policy.rule(n)).alias(n)
+    return out
+
+
+def _needs_seed(policy: Policy, fields: list[str]) -> bool:
+    return any(policy.rule(n).is_pii and policy.rule(n).operation == "randomize"  # type: ignore[union-attr]
+               for n in fields if policy.rule(n) is not None)
+
+
+SEED_COL = "__veil_seed"
+
+
 def apply_policy(df: DataFrame, policy: Policy, id_col: str | None = "id", *,
                  seed_col: Column | None = None, hash_key: str | None = None,
                  keep: list[str] | None = None) -> DataFrame:
@@ -55,31 +74,20 @@ def apply_policy(df: DataFrame, policy: Policy, id_col: str | None = "id", *,
     dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
     keep = list(keep or [])
     fields = [n for n in policy.field_names() if n in dtypes and n != id_col and n not in keep]
-    needs_seed = any(
-        policy.rule(n).is_pii and policy.rule(n).operation == "randomize" for n in fields  # type: ignore[union-attr]
-    )
-    seed_name = "__veil_seed"
-    base = df
-    if needs_seed:
-        base = df.withColumn(seed_name, row_seed(seed_col))
-    seed = F.col(seed_name)
-    head = [F.col(c) for c in keep] + ([F.col(id_col)] if id_col and id_col in dtypes else [])
-    plain, texty = [], []
-    for n in fields:
-        rule = policy.rule(n)
-        fv = V.typed_value(F.col(n), n, dtypes[n], seed, hash_key)
-        (texty if _uses_random_text(rule) else plain).append((n, _protect(fv, rule).alias(n)))
+    base = df.withColumn(SEED_COL, row_seed(seed_col)) if _needs_seed(policy, fields) else df
+    seed = F.col(SEED_COL)
+    head = [F.col(f"`{c}`") for c in keep] + ([F.col(f"`{id_col}`")] if id_col and id_col in dtypes else [])
+    cols = protected_columns(dtypes, policy, fields, seed, hash_key)
+    texty = [n for n in fields if _uses_random_text(policy.rule(n))]
     if not texty:
-        return base.select(*head, *[c for _, c in plain])
-    # random text uses a lambda, which leaves whole-stage codegen; keep it in
-    # its own projection so the other columns stay in the generated code.
-    order = [n for n in fields]
-    staged = base.select(*head, *[c for _, c in plain], *[F.col(n) for n, _ in texty], seed)
-    final = {n: F.col(n) for n, _ in plain}
-    for n, _ in texty:
-        fv = V.typed_value(F.col(n), n, dtypes[n], seed, hash_key)
-        final[n] = _protect(fv, policy.rule(n)).alias(n)
-    return staged.select(*head, *[final[n] for n in order])
+        return base.select(*head, *cols.values())
+    # random text uses a lambda, which leaves whole-stage codegen; it gets its
+    # own projection so the other columns stay in the generated code.
+    staged = base.select(*head, *[cols[n] if n not in texty else F.col(f"`{n}`") for n in fields], seed)
+    final = [F.col(f"`{n}`") for n in fields]
+    texty_cols = protected_columns(dtypes, policy, texty, seed, hash_key)
+    final = [texty_cols[n] if n in texty else F.col(f"`{n}`") for n in fields]
+    return staged.select(*head, *final)
 
 
 # ---------------------------------------------------------------------------

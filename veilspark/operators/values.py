@@ -43,6 +43,8 @@ class FieldValue:
     null_out: Column
     seed: Column
     hash_key: str | None = None
+    # value used for null/absent input; None means "NULL of the result type"
+    fallback: Column | None = None
 
 
 # ---------------------------------------------------------------------------
@@ -171,6 +173,7 @@ def json_value(fv: Column, kind: Column, text: Column, name: str, seed: Column,
         null_out=F.parse_json(F.lit("null")),
         seed=seed,
         hash_key=hash_key,
+        fallback=fv,
     )
 
 
