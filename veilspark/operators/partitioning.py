@@ -1,0 +1,20 @@
+"""Input spreading.
+
+Protection is a narrow per-row map, so its parallelism is the number of input
+partitions.  On a cluster a large table has far more partitions than cores
+and nothing needs doing.  A small input (one file, one row group) arrives as
+a single partition and would run in one task; :func:`spread` then
+redistributes it round-robin over the session's parallelism.  The check reads
+only the planned partition count; nothing is executed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -126,12 +126,17 @@ def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, kee
         s1.append(F.lit(0).cast("bigint").alias("__seed"))
     s1 += [V.variant_field(v, n).alias(f"__f{i}") for i, n in enumerate(names)]
     st1 = parsed.select(*s1)
-    # stage 2: kind (and text for protected fields and converted pass-through)
+    # stage 2: runtime type name, once per field; stage 3: kind from it
     s2 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
     for i, _ in enumerate(names):
         fv = F.col(f"__f{i}")
-        s2 += [fv, V.variant_kind(fv).alias(f"__k{i}")]
-    st2 = st1.select(*s2)
+        s2 += [fv, F.schema_of_variant(fv).alias(f"__s{i}")]
+    st2a = st1.select(*s2)
+    s2 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
+    for i, _ in enumerate(names):
+        fv = F.col(f"__f{i}")
+        s2 += [fv, V.variant_kind(fv, F.col(f"__s{i}")).alias(f"__k{i}")]
+    st2 = st2a.select(*s2)
     s3 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
     for i, _ in enumerate(names):
         fv, k = F.col(f"__f{i}"), F.col(f"__k{i}")

@@ -107,9 +107,10 @@ def variant_field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, variant_path(name), "variant")
 
 
-def variant_kind(fv: Column) -> Column:
-    """Runtime kind of a VARIANT value (see the constants above)."""
-    s = F.schema_of_variant(fv)
+def variant_kind(fv: Column, schema: Column | None = None) -> Column:
+    """Runtime kind of a VARIANT value (see the constants above).  ``schema`` is
+    ``schema_of_variant(fv)`` when an earlier projection already computed it."""
+    s = F.schema_of_variant(fv) if schema is None else schema
     big = F.abs(F.try_variant_get(fv, "$", "decimal(38,0)")) >= F.lit(_TWO_POW_63).cast("decimal(38,0)")
     return (
         F.when(fv.isNull(), F.lit(ABSENT))
