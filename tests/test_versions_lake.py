@@ -1,0 +1,57 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from veilspark.operators import lake
+from veilspark.operators.versions import PolicyVersion, apply_policy_asof, versions_frame
+from veilspark.policy import Policy
+
+
+def P(*f):
+    return Policy.from_dict({"fields": list(f)})
+
+
+def test_asof_versions(spark):
+    df = spark.createDataFrame([(1, "2023-12-31 10:00:00", "abcd", 5), (2, "2024-01-05 00:00:00", "abcd", 5),
+                                (3, "2024-02-01 00:00:00", "abcd", 5)], "id int, ts string, s string, n int") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    vs = [PolicyVersion(dt.datetime(2024, 1, 1), P({"name": "s", "isPII": True}, {"name": "n"})),
+          PolicyVersion(dt.datetime(2024, 1, 15), P({"name": "s", "isPII": True, "piiOperation": "redact"},
+                                                    {"name": "n", "isPII": True, "piiOperation": "generalize",
+                                                     "type": "integer", "ranges": [0, 10]}))]
+    rows = {r.id: r for r in apply_policy_asof(df, vs, "ts").collect()}
+    assert set(rows) == {2, 3}
+    assert (rows[2].policy_version, rows[2].s, rows[2].n) == (1, "a**d", "5")
+    assert (rows[3].policy_version, rows[3].s, rows[3].n) == (2, "[REDACTED]", "0-10")
+    vf = versions_frame(spark, vs).collect()
+    assert vf[0].valid_to == dt.datetime(2024, 1, 15) and vf[1].valid_to is None
+
+
+def test_latest_per_key_with_hot_key(spark):
+    rows = [(0, i, f"v{i}") for i in range(300)] + [(k, 1, "x") for k in range(1, 50)]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    out = {r.k: (r.t, r.v) for r in lake.latest_per_key(df, "k", "t").collect()}
+    assert out[0] == (299, "v299") and len(out) == 50
+
+
+def test_merge_into_moves_keys_between_days(spark, tmp_dir):
+    path = f"{tmp_dir}/table"
+    base = spark.createDataFrame([(1, "2024-01-01 01:00:00", "a"), (2, "2024-01-01 02:00:00", "b"),
+                                  (3, "2024-01-02 03:00:00", "c")], "k int, ts string, v string") \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    lake.write_daily(lake.add_time_columns(base, "ts").drop(lake.PROCESSING_TS), path)
+    upd = spark.createDataFrame([(1, "2024-01-03 01:00:00", "a2", "new"), (4, "2024-01-03 05:00:00", "d", "new"),
+                                 (3, "2024-01-01 00:00:00", "old", "new")],
+                                "k int, ts string, v string, extra string") \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    lake.merge_into(spark, path, lake.add_time_columns(upd, "ts").drop(lake.PROCESSING_TS), "k", "ts")
+    got = {r.k: (r.v, str(r.event_date_prt), r.extra) for r in lake.read_table(spark, path).collect()}
+    assert got == {1: ("a2", "2024-01-03", "new"), 2: ("b", "2024-01-01", None), 3: ("c", "2024-01-02", None),
+                   4: ("d", "2024-01-03", "new")}
+
+
+def test_evolve_union(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(2, "y", True)], "k int, v string, flag boolean")
+    out = lake.evolve_union(a, b).orderBy("k").collect()
+    assert out[0].flag is None and out[1].flag is True

@@ -51,8 +51,9 @@ def sql_type_of(fv: Column, kind: Column) -> Column:
 def json_fields(df: DataFrame, value_col: str = "value", include_id: bool = False) -> DataFrame:
     """One row per (record, field): ``field`` and its VARIANT ``fv``.
 
-    Text that is not a JSON object yields no rows."""
-    m = F.from_json(F.col(value_col), "map<string,variant>")
+    Text that is not a JSON object yields no rows.  A repeated key counts
+    once, with its last value (the parse keeps the last one)."""
+    m = F.try_variant_get(F.try_parse_json(F.col(value_col)), "$", "map<string,variant>")
     ex = df.select(F.explode(m).alias("field", "fv"))
     return ex if include_id else ex.where(F.col("field") != "id")
 

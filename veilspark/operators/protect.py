@@ -172,9 +172,11 @@ def split_rejected(df: DataFrame, policy: Policy, value_col: str = "value", **kw
 
 def keep_all_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     """No policy: every field but ``id`` is kept, with values normalized as
-    the original tool writes them (containers as text, decimals as doubles)."""
+    the original tool writes them (containers as text, decimals as doubles).
+    Output keys: ``id``, then the other keys in sorted order (the original
+    tool's order is that of a hash map, i.e. unspecified)."""
     parsed = parse_records(df, value_col)
-    m = F.from_json(F.col("__raw"), "map<string,variant>")
+    m = F.try_variant_get(F.col("__v"), "$", "map<string,variant>")
     fields = F.map_filter(m, lambda k, _: k != F.lit("id"))
 
     def norm(_k, fv):

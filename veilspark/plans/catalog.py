@@ -247,8 +247,8 @@ KEEP_ALL_SCHEMA = "id STRING, user_id BIGINT, event_type STRING, value DOUBLE, d
 SELECT CAST(event_id AS VARCHAR) AS id, user_id, event_type,
        CASE WHEN event_type = 'purchase' THEN value END AS value, strftime(ts, '%Y-%m-%d') AS day,
        CAST(json(props) AS VARCHAR) AS props,
-       'id,user_id,event_type,' || CASE WHEN event_type = 'purchase' THEN 'value,' ELSE '' END || 'day,ts,props'
-         || CASE WHEN event_type = 'error' THEN ',note' ELSE '' END AS out_keys
+       'id,day,event_type,' || CASE WHEN event_type = 'error' THEN 'note,' ELSE '' END || 'props,ts,user_id'
+         || CASE WHEN event_type = 'purchase' THEN ',value' ELSE '' END AS out_keys
 FROM events""")
 def keep_all_json_q(spark, d):
     return _read_back(keep_all_json(inputs.event_json(spark, d)), KEEP_ALL_SCHEMA)
