@@ -73,7 +73,8 @@ def test_batch_equals_stream(spark, tmp_dir):
     write(f"{inp}/a.json", E2 + "\n" + E3 + "\n")
     run_batch(spark, read_json_text(spark, inp), Policy.from_dict(det), out_b)
     job = ProtectStream(spark, PolicyMonitor(spark, pol), out_s)
-    job.start(read_json_text_stream(spark, inp), ck, {"availableNow": True}).awaitTermination()
+    run = job.run(read_json_text_stream(spark, inp), ck)
+    assert run.status == "SUCCESS" and run.record_counts["records_out"] == 2 and run.job_metrics["query_id"]
     batch = sorted(l for f in glob.glob(f"{out_b}/part-*") for l in open(f) if l.strip())
     stream = sorted(l for f in glob.glob(f"{out_s}/batch=*/part-*") for l in open(f) if l.strip())
     assert batch == stream and len(batch) == 2

@@ -94,3 +94,39 @@ def table_type_profile(df: DataFrame) -> DataFrame:
     rows = [F.struct(F.lit(f.name).alias("field"), F.lit(sql_type_name(f.dataType)).alias("sql_type"),
                      F.col(f"c{i}").alias("n_values")) for i, f in enumerate(df.schema.fields)]
     return counts.select(F.inline(F.array(*rows)))
+
+
+# rules tables larger than this are joined with a shuffle instead of a broadcast
+MAX_BROADCAST_RULES = 100_000
+
+
+def field_inventory(df: DataFrame, policy: Policy, value_col: str = "value", spark=None) -> DataFrame:
+    """``(field, n_records, declared, is_pii, operation)`` for every key seen in
+    the records: the per-field rule lookup of the original tool as an equi-join
+    of observed keys with the rules table (first rule per name).
+
+    Keys are counted first (combined map-side), so the join sees one row per
+    distinct key.  The rules side is broadcast only below a checked size.
+    """
+    from veilspark.policy import rules_frame
+
+    spark = spark or df.sparkSession
+    keys = (df.select(F.explode(F.array_distinct(F.json_object_keys(F.col(value_col)))).alias("field"))
+              .groupBy("field").agg(F.count(F.lit(1)).alias("n_records")))
+    firsts = {}
+    for r in policy.rules:
+        if r.name and r.name not in firsts:
+            firsts[r.name] = r
+    rules = rules_frame(spark, Policy.from_rules(list(firsts.values()))).select(
+        F.col("name").alias("field"), F.lit(True).alias("declared"), "is_pii", "operation")
+    if len(firsts) <= MAX_BROADCAST_RULES:
+        rules = F.broadcast(rules)
+    out = keys.join(rules, "field", "left")
+    is_id = F.col("field") == "id"
+    return out.select(
+        "field", "n_records",
+        (F.coalesce(F.col("declared"), F.lit(False)) | is_id).alias("declared"),
+        F.when(is_id, F.lit(False)).otherwise(F.coalesce(F.col("is_pii"), F.lit(False))).alias("is_pii"),
+        F.when(is_id | ~F.coalesce(F.col("is_pii"), F.lit(False)), F.lit(None).cast("string"))
+         .otherwise(F.col("operation")).alias("operation"),
+    )

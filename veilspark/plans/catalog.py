@@ -285,6 +285,22 @@ def undefined_field_drift(spark, d):
     return drift.drift_report(inputs.event_json(spark, d), P.EVENT_DECLARED)
 
 
+@register("field_inventory", """
+SELECT k AS field, count(*) AS n_records,
+       k IN ('id', 'user_id', 'event_type', 'value', 'props', 'day', 'note') AS declared,
+       k IN ('user_id', 'event_type', 'value', 'day', 'note') AS is_pii,
+       CASE k WHEN 'user_id' THEN 'hash' WHEN 'event_type' THEN 'mask' WHEN 'value' THEN 'generalize'
+              WHEN 'day' THEN 'mask' WHEN 'note' THEN 'redact' END AS operation
+FROM (SELECT 'id' AS k FROM events
+      UNION ALL SELECT 'user_id' FROM events UNION ALL SELECT 'event_type' FROM events
+      UNION ALL SELECT 'value' FROM events WHERE event_type = 'purchase'
+      UNION ALL SELECT 'day' FROM events UNION ALL SELECT 'ts' FROM events
+      UNION ALL SELECT 'props' FROM events UNION ALL SELECT 'note' FROM events WHERE event_type = 'error')
+GROUP BY k""")
+def field_inventory(spark, d):
+    return drift.field_inventory(inputs.event_json(spark, d), P.EVENT_JSON)
+
+
 @register("type_profile_json", """
 SELECT 'user_id' AS field, 'INT' AS sql_type, count(*) AS n_values FROM events
 UNION ALL SELECT 'event_type', 'STRING', count(*) FROM events

@@ -65,5 +65,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name).replace("file:", "") if checkpoint_dir(spark).startswith("file:") \
-        else checkpoint_dir(spark).rstrip("/") + "/" + name
+    return checkpoint_dir(spark).rstrip("/") + "/" + name

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from veilspark.operators.protect import protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
-from veilspark.streaming.metrics import SUCCESS, RunMetrics, count_columns
+from veilspark.streaming.metrics import FAILED, SUCCESS, RunMetrics, count_columns
 
 log = logging.getLogger(__name__)
 
@@ -76,7 +76,7 @@ class ProtectStream:
 
     def __post_init__(self):
         self.metrics: list[RunMetrics] = []
-        self.run = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name) \
+        self.summary = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name) \
             .add_business_metric("schema_monitoring_enabled", True)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -92,7 +92,7 @@ class ProtectStream:
                 write_batch(bad, self.quarantine_path, batch_id, fmt="json")
         finally:
             res.unpersist()
-        m = (RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.run.job_id)
+        m = (RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.summary.job_id)
              .add_record_count("records_in", counts["records_in"])
              .add_record_count("records_out", counts["records_out"])
              .add_record_count("records_rejected", counts["records_rejected"])
@@ -109,6 +109,38 @@ class ProtectStream:
         w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
         return w.start()
 
+    def run(self, source: DataFrame, checkpoint: str, trigger: dict | None = None,
+            timeout_seconds: float | None = None) -> RunMetrics:
+        """Start, wait for the end (``availableNow`` ends by itself) and return
+        the job-level metrics: query id, status, error text, duration, totals."""
+        started = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.summary.job_id)
+        q = None
+        try:
+            q = self.start(source, checkpoint, trigger or {"availableNow": True})
+            if timeout_seconds is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout_seconds):
+                q.stop()
+            status, error = SUCCESS, None
+        except Exception as exc:  # reported, then raised
+            status, error = FAILED, str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+            self.summary = self._job_metrics(started, q, status, error)
+            raise
+        self.summary = self._job_metrics(started, q, status, error)
+        return self.summary
+
+    def _job_metrics(self, started: RunMetrics, q, status: str, error: str | None) -> RunMetrics:
+        m = started.add_business_metric("schema_monitoring_enabled", True).with_status(status)
+        if error:
+            m = m.with_error(error)
+        for k in ("records_in", "records_out", "records_rejected"):
+            m = m.add_record_count(k, sum(b.record_counts.get(k, 0) for b in self.metrics))
+        if q is not None:
+            m = m.add_job_metric("query_id", str(q.id)).add_job_metric("run_id", str(q.runId))
+        m = m.add_job_metric("batches", len(self.metrics)).add_job_metric("policy_reloads", self.monitor.reloads)
+        m = m.with_end_time()
+        return m.add_job_metric("net_runtime_seconds", m.duration_seconds)
+
 
 def run_batch(spark: SparkSession, source: DataFrame, policy: Policy, output_path: str) -> None:
     """Batch mode of the same job: protect and write the good records."""
