@@ -18,7 +18,6 @@ field read from JSON text (the runtime type is tested per row).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,20 +30,30 @@ ABSENT, NULL, TEXT, INTEGER, DOUBLE, BOOLEAN, BIG_INTEGER, CONTAINER = range(8)
 _TWO_POW_63 = "9223372036854775808"
 
 
-@dataclass
 class FieldValue:
-    name: str
-    present: Column
-    text: Column
-    int32: Column
-    dbl: Column
-    passthrough: Column
-    out: Callable[[Column], Column]
-    null_out: Column
-    seed: Column
-    hash_key: str | None = None
-    # value used for null/absent input; None means "NULL of the result type"
-    fallback: Column | None = None
+    """Forms of one field value; each form is built on first use, so an
+    operation pays only for the conversions it reads."""
+
+    def __init__(self, name: str, present: Column, text: Callable[[], Column], int32: Callable[[], Column],
+                 dbl: Callable[[], Column], passthrough: Callable[[], Column], out: Callable[[Column], Column],
+                 null_out: Callable[[], Column], seed: Column, hash_key: str | None = None,
+                 fallback: Column | None = None):
+        self.name, self.present, self.out, self.seed, self.hash_key = name, present, out, seed, hash_key
+        # value used for null/absent input; None means "NULL of the result type"
+        self.fallback = fallback
+        self._make = {"text": text, "int32": int32, "dbl": dbl, "passthrough": passthrough, "null_out": null_out}
+        self._built: dict[str, Column] = {}
+
+    def _get(self, key: str) -> Column:
+        if key not in self._built:
+            self._built[key] = self._make[key]()
+        return self._built[key]
+
+    text = property(lambda self: self._get("text"))
+    int32 = property(lambda self: self._get("int32"))
+    dbl = property(lambda self: self._get("dbl"))
+    passthrough = property(lambda self: self._get("passthrough"))
+    null_out = property(lambda self: self._get("null_out"))
 
 
 # ---------------------------------------------------------------------------
@@ -52,39 +61,39 @@ class FieldValue:
 # ---------------------------------------------------------------------------
 def typed_value(c: Column, name: str, dtype: T.DataType, seed: Column, hash_key: str | None = None) -> FieldValue:
     if isinstance(dtype, T.StringType):
-        text = c
-        int32 = parse_int_strict(c)
-        dbl = parse_double_lenient(c)
+        text = lambda: c
+        int32 = lambda: parse_int_strict(c)
+        dbl = lambda: parse_double_lenient(c)
     elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
-        text = c.cast("string")
-        int32 = c.cast("int")
-        dbl = c.cast("double")
+        text = lambda: c.cast("string")
+        int32 = lambda: c.cast("int")
+        dbl = lambda: c.cast("double")
     elif isinstance(dtype, T.LongType):
-        text = c.cast("string")
-        int32 = wrap_int32(c)
-        dbl = c.cast("double")
+        text = lambda: c.cast("string")
+        int32 = lambda: wrap_int32(c)
+        dbl = lambda: c.cast("double")
     elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        d = c.cast("double")
-        text = d.cast("string")
-        int32 = saturate_int32(d)
-        dbl = d
+        text = lambda: c.cast("double").cast("string")
+        int32 = lambda: saturate_int32(c.cast("double"))
+        dbl = lambda: c.cast("double")
     elif isinstance(dtype, T.BooleanType):
-        text = c.cast("string")
-        int32 = F.lit(0)
-        dbl = F.lit(0.0)
+        text = lambda: c.cast("string")
+        int32 = lambda: F.lit(0)
+        dbl = lambda: F.lit(0.0)
     else:
-        text = F.to_json(c) if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
-        int32 = parse_int_strict(text)
-        dbl = parse_double_lenient(text)
+        complex_ = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+        text = lambda: F.to_json(c) if complex_ else c.cast("string")
+        int32 = lambda: parse_int_strict(text())
+        dbl = lambda: parse_double_lenient(text())
     return FieldValue(
         name=name,
         present=c.isNotNull(),
         text=text,
         int32=int32,
         dbl=dbl,
-        passthrough=c,
+        passthrough=lambda: c,
         out=lambda r: r,
-        null_out=F.lit(None).cast(dtype),
+        null_out=lambda: F.lit(None).cast(dtype),
         seed=seed,
         hash_key=hash_key,
     )
@@ -150,28 +159,30 @@ def json_value(fv: Column, kind: Column, text: Column, name: str, seed: Column,
                hash_key: str | None = None) -> FieldValue:
     """A FieldValue for a VARIANT field; ``kind`` and ``text`` should be columns
     computed in an earlier projection so that every operation shares them."""
-    as_text = kind.isin(TEXT, BIG_INTEGER, CONTAINER)
-    int32 = (
-        F.when(kind == INTEGER, wrap_int32(F.try_variant_get(fv, "$", "bigint")))
-        .when(kind == DOUBLE, saturate_int32(F.try_variant_get(fv, "$", "double")))
-        .when(as_text, parse_int_strict(text))
-        .otherwise(F.lit(0))
-    )
-    dbl = (
-        F.when(kind == INTEGER, F.try_variant_get(fv, "$", "bigint").cast("double"))
-        .when(kind == DOUBLE, F.try_variant_get(fv, "$", "double"))
-        .when(as_text, parse_double_lenient(text))
-        .otherwise(F.lit(0.0))
-    )
+    def as_text():
+        return kind.isin(TEXT, BIG_INTEGER, CONTAINER)
+
+    def int32():
+        return (F.when(kind == INTEGER, wrap_int32(F.try_variant_get(fv, "$", "bigint")))
+                .when(kind == DOUBLE, saturate_int32(F.try_variant_get(fv, "$", "double")))
+                .when(as_text(), parse_int_strict(text))
+                .otherwise(F.lit(0)))
+
+    def dbl():
+        return (F.when(kind == INTEGER, F.try_variant_get(fv, "$", "bigint").cast("double"))
+                .when(kind == DOUBLE, F.try_variant_get(fv, "$", "double"))
+                .when(as_text(), parse_double_lenient(text))
+                .otherwise(F.lit(0.0)))
+
     return FieldValue(
         name=name,
         present=kind > NULL,
-        text=text,
+        text=lambda: text,
         int32=int32,
         dbl=dbl,
-        passthrough=variant_passthrough(fv, kind, text),
+        passthrough=lambda: variant_passthrough(fv, kind, text),
         out=lambda r: r.cast("variant"),
-        null_out=F.parse_json(F.lit("null")),
+        null_out=lambda: F.parse_json(F.lit("null")),
         seed=seed,
         hash_key=hash_key,
         fallback=fv,

@@ -208,10 +208,13 @@ CUSTOMER_JSON_SCHEMA = "id STRING, c_name STRING, c_nationkey STRING, c_acctbal
 
 
 def _read_back(df: DataFrame, schema: str) -> DataFrame:
-    parsed = F.from_json(F.col("value"), schema)
-    cols = [c.strip().split(" ")[0] for c in schema.split(",")]
-    return df.select(*[parsed[c].alias(c) for c in cols],
-                     F.array_join(F.json_object_keys(F.col("value")), ",").alias("out_keys"))
+    """Protected JSON text back into columns (one parse), plus the key list in
+    output order."""
+    v = F.try_parse_json(F.col("value"))
+    cols = [c.strip().split(" ") for c in schema.split(",")]
+    parsed = df.select(F.col("value"), F.explode(F.array(v)).alias("__v"))
+    return parsed.select(*[F.try_variant_get(F.col("__v"), f"$['{n}']", t.lower()).alias(n) for n, t in cols],
+                         F.array_join(F.json_object_keys(F.col("value")), ",").alias("out_keys"))
 
 
 @register("apply_policy_json", f"""

@@ -29,6 +29,7 @@ def get_session(master: str | None = None, app: str = "veilspark", conf: dict |
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **REQUIRED_CONF,
         **(conf or {}),
     }
