@@ -81,16 +81,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str] | str,
-               order: list[str] | str) -> DataFrame:
+               order: list[str] | str, keys_can_move: bool = True) -> DataFrame:
     """Latest-wins upsert of ``updates`` (which must carry ``event_date_prt``)
     into the daily table at ``path``; rewrites the touched days only and
-    returns the staged rows that were written."""
+    returns the staged rows that were written.
+
+    The touched days are broadcast to the scan of the table (dynamic partition
+    pruning), so only those days are read for the merge.  Finding the days
+    that updated keys move away from needs the key column of the whole table
+    (a semi join on the key); with ``keys_can_move=False`` (a key's day never
+    changes) that scan is skipped."""
     key = [key] if isinstance(key, str) else list(key)
     existing = read_table(spark, path)
-    upd_days = updates.select(PARTITION_COL).distinct()
-    # days where updated keys currently live (keys may move between days)
-    moved_days = existing.join(updates.select(*key).distinct(), key, "left_semi").select(PARTITION_COL).distinct()
-    touched = upd_days.unionByName(moved_days).distinct()
+    touched = updates.select(PARTITION_COL).distinct()
+    if keys_can_move:
+        moved = existing.select(*key, PARTITION_COL).join(updates.select(*key).distinct(), key, "left_semi")
+        touched = touched.unionByName(moved.select(PARTITION_COL)).distinct()
     current = existing.join(touched, PARTITION_COL, "left_semi")
     merged = upsert_latest(current, updates, key, order)
     staging = scratch_dir(spark, f"merge-{uuid.uuid4().hex}")

@@ -356,10 +356,12 @@ def policy_asof(spark, d):
 
 
 @register("time_columns_partition", """
-SELECT CAST(ts AS DATE) AS event_date_prt, count(*) AS n FROM events GROUP BY 1""")
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date_prt, count(*) AS n FROM events GROUP BY 1""")
 def time_columns_partition(spark, d):
+    """Rows per daily partition (the day as ``yyyy-MM-dd`` text, as in the folder names)."""
     e = lake.add_time_columns(inputs.table(spark, d, "events"), "ts")
-    return e.groupBy(lake.PARTITION_COL).agg(F.count(F.lit(1)).alias("n"))
+    return e.groupBy(F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL)) \
+        .agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("upsert_latest", """
