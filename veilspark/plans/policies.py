@@ -66,3 +66,6 @@ ASOF_VERSIONS = [
                                                pii("user_id", "generalize", "integer", ranges=[0, 500, 1000])), "v2"),
     PolicyVersion(dt.datetime(2024, 1, 20), _p(pii("event_type", "redact")), "v3"),
 ]
+CONVERSATIONS = _p(plain("turn", "integer"), pii("role", "mask", maskFormat="X***"), pii("text", "hash"),
+                  pii("text_masked", "mask", maskFormat="XXXXXXXXXX"))
+PAGES = _p(pii("url", "mask", maskFormat="XXXXXXXX"), pii("html", "redact"), pii("html_hash", "hash"))
