@@ -109,3 +109,13 @@ def test_empty_policy_keeps_only_id(spark):
 def test_null_and_absent_are_kept_apart(spark):
     (out,) = run(spark, PIPELINE_POLICY, ['{"id":"a","name":null,"age":null}'])
     assert out == {"id": "a", "name": None, "age": None}
+
+
+def test_containers_keep_key_order(spark):
+    pol = {"fields": [{"name": "f", "isPII": False}, {"name": "h", "isPII": True, "piiOperation": "hash"}]}
+    out = field_out(spark, pol, ['{"z":1, "b":[1, 2.50, {"y":true,"a":null}]}'])
+    assert out == ['{"z":1,"b":[1,2.5,{"y":true,"a":null}]}']
+    df = spark.createDataFrame([('{"id":"a","h":{"z":1,"b":2}}',)], "value string")
+    import hashlib, base64
+    want = base64.b64encode(hashlib.sha256(b'{"z":1,"b":2}').digest()).decode()
+    assert json.loads(apply_policy_json(df, Policy.from_dict(pol)).first().value)["h"] == want

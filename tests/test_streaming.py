@@ -93,3 +93,19 @@ def test_metrics_model(spark):
 
 def test_kafka_connector_detection(spark):
     assert kafka_available(spark) in (True, False)
+
+
+def test_custom_sink_and_missing_output(spark, tmp_dir):
+    import pytest
+    from veilspark.streaming.job import console_sink
+
+    pol = f"{tmp_dir}/p.json"
+    write(pol, json.dumps(PROFILE_POLICY))
+    with pytest.raises(ValueError):
+        ProtectStream(spark, PolicyMonitor(spark, pol))
+    seen = []
+    job = ProtectStream(spark, PolicyMonitor(spark, pol), sink=lambda df, b: seen.append((b, df.count())))
+    os.makedirs(f"{tmp_dir}/in")
+    write(f"{tmp_dir}/in/a.json", E2 + "\n")
+    job.run(read_json_text_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/ck")
+    assert seen == [(0, 1)] and callable(console_sink())

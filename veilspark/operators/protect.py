@@ -115,7 +115,7 @@ def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, kee
     records) and ``reason`` (NULL for good records); ``with_raw`` also carries
     the input text as ``raw``."""
     keep = list(keep or [])
-    carry = keep + (["__raw"] if with_raw else [])
+    carry = keep + ["__raw"]
     names = policy.field_names()
     parsed = parse_records(df, value_col, keep)
     v = F.col("__v")
@@ -140,7 +140,8 @@ def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, kee
     s3 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
     for i, _ in enumerate(names):
         fv, k = F.col(f"__f{i}"), F.col(f"__k{i}")
-        s3 += [fv, k, V.variant_text(fv, k).alias(f"__t{i}")]
+        container = V.raw_member_text(F.col("__raw"), names[i])
+        s3 += [fv, k, V.variant_text(fv, k, container).alias(f"__t{i}")]
     st3 = st2.select(*s3)
     out_fields: list[Column] = [F.col("__id").alias("id")]
     for i, n in enumerate(names):

@@ -134,15 +134,28 @@ def variant_kind(fv: Column, schema: Column | None = None) -> Column:
     )
 
 
-def variant_text(fv: Column, kind: Column) -> Column:
-    """Text form of a VARIANT value given its kind (NULL for absent / null)."""
+def variant_text(fv: Column, kind: Column, container_text: Column | None = None) -> Column:
+    """Text form of a VARIANT value given its kind (NULL for absent / null).
+
+    Objects and arrays become compact JSON.  A VARIANT keeps object keys
+    sorted, so ``container_text`` (the member's text taken from the raw
+    record, see :func:`raw_member_text`) is used when given, to keep the
+    original key order."""
     return (
         F.when(kind.isin(TEXT, INTEGER, BOOLEAN, BIG_INTEGER), F.try_variant_get(fv, "$", "string"))
         .when(kind == DOUBLE, F.try_variant_get(fv, "$", "double").cast("string"))
-        .when(kind == CONTAINER, F.to_json(fv))
+        .when(kind == CONTAINER, F.to_json(fv) if container_text is None else container_text)
     )
 
 
+def raw_member_text(raw: Column, name: str) -> Column | None:
+    """Compact JSON text of a top-level member, keys in their original order
+    (None when the name cannot be addressed by a JSON path)."""
+    if "'" in name:
+        return None
+    return F.get_json_object(raw, f"$['{name}']")
+
+
 def variant_passthrough(fv: Column, kind: Column, text: Column | None = None) -> Column:
     """The value as the original tool writes it back: decimals become doubles,
     containers and integers beyond 64 bits become text."""

@@ -63,18 +63,47 @@ def protect_batch(df: DataFrame, policy: Policy, value_col: str = "value", **kw)
     return protect_json(df, policy, value_col, with_raw=True, **kw)
 
 
+Sink = Callable[[DataFrame, int], None]
+
+
+def file_sink(path: str) -> Sink:
+    """Text lines under ``path/batch=<id>``, overwritten per batch (idempotent)."""
+    return lambda df, batch_id: write_batch(df, path, batch_id)
+
+
+def kafka_sink(topic: str, servers: str = "localhost:9092", options: dict | None = None) -> Sink:
+    """Message values to a topic (at-least-once: a replayed batch is sent again)."""
+    from veilspark.sources.kafka import write_kafka_batch
+
+    return lambda df, batch_id: write_kafka_batch(df, topic, servers, options)
+
+
+def console_sink(n: int = 20) -> Sink:
+    """Print the first rows of each batch (for trying a policy out)."""
+    return lambda df, batch_id: df.show(n, truncate=False)
+
+
 @dataclass
 class ProtectStream:
-    """A running protection job (the build → sink → metrics contract)."""
+    """A running protection job (the build → sink → metrics contract).
+
+    ``output_path`` writes good records with :func:`file_sink`; ``sink``
+    replaces it (e.g. :func:`kafka_sink`).  Rejected records go to
+    ``quarantine_path`` (JSON lines with the raw text and the reason)."""
 
     spark: SparkSession
     monitor: PolicyMonitor
-    output_path: str
+    output_path: str | None = None
     quarantine_path: str | None = None
     value_col: str = "value"
     name: str = "Stream Job"
+    sink: Sink | None = None
 
     def __post_init__(self):
+        if self.sink is None:
+            if self.output_path is None:
+                raise ValueError("an output path or a sink is required")
+            self.sink = file_sink(self.output_path)
         self.metrics: list[RunMetrics] = []
         self.summary = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name) \
             .add_business_metric("schema_monitoring_enabled", True)
@@ -86,7 +115,7 @@ class ProtectStream:
         res = res.persist()
         try:
             counts = res.agg(*count_columns("reason")).first()
-            write_batch(res.where(F.col("reason").isNull()).select("value"), self.output_path, batch_id)
+            self.sink(res.where(F.col("reason").isNull()).select("value"), batch_id)
             if self.quarantine_path:
                 bad = res.where(F.col("reason").isNotNull()).select(F.col("raw").alias("value"), "reason")
                 write_batch(bad, self.quarantine_path, batch_id, fmt="json")
