@@ -119,3 +119,12 @@ def test_containers_keep_key_order(spark):
     import hashlib, base64
     want = base64.b64encode(hashlib.sha256(b'{"z":1,"b":2}').digest()).decode()
     assert json.loads(apply_policy_json(df, Policy.from_dict(pol)).first().value)["h"] == want
+
+
+def test_oversized_record_is_quarantined(spark):
+    big = '{"id":"x","t":"' + "a" * 20_000_001 + '"}'
+    fine = '{"id":"y","t":"' + "a" * 17_000_000 + '"}'
+    df = spark.createDataFrame([(big,), (fine,)], "value string")
+    good, bad = split_rejected(df, Policy.from_dict({"fields": [{"name": "t"}]}))
+    assert [json.loads(r.value)["id"] for r in good.collect()] == ["y"]
+    assert [r.reason for r in bad.collect()] == ["too_large"]

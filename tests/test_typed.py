@@ -80,3 +80,25 @@ def test_mask_format_against_brute_force(spark, fmt):
         return out + "*" * max(0, len(v) - len(fmt))
     keys = [r[0] for r in duckdb.sql(f"SELECT c_custkey FROM '{SF_SMALL}/customer.parquet'").fetchall()]
     assert all(got[k] == brute(n) for k, n in zip(keys, names))
+
+
+def test_hmac_matches_python(spark):
+    import base64
+    import hashlib
+    import hmac
+
+    df = spark.createDataFrame([(1, "abc"), (2, "é" * 100)], "id int, s string")
+    p = pol({"name": "s", "isPII": True, "piiOperation": "hash"})
+    for key in ("k", "x" * 100):
+        got = {r.id: r.s for r in apply_policy(df, p, hash_key=key).collect()}
+        for i, v in ((1, "abc"), (2, "é" * 100)):
+            want = base64.b64encode(hmac.new(key.encode(), v.encode(), hashlib.sha256).digest()).decode()
+            assert got[i] == want
+
+
+def test_spread_guard(spark):
+    from veilspark.operators.partitioning import spread
+
+    small = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(small, max_bytes=10).rdd.getNumPartitions() == small.rdd.getNumPartitions()

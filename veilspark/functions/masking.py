@@ -8,6 +8,8 @@ per-character loop runs at execution time.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,14 +63,31 @@ def mask_text(c: Column, fmt: str | None) -> Column:
     return F.when(F.length(c) == 0, c).otherwise(body)
 
 
+def hmac_sha256(c: Column, key: str) -> Column:
+    """HMAC-SHA256 (RFC 2104) of the UTF-8 text under a constant key, as binary.
+
+    The key pads are constants computed here, so the expression is two
+    built-in SHA-256 calls over concatenated binaries."""
+    block = 64
+    k = key.encode("utf-8")
+    if len(k) > block:
+        k = hashlib.sha256(k).digest()
+    k = k.ljust(block, b"\0")
+    ipad = bytes(b ^ 0x36 for b in k)
+    opad = bytes(b ^ 0x5C for b in k)
+    inner = F.unhex(F.sha2(F.concat(F.lit(ipad), F.encode(c, "UTF-8")), 256))
+    return F.unhex(F.sha2(F.concat(F.lit(opad), inner), 256))
+
+
 def hash_text(c: Column, key: str | None = None) -> Column:
     """SHA-256 over the UTF-8 text, Base64 encoded; empty stays empty.
 
-    ``key`` (optional) is prepended before hashing, which defeats enumeration
-    of short values; without it the output equals the original unsalted hash.
+    With ``key`` the digest is an HMAC-SHA256 under that key, which defeats
+    enumeration of short values; without it the output equals the original
+    unsalted hash.
     """
-    data = F.concat(F.lit(key), c) if key else c
-    return F.when(F.length(c) == 0, c).otherwise(F.base64(F.unhex(F.sha2(data, 256))))
+    digest = hmac_sha256(c, key) if key else F.unhex(F.sha2(c, 256))
+    return F.when(F.length(c) == 0, c).otherwise(F.base64(digest))
 
 
 def redacted() -> Column:

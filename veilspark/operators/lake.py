@@ -95,7 +95,10 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str
     existing = read_table(spark, path)
     touched = updates.select(PARTITION_COL).distinct()
     if keys_can_move:
-        moved = existing.select(*key, PARTITION_COL).join(updates.select(*key).distinct(), key, "left_semi")
+        # (key, day) pairs are made distinct first: combined map-side, a hot key
+        # shrinks to one row per day and map task before any join shuffle
+        pairs = existing.select(*key, PARTITION_COL).distinct()
+        moved = pairs.join(updates.select(*key).distinct(), key, "left_semi")
         touched = touched.unionByName(moved.select(PARTITION_COL)).distinct()
     current = existing.join(touched, PARTITION_COL, "left_semi")
     merged = upsert_latest(current, updates, key, order)

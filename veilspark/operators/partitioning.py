@@ -4,17 +4,27 @@ Protection is a narrow per-row map, so its parallelism is the number of input
 partitions.  On a cluster a large table has far more partitions than cores
 and nothing needs doing.  A small input (one file, one row group) arrives as
 a single partition and would run in one task; :func:`spread` then
-redistributes it round-robin over the session's parallelism.  The check reads
-only the planned partition count; nothing is executed.
+redistributes it round-robin over the session's parallelism.
+
+Both checks read only plan information (planned partition count, estimated
+size from file statistics); nothing is executed.  An input above
+``max_bytes`` (or of unknown size) is never shuffled: moving a large table
+costs more than the parallelism it buys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+DEFAULT_MAX_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if estimated_bytes(df) > max_bytes or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)

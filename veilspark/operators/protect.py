@@ -26,7 +26,12 @@ from veilspark.operators import values as V
 from veilspark.policy import Policy, Rule
 
 REASON_PARSE = "parse_error"
+REASON_TOO_LARGE = "too_large"
 REASON_MISSING_ID = "missing_id"
+# The JSON reader refuses a single string value longer than 20,000,000
+# characters; a record that fails to parse and is at least that long is
+# reported as too large rather than malformed.
+MAX_STRING_CHARS = 20_000_000
 
 
 def _protect(fv: V.FieldValue, rule: Rule | None) -> Column:
@@ -103,7 +108,9 @@ def parse_records(df: DataFrame, value_col: str = "value", keep: list[str] | Non
     parsed = df.select(*[F.col(c) for c in keep], F.col(value_col).alias("__raw"),
                        F.explode(F.array(F.try_parse_json(F.col(value_col)))).alias("__v"))
     idv = V.variant_field(F.col("__v"), "id")
-    reason = (F.when(F.col("__v").isNull(), F.lit(REASON_PARSE))
+    too_large = F.octet_length(F.col("__raw")) > MAX_STRING_CHARS
+    reason = (F.when(F.col("__v").isNull() & too_large, F.lit(REASON_TOO_LARGE))
+              .when(F.col("__v").isNull(), F.lit(REASON_PARSE))
               .when(idv.isNull(), F.lit(REASON_MISSING_ID)))
     return parsed.select(*keep, "__raw", "__v", V.id_text(idv).alias("__id"), reason.alias("__reason"))
 
