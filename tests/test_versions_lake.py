@@ -55,3 +55,22 @@ def test_evolve_union(spark):
     b = spark.createDataFrame([(2, "y", True)], "k int, v string, flag boolean")
     out = lake.evolve_union(a, b).orderBy("k").collect()
     assert out[0].flag is None and out[1].flag is True
+
+
+def test_json_asof_versions(spark):
+    import json
+
+    from veilspark.operators.versions import protect_json_asof
+
+    docs = [("2023-12-31 10:00:00", '{"id":1,"s":"abcd","n":5,"x":1}'),
+            ("2024-01-05 00:00:00", '{"id":2,"s":"abcd","n":5}'),
+            ("2024-02-01 00:00:00", '{"id":3,"s":"abcd","n":5}'),
+            ("2024-02-01 00:00:00", "broken")]
+    df = spark.createDataFrame(docs, "ts string, value string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    vs = [PolicyVersion(dt.datetime(2024, 1, 1), P({"name": "s", "isPII": True}, {"name": "n"})),
+          PolicyVersion(dt.datetime(2024, 1, 15), P({"name": "s", "isPII": True, "piiOperation": "redact"},
+                                                    {"name": "x"}))]
+    rows = protect_json_asof(df, vs, F.col("ts"), keep=["ts"]).collect()
+    got = sorted(((r.policy_version, r.reason, json.loads(r.value) if r.value else None) for r in rows), key=repr)
+    assert got == sorted([(0, "no_policy", None), (1, None, {"id": "2", "s": "a**d", "n": 5}),
+                          (2, None, {"id": "3", "s": "[REDACTED]"}), (2, "parse_error", None)], key=repr)

@@ -115,6 +115,51 @@ def parse_records(df: DataFrame, value_col: str = "value", keep: list[str] | Non
     return parsed.select(*keep, "__raw", "__v", V.id_text(idv).alias("__id"), reason.alias("__reason"))
 
 
+def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep: list[str] | None = None,
+                seed: Column | None = None) -> DataFrame:
+    """Parse once and prepare every named field for the operations.
+
+    Output: ``keep`` columns, ``__raw``, ``__id``, ``__reason``, ``__seed`` and,
+    per field ``i`` of ``names``, its raw VARIANT ``__f{i}``, runtime kind
+    ``__k{i}`` and text ``__t{i}``.  Each step is its own projection so that
+    the parse, the type name and the text are computed once per field and
+    shared by every expression that reads them."""
+    keep = list(keep or [])
+    carry = keep + ["__raw"]
+    parsed = parse_records(df, value_col, keep)
+    v = F.col("__v")
+    head = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason")]
+    st1 = parsed.select(*head, (seed if seed is not None else F.lit(0).cast("bigint")).alias("__seed"),
+                        *[V.variant_field(v, n).alias(f"__f{i}") for i, n in enumerate(names)])
+    head = head + [F.col("__seed")]
+    fvs = [F.col(f"__f{i}") for i in range(len(names))]
+    st2a = st1.select(*head, *[c for i, fv in enumerate(fvs)
+                               for c in (fv, F.schema_of_variant(fv).alias(f"__s{i}"))])
+    st2 = st2a.select(*head, *[c for i, fv in enumerate(fvs)
+                               for c in (fv, V.variant_kind(fv, F.col(f"__s{i}")).alias(f"__k{i}"))])
+    texts = []
+    for i, (n, fv) in enumerate(zip(names, fvs)):
+        k = F.col(f"__k{i}")
+        texts += [fv, k, V.variant_text(fv, k, V.raw_member_text(F.col("__raw"), n)).alias(f"__t{i}")]
+    return st2.select(*head, *texts)
+
+
+def json_output(policy: Policy, names: list[str], hash_key: str | None = None) -> Column:
+    """The protected record as JSON text, from the columns of :func:`json_stages`
+    (``names`` is the field list the stages were built for)."""
+    fields: list[Column] = [F.col("__id").alias("id")]
+    for n in policy.field_names():
+        i = names.index(n)
+        fv = V.json_value(F.col(f"__f{i}"), F.col(f"__k{i}"), F.col(f"__t{i}"), n, F.col("__seed"), hash_key)
+        fields.append(_protect(fv, policy.rule(n)).alias(n))
+    return F.to_json(F.struct(*fields))
+
+
+def _seed_for(policies: list[Policy], seed_col: Column | None) -> Column | None:
+    random = any(r.is_pii and r.operation == "randomize" for p in policies for r in p.effective_rules())
+    return row_seed(seed_col) if random else None
+
+
 def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, keep: list[str] | None = None,
                  seed_col: Column | None = None, hash_key: str | None = None,
                  output_col: str = "value", with_raw: bool = False) -> DataFrame:
@@ -122,41 +167,11 @@ def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, kee
     records) and ``reason`` (NULL for good records); ``with_raw`` also carries
     the input text as ``raw``."""
     keep = list(keep or [])
-    carry = keep + ["__raw"]
     names = policy.field_names()
-    parsed = parse_records(df, value_col, keep)
-    v = F.col("__v")
-    s1 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason")]
-    if any(policy.rule(n).is_pii and policy.rule(n).operation == "randomize" for n in names):  # type: ignore[union-attr]
-        s1.append(row_seed(seed_col).alias("__seed"))
-    else:
-        s1.append(F.lit(0).cast("bigint").alias("__seed"))
-    s1 += [V.variant_field(v, n).alias(f"__f{i}") for i, n in enumerate(names)]
-    st1 = parsed.select(*s1)
-    # stage 2: runtime type name, once per field; stage 3: kind from it
-    s2 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
-    for i, _ in enumerate(names):
-        fv = F.col(f"__f{i}")
-        s2 += [fv, F.schema_of_variant(fv).alias(f"__s{i}")]
-    st2a = st1.select(*s2)
-    s2 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
-    for i, _ in enumerate(names):
-        fv = F.col(f"__f{i}")
-        s2 += [fv, V.variant_kind(fv, F.col(f"__s{i}")).alias(f"__k{i}")]
-    st2 = st2a.select(*s2)
-    s3 = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason"), F.col("__seed")]
-    for i, _ in enumerate(names):
-        fv, k = F.col(f"__f{i}"), F.col(f"__k{i}")
-        container = V.raw_member_text(F.col("__raw"), names[i])
-        s3 += [fv, k, V.variant_text(fv, k, container).alias(f"__t{i}")]
-    st3 = st2.select(*s3)
-    out_fields: list[Column] = [F.col("__id").alias("id")]
-    for i, n in enumerate(names):
-        fv_ = V.json_value(F.col(f"__f{i}"), F.col(f"__k{i}"), F.col(f"__t{i}"), n, F.col("__seed"), hash_key)
-        out_fields.append(_protect(fv_, policy.rule(n)).alias(n))
-    out = F.when(F.col("__reason").isNull(), F.to_json(F.struct(*out_fields)))
+    st = json_stages(df, names, value_col, keep, _seed_for([policy], seed_col))
+    out = F.when(F.col("__reason").isNull(), json_output(policy, names, hash_key))
     raw = [F.col("__raw").alias("raw")] if with_raw else []
-    return st3.select(*keep, out.alias(output_col), F.col("__reason").alias("reason"), *raw)
+    return st.select(*keep, out.alias(output_col), F.col("__reason").alias("reason"), *raw)
 
 
 def apply_policy_json(df: DataFrame, policy: Policy, value_col: str = "value", **kw) -> DataFrame:

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspark.functions.randomness import row_seed
-from veilspark.operators.protect import SEED_COL, _needs_seed, protected_columns
+from veilspark.operators.protect import (SEED_COL, _needs_seed, _seed_for, json_output, json_stages,
+                                        protected_columns)
 from veilspark.policy import Policy
 
 
@@ -88,6 +89,37 @@ def apply_policy_asof(df: DataFrame, versions: list[PolicyVersion], ts_col: str,
     return base.select(*head, "policy_version", *out_cols)
 
 
+REASON_NO_POLICY = "no_policy"
+
+
+def protect_json_asof(df: DataFrame, versions: list[PolicyVersion], ts: Column, value_col: str = "value", *,
+                      keep: list[str] | None = None, seed_col: Column | None = None, hash_key: str | None = None,
+                      output_col: str = "value", ts_type: str = "timestamp_ntz") -> DataFrame:
+    """JSON records, each protected with the version valid at ``ts`` (a column
+    of the input, e.g. the message timestamp, or an expression over it).
+
+    One parse serves all versions: the stages are built for the union of the
+    versions' fields and the output is a CASE over the version of
+    per-version JSON expressions.  Output: ``keep``, ``policy_version``,
+    ``output_col`` and ``reason`` (``no_policy`` before the first version)."""
+    versions = sorted(versions, key=lambda v: v.valid_from)
+    keep = list(keep or [])
+    names: list[str] = []
+    for v in versions:
+        names += [n for n in v.policy.field_names() if n not in names]
+    src = df.withColumn("__ver", version_index(ts, versions, ts_type))
+    st = json_stages(src, names, value_col, keep + ["__ver"],
+                     _seed_for([v.policy for v in versions], seed_col))
+    ver = F.col("__ver")
+    out = None
+    for i, v in enumerate(versions, start=1):
+        expr = json_output(v.policy, names, hash_key)
+        out = F.when(ver == i, expr) if out is None else out.when(ver == i, expr)
+    reason = F.coalesce(F.col("__reason"), F.when(ver == 0, F.lit(REASON_NO_POLICY)))
+    return st.select(*keep, ver.alias("policy_version"),
+                     F.when(reason.isNull(), out).alias(output_col), reason.alias("reason"))
+
+
 def versions_frame(spark, versions: list[PolicyVersion]) -> DataFrame:
     """The version list as a small table (label, valid_from, valid_to, digest)."""
     vs = sorted(versions, key=lambda v: v.valid_from)

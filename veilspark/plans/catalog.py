@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from veilspark.operators import drift, lake, validate
 from veilspark.operators.protect import apply_policy, apply_policy_json, keep_all_json, protect_json
-from veilspark.operators.versions import apply_policy_asof
+from veilspark.operators.versions import apply_policy_asof, protect_json_asof
 from veilspark.plans import inputs
 from veilspark.plans import policies as P
 from veilspark.streaming.metrics import count_columns
@@ -225,12 +225,17 @@ CUSTOMER_JSON_SCHEMA = "id STRING, c_name STRING, c_nationkey STRING, c_acctbal
 
 
 def _read_back(df: DataFrame, schema: str) -> DataFrame:
+    return _read_back_with(df, schema, [])
+
+
+def _read_back_with(df: DataFrame, schema: str, carry: list[str]) -> DataFrame:
     """Protected JSON text back into columns (one parse), plus the key list in
-    output order."""
+    output order; ``carry`` columns pass along."""
     v = F.try_parse_json(F.col("value"))
     cols = [c.strip().split(" ") for c in schema.split(",")]
-    parsed = df.select(F.col("value"), F.explode(F.array(v)).alias("__v"))
-    return parsed.select(*[F.try_variant_get(F.col("__v"), f"$['{n}']", t.lower()).alias(n) for n, t in cols],
+    parsed = df.select(*carry, F.col("value"), F.explode(F.array(v)).alias("__v"))
+    return parsed.select(*carry,
+                         *[F.try_variant_get(F.col("__v"), f"$['{n}']", t.lower()).alias(n) for n, t in cols],
                          F.array_join(F.json_object_keys(F.col("value")), ",").alias("out_keys"))
 
 
@@ -372,6 +377,25 @@ def policy_asof(spark, d):
     return apply_policy_asof(inputs.table(spark, d, "events"), P.ASOF_VERSIONS, "ts", id_col="event_id")
 
 
+ASOF_JSON_SCHEMA = "id STRING, event_type STRING, user_id STRING"
+
+
+@register("policy_asof_json", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, v AS policy_version,
+       CASE v WHEN 1 THEN {q_mask_default('event_type')} WHEN 2 THEN {q_hash('event_type')}
+              ELSE '[REDACTED]' END AS event_type,
+       CASE v WHEN 1 THEN {q_hash('CAST(user_id AS VARCHAR)')}
+              WHEN 2 THEN {q_label(q_low32('user_id'), [0, 500, 1000])} END AS user_id,
+       CASE WHEN v < 3 THEN 'id,event_type,user_id' ELSE 'id,event_type' END AS out_keys
+FROM (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 3 WHEN ts >= TIMESTAMP '2024-01-10' THEN 2
+                     ELSE 1 END AS v
+      FROM events WHERE ts >= TIMESTAMP '2024-01-01')""")
+def policy_asof_json(spark, d):
+    res = protect_json_asof(inputs.event_json(spark, d, with_ts=True), P.ASOF_VERSIONS, F.col("ts"))
+    good = res.where(F.col("reason").isNull())
+    return _read_back_with(good, ASOF_JSON_SCHEMA, ["policy_version"])
+
+
 @register("time_columns_partition", """
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date_prt, count(*) AS n FROM events GROUP BY 1""")
 def time_columns_partition(spark, d):

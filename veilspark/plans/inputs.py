@@ -33,9 +33,10 @@ def customer_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.to_json(doc).alias("value"))
 
 
-def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_json(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataFrame:
     """One JSON object per event.  ``props`` is embedded as an object; ``value``
-    is present only for purchases and ``note`` (JSON null) only for errors."""
+    is present only for purchases and ``note`` (JSON null) only for errors.
+    ``with_ts`` also carries the event time as a column (a message timestamp)."""
     e = table(spark, sf_dir, "events", heavy=True)
     doc = F.struct(
         F.col("event_id").alias("id"),
@@ -47,7 +48,7 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.parse_json(F.col("props")).alias("props"),
         F.when(F.col("event_type") == "error", F.parse_json(F.lit("null"))).alias("note"),
     )
-    return e.select(F.to_json(doc).alias("value"))
+    return e.select(F.to_json(doc).alias("value"), *([F.col("ts")] if with_ts else []))
 
 
 def event_json_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
