@@ -47,3 +47,29 @@ def test_records_match_model(spark, policy, records):
            for r in protect_json(df, policy, keep=["pos"]).collect()}
     for i, rec in enumerate(records):
         assert got[i] == protect_record(rec, policy), (texts[i], policy)
+
+
+typed_rows = st.lists(st.tuples(
+    st.one_of(st.none(), strings), st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)),
+    st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)), st.one_of(st.none(), doubles),
+    st.one_of(st.none(), st.booleans())), min_size=1, max_size=40)
+typed_rules = st.builds(lambda n, op, t, f, r: {"name": n, "isPII": True, "piiOperation": op, "type": t,
+                                                **({"maskFormat": f} if f is not None else {}), "ranges": r},
+                        st.sampled_from(["s", "i", "l", "d", "b"]), ops, types, fmts, ranges)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
+@given(rules_=st.lists(typed_rules, min_size=1, max_size=5), rows=typed_rows)
+def test_typed_columns_match_model(spark, rules_, rows):
+    from model import protect_value
+
+    from veilspark.operators.protect import apply_policy
+
+    policy = Policy.from_dict({"fields": rules_})
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)],
+                               "k int, s string, i int, l bigint, d double, b boolean")
+    out = {r.k: r.asDict() for r in apply_policy(df, policy, id_col="k").collect()}
+    cols = {"s": 0, "i": 1, "l": 2, "d": 3, "b": 4}
+    for k, row in enumerate(rows):
+        for n in policy.field_names():
+            assert out[k][n] == protect_value(row[cols[n]], policy.rule(n)), (n, row, policy.rule(n))
