@@ -102,3 +102,21 @@ def test_spread_guard(spark):
     small = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
     assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(small, max_bytes=10).rdd.getNumPartitions() == small.rdd.getNumPartitions()
+
+
+def test_random_text_is_uniform_and_exact_length(spark):
+    from collections import Counter
+
+    from veilspark.functions.randomness import ALPHANUMERIC, random_alnum, random_alnum_per_char, row_seed
+
+    df = spark.range(400).select(((F.col("id") * 37) % 1000).cast("int").alias("n")) \
+        .select("n", row_seed().alias("seed"))
+    rows = df.select("n", random_alnum(F.col("n"), F.col("seed")).alias("a"),
+                     random_alnum_per_char(F.col("n"), F.col("seed")).alias("b")).collect()
+    assert all(len(r.a) == r.n and len(r.b) == r.n for r in rows)
+    counts = Counter("".join(r.a for r in rows))
+    assert set(counts) <= set(ALPHANUMERIC) and len(counts) == 62
+    total = sum(counts.values())
+    expected = total / 62
+    chi2 = sum((counts[c] - expected) ** 2 / expected for c in ALPHANUMERIC)
+    assert chi2 < 120  # 61 degrees of freedom; the 99.99th percentile is about 110

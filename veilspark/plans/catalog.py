@@ -174,6 +174,19 @@ def randomize_violations(spark, d):
                    F.count_if(bad_int).alias("bad_int"), F.count_if(bad_dbl).alias("bad_double"))
 
 
+@register("randomize_whole_text_violations", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS bad_length, CAST(0 AS BIGINT) AS bad_chars,
+       CAST(sum(length(text)) AS BIGINT) AS n_chars
+FROM documents""")
+def randomize_whole_text_violations(spark, d):
+    docs = inputs.table(spark, d, "documents").select("doc_id", "text", F.length("text").alias("o_len"))
+    out = apply_policy(docs, P.DOCUMENTS_RANDOM, id_col="doc_id", keep=["o_len"])
+    return out.agg(F.count(F.lit(1)).alias("n_rows"),
+                   F.count_if(F.length("text") != F.col("o_len")).alias("bad_length"),
+                   F.count_if(~F.col("text").rlike("^[a-zA-Z0-9]*$")).alias("bad_chars"),
+                   F.sum(F.length("text").cast("bigint")).alias("n_chars"))
+
+
 @register("apply_policy_columns", f"""
 SELECT c_custkey, {q_hash('c_name')} AS c_name, {q_label('c_nationkey', [0, 5, 10, 15, 20])} AS c_nationkey,
        CAST(NULL AS DOUBLE) AS c_acctbal

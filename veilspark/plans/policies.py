@@ -69,3 +69,4 @@ ASOF_VERSIONS = [
 CONVERSATIONS = _p(plain("turn", "integer"), pii("role", "mask", maskFormat="X***"), pii("text", "hash"),
                   pii("text_masked", "mask", maskFormat="XXXXXXXXXX"))
 PAGES = _p(pii("url", "mask", maskFormat="XXXXXXXX"), pii("html", "redact"), pii("html_hash", "hash"))
+DOCUMENTS_RANDOM = _p(pii("text", "randomize"))
