@@ -19,8 +19,13 @@ def is_big(v) -> bool:
     return isinstance(v, int) and not isinstance(v, bool) and not (-(2**63) <= v < 2**63)
 
 
+_LOWER_ESCAPE = re.compile(r"(?<!\\)((?:\\\\)*)\\u00([0-9a-f]{2})")
+
+
 def compact(v) -> str:
-    return json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+    """Compact JSON as the JVM writer prints it (control characters as \\u00XX, upper-case hex)."""
+    out = json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+    return _LOWER_ESCAPE.sub(lambda m: m.group(1) + "\\u00" + m.group(2).upper(), out)
 
 
 def text(v) -> str:
