@@ -109,3 +109,24 @@ def test_custom_sink_and_missing_output(spark, tmp_dir):
     write(f"{tmp_dir}/in/a.json", E2 + "\n")
     job.run(read_json_text_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/ck")
     assert seen == [(0, 1)] and callable(console_sink())
+
+
+def test_cli_settings(spark, tmp_dir):
+    import pytest
+
+    from veilspark.streaming.cli import build, parse_config
+
+    cfg, ignored = parse_config(["schema-path=" + f"{tmp_dir}/p.json", "input-path=" + f"{tmp_dir}/in",
+                                 "output-path=" + f"{tmp_dir}/out", "execution.mode=batch", "stray",
+                                 "job-id=job-1", "schema.refresh.interval.seconds=5"])
+    assert ignored == ["stray"]
+    write(f"{tmp_dir}/p.json", json.dumps(PROFILE_POLICY))
+    os.makedirs(f"{tmp_dir}/in")
+    write(f"{tmp_dir}/in/a.json", E2 + "\n" + E3 + "\n")
+    job, source, ckpt, trigger = build(spark, cfg)
+    assert trigger == {"availableNow": True} and ckpt.endswith("/job-1") and job.monitor.refresh_seconds == 5
+    summary = job.run(source, ckpt, trigger)
+    assert summary.status == "SUCCESS" and summary.record_counts["records_out"] == 2
+    assert len(outputs(f"{tmp_dir}/out")[0]) == 2
+    with pytest.raises(ValueError, match="output"):
+        build(spark, {"schema-path": f"{tmp_dir}/p.json", "input-path": f"{tmp_dir}/in"})
