@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 MASK_CHAR = "*"
 KEEP_CHARS = ("X", "x")
 REDACTED_TEXT = "[REDACTED]"
-HASH_ERROR_TEXT = "[HASH_ERROR]"
 
 
 def mask_default(c: Column) -> Column:

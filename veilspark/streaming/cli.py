@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import json
 import sys
-import uuid
 
 from veilspark.session import checkpoint_dir, get_session
 from veilspark.sources.files import read_json_text_stream
