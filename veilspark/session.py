@@ -39,10 +39,22 @@ def get_session(master: str | None = None, app: str = "veilspark", conf: dict |
     return spark
 
 
+# A compiled method above 8000 bytes of bytecode is never JIT-compiled by the
+# JVM and runs interpreted.  The JSON record projection can exceed that; with
+# this limit Spark falls back to per-operator code for just that stage
+# (measured: about a quarter faster on JSON records, no change elsewhere).
+HUGE_METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+SPARK_DEFAULT_HUGE_METHOD_LIMIT = "65535"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators need to an existing session."""
+    """Apply the settings the operators need to an existing session; the code
+    size limit only where the session still has Spark's default."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    k, v = HUGE_METHOD_LIMIT
+    if spark.conf.get(k, SPARK_DEFAULT_HUGE_METHOD_LIMIT) == SPARK_DEFAULT_HUGE_METHOD_LIMIT:
+        spark.conf.set(k, v)
     return spark
 
 
