@@ -58,7 +58,8 @@ def protected_columns(dtypes: dict, policy: Policy, fields: list[str], seed: Col
     return out
 
 
-def _needs_seed(policy: Policy, fields: list[str]) -> bool:
+def needs_seed(policy: Policy, fields: list[str]) -> bool:
+    """Whether any of ``fields`` is randomized (and so needs a per-row seed)."""
     return any(policy.rule(n).is_pii and policy.rule(n).operation == "randomize"  # type: ignore[union-attr]
                for n in fields if policy.rule(n) is not None)
 
@@ -79,7 +80,7 @@ def apply_policy(df: DataFrame, policy: Policy, id_col: str | None = "id", *,
     dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
     keep = list(keep or [])
     fields = [n for n in policy.field_names() if n in dtypes and n != id_col and n not in keep]
-    base = df.withColumn(SEED_COL, row_seed(seed_col)) if _needs_seed(policy, fields) else df
+    base = df.withColumn(SEED_COL, row_seed(seed_col)) if needs_seed(policy, fields) else df
     seed = F.col(SEED_COL)
     head = [F.col(f"`{c}`") for c in keep] + ([F.col(f"`{id_col}`")] if id_col and id_col in dtypes else [])
     cols = protected_columns(dtypes, policy, fields, seed, hash_key)
@@ -89,7 +90,6 @@ def apply_policy(df: DataFrame, policy: Policy, id_col: str | None = "id", *,
     # random text uses a lambda, which leaves whole-stage codegen; it gets its
     # own projection so the other columns stay in the generated code.
     staged = base.select(*head, *[cols[n] if n not in texty else F.col(f"`{n}`") for n in fields], seed)
-    final = [F.col(f"`{n}`") for n in fields]
     texty_cols = protected_columns(dtypes, policy, texty, seed, hash_key)
     final = [texty_cols[n] if n in texty else F.col(f"`{n}`") for n in fields]
     return staged.select(*head, *final)
@@ -155,7 +155,8 @@ def json_output(policy: Policy, names: list[str], hash_key: str | None = None) -
     return F.to_json(F.struct(*fields))
 
 
-def _seed_for(policies: list[Policy], seed_col: Column | None) -> Column | None:
+def seed_for(policies: list[Policy], seed_col: Column | None) -> Column | None:
+    """A per-row seed column when any policy randomizes, else None."""
     random = any(r.is_pii and r.operation == "randomize" for p in policies for r in p.effective_rules())
     return row_seed(seed_col) if random else None
 
@@ -168,7 +169,7 @@ def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, kee
     the input text as ``raw``."""
     keep = list(keep or [])
     names = policy.field_names()
-    st = json_stages(df, names, value_col, keep, _seed_for([policy], seed_col))
+    st = json_stages(df, names, value_col, keep, seed_for([policy], seed_col))
     out = F.when(F.col("__reason").isNull(), json_output(policy, names, hash_key))
     raw = [F.col("__raw").alias("raw")] if with_raw else []
     return st.select(*keep, out.alias(output_col), F.col("__reason").alias("reason"), *raw)

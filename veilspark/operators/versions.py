@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspark.functions.randomness import row_seed
-from veilspark.operators.protect import (SEED_COL, _needs_seed, _seed_for, json_output, json_stages,
-                                        protected_columns)
+from veilspark.operators.protect import SEED_COL, json_output, json_stages, needs_seed, protected_columns, seed_for
 from veilspark.policy import Policy
 
 
@@ -64,7 +63,7 @@ def apply_policy_asof(df: DataFrame, versions: list[PolicyVersion], ts_col: str,
         for n in v.policy.field_names():
             if n in dtypes and n != id_col and n not in keep and n not in fields:
                 fields.append(n)
-    if any(_needs_seed(v.policy, [n for n in fields if n in v.policy.field_names()]) for v in versions):
+    if any(needs_seed(v.policy, [n for n in fields if n in v.policy.field_names()]) for v in versions):
         base = base.withColumn(SEED_COL, row_seed(seed_col))
     seed = F.col(SEED_COL)
     per_version = []
@@ -109,7 +108,7 @@ def protect_json_asof(df: DataFrame, versions: list[PolicyVersion], ts: Column,
         names += [n for n in v.policy.field_names() if n not in names]
     src = df.withColumn("__ver", version_index(ts, versions, ts_type))
     st = json_stages(src, names, value_col, keep + ["__ver"],
-                     _seed_for([v.policy for v in versions], seed_col))
+                     seed_for([v.policy for v in versions], seed_col))
     ver = F.col("__ver")
     out = None
     for i, v in enumerate(versions, start=1):
