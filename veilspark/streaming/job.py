@@ -3,8 +3,8 @@
 * the policy file is re-read on the driver between micro-batches, at most
   once per refresh interval; a failed re-read keeps the last good policy, a
   failed first read is fatal;
-* each micro-batch is protected with one policy version (recorded in the
-  batch output as ``policy_digest``), so a replayed batch is reproducible;
+* each micro-batch is protected with one policy version (its digest is kept
+  in the batch metrics), so a replayed batch is reproducible;
 * good records go to the sink, rejected ones (unparsable, no id) optionally
   to a quarantine sink; both writes are per-batch overwrites, so replays after
   a failure do not duplicate output;
@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.operators.protect import protect_json
@@ -109,18 +110,27 @@ class ProtectStream:
             .add_business_metric("schema_monitoring_enabled", True)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch: protect with the current policy, write, count.
+
+        The counts are observed during the sink's write (no separate pass).
+        Without a quarantine sink the batch is computed exactly once; with one,
+        it is persisted because two outputs read it.  A sink must run an action
+        on the DataFrame it receives."""
         policy = self.monitor.current()
         started = time.time()
-        res = protect_batch(batch, policy, self.value_col).withColumn("policy_digest", F.lit(policy.digest))
-        res = res.persist()
+        obs = Observation(f"veilspark_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
+        res = protect_batch(batch, policy, self.value_col).observe(obs, *count_columns("reason"))
+        if self.quarantine_path:
+            res = res.persist()
         try:
-            counts = res.agg(*count_columns("reason")).first()
             self.sink(res.where(F.col("reason").isNull()).select("value"), batch_id)
             if self.quarantine_path:
                 bad = res.where(F.col("reason").isNotNull()).select(F.col("raw").alias("value"), "reason")
                 write_batch(bad, self.quarantine_path, batch_id, fmt="json")
+            counts = obs.get
         finally:
-            res.unpersist()
+            if self.quarantine_path:
+                res.unpersist()
         m = (RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.summary.job_id)
              .add_record_count("records_in", counts["records_in"])
              .add_record_count("records_out", counts["records_out"])
