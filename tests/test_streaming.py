@@ -32,10 +32,13 @@ def test_stream_reload_restart_and_quarantine(spark, tmp_dir):
     write(pol, json.dumps(PROFILE_POLICY))
     write(f"{inp}/a.json", E2 + "\n" + "not json\n")
     mon = PolicyMonitor(spark, pol, refresh_seconds=0)
-    job = ProtectStream(spark, mon, out, quarantine_path=bad)
+    job = ProtectStream(spark, mon, out, quarantine_path=bad, metrics_path=f"{tmp_dir}/metrics")
     q = job.start(read_json_text_stream(spark, inp), ck, {"availableNow": True})
     q.awaitTermination()
     first = outputs(out)
+    mrow = spark.read.parquet(f"{tmp_dir}/metrics").first()
+    assert mrow.batch_id == 0 and mrow.record_counts == {"records_in": 2, "records_out": 1, "records_rejected": 1}
+    assert json.loads(mrow.job_metrics["policy_digest"]) == Policy.from_dict(PROFILE_POLICY).digest
     assert list(first) == [0] and first[0][0]["firstName"] == "J***"
     assert job.metrics[-1].record_counts == {"records_in": 2, "records_out": 1, "records_rejected": 1}
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from veilspark.operators.protect import protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
-from veilspark.streaming.metrics import FAILED, SUCCESS, RunMetrics, count_columns
+from veilspark.streaming.metrics import FAILED, SUCCESS, RunMetrics, count_columns, metrics_frame
 
 log = logging.getLogger(__name__)
 
@@ -90,7 +90,10 @@ class ProtectStream:
 
     ``output_path`` writes good records with :func:`file_sink`; ``sink``
     replaces it (e.g. :func:`kafka_sink`).  Rejected records go to
-    ``quarantine_path`` (JSON lines with the raw text and the reason)."""
+    ``quarantine_path`` (JSON lines with the raw text and the reason).
+    ``metrics_path`` keeps one metrics row per micro-batch (counts, timing,
+    policy digest) under ``batch_id=<id>``, overwritten when a batch is
+    replayed."""
 
     spark: SparkSession
     monitor: PolicyMonitor
@@ -99,6 +102,7 @@ class ProtectStream:
     value_col: str = "value"
     name: str = "Stream Job"
     sink: Sink | None = None
+    metrics_path: str | None = None
 
     def __post_init__(self):
         if self.sink is None:
@@ -140,6 +144,9 @@ class ProtectStream:
              .add_job_metric("policy_digest", policy.digest)
              .with_status(SUCCESS).with_end_time())
         self.metrics.append(m)
+        if self.metrics_path:
+            metrics_frame(self.spark, [m]).write.mode("overwrite").parquet(
+                f"{self.metrics_path.rstrip('/')}/batch_id={batch_id}")
 
     def start(self, source: DataFrame, checkpoint: str, trigger: dict | None = None):
         """Start the query; ``trigger`` e.g. ``{"processingTime": "10 seconds"}``
