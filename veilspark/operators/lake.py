@@ -67,9 +67,16 @@ def upsert_latest(existing: DataFrame, updates: DataFrame, key: list[str] | str,
     return latest_per_key(evolve_union(existing, updates), key, order)
 
 
+def rebalance_days(df: DataFrame) -> DataFrame:
+    """Cluster rows by day before a partitioned write, with AQE splitting a day
+    that holds a large share of the rows and merging small ones: a bounded
+    number of files per day, and no task that writes a hot day alone."""
+    return df.hint("rebalance", PARTITION_COL)
+
+
 def write_daily(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write partitioned by day; ``overwrite`` replaces only the days present in ``df``."""
-    w = df.write.mode(mode).partitionBy(PARTITION_COL)
+    w = rebalance_days(df).write.mode(mode).partitionBy(PARTITION_COL)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
@@ -103,7 +110,7 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str
     current = existing.join(touched, PARTITION_COL, "left_semi")
     merged = upsert_latest(current, updates, key, order)
     staging = scratch_dir(spark, f"merge-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(staging)
+    rebalance_days(merged).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(staging)
     staged = read_table(spark, staging)
     # touched days left without rows (every key moved away) are not rewritten
     # by a dynamic overwrite; their folders are removed.  The list holds days,
