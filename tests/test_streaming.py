@@ -133,3 +133,16 @@ def test_cli_settings(spark, tmp_dir):
     assert len(outputs(f"{tmp_dir}/out")[0]) == 2
     with pytest.raises(ValueError, match="output"):
         build(spark, {"schema-path": f"{tmp_dir}/p.json", "input-path": f"{tmp_dir}/in"})
+
+
+def test_cli_main(spark, tmp_dir, capsys):
+    from veilspark.streaming.cli import main
+
+    write(f"{tmp_dir}/p.json", json.dumps(PROFILE_POLICY))
+    os.makedirs(f"{tmp_dir}/in")
+    write(f"{tmp_dir}/in/a.json", E2 + "\n" + "oops\n")
+    code = main([f"schema-path={tmp_dir}/p.json", f"input-path={tmp_dir}/in", f"output-path={tmp_dir}/out",
+                 f"quarantine-path={tmp_dir}/bad", f"checkpoint.dir={tmp_dir}/ck", "execution.mode=batch"])
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and summary["status"] == "SUCCESS"
+    assert summary["record_counts"] == {"records_in": 2, "records_out": 1, "records_rejected": 1}
