@@ -100,8 +100,10 @@ def test_spread_guard(spark):
     from veilspark.operators.partitioning import spread
 
     small = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(small, max_bytes=10).rdd.getNumPartitions() == small.rdd.getNumPartitions()
+    n = small.rdd.getNumPartitions()
+    assert spread(small, min_bytes=0).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(small, min_bytes=0, max_bytes=10).rdd.getNumPartitions() == n  # too large to move
+    assert spread(small).rdd.getNumPartitions() == n  # too small to be worth a shuffle
 
 
 def test_random_text_is_uniform_and_exact_length(spark):

@@ -9,7 +9,8 @@ redistributes it round-robin over the session's parallelism.
 Both checks read only plan information (planned partition count, estimated
 size from file statistics); nothing is executed.  An input above
 ``max_bytes`` (or of unknown size) is never shuffled: moving a large table
-costs more than the parallelism it buys.
+costs more than the parallelism it buys.  An input below ``min_bytes`` is
+not worth a shuffle either: it is done before the extra stage would start.
 """
 
 from __future__ import annotations
@@ -17,14 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 DEFAULT_MAX_BYTES = 1 << 30
+DEFAULT_MIN_BYTES = 64 << 10
 
 
 def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = DEFAULT_MAX_BYTES,
+           min_bytes: int = DEFAULT_MIN_BYTES) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) > max_bytes or df.rdd.getNumPartitions() >= target:
+    size = estimated_bytes(df)
+    if size > max_bytes or size < min_bytes or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
