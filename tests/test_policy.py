@@ -53,11 +53,12 @@ def test_first_rule_wins_and_lint():
         {"name": "id", "isPII": True},
         {"name": "g", "type": "integer", "isPII": True, "piiOperation": "generalize"},
         {"name": "u", "isPII": True, "piiOperation": "MASK"},
+        {"name": "q'\"", "isPII": False},
     ]})
     assert p.rule("x").operation == "hash"
     msgs = {(f.field, f.severity) for f in lint(p)}
     assert ("x", "warning") in msgs and ("n", "error") in msgs and ("id", "error") in msgs
-    assert ("g", "error") in msgs and ("u", "error") in msgs
+    assert ("g", "error") in msgs and ("u", "error") in msgs and ("q'\"", "error") in msgs
 
 
 def test_digest_changes_with_content():

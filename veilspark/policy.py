@@ -232,6 +232,8 @@ def lint(policy: Policy) -> list[Finding]:
             out.append(Finding("warning", r.name, "duplicate rule: the first one wins"))
             continue
         seen.add(r.name)
+        if "'" in r.name and '"' in r.name:
+            out.append(Finding("error", r.name, "a name with both quote kinds cannot be addressed in a record"))
         if not r.is_pii:
             continue
         if r.name == "id":
