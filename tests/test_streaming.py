@@ -146,3 +146,24 @@ def test_cli_main(spark, tmp_dir, capsys):
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and summary["status"] == "SUCCESS"
     assert summary["record_counts"] == {"records_in": 2, "records_out": 1, "records_rejected": 1}
+
+
+def test_policy_monitor_interval_return_and_strict(spark, tmp_dir):
+    path = f"{tmp_dir}/p.json"
+    v1 = {"fields": [{"name": "a", "isPII": True}]}
+    v2 = {"fields": [{"name": "a", "isPII": True, "piiOperation": "hash"}]}
+    now = [0.0]
+    write(path, json.dumps(v1))
+    mon = PolicyMonitor(spark, path, refresh_seconds=60, clock=lambda: now[0])
+    write(path, json.dumps(v2))
+    now[0] = 30
+    assert mon.current().rule("a").operation == "mask"  # interval not yet over
+    now[0] = 61
+    assert mon.current().rule("a").operation == "hash"
+    write(path, json.dumps(v1))  # going back to the first version is a change too
+    now[0] = 130
+    assert mon.current().rule("a").operation == "mask" and mon.reloads == 2
+    strict = PolicyMonitor(spark, path, refresh_seconds=0, strict=True)
+    write(path, json.dumps({"name": "no fields"}))
+    assert strict.current().digest == Policy.from_dict(v1).digest  # lint error: last good kept
+    assert PolicyMonitor(spark, path, refresh_seconds=0).current().rules == ()  # non-strict: accepted
