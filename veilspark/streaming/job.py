@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from veilspark.operators.drift import undeclared_fields
 from veilspark.operators.protect import protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
@@ -123,7 +124,9 @@ class ProtectStream:
         policy = self.monitor.current()
         started = time.time()
         obs = Observation(f"veilspark_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
-        res = protect_batch(batch, policy, self.value_col).observe(obs, *count_columns("reason"))
+        undeclared = F.size(F.coalesce(undeclared_fields(F.col("raw"), policy), F.array().cast("array<string>")))
+        res = protect_batch(batch, policy, self.value_col).observe(
+            obs, *count_columns("reason"), F.count_if(undeclared > 0).alias("records_with_undeclared"))
         if self.quarantine_path:
             res = res.persist()
         try:
@@ -139,6 +142,7 @@ class ProtectStream:
              .add_record_count("records_in", counts["records_in"])
              .add_record_count("records_out", counts["records_out"])
              .add_record_count("records_rejected", counts["records_rejected"])
+             .add_record_count("records_with_undeclared", counts["records_with_undeclared"])
              .add_timing("batch_ms", int((time.time() - started) * 1000))
              .add_job_metric("batch_id", batch_id)
              .add_job_metric("policy_digest", policy.digest)
@@ -179,7 +183,7 @@ class ProtectStream:
         m = started.add_business_metric("schema_monitoring_enabled", True).with_status(status)
         if error:
             m = m.with_error(error)
-        for k in ("records_in", "records_out", "records_rejected"):
+        for k in ("records_in", "records_out", "records_rejected", "records_with_undeclared"):
             m = m.add_record_count(k, sum(b.record_counts.get(k, 0) for b in self.metrics))
         if q is not None:
             m = m.add_job_metric("query_id", str(q.id)).add_job_metric("run_id", str(q.runId))
