@@ -128,3 +128,10 @@ def test_oversized_record_is_quarantined(spark):
     good, bad = split_rejected(df, Policy.from_dict({"fields": [{"name": "t"}]}))
     assert [json.loads(r.value)["id"] for r in good.collect()] == ["y"]
     assert [r.reason for r in bad.collect()] == ["too_large"]
+
+
+def test_keep_columns_with_dots(spark):
+    df = spark.createDataFrame([("k.1", '{"id":"a","f":"abcd"}')], "`part.key` string, `raw value` string")
+    pol = Policy.from_dict({"fields": [{"name": "f", "isPII": True}]})
+    r = apply_policy_json(df, pol, "raw value", keep=["part.key"]).first()
+    assert r["part.key"] == "k.1" and json.loads(r["value"]) == {"id": "a", "f": "a**d"}

@@ -122,3 +122,11 @@ def test_random_text_is_uniform_and_exact_length(spark):
     expected = total / 62
     chi2 = sum((counts[c] - expected) ** 2 / expected for c in ALPHANUMERIC)
     assert chi2 < 120  # 61 degrees of freedom; the 99.99th percentile is about 110
+
+
+def test_column_names_with_dots_and_spaces(spark):
+    df = spark.createDataFrame([(1, "abcd", "xyz", 7)], "`id` int, `a.b` string, `c d` string, `n.1` int")
+    p = pol({"name": "a.b", "isPII": True}, {"name": "c d", "isPII": True, "piiOperation": "randomize"},
+            {"name": "n.1", "isPII": True, "piiOperation": "generalize", "type": "integer", "ranges": [0, 10]})
+    r = apply_policy(df, p).first()
+    assert r["a.b"] == "a**d" and len(r["c d"]) == 3 and r["n.1"] == "0-10"

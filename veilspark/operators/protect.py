@@ -34,6 +34,11 @@ REASON_MISSING_ID = "missing_id"
 MAX_STRING_CHARS = 20_000_000
 
 
+def _c(name: str) -> Column:
+    """A column by its exact name (dots and blanks are part of the name)."""
+    return F.col(f"`{name}`")
+
+
 def _protect(fv: V.FieldValue, rule: Rule | None) -> Column:
     if rule is None or not rule.is_pii:
         return fv.passthrough
@@ -105,14 +110,15 @@ def parse_records(df: DataFrame, value_col: str = "value", keep: list[str] | Non
     pushed below it and parse the text a second time.
     """
     keep = list(keep or [])
-    parsed = df.select(*[F.col(c) for c in keep], F.col(value_col).alias("__raw"),
-                       F.explode(F.array(F.try_parse_json(F.col(value_col)))).alias("__v"))
+    parsed = df.select(*[_c(c) for c in keep], _c(value_col).alias("__raw"),
+                       F.explode(F.array(F.try_parse_json(_c(value_col)))).alias("__v"))
     idv = V.variant_field(F.col("__v"), "id")
     too_large = F.octet_length(F.col("__raw")) > MAX_STRING_CHARS
     reason = (F.when(F.col("__v").isNull() & too_large, F.lit(REASON_TOO_LARGE))
               .when(F.col("__v").isNull(), F.lit(REASON_PARSE))
               .when(idv.isNull(), F.lit(REASON_MISSING_ID)))
-    return parsed.select(*keep, "__raw", "__v", V.id_text(idv).alias("__id"), reason.alias("__reason"))
+    return parsed.select(*[_c(c) for c in keep], "__raw", "__v", V.id_text(idv).alias("__id"),
+                         reason.alias("__reason"))
 
 
 def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep: list[str] | None = None,
@@ -128,7 +134,7 @@ def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep:
     carry = keep + ["__raw"]
     parsed = parse_records(df, value_col, keep)
     v = F.col("__v")
-    head = [F.col(c) for c in carry] + [F.col("__id"), F.col("__reason")]
+    head = [_c(c) for c in carry] + [F.col("__id"), F.col("__reason")]
     st1 = parsed.select(*head, (seed if seed is not None else F.lit(0).cast("bigint")).alias("__seed"),
                         *[V.variant_field(v, n).alias(f"__f{i}") for i, n in enumerate(names)])
     head = head + [F.col("__seed")]
@@ -172,7 +178,7 @@ def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, kee
     st = json_stages(df, names, value_col, keep, seed_for([policy], seed_col))
     out = F.when(F.col("__reason").isNull(), json_output(policy, names, hash_key))
     raw = [F.col("__raw").alias("raw")] if with_raw else []
-    return st.select(*keep, out.alias(output_col), F.col("__reason").alias("reason"), *raw)
+    return st.select(*[_c(c) for c in keep], out.alias(output_col), F.col("__reason").alias("reason"), *raw)
 
 
 def apply_policy_json(df: DataFrame, policy: Policy, value_col: str = "value", **kw) -> DataFrame:
@@ -180,7 +186,7 @@ def apply_policy_json(df: DataFrame, policy: Policy, value_col: str = "value", *
     out_col = kw.pop("output_col", "value")
     keep = kw.get("keep") or []
     res = protect_json(df, policy, value_col, output_col=out_col, **kw)
-    return res.where(F.col("reason").isNull()).select(*keep, out_col)
+    return res.where(F.col("reason").isNull()).select(*[_c(c) for c in keep], _c(out_col))
 
 
 def split_rejected(df: DataFrame, policy: Policy, value_col: str = "value", **kw) -> tuple[DataFrame, DataFrame]:
@@ -189,8 +195,9 @@ def split_rejected(df: DataFrame, policy: Policy, value_col: str = "value", **kw
     the input (as a streaming micro-batch writer does) when both are consumed."""
     keep = kw.get("keep") or []
     res = protect_json(df, policy, value_col, output_col="__out", with_raw=True, **kw)
-    good = res.where(F.col("reason").isNull()).select(*keep, F.col("__out").alias("value"))
-    rejected = res.where(F.col("reason").isNotNull()).select(*keep, F.col("raw").alias("value"), "reason")
+    good = res.where(F.col("reason").isNull()).select(*[_c(c) for c in keep], F.col("__out").alias("value"))
+    rejected = res.where(F.col("reason").isNotNull()).select(*[_c(c) for c in keep], F.col("raw").alias("value"),
+                                                              "reason")
     return good, rejected
 
 

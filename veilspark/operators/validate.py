@@ -55,14 +55,14 @@ def validate_fields(df: DataFrame, policy: Policy, value_col: str = "value",
     v = F.col("__v")
     names = list(rules)
     # the id is not a field of the record: its rule always sees "absent"
-    kinds = parsed.select(*keep, F.col("__id").alias("id"), F.col("__raw").alias(value_col),
+    kinds = parsed.select(*[F.col(f"`{c}`") for c in keep], F.col("__id").alias("id"), F.col("__raw").alias(value_col),
                           *[(F.lit(V.ABSENT) if n == "id" else V.variant_kind(V.variant_field(v, n))).alias(f"__k{i}")
                             for i, n in enumerate(names)])
     pairs: list[Column] = []
     for i, n in enumerate(names):
         pairs += [F.lit(n), _valid(F.col(f"__k{i}"), rules[n])]
     results = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,boolean>")
-    return kinds.select(*keep, "id", value_col, results.alias(RESULTS_COL))
+    return kinds.select(*[F.col(f"`{c}`") for c in keep], "id", F.col(f"`{value_col}`"), results.alias(RESULTS_COL))
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def apply_policy_asof(df: DataFrame, versions: list[PolicyVersion], ts_col: str,
             cond = F.col("policy_version") == i
             expr = F.when(cond, c) if expr is None else expr.when(cond, c)
         out_cols.append(expr.alias(n))
-    head = [F.col(c) for c in keep] + ([F.col(id_col)] if id_col and id_col in dtypes else [])
+    head = [F.col(f"`{c}`") for c in keep] + ([F.col(f"`{id_col}`")] if id_col and id_col in dtypes else [])
     return base.select(*head, "policy_version", *out_cols)
 
 
@@ -115,7 +115,7 @@ def protect_json_asof(df: DataFrame, versions: list[PolicyVersion], ts: Column,
         expr = json_output(v.policy, names, hash_key)
         out = F.when(ver == i, expr) if out is None else out.when(ver == i, expr)
     reason = F.coalesce(F.col("__reason"), F.when(ver == 0, F.lit(REASON_NO_POLICY)))
-    return st.select(*keep, ver.alias("policy_version"),
+    return st.select(*[F.col(f"`{c}`") for c in keep], ver.alias("policy_version"),
                      F.when(reason.isNull(), out).alias(output_col), reason.alias("reason"))
 
 
