@@ -9,10 +9,12 @@ Two inputs are supported:
   parsed once into a VARIANT, the id rule and allow-list are applied, the
   sensitive fields are rewritten and the record is written back as JSON.
 
-Both compile the policy to one projection of built-in expressions: no shuffle,
-no Python worker, whole-stage codegen (random text aside, see below).  The
-work is a narrow map, so it scales linearly with input partitions and needs
-no tuning beyond the scan split size.
+Both compile the policy to a few stacked projections of built-in expressions:
+no shuffle, no Python worker, generated code (random text is kept in its own
+projection, see :func:`apply_policy`; very large JSON output expressions fall
+back to per-operator code, see ``veilspark.session``).  The work is a narrow
+map, so it scales linearly with input partitions and needs no tuning beyond
+the scan split size.
 """
 
 from __future__ import annotations
