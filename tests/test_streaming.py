@@ -170,3 +170,17 @@ def test_policy_monitor_interval_return_and_strict(spark, tmp_dir):
     write(path, json.dumps({"name": "no fields"}))
     assert strict.current().digest == Policy.from_dict(v1).digest  # lint error: last good kept
     assert PolicyMonitor(spark, path, refresh_seconds=0).current().rules == ()  # non-strict: accepted
+
+
+def test_example_policy_through_cli(spark, tmp_dir, capsys):
+    from conftest import ROOT, SF_SMALL
+    from veilspark.plans.inputs import customer_json
+    from veilspark.streaming.cli import main
+
+    customer_json(spark, SF_SMALL).write.text(f"{tmp_dir}/in")
+    code = main([f"schema-path={ROOT}/policies/customer-example.json", f"input-path={tmp_dir}/in",
+                 f"output-path={tmp_dir}/out", f"checkpoint.dir={tmp_dir}/ck", "execution.mode=batch"])
+    assert code == 0
+    rows = [r for rs in outputs(f"{tmp_dir}/out").values() for r in rs]
+    assert len(rows) == 150 and all(set(r) == {"id", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"} for r in rows)
+    assert all(r["c_name"].startswith("Customer#") and r["c_name"][9:13] == "****" for r in rows)
