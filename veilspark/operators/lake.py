@@ -129,3 +129,57 @@ def _delete_partitions(spark: SparkSession, path: str, days: list) -> None:
     for d in days:
         p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COL}={d}")
         p.getFileSystem(conf).delete(p, True)
+
+
+# Column type for a field, from the merged runtime type name of its values.
+_SIMPLE_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "STRING": "string", "BOOLEAN": "boolean"}
+
+
+def _column_type(variant_type: str) -> str:
+    if variant_type.startswith("DECIMAL"):
+        return "double"
+    return _SIMPLE_TYPES.get(variant_type, "string")
+
+
+def record_field_types(df: DataFrame, value_col: str = "value") -> dict[str, str]:
+    """Field name → column type over all JSON records of ``df``.
+
+    One aggregation keyed by field name (combined map-side); the result has one
+    row per distinct field, so it is bounded by the record width, not by the
+    number of records.  Objects, arrays, fields with mixed types and all-null
+    fields become text."""
+    m = F.try_variant_get(F.try_parse_json(F.col(f"`{value_col}`")), "$", "map<string,variant>")
+    rows = (df.select(F.explode(m).alias("field", "fv"))
+              .groupBy("field").agg(F.schema_of_variant_agg("fv").alias("t")).collect())
+    return {r.field: _column_type(r.t) for r in sorted(rows, key=lambda r: r.field)}
+
+
+def records_to_columns(df: DataFrame, types: dict[str, str], value_col: str = "value") -> DataFrame:
+    """JSON records as typed columns (one parse); text columns hold strings as
+    they are and other values as compact JSON text."""
+    from veilspark.operators import values as V
+
+    parsed = df.select(F.explode(F.array(F.try_parse_json(F.col(f"`{value_col}`")))).alias("__v"))
+    parsed = parsed.where(F.col("__v").isNotNull())
+    cols = []
+    for name, t in types.items():
+        fv = V.variant_field(F.col("__v"), name)
+        if t == "string":
+            cols.append(V.variant_text(fv, V.variant_kind(fv)).alias(name))
+        else:
+            cols.append(F.try_variant_get(fv, "$", t).alias(name))
+    return parsed.select(*cols)
+
+
+def align_to_table(df: DataFrame, table_schema) -> DataFrame:
+    """Cast incoming columns to the type an existing table already has for them
+    (text absorbs anything); new columns keep their own type (schema evolution)."""
+    existing = {f.name: f.dataType for f in table_schema.fields}
+    out = []
+    for f in df.schema.fields:
+        t = existing.get(f.name)
+        if t is None or t == f.dataType:
+            out.append(F.col(f"`{f.name}`"))
+        else:
+            out.append(F.col(f"`{f.name}`").try_cast(t).alias(f.name))
+    return df.select(*out)

@@ -23,6 +23,7 @@ from veilspark.operators.protect import apply_policy, apply_policy_json, keep_al
 from veilspark.operators.versions import apply_policy_asof, protect_json_asof
 from veilspark.plans import inputs
 from veilspark.plans import policies as P
+from veilspark.streaming.enrich import enrich_frame
 from veilspark.streaming.metrics import count_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -409,6 +410,22 @@ def policy_asof_json(spark, d):
     return _read_back_with(good, ASOF_JSON_SCHEMA, ["policy_version"])
 
 
+@register("enrich_events", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, {q_hash('CAST(user_id AS VARCHAR)')} AS user_id,
+       {q_mask_format('event_type', P.EVENT_TYPE_FORMAT)} AS event_type,
+       CASE WHEN event_type = 'purchase' THEN {q_label(q_int_of_double('value'), [0, 100, 200, 300])} END AS value,
+       CAST(json(props) AS VARCHAR) AS props, strftime(ts, '%Y-%m-%d') AS day, CAST(NULL AS VARCHAR) AS note,
+       strftime(ts, '%Y-%m-%d') AS event_date_prt
+FROM events""")
+def enrich_events(spark, d):
+    """Protected event records as typed columns with the daily partition (the
+    enrichment step before the upsert; processing time left out)."""
+    protected = apply_policy_json(inputs.event_json(spark, d), P.EVENT_JSON)
+    e = enrich_frame(protected, event_time_field="day", event_time_format="yyyy-MM-dd")
+    return e.select("id", "user_id", "event_type", "value", "props", "day", "note",
+                    F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL))
+
+
 @register("time_columns_partition", """
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date_prt, count(*) AS n FROM events GROUP BY 1""")
 def time_columns_partition(spark, d):
