@@ -38,3 +38,22 @@ def test_enrich_stream_upserts_and_evolves(spark, tmp_dir):
     job.start(read_json_text_stream(spark, inp), ck, {"availableNow": True}).awaitTermination()
     got = {r.id: (r.v, r.tier, str(r.event_date_prt)) for r in lake.read_table(spark, table).collect()}
     assert got == {"u1": (10, "gold", "2024-01-02"), "u2": (2, None, "2024-01-01"), "u3": (3, None, "2024-01-02")}
+
+
+def test_cli_runs_the_protect_then_enrich_jobs(spark, tmp_dir, capsys):
+    from policies import PROFILE_POLICY, E2, E3
+
+    from veilspark.streaming.cli import main
+
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.json", "w") as fh:
+        fh.write(E2 + "\n" + E3 + "\n")
+    with open(f"{tmp_dir}/p.json", "w") as fh:
+        json.dump(PROFILE_POLICY, fh)
+    assert main([f"schema-path={tmp_dir}/p.json", f"input-path={tmp_dir}/in", f"output-path={tmp_dir}/out",
+                 f"checkpoint.dir={tmp_dir}/ck1", "execution.mode=batch"]) == 0
+    assert main([f"table-path={tmp_dir}/table", f"input-path={tmp_dir}/out/batch=0", f"checkpoint.dir={tmp_dir}/ck2",
+                 "event-time-field=createdAt", "execution.mode=batch"]) == 0
+    rows = {r.id: r for r in lake.read_table(spark, f"{tmp_dir}/table").collect()}
+    assert set(rows) == {"user123", "user456"} and rows["user123"].firstName == "J***"
+    assert str(rows["user456"].event_date_prt) == "2023-03-22" and rows["user123"].keyBlabla == "valBlabla"

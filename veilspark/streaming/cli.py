@@ -19,6 +19,9 @@ Keys (same names as the original tool's job settings where one exists):
 ``checkpoint.interval``             trigger interval in ms, default 10000
 ``execution.mode``                  ``streaming`` (default) or ``batch`` (process what is there, then stop)
 ``job-id``, ``metrics-name``        run metrics identity
+``table-path``                      enrichment job instead: upsert protected records into this daily table
+``key``, ``event-time-field``,      enrichment: record key (``id``), event-time field and its format
+``event-time-format``
 ==================================  ==============================================
 
 Arguments without ``=`` are reported and ignored.  A missing output is an
@@ -33,6 +36,7 @@ import sys
 from veilspark.session import checkpoint_dir, get_session
 from veilspark.sources.files import read_json_text_stream
 from veilspark.sources.kafka import DEFAULT_GROUP, DEFAULT_SERVERS, read_kafka
+from veilspark.streaming.enrich import EnrichStream
 from veilspark.streaming.job import PolicyMonitor, ProtectStream, kafka_sink
 from veilspark.streaming.metrics import RunMetrics
 
@@ -67,16 +71,36 @@ def build(spark, config: dict[str, str]) -> tuple[ProtectStream, object, str, di
                         metrics_path=config.get("metrics-path"))
     if "job-id" in config:
         job.summary = RunMetrics.start(type(job).__module__ + ".ProtectStream", job.name, job_id=config["job-id"])
-    if "input-topic" in config:
-        source = read_kafka(spark, config["input-topic"], servers, config.get("group-id", DEFAULT_GROUP))
-    else:
-        source = read_json_text_stream(spark, config["input-path"])
+    source = _source(spark, config)
     ckpt = config.get("checkpoint.dir") or f"{checkpoint_dir(spark).rstrip('/')}/{job.summary.job_id}"
+    return job, source, ckpt, _trigger(config)
+
+
+def _source(spark, config: dict[str, str]):
+    if "input-topic" in config:
+        return read_kafka(spark, config["input-topic"], config.get("bootstrap-servers", DEFAULT_SERVERS),
+                          config.get("group-id", DEFAULT_GROUP))
+    if "input-path" in config:
+        return read_json_text_stream(spark, config["input-path"])
+    raise ValueError("input-topic or input-path is required")
+
+
+def _trigger(config: dict[str, str]) -> dict:
     if config.get("execution.mode", "streaming") == "batch":
-        trigger = {"availableNow": True}
-    else:
-        trigger = {"processingTime": f"{int(config.get('checkpoint.interval', '10000'))} milliseconds"}
-    return job, source, ckpt, trigger
+        return {"availableNow": True}
+    return {"processingTime": f"{int(config.get('checkpoint.interval', '10000'))} milliseconds"}
+
+
+def run_enrich(spark, config: dict[str, str]) -> int:
+    """The enrichment job: protected records into the daily table at ``table-path``."""
+    job = EnrichStream(spark, config["table-path"], key=config.get("key", "id"),
+                       event_time_field=config.get("event-time-field"),
+                       event_time_format=config.get("event-time-format"))
+    ckpt = config.get("checkpoint.dir") or f"{checkpoint_dir(spark).rstrip('/')}/enrich-{config.get('job-id', 'job')}"
+    q = job.start(_source(spark, config), ckpt, _trigger(config))
+    q.awaitTermination()
+    print(json.dumps({"status": "SUCCESS", "table": config["table-path"], "query_id": str(q.id)}))
+    return 0
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -84,6 +108,8 @@ def main(argv: list[str] | None = None) -> int:
     for a in ignored:
         print(f"ignored argument without '=': {a}", file=sys.stderr)
     spark = get_session()
+    if "table-path" in config:
+        return run_enrich(spark, config)
     job, source, ckpt, trigger = build(spark, config)
     summary = job.run(source, ckpt, trigger)
     print(json.dumps({"job_id": summary.job_id, "status": summary.status, "error": summary.error,
