@@ -21,14 +21,20 @@ DEFAULT_MAX_BYTES = 1 << 30
 DEFAULT_MIN_BYTES = 64 << 10
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate (file sizes for a scan); None when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a remote (Connect) session exposes no plan statistics
+        return None
 
 
 def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = DEFAULT_MAX_BYTES,
            min_bytes: int = DEFAULT_MIN_BYTES) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df)
-    if size > max_bytes or size < min_bytes or df.rdd.getNumPartitions() >= target:
+    if size is None or size > max_bytes or size < min_bytes:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)

@@ -12,10 +12,13 @@ def read_policy_text(spark: SparkSession, path: str) -> str:
     row is brought to the driver, where it is compiled into expressions.
     Raises ``FileNotFoundError`` when the path does not exist.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        exists = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    except Exception:  # no JVM handle (remote session): the read below reports a missing path
+        exists = True
+    if not exists:
         raise FileNotFoundError(path)
     rows = spark.read.text(path, wholetext=True).take(1)
     if not rows:
