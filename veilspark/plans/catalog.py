@@ -279,6 +279,20 @@ def apply_policy_json_events(spark, d):
     return _read_back(out, EVENT_JSON_SCHEMA)
 
 
+CONVERSATION_JSON_SCHEMA = "id STRING, role STRING, text STRING, turn STRING"
+
+
+@register("apply_policy_json_conversations", f"""
+SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, {q_hash('role')} AS role,
+       {q_mask_format('text', 'X' * 20)} AS text, {q_label(q_low32('turn'), [0, 2, 4, 8])} AS turn,
+       'id,role,text,turn' AS out_keys
+FROM conversations""")
+def apply_policy_json_conversations(spark, d):
+    """Whole turn texts inside JSON records: escaping, masking and hashing of long text."""
+    out = apply_policy_json(inputs.conversation_json(spark, d), P.CONVERSATION_JSON)
+    return _read_back(out, CONVERSATION_JSON_SCHEMA)
+
+
 KEEP_ALL_SCHEMA = "id STRING, user_id BIGINT, event_type STRING, value DOUBLE, day STRING, props STRING"
 
 

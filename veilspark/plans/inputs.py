@@ -60,3 +60,11 @@ def event_json_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id"), F.col("event_type"), F.col("value")))
     broken = F.substring(doc, 1, F.length(doc) - 1)
     return e.select(F.when(F.col("event_type") == "error", broken).otherwise(doc).alias("value"))
+
+
+def conversation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON object per conversation turn; the whole turn text is a member."""
+    c = table(spark, sf_dir, "conversations", heavy=True)
+    doc = F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
+                   "role", "text", F.col("turn"))
+    return c.select(F.to_json(doc).alias("value"))

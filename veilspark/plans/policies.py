@@ -70,3 +70,5 @@ CONVERSATIONS = _p(plain("turn", "integer"), pii("role", "mask", maskFormat="X**
                   pii("text_masked", "mask", maskFormat="XXXXXXXXXX"))
 PAGES = _p(pii("url", "mask", maskFormat="XXXXXXXX"), pii("html", "redact"), pii("html_hash", "hash"))
 DOCUMENTS_RANDOM = _p(pii("text", "randomize"))
+CONVERSATION_JSON = _p(pii("role", "hash"), pii("text", "mask", maskFormat="X" * 20),
+                      pii("turn", "generalize", "integer", ranges=[0, 2, 4, 8]))
