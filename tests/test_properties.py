@@ -75,3 +75,48 @@ def test_typed_columns_match_model(spark, rules_, rows):
     for k, row in enumerate(rows):
         for n in policy.field_names():
             assert out[k][n] == protect_value(row[cols[n]], policy.rule(n)), (n, row, policy.rule(n))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
+@given(pols=st.lists(policies, min_size=1, max_size=3),
+       records=st.lists(st.tuples(st.integers(0, 40), docs), min_size=1, max_size=40))
+def test_asof_json_matches_model(spark, pols, records):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from veilspark.operators.versions import PolicyVersion, protect_json_asof
+
+    starts = [dt.datetime(2024, 1, 1) + dt.timedelta(days=10 * i) for i in range(len(pols))]
+    versions = [PolicyVersion(s, p) for s, p in zip(starts, pols)]
+    rows = [(i, (dt.datetime(2023, 12, 25) + dt.timedelta(days=d)).isoformat(sep=" "), json.dumps(r, ensure_ascii=False))
+            for i, (d, r) in enumerate(records)]
+    df = spark.createDataFrame(rows, "pos int, ts string, value string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = {r.pos: (r.policy_version, json.loads(r.value) if r.value is not None else None)
+           for r in protect_json_asof(df, versions, F.col("ts"), keep=["pos"]).collect()}
+    for i, (d, rec) in enumerate(records):
+        when = dt.datetime(2023, 12, 25) + dt.timedelta(days=d)
+        idx = sum(1 for s in starts if when >= s)
+        want = protect_record(rec, pols[idx - 1]) if idx else None
+        assert got[i] == (idx, want), (rec, idx)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
+@given(records=st.lists(docs, min_size=1, max_size=40))
+def test_keep_all_matches_model(spark, records):
+    from model import id_text, passthrough
+
+    from veilspark.operators.protect import keep_all_json
+
+    texts = [json.dumps(r, ensure_ascii=False) for r in records]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = sorted((r.value for r in keep_all_json(df).collect()))
+    want = []
+    for r in records:
+        if "id" in r:
+            out = {"id": id_text(r["id"])}
+            out.update({k: passthrough(r[k]) for k in sorted(r) if k != "id"})
+            want.append(out)
+    parsed = [json.loads(g) for g in got]
+    assert sorted(parsed, key=repr) == sorted(want, key=repr)
+    assert all(list(p)[0] == "id" and list(p)[1:] == sorted(list(p)[1:]) for p in parsed)

@@ -211,10 +211,12 @@ def keep_all_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = parse_records(df, value_col)
     m = F.try_variant_get(F.col("__v"), "$", "map<string,variant>")
     fields = F.map_filter(m, lambda k, _: k != F.lit("id"))
+    # members as their original text, for objects and arrays (original key order)
+    raw_members = F.from_json(F.col("__raw"), "map<string,string>")
 
-    def norm(_k, fv):
+    def norm(k, fv):
         kind = V.variant_kind(fv)
-        return V.variant_passthrough(fv, kind)
+        return V.variant_passthrough(fv, kind, V.variant_text(fv, kind, F.element_at(raw_members, k)))
 
     fields = F.transform_values(fields, norm)
     idmap = F.create_map(F.lit("id"), F.col("__id").cast("variant"))
