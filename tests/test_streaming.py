@@ -184,3 +184,18 @@ def test_example_policy_through_cli(spark, tmp_dir, capsys):
     rows = [r for rs in outputs(f"{tmp_dir}/out").values() for r in rs]
     assert len(rows) == 150 and all(set(r) == {"id", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"} for r in rows)
     assert all(r["c_name"].startswith("Customer#") and r["c_name"][9:13] == "****" for r in rows)
+
+
+def test_cli_table_job(spark, tmp_dir, capsys):
+    from conftest import ROOT, SF_SMALL
+    from veilspark.streaming.cli import main
+
+    policy = {"fields": [{"name": "c_name", "isPII": True, "piiOperation": "hash"},
+                         {"name": "c_acctbal", "type": "double", "isPII": True, "piiOperation": "generalize",
+                          "ranges": [0, 5000]}]}
+    write(f"{tmp_dir}/p.json", json.dumps(policy))
+    assert main([f"schema-path={tmp_dir}/p.json", f"input-table={SF_SMALL}/customer.parquet",
+                 f"output-table={tmp_dir}/out", "id-column=c_custkey", "partition-by=c_mktsegment"]) == 0
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert sorted(out.columns) == ["c_acctbal", "c_custkey", "c_mktsegment", "c_name"] and out.count() == 150
+    assert out.where("c_acctbal NOT IN ('<0', '0-5000', '5000+')").count() == 0

@@ -20,6 +20,8 @@ Keys (same names as the original tool's job settings where one exists):
 ``execution.mode``                  ``streaming`` (default) or ``batch`` (process what is there, then stop)
 ``job-id``, ``metrics-name``        run metrics identity
 ``table-path``                      enrichment job instead: upsert protected records into this daily table
+``input-table``, ``output-table``   table job instead: protect the typed columns of a parquet table
+``id-column``, ``partition-by``     table job: the id column (kept as is) and output partition columns
 ``key``, ``event-time-field``,      enrichment: record key (``id``), event-time field and its format
 ``event-time-format``
 ==================================  ==============================================
@@ -33,6 +35,8 @@ from __future__ import annotations
 import json
 import sys
 
+from veilspark.operators.protect import apply_policy
+from veilspark.policy import check, load_policy
 from veilspark.session import checkpoint_dir, get_session
 from veilspark.sources.files import read_json_text_stream
 from veilspark.sources.kafka import DEFAULT_GROUP, DEFAULT_SERVERS, read_kafka
@@ -103,6 +107,20 @@ def run_enrich(spark, config: dict[str, str]) -> int:
     return 0
 
 
+def run_table(spark, config: dict[str, str]) -> int:
+    """The table job: typed columns of a parquet table protected into another table."""
+    policy = check(load_policy(config["schema-path"], spark), config.get("schema.strict", "false").lower() == "true")
+    parts = [c for c in config.get("partition-by", "").split(",") if c]
+    df = spark.read.parquet(config["input-table"])
+    out = apply_policy(df, policy, id_col=config.get("id-column", "id"), keep=parts)
+    w = out.write.mode("overwrite")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(config["output-table"])
+    print(json.dumps({"status": "SUCCESS", "output": config["output-table"], "columns": out.columns}))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     config, ignored = parse_config(sys.argv[1:] if argv is None else argv)
     for a in ignored:
@@ -110,6 +128,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if "table-path" in config:
         return run_enrich(spark, config)
+    if "input-table" in config:
+        if "output-table" not in config:
+            raise ValueError("output-table is required")
+        return run_table(spark, config)
     job, source, ckpt, trigger = build(spark, config)
     summary = job.run(source, ckpt, trigger)
     print(json.dumps({"job_id": summary.job_id, "status": summary.status, "error": summary.error,
