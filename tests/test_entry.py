@@ -15,9 +15,26 @@ def test_entry_runs(spark):
     assert df.columns == ["value"] and df.count() > 0
 
 
-def test_every_oracle_has_a_query():
-    assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(E.queries()) >= 25
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
+    assert len(E.queries()) >= 30
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    env = {**os.environ, "BENCH_SF_DIR": SF_SMALL, "BENCH_QUERIES": "mask_default,redact", "BENCH_REPEAT": "1",
+           "BENCH_CPUS": "2", "BENCH_DRIVER_MEMORY": "2g"}
+    out = subprocess.run([sys.executable, f"{ROOT}/bench.py"], env=env, capture_output=True, text=True, timeout=600)
+    lines = [l for l in out.stdout.splitlines() if l.strip()]
+    assert out.returncode == 0 and len(lines) == 1
+    b = json.loads(lines[0])
+    assert b["unit"] == "sec" and set(b["queries"]) == {"mask_default", "redact"} and b["sf"] == 0.001
 
 
 @pytest.fixture(scope="module")
