@@ -44,7 +44,12 @@ def test_merge_into_moves_keys_between_days(spark, tmp_dir):
                                  (3, "2024-01-01 00:00:00", "old", "new")],
                                 "k int, ts string, v string, extra string") \
         .withColumn("ts", F.col("ts").cast("timestamp"))
-    lake.merge_into(spark, path, lake.add_time_columns(upd, "ts").drop(lake.PROCESSING_TS), "k", "ts")
+    emptied = lake.merge_into(spark, path, lake.add_time_columns(upd, "ts").drop(lake.PROCESSING_TS), "k", "ts")
+    assert emptied == []  # 2024-01-01 keeps key 2; key 3's update is older, so 2024-01-02 keeps key 3
+    import glob
+    from veilspark.session import checkpoint_dir
+    assert glob.glob(f"{checkpoint_dir(spark)}/merge-*/*.parquet") == [] and \
+        glob.glob(f"{checkpoint_dir(spark)}/merge-*/*/*.parquet") == []
     got = {r.k: (r.v, str(r.event_date_prt), r.extra) for r in lake.read_table(spark, path).collect()}
     assert got == {1: ("a2", "2024-01-03", "new"), 2: ("b", "2024-01-01", None), 3: ("c", "2024-01-02", None),
                    4: ("d", "2024-01-03", "new")}
@@ -74,3 +79,19 @@ def test_json_asof_versions(spark):
     got = sorted(((r.policy_version, r.reason, json.loads(r.value) if r.value else None) for r in rows), key=repr)
     assert got == sorted([(0, "no_policy", None), (1, None, {"id": "2", "s": "a**d", "n": 5}),
                           (2, None, {"id": "3", "s": "[REDACTED]"}), (2, "parse_error", None)], key=repr)
+
+
+def test_merge_removes_a_day_left_empty(spark, tmp_dir):
+    import os
+
+    path = f"{tmp_dir}/table"
+    base = spark.createDataFrame([(1, "2024-01-01 01:00:00", "a"), (2, "2024-01-02 02:00:00", "b")],
+                                 "k int, ts string, v string").withColumn("ts", F.col("ts").cast("timestamp"))
+    lake.write_daily(lake.add_time_columns(base, "ts").drop(lake.PROCESSING_TS), path)
+    upd = spark.createDataFrame([(1, "2024-01-02 05:00:00", "a2")], "k int, ts string, v string") \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    emptied = lake.merge_into(spark, path, lake.add_time_columns(upd, "ts").drop(lake.PROCESSING_TS), "k", "ts")
+    assert [str(d) for d in emptied] == ["2024-01-01"]
+    assert not os.path.exists(f"{path}/{lake.PARTITION_COL}=2024-01-01")
+    got = {r.k: (r.v, str(r.event_date_prt)) for r in lake.read_table(spark, path).collect()}
+    assert got == {1: ("a2", "2024-01-02"), 2: ("b", "2024-01-02")}

@@ -91,7 +91,7 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str
                order: list[str] | str, keys_can_move: bool = True) -> DataFrame:
     """Latest-wins upsert of ``updates`` (which must carry ``event_date_prt``)
     into the daily table at ``path``; rewrites the touched days only and
-    returns the staged rows that were written.
+    returns the days that were left without rows (and removed).
 
     The touched days are broadcast to the scan of the table (dynamic partition
     pruning), so only those days are read for the merge.  Finding the days
@@ -119,15 +119,16 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str
                .collect()]
     write_daily(staged, path, mode="overwrite")
     if emptied:
-        _delete_partitions(spark, path, emptied)
-    return staged
+        _delete_paths(spark, [f"{path.rstrip('/')}/{PARTITION_COL}={d}" for d in emptied])
+    _delete_paths(spark, [staging])  # the merge's own staging table, once the table is written
+    return emptied
 
 
-def _delete_partitions(spark: SparkSession, path: str, days: list) -> None:
+def _delete_paths(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in days:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COL}={d}")
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
 
 
