@@ -199,3 +199,24 @@ def test_cli_table_job(spark, tmp_dir, capsys):
     out = spark.read.parquet(f"{tmp_dir}/out")
     assert sorted(out.columns) == ["c_acctbal", "c_custkey", "c_mktsegment", "c_name"] and out.count() == 150
     assert out.where("c_acctbal NOT IN ('<0', '0-5000', '5000+')").count() == 0
+
+
+def test_compiled_policy_reuse_keeps_randomness_fresh(spark, tmp_dir):
+    from veilspark.streaming.job import CompiledPolicy
+
+    p1 = Policy.from_dict({"fields": [{"name": "s", "isPII": True, "piiOperation": "randomize"}]})
+    p2 = Policy.from_dict({"fields": [{"name": "s", "isPII": True}]})
+    cp = CompiledPolicy()
+    c1 = cp.get(p1)
+    assert cp.get(p1) is c1 and cp.get(p2) is not c1
+    pol = f"{tmp_dir}/p.json"
+    write(pol, json.dumps({"fields": [{"name": "s", "isPII": True, "piiOperation": "randomize"}]}))
+    os.makedirs(f"{tmp_dir}/in")
+    doc = '{"id":"a","s":"' + "x" * 40 + '"}'
+    write(f"{tmp_dir}/in/1.json", doc + "\n")
+    job = ProtectStream(spark, PolicyMonitor(spark, pol), f"{tmp_dir}/out")
+    src = read_json_text_stream(spark, f"{tmp_dir}/in", max_files_per_trigger=1)
+    write(f"{tmp_dir}/in/2.json", doc + "\n")
+    job.run(src, f"{tmp_dir}/ck")
+    outs = outputs(f"{tmp_dir}/out")
+    assert sorted(outs) == [0, 1] and outs[0][0]["s"] != outs[1][0]["s"]

@@ -143,12 +143,13 @@ def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep:
     fvs = [F.col(f"__f{i}") for i in range(len(names))]
     st2a = st1.select(*head, *[c for i, fv in enumerate(fvs)
                                for c in (fv, F.schema_of_variant(fv).alias(f"__s{i}"))])
+    # kind and text are fixed per field: one SQL expression each builds fast for wide policies
     st2 = st2a.select(*head, *[c for i, fv in enumerate(fvs)
-                               for c in (fv, V.variant_kind(fv, F.col(f"__s{i}")).alias(f"__k{i}"))])
+                               for c in (fv, F.expr(V.kind_sql(f"`__f{i}`", f"`__s{i}`")).alias(f"__k{i}"))])
     texts = []
     for i, (n, fv) in enumerate(zip(names, fvs)):
-        k = F.col(f"__k{i}")
-        texts += [fv, k, V.variant_text(fv, k, V.raw_member_text(F.col("__raw"), n)).alias(f"__t{i}")]
+        texts += [fv, F.col(f"__k{i}"),
+                  F.expr(V.text_sql(f"`__f{i}`", f"`__k{i}`", "`__raw`", n)).alias(f"__t{i}")]
     return st2.select(*head, *texts)
 
 
@@ -171,14 +172,17 @@ def seed_for(policies: list[Policy], seed_col: Column | None) -> Column | None:
 
 def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, keep: list[str] | None = None,
                  seed_col: Column | None = None, hash_key: str | None = None,
-                 output_col: str = "value", with_raw: bool = False) -> DataFrame:
+                 output_col: str = "value", with_raw: bool = False, compiled: Column | None = None) -> DataFrame:
     """All records with the protected JSON in ``output_col`` (NULL for rejected
     records) and ``reason`` (NULL for good records); ``with_raw`` also carries
-    the input text as ``raw``."""
+    the input text as ``raw``.  ``compiled`` is a reusable
+    ``json_output(policy, policy.field_names(), hash_key)`` built earlier for
+    the same policy (a stream reuses it across micro-batches)."""
     keep = list(keep or [])
     names = policy.field_names()
     st = json_stages(df, names, value_col, keep, seed_for([policy], seed_col))
-    out = F.when(F.col("__reason").isNull(), json_output(policy, names, hash_key))
+    body = compiled if compiled is not None else json_output(policy, names, hash_key)
+    out = F.when(F.col("__reason").isNull(), body)
     raw = [F.col("__raw").alias("raw")] if with_raw else []
     return st.select(*[_c(c) for c in keep], out.alias(output_col), F.col("__reason").alias("reason"), *raw)
 

@@ -134,6 +134,34 @@ def variant_kind(fv: Column, schema: Column | None = None) -> Column:
     )
 
 
+def kind_sql(fv: str, schema: str) -> str:
+    """:func:`variant_kind` as one SQL expression over named columns (one call
+    to build, which matters for policies with hundreds of fields)."""
+    return (f"CASE WHEN {fv} IS NULL THEN {ABSENT} WHEN {schema} = 'VOID' THEN {NULL} "
+            f"WHEN {schema} = 'STRING' THEN {TEXT} WHEN {schema} = 'BIGINT' THEN {INTEGER} "
+            f"WHEN {schema} = 'BOOLEAN' THEN {BOOLEAN} WHEN {schema} = 'DOUBLE' THEN {DOUBLE} "
+            f"WHEN startswith({schema}, 'DECIMAL') AND endswith({schema}, ',0)') AND "
+            f"abs(try_variant_get({fv}, '$', 'decimal(38,0)')) >= CAST('{_TWO_POW_63}' AS DECIMAL(38,0)) "
+            f"THEN {BIG_INTEGER} WHEN startswith({schema}, 'DECIMAL') THEN {DOUBLE} ELSE {CONTAINER} END")
+
+
+def text_sql(fv: str, kind: str, raw: str | None = None, name: str | None = None) -> str:
+    """:func:`variant_text` as one SQL expression over named columns; with
+    ``raw`` and ``name``, containers take their text from the raw record."""
+    container = f"to_json({fv})"
+    if raw is not None and name is not None and "'" not in name:
+        path = "$['" + name + "']"
+        container = f"get_json_object({raw}, {_sql_str(path)})"
+    return (f"CASE WHEN {kind} IN ({TEXT}, {INTEGER}, {BOOLEAN}, {BIG_INTEGER}) THEN try_variant_get({fv}, '$', 'string') "
+            f"WHEN {kind} = {DOUBLE} THEN CAST(try_variant_get({fv}, '$', 'double') AS STRING) "
+            f"WHEN {kind} = {CONTAINER} THEN {container} END")
+
+
+def _sql_str(text: str) -> str:
+    """A SQL string literal for any text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def variant_text(fv: Column, kind: Column, container_text: Column | None = None) -> Column:
     """Text form of a VARIANT value given its kind (NULL for absent / null).
 

@@ -29,6 +29,9 @@ def get_session(master: str | None = None, app: str = "veilspark", conf: dict |
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # PySpark records the Python call site of every column operation for
+        # error messages; that makes building wide policies several times slower
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **REQUIRED_CONF,
         **(conf or {}),
     }

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.operators.drift import undeclared_fields
-from veilspark.operators.protect import protect_json
+from veilspark.operators.protect import json_output, protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
 from veilspark.streaming.metrics import FAILED, SUCCESS, RunMetrics, count_columns, metrics_frame
@@ -65,6 +65,22 @@ def protect_batch(df: DataFrame, policy: Policy, value_col: str = "value", **kw)
     return protect_json(df, policy, value_col, with_raw=True, **kw)
 
 
+class CompiledPolicy:
+    """The output expression of the current policy, rebuilt only when the
+    policy changes (column expressions refer to columns by name, so one
+    expression serves every micro-batch; the random seed is not part of it)."""
+
+    def __init__(self):
+        self._digest: str | None = None
+        self._column = None
+
+    def get(self, policy: Policy):
+        if policy.digest != self._digest:
+            self._column = json_output(policy, policy.field_names())
+            self._digest = policy.digest
+        return self._column
+
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -111,6 +127,7 @@ class ProtectStream:
                 raise ValueError("an output path or a sink is required")
             self.sink = file_sink(self.output_path)
         self.metrics: list[RunMetrics] = []
+        self._compiled = CompiledPolicy()
         self.summary = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name) \
             .add_business_metric("schema_monitoring_enabled", True)
 
@@ -125,7 +142,7 @@ class ProtectStream:
         started = time.time()
         obs = Observation(f"veilspark_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
         undeclared = F.size(F.coalesce(undeclared_fields(F.col("raw"), policy), F.array().cast("array<string>")))
-        res = protect_batch(batch, policy, self.value_col).observe(
+        res = protect_batch(batch, policy, self.value_col, compiled=self._compiled.get(policy)).observe(
             obs, *count_columns("reason"), F.count_if(undeclared > 0).alias("records_with_undeclared"))
         if self.quarantine_path:
             res = res.persist()
