@@ -54,10 +54,15 @@ def validate_fields(df: DataFrame, policy: Policy, value_col: str = "value",
     parsed = parse_records(df, value_col, keep).where(F.col("__reason").isNull())
     v = F.col("__v")
     names = list(rules)
+    carried = [F.col(f"`{c}`") for c in keep] + [F.col("__id").alias("id"), F.col("__raw").alias(value_col)]
+    fields = parsed.select(*carried, *[V.variant_field(v, n).alias(f"__f{i}") for i, n in enumerate(names)])
+    carried = [F.col(f"`{c}`") for c in keep] + [F.col("id"), F.col(f"`{value_col}`")]
+    schemas = fields.select(*carried, *[c for i in range(len(names))
+                                        for c in (F.col(f"__f{i}"), F.schema_of_variant(f"__f{i}").alias(f"__s{i}"))])
     # the id is not a field of the record: its rule always sees "absent"
-    kinds = parsed.select(*[F.col(f"`{c}`") for c in keep], F.col("__id").alias("id"), F.col("__raw").alias(value_col),
-                          *[(F.lit(V.ABSENT) if n == "id" else V.variant_kind(V.variant_field(v, n))).alias(f"__k{i}")
-                            for i, n in enumerate(names)])
+    kinds = schemas.select(*carried, *[
+        (F.lit(V.ABSENT) if n == "id" else F.expr(V.kind_sql(f"`__f{i}`", f"`__s{i}`"))).alias(f"__k{i}")
+        for i, n in enumerate(names)])
     pairs: list[Column] = []
     for i, n in enumerate(names):
         pairs += [F.lit(n), _valid(F.col(f"__k{i}"), rules[n])]
