@@ -157,19 +157,26 @@ def record_field_types(df: DataFrame, value_col: str = "value") -> dict[str, str
 
 def records_to_columns(df: DataFrame, types: dict[str, str], value_col: str = "value") -> DataFrame:
     """JSON records as typed columns (one parse); text columns hold strings as
-    they are and other values as compact JSON text."""
+    they are and other values as compact JSON text (objects in their original
+    key order)."""
     from veilspark.operators import values as V
 
-    parsed = df.select(F.explode(F.array(F.try_parse_json(F.col(f"`{value_col}`")))).alias("__v"))
+    names = list(types)
+    parsed = df.select(F.col(f"`{value_col}`").alias("__raw"),
+                       F.explode(F.array(F.try_parse_json(F.col(f"`{value_col}`")))).alias("__v"))
     parsed = parsed.where(F.col("__v").isNotNull())
+    fields = parsed.select("__raw", *[V.variant_field(F.col("__v"), n).alias(f"__f{i}") for i, n in enumerate(names)])
+    text_fields = [i for i, n in enumerate(names) if types[n] == "string"]
+    schemas = fields.select("__raw", *[F.col(f"__f{i}") for i in range(len(names))],
+                            *[F.schema_of_variant(f"__f{i}").alias(f"__s{i}") for i in text_fields])
     cols = []
-    for name, t in types.items():
-        fv = V.variant_field(F.col("__v"), name)
-        if t == "string":
-            cols.append(V.variant_text(fv, V.variant_kind(fv)).alias(name))
+    for i, n in enumerate(names):
+        if types[n] == "string":
+            kind = V.kind_sql(f"`__f{i}`", f"`__s{i}`")
+            cols.append(F.expr(V.text_sql(f"`__f{i}`", f"({kind})", "`__raw`", n)).alias(n))
         else:
-            cols.append(F.try_variant_get(fv, "$", t).alias(name))
-    return parsed.select(*cols)
+            cols.append(F.try_variant_get(F.col(f"__f{i}"), "$", types[n]).alias(n))
+    return schemas.select(*cols)
 
 
 def align_to_table(df: DataFrame, table_schema) -> DataFrame:
