@@ -38,6 +38,7 @@ def test_enrich_stream_upserts_and_evolves(spark, tmp_dir):
     job.start(read_json_text_stream(spark, inp), ck, {"availableNow": True}).awaitTermination()
     got = {r.id: (r.v, r.tier, str(r.event_date_prt)) for r in lake.read_table(spark, table).collect()}
     assert got == {"u1": (10, "gold", "2024-01-02"), "u2": (2, None, "2024-01-01"), "u3": (3, None, "2024-01-02")}
+    assert [m.record_counts for m in job.metrics] == [{"records_in": 2, "records_applied": 2}] * 2
 
 
 def test_cli_runs_the_protect_then_enrich_jobs(spark, tmp_dir, capsys):

@@ -9,12 +9,14 @@ days are rewritten (see :func:`veilspark.operators.lake.merge_into`).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.operators import lake
+from veilspark.streaming.metrics import SUCCESS, RunMetrics
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
@@ -51,19 +53,36 @@ class EnrichStream:
     event_time_format: str | None = None
     value_col: str = "value"
 
+    def __post_init__(self):
+        self.metrics: list[RunMetrics] = []
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        started = time.time()
         batch = batch.persist()
         try:
             rows = enrich_frame(batch, self.value_col, self.event_time_field, self.event_time_format)
+            # the updates feed several branches of the merge plan, so the counts
+            # are one aggregation over the persisted batch rather than observed
+            counts = rows.agg(F.count(F.lit(1)).alias("records_in"),
+                              F.count_if(F.col(f"`{self.key}`").isNotNull()).alias("records_applied")).first()
             rows = rows.where(F.col(f"`{self.key}`").isNotNull())
+            emptied: list = []
             if not _table_exists(self.spark, self.table_path):
                 lake.write_daily(lake.latest_per_key(rows, self.key, list(self.order)), self.table_path)
             else:
                 existing = lake.read_table(self.spark, self.table_path)
-                lake.merge_into(self.spark, self.table_path, lake.align_to_table(rows, existing.schema),
-                                self.key, list(self.order))
+                emptied = lake.merge_into(self.spark, self.table_path, lake.align_to_table(rows, existing.schema),
+                                          self.key, list(self.order))
         finally:
             batch.unpersist()
+        self.metrics.append(
+            RunMetrics.start("veilspark.streaming.enrich.EnrichStream", "Enrich Job")
+            .add_record_count("records_in", counts["records_in"])
+            .add_record_count("records_applied", counts["records_applied"])
+            .add_timing("batch_ms", int((time.time() - started) * 1000))
+            .add_job_metric("batch_id", batch_id)
+            .add_job_metric("emptied_days", [str(d) for d in emptied])
+            .with_status(SUCCESS).with_end_time())
 
     def start(self, source: DataFrame, checkpoint: str, trigger: dict | None = None):
         w = source.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
