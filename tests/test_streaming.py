@@ -48,13 +48,15 @@ def test_stream_reload_restart_and_quarantine(spark, tmp_dir):
     changed["fields"][1]["isPII"] = False
     write(pol, json.dumps(changed))
     write(f"{inp}/b.json", E3 + "\n")
-    job2 = ProtectStream(spark, mon, out, quarantine_path=bad)
+    job2 = ProtectStream(spark, mon, out, quarantine_path=bad, drift_path=f"{tmp_dir}/drift")
     q = job2.start(read_json_text_stream(spark, inp), ck, {"availableNow": True})
     q.awaitTermination()
     second = outputs(out)
     assert sorted(second) == [0, 1]
     assert second[1][0]["id"] == "user456" and second[1][0]["firstName"] == "Jane"
     assert job2.metrics[-1].record_counts["records_with_undeclared"] == 1  # loyaltyLevel
+    drift_rows = spark.read.parquet(f"{tmp_dir}/drift").collect()
+    assert [(r.field, r.n_records, r.batch) for r in drift_rows] == [("loyaltyLevel", 1, 1)]
     assert mon.reloads == 1
 
     # a broken policy file keeps the last good version; an empty restart runs no batch

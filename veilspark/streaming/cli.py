@@ -13,6 +13,7 @@ Keys (same names as the original tool's job settings where one exists):
 ``bootstrap-servers``, ``group-id`` queue connection (``localhost:9092``, ``pii-processor``)
 ``quarantine-path``                 folder for rejected records (optional)
 ``metrics-path``                    folder for per-batch metrics rows (optional)
+``drift-path``                      folder for per-batch undeclared-field counts (optional)
 ``schema.refresh.interval.seconds`` policy re-read interval, default 60
 ``schema.strict``                   ``true``: refuse policies with lint errors
 ``checkpoint.dir``                  streaming checkpoint; default: ``spark.checkpoint.dir``/``<job-id>``
@@ -72,7 +73,7 @@ def build(spark, config: dict[str, str]) -> tuple[ProtectStream, object, str, di
     job = ProtectStream(spark, monitor, output_path=config.get("output-path"),
                         quarantine_path=config.get("quarantine-path"),
                         name=config.get("metrics-name", "Stream Job"), sink=sink,
-                        metrics_path=config.get("metrics-path"))
+                        metrics_path=config.get("metrics-path"), drift_path=config.get("drift-path"))
     if "job-id" in config:
         job.summary = RunMetrics.start(type(job).__module__ + ".ProtectStream", job.name, job_id=config["job-id"])
     source = _source(spark, config)

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.operators.drift import undeclared_fields
+from veilspark.operators.drift import drift_report, undeclared_fields
 from veilspark.operators.protect import json_output, protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
@@ -110,7 +110,8 @@ class ProtectStream:
     ``quarantine_path`` (JSON lines with the raw text and the reason).
     ``metrics_path`` keeps one metrics row per micro-batch (counts, timing,
     policy digest) under ``batch_id=<id>``, overwritten when a batch is
-    replayed."""
+    replayed; ``drift_path`` keeps the undeclared fields of each batch with
+    their record counts the same way."""
 
     spark: SparkSession
     monitor: PolicyMonitor
@@ -120,6 +121,7 @@ class ProtectStream:
     name: str = "Stream Job"
     sink: Sink | None = None
     metrics_path: str | None = None
+    drift_path: str | None = None
 
     def __post_init__(self):
         if self.sink is None:
@@ -144,16 +146,19 @@ class ProtectStream:
         undeclared = F.size(F.coalesce(undeclared_fields(F.col("raw"), policy), F.array().cast("array<string>")))
         res = protect_batch(batch, policy, self.value_col, compiled=self._compiled.get(policy)).observe(
             obs, *count_columns("reason"), F.count_if(undeclared > 0).alias("records_with_undeclared"))
-        if self.quarantine_path:
+        shared = bool(self.quarantine_path or self.drift_path)  # read by more than one output
+        if shared:
             res = res.persist()
         try:
             self.sink(res.where(F.col("reason").isNull()).select("value"), batch_id)
             if self.quarantine_path:
                 bad = res.where(F.col("reason").isNotNull()).select(F.col("raw").alias("value"), "reason")
                 write_batch(bad, self.quarantine_path, batch_id, fmt="json")
+            if self.drift_path:
+                write_batch(drift_report(res, policy, "raw"), self.drift_path, batch_id, fmt="parquet")
             counts = obs.get
         finally:
-            if self.quarantine_path:
+            if shared:
                 res.unpersist()
         m = (RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.summary.job_id)
              .add_record_count("records_in", counts["records_in"])
