@@ -222,3 +222,21 @@ def test_compiled_policy_reuse_keeps_randomness_fresh(spark, tmp_dir):
     job.run(src, f"{tmp_dir}/ck")
     outs = outputs(f"{tmp_dir}/out")
     assert sorted(outs) == [0, 1] and outs[0][0]["s"] != outs[1][0]["s"]
+
+
+def test_typed_policy_on_a_streaming_frame(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from veilspark.operators.protect import apply_policy
+
+    spark.read.parquet(f"{SF_SMALL}/customer.parquet").write.parquet(f"{tmp_dir}/in")
+    schema = spark.read.parquet(f"{tmp_dir}/in").schema
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in")
+    pol = Policy.from_dict({"fields": [{"name": "c_name", "isPII": True, "maskFormat": "XXXX"},
+                                       {"name": "c_nationkey", "isPII": True, "piiOperation": "generalize",
+                                        "type": "integer", "ranges": [0, 10, 20]}]})
+    q = (apply_policy(stream, pol, id_col="c_custkey").writeStream.format("memory").queryName("protected_customers")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("SELECT * FROM protected_customers").collect()
+    assert len(rows) == 150 and all(r.c_name.startswith("Cust") and set(r.c_name[4:]) == {"*"} for r in rows)
+    assert {r.c_nationkey for r in rows} <= {"0-10", "10-20", "20+"}
