@@ -79,3 +79,20 @@ def test_merge_prunes_days_and_rebalances(spark, tmp_dir):
     assert "dynamicpruning" in executed(cur)
     logical = lake.rebalance_days(upd)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in logical
+
+
+def test_inventory_without_broadcast_above_the_bound(spark, monkeypatch):
+    from veilspark.operators import drift
+    from veilspark.plans import inputs
+
+    events = inputs.event_json(spark, SF_SMALL)
+    want = sorted(tuple(r) for r in drift.field_inventory(events, P.EVENT_JSON).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(drift, "MAX_BROADCAST_RULES", 0)
+        df = drift.field_inventory(events, P.EVENT_JSON)
+        p = executed(df)
+        assert "BroadcastHashJoin" not in p and ("SortMergeJoin" in p or "ShuffledHashJoin" in p)
+        assert sorted(tuple(r) for r in df.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
