@@ -240,3 +240,11 @@ def test_typed_policy_on_a_streaming_frame(spark, tmp_dir):
     rows = spark.sql("SELECT * FROM protected_customers").collect()
     assert len(rows) == 150 and all(r.c_name.startswith("Cust") and set(r.c_name[4:]) == {"*"} for r in rows)
     assert {r.c_nationkey for r in rows} <= {"0-10", "10-20", "20+"}
+
+
+def test_cli_usage_errors(capsys):
+    from veilspark.streaming.cli import main
+
+    assert main([]) == 2 and "schema-path is required" in capsys.readouterr().err
+    assert main(["schema-path=p.json", "input-path=x"]) == 2 and "output-topic or output-path" in capsys.readouterr().err
+    assert main(["schema-path=p.json", "input-table=x"]) == 2 and "output-table" in capsys.readouterr().err

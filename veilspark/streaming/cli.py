@@ -122,16 +122,28 @@ def run_table(spark, config: dict[str, str]) -> int:
     return 0
 
 
+def _usage_error(message: str) -> int:
+    print(f"error: {message}\n{__doc__}", file=sys.stderr)
+    return 2
+
+
 def main(argv: list[str] | None = None) -> int:
     config, ignored = parse_config(sys.argv[1:] if argv is None else argv)
     for a in ignored:
         print(f"ignored argument without '=': {a}", file=sys.stderr)
+    if "table-path" not in config and "schema-path" not in config:
+        return _usage_error("schema-path is required (or table-path for the enrichment job)")
+    if "input-table" in config and "output-table" not in config:
+        return _usage_error("output-table is required")
+    if "input-table" not in config and "table-path" not in config:
+        if "output-topic" not in config and "output-path" not in config:
+            return _usage_error("output-topic or output-path is required")
+        if "input-topic" not in config and "input-path" not in config:
+            return _usage_error("input-topic or input-path is required")
     spark = get_session()
     if "table-path" in config:
         return run_enrich(spark, config)
     if "input-table" in config:
-        if "output-table" not in config:
-            raise ValueError("output-table is required")
         return run_table(spark, config)
     job, source, ckpt, trigger = build(spark, config)
     summary = job.run(source, ckpt, trigger)
