@@ -130,3 +130,23 @@ def test_column_names_with_dots_and_spaces(spark):
             {"name": "n.1", "isPII": True, "piiOperation": "generalize", "type": "integer", "ranges": [0, 10]})
     r = apply_policy(df, p).first()
     assert r["a.b"] == "a**d" and len(r["c d"]) == 3 and r["n.1"] == "0-10"
+
+
+def test_typed_and_json_paths_agree(spark):
+    import json
+
+    from veilspark.operators.protect import apply_policy_json
+
+    p = pol({"name": "c_name", "isPII": True, "maskFormat": "XX*X"},
+            {"name": "c_mktsegment", "isPII": True, "piiOperation": "hash"},
+            {"name": "c_nationkey", "isPII": True, "piiOperation": "generalize", "type": "integer", "ranges": [5, 15]},
+            {"name": "c_acctbal", "isPII": True, "piiOperation": "generalize", "type": "double", "ranges": [0, 3000]})
+    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    typed = {r.c_custkey: r.asDict() for r in apply_policy(c, p, id_col="c_custkey").collect()}
+    docs = c.select(F.to_json(F.struct(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment", "c_nationkey",
+                                       "c_acctbal")).alias("value"))
+    for r in apply_policy_json(docs, p).collect():
+        j = json.loads(r.value)
+        t = typed[int(j["id"])]
+        assert {k: j[k] for k in ("c_name", "c_mktsegment", "c_nationkey", "c_acctbal")} == \
+            {k: t[k] for k in ("c_name", "c_mktsegment", "c_nationkey", "c_acctbal")}
