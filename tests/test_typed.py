@@ -150,3 +150,15 @@ def test_typed_and_json_paths_agree(spark):
         t = typed[int(j["id"])]
         assert {k: j[k] for k in ("c_name", "c_mktsegment", "c_nationkey", "c_acctbal")} == \
             {k: t[k] for k in ("c_name", "c_mktsegment", "c_nationkey", "c_acctbal")}
+
+
+def test_randomize_int_at_the_32_bit_edges(spark):
+    imin, imax = -(2**31), 2**31 - 1
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([imax, imin, imin + 1] * 50)], "id int, n int")
+    p = pol({"name": "n", "isPII": True, "piiOperation": "randomize", "type": "integer"})
+    src = {r.id: r.n for r in df.collect()}
+    for r in apply_policy(df, p).collect():
+        x = src[r.id]
+        v = 1 if x == imin else max(1, int(abs(x) * 0.2))
+        # the result is x - v + k for some k in [0, 2v), wrapped to 32 bits as the JVM does
+        assert (r.n - (x - v)) % 2**32 < 2 * v
