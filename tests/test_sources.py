@@ -17,3 +17,14 @@ def test_batch_write_is_idempotent(spark, tmp_dir):
         write_batch(df, tmp_dir, 7)
     lines = sorted(l.strip() for f in glob.glob(f"{tmp_dir}/batch=7/part-*") for l in open(f))
     assert lines == ["a", "b"]
+
+
+def test_kafka_without_connector_says_so(spark):
+    import pytest
+
+    from veilspark.sources.kafka import kafka_available, read_kafka
+
+    if kafka_available(spark):
+        pytest.skip("connector present")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_kafka(spark, "events")

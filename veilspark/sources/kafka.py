@@ -35,9 +35,19 @@ def _reader_options(topic: str, servers: str, group_id: str | None, starting_off
     return opts
 
 
+CONNECTOR_MISSING = ("the Kafka connector is not on the classpath; add the spark-sql-kafka-0-10 package "
+                     "matching this Spark version (spark.jars.packages)")
+
+
+def require_kafka(spark: SparkSession) -> None:
+    if not kafka_available(spark):
+        raise RuntimeError(CONNECTOR_MISSING)
+
+
 def read_kafka(spark: SparkSession, topic: str, servers: str = DEFAULT_SERVERS, group_id: str | None = None,
                starting_offsets: str = "earliest", options: dict | None = None, stream: bool = True) -> DataFrame:
     """Message values of ``topic`` as a ``value`` text column (stream or batch)."""
+    require_kafka(spark)
     r = spark.readStream if stream else spark.read
     r = r.format("kafka")
     for k, v in _reader_options(topic, servers, group_id, starting_offsets, options).items():
@@ -54,6 +64,7 @@ def kafka_sink_options(topic: str, servers: str = DEFAULT_SERVERS, options: dict
 
 def write_kafka_batch(df: DataFrame, topic: str, servers: str = DEFAULT_SERVERS, options: dict | None = None) -> None:
     """Write the ``value`` column of a (micro-)batch to ``topic``."""
+    require_kafka(df.sparkSession)
     w = df.select("value").write.format("kafka")
     for k, v in kafka_sink_options(topic, servers, options).items():
         w = w.option(k, v)
