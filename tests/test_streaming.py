@@ -248,3 +248,14 @@ def test_cli_usage_errors(capsys):
     assert main([]) == 2 and "schema-path is required" in capsys.readouterr().err
     assert main(["schema-path=p.json", "input-path=x"]) == 2 and "output-topic or output-path" in capsys.readouterr().err
     assert main(["schema-path=p.json", "input-table=x"]) == 2 and "output-table" in capsys.readouterr().err
+
+
+def test_console_sink_prints_the_batch(spark, tmp_dir, capfd):
+    from veilspark.streaming.job import console_sink
+
+    write(f"{tmp_dir}/p.json", json.dumps(PROFILE_POLICY))
+    os.makedirs(f"{tmp_dir}/in")
+    write(f"{tmp_dir}/in/a.json", E2 + "\n")
+    job = ProtectStream(spark, PolicyMonitor(spark, f"{tmp_dir}/p.json"), sink=console_sink())
+    summary = job.run(read_json_text_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/ck")
+    assert summary.record_counts["records_out"] == 1 and "J***" in capfd.readouterr().out
