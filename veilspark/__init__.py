@@ -12,9 +12,11 @@ from veilspark.operators.validate import validate_fields, validation_summary
 from veilspark.operators.versions import PolicyVersion, apply_policy_asof, protect_json_asof
 from veilspark.policy import Policy, Rule, check, lint, load_policy
 from veilspark.session import get_session
+from veilspark.streaming.enrich import EnrichStream
+from veilspark.streaming.job import PolicyMonitor, ProtectStream
 
 __all__ = [
-    "Policy", "PolicyVersion", "Rule", "add_time_columns", "apply_policy", "apply_policy_asof", "apply_policy_json",
+    "EnrichStream", "Policy", "PolicyMonitor", "PolicyVersion", "ProtectStream", "Rule", "add_time_columns", "apply_policy", "apply_policy_asof", "apply_policy_json",
     "check", "drift_report", "evolve_union", "field_inventory", "get_session", "keep_all_json", "lint", "load_policy",
     "merge_into", "protect_json", "protect_json_asof", "split_rejected", "table_type_profile", "type_profile",
     "upsert_latest", "validate_fields", "validation_summary", "write_daily",
