@@ -30,6 +30,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Texts are long: batches of this size keep a Python worker's memory small.
+# Each setting with Spark's default and the value used in its place.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+              "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(4 << 20))}
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with batches of bounded bytes, unless the session sets its own sizes."""
+    conf = df.sparkSession.conf
+    for key, (default, value) in BATCH_CONF.items():
+        if conf.get(key, default) == default:
+            conf.set(key, value)
+    return df.mapInArrow(fn, schema)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

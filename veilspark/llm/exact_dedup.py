@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilspark.llm.common import SPACES, text_or_empty
+from veilspark.llm.common import SPACES, map_arrow, text_or_empty
 
-MEMORY_BYTES = 96 << 20  # of distinct text held by one table
+MEMORY_BYTES = 64 << 20  # of distinct text held by one table
 FANOUT_BITS = 4          # spill files per level: 2 ** FANOUT_BITS
 BATCH_BYTES = 8 << 20    # of text per batch handed back to Spark
 
-_HEAD = struct.Struct("<32sqqqqqI")
+_HEAD = "<32sqqqqqI"  # key, no_id, id, row, n, ties, length of the text that follows
 NO_ID = -(1 << 63)  # stands for "no id" inside spill records; has_id tells it from a real id
 
 
@@ -90,7 +90,7 @@ def grace_groups(records: Iterator[tuple], memory_bytes: int = MEMORY_BYTES, lev
 
         def spill(key, text, best, n, ties):
             digit = (int.from_bytes(key[:8], "little") >> (level * FANOUT_BITS)) & (fan - 1)
-            files[digit].write(_HEAD.pack(key, *best, n, ties, len(text)) + text)
+            files[digit].write(struct.pack(_HEAD, key, *best, n, ties, len(text)) + text)
 
         for e in table.entries:
             spill(*e)
@@ -108,8 +108,8 @@ def grace_groups(records: Iterator[tuple], memory_bytes: int = MEMORY_BYTES, lev
 
 def _read_spill(path: str) -> Iterator[tuple]:
     with open(path, "rb") as f:
-        while head := f.read(_HEAD.size):
-            key, no_id, i, row, n, ties, size = _HEAD.unpack(head)
+        while head := f.read(struct.calcsize(_HEAD)):
+            key, no_id, i, row, n, ties, size = struct.unpack(_HEAD, head)
             yield key, f.read(size), (no_id, i, row), n, ties
 
 
@@ -166,9 +166,9 @@ def text_classes(docs: DataFrame, memory_bytes: int = MEMORY_BYTES) -> DataFrame
         F.col("__key").alias("key"), F.col("__body").cast("binary").alias("body"), F.col("__no_id").alias("no_id"),
         F.col("__id").alias("id"), F.col("__row").alias("row"),
         F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("ties"))
-    local = records.mapInArrow(_groups_of_task(memory_bytes, True), _GROUP_SCHEMA)
+    local = map_arrow(records, _groups_of_task(memory_bytes, True), _GROUP_SCHEMA)
     bare = T.StructType([f for f in _GROUP_SCHEMA if f.name != "body"])
-    return local.repartition("key").mapInArrow(_groups_of_task(memory_bytes, False), bare)
+    return map_arrow(local.repartition("key"), _groups_of_task(memory_bytes, False), bare)
 
 
 def exact_groups(docs: DataFrame, memory_bytes: int = MEMORY_BYTES) -> DataFrame:
