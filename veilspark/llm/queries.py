@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import exact_dedup, mixing, sharding
+from veilspark.llm import exact_dedup, mixing, near_dedup, sharding
 from veilspark.llm.common import table
 
 SHARDS = 24
@@ -19,6 +19,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -30,7 +34,7 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op6_shard)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_near_dedup, op4_mix_sources, op6_shard)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
