@@ -6,10 +6,11 @@ SQL can express the result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import exact_dedup, mixing, near_dedup, sharding
+from veilspark.llm import bpe, exact_dedup, mixing, near_dedup, sharding
 from veilspark.llm.common import table
 
 SHARDS = 24
@@ -34,7 +35,12 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_near_dedup, op4_mix_sources, op6_shard)}
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.token_digests(bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_near_dedup, op4_mix_sources, op6_shard, op8_bpe)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
