@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, exact_dedup, mixing, near_dedup, sharding
+from veilspark.llm import bpe, exact_dedup, lattice, mixing, near_dedup, sharding
 from veilspark.llm.common import table
 
 SHARDS = 24
@@ -29,6 +29,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_rows(docs, SHARDS).select(
@@ -40,7 +44,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_near_dedup, op4_mix_sources, op6_shard, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_near_dedup, op4_mix_sources, op5_lm_score, op6_shard, op8_bpe)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
