@@ -10,12 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, exact_dedup, lattice, mixing, near_dedup, sharding
+from veilspark.llm import bpe, exact_dedup, lattice, mixing, near_dedup, sharding, toxicity
 from veilspark.llm.common import table
 
 SHARDS = 24
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -44,7 +49,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_near_dedup, op4_mix_sources, op5_lm_score, op6_shard, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_near_dedup, op4_mix_sources, op5_lm_score, op6_shard, op8_bpe)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
