@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, exact_dedup, lattice, mixing, near_dedup, sharding, toxicity
+from veilspark.llm import bpe, exact_dedup, lattice, mixing, near_dedup, permutation_index, quality, sanitise, sharding, toxicity
 from veilspark.llm.common import table
 
 SHARDS = 24
@@ -44,12 +44,28 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return permutation_index.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.token_digests(bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_near_dedup, op4_mix_sources, op5_lm_score, op6_shard, op8_bpe)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model, ["doc_id"])
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.span_digests(sanitise.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_near_dedup, op4_mix_sources, op5_lm_score, op6_shard, op7_nearest, op8_bpe,
+                                  op9_quality, op10_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
