@@ -1,0 +1,51 @@
+"""Small fixtures and brute-force versions."""
+
+import pandas as pd
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, shard string, score string, comp string, id string"
+CLASH = ("x",) * 6
+
+
+def docs(spark, rows):
+    """Documents of ``(id, text)`` or ``(id, text, source)`` with extra columns whose names the operators use too."""
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", 0, *CLASH) for r in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def documents(sf=SF):
+    return pd.read_parquet(f"{sf}/documents.parquet")
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def shingles(text, k):
+    w = words(text)
+    return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def components(pairs, nodes):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def near_components(rows, k, percent=80):
+    sets = [(i, shingles(t, k)) for i, t in rows]
+    pairs = [(a, b) for x, (a, s) in enumerate(sets) for b, t in sets[:x]
+             if s and t and min(len(s), len(t)) * 100 >= max(len(s), len(t)) * percent and 100 * len(s & t) >= percent * len(s | t)]
+    return components(pairs, [i for i, _ in sets])
+
+
+def rows_of(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

@@ -1,0 +1,169 @@
+import base64
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+from math import log2
+
+import public_tokenizers
+import tiktoken
+
+from tests.llm.helpers import docs, documents, rows_of
+from veilspark.llm import bpe, sanitise
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def reference_encoder():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def strange_texts():
+    rng = random.Random(1)
+    out = ["", "a" * 3000, " " * 2000 + "x", "ab" * 700, "x'll 'S don't", "<|endoftext|>", "1" * 1000, "é" * 300, "\n \n a  b\t c \n", "a \n b"]
+    out += ["".join(rng.choice("abé \n'sT1!🙂  ") for _ in range(rng.randrange(1, 4000))) for _ in range(30)]
+    for c in [*range(0, 0x500), *range(0x2000, 0x2100), *range(0x3000, 0x3100), *range(0x1F600, 0x1F640)]:
+        out.append(f"a{chr(c)}b{chr(c)}{chr(c)}1 {chr(c)} z")
+    return out
+
+
+def test_bpe_matches_the_public_library(spark):
+    enc = reference_encoder()
+    texts = strange_texts() + documents().text.tolist()
+    got = bpe.bpe_encode(docs(spark, list(enumerate(texts))), PATH, public_tokenizers.PATTERN)
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == len(texts)
+    for i, t in enumerate(texts):
+        assert list(rows[i]["ids"]) == enc.encode_ordinary(t) and bytes(rows[i]["decoded"]) == t.encode()
+    back = bpe.bpe_decode(got.select("doc_id", "ids"), PATH, public_tokenizers.PATTERN)
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in back.collect()} == {i: t.encode() for i, t in enumerate(texts)}
+
+
+def test_bpe_bounded_memory(monkeypatch):
+    """Forgetting words, small steps and the heap for long words change nothing."""
+    enc = reference_encoder()
+    texts = documents().text.tolist()[:60] + ["ab" * 100 + "c", "xyz" * 50]
+    monkeypatch.setattr(bpe, "LONG_WORD", 12)
+    monkeypatch.setattr(bpe, "STEP_WORDS", 37)
+    e = bpe.TaskEncoder(open(PATH, "rb").read(), public_tokenizers.PATTERN, task_words=50)
+    for s in range(0, len(texts), 7):
+        part = texts[s:s + 7]
+        got = e.encode(part)
+        ids = dict(zip(got.column("doc").to_pylist(), got.column("ids").to_pylist()))
+        assert [ids.get(i, []) for i in range(len(part))] == [enc.encode_ordinary(t) for t in part]
+
+
+def test_bpe_digests_and_odd_rows(spark):
+    enc = reference_encoder()
+    rows = [(1, None), (2, ""), (None, "Hello  world"), (3, "Hello  world"), (3, "Hello  world"), (4, "long " * 100_000)]
+    got = bpe.token_digests(bpe.bpe_encode(docs(spark, rows), PATH, public_tokenizers.PATTERN))
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = []
+    for i, t in rows:
+        ids = enc.encode_ordinary(t or "")
+        want.append((i, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode())))
+    assert rows_of(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
+    assert bpe.bpe_encode(docs(spark, []), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def valid(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in m.split("."))
+    if kind == "card":
+        s = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d)))
+        return 16 <= len(d) <= 19 and s % 10 == 0
+    return kind == "email" or 8 <= len(d) <= 15
+
+
+def brute_spans(text):
+    return {k: [(m.start(), m.end()) for m in re.finditer(p, text) if valid(k, m.group())] for k, p in PLAIN.items()}
+
+
+def pii_texts():
+    rng = random.Random(7)
+    out = ["", "x@a.b_c@d.e..f@g.h", "1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.0004 1.2.3", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+           "+1 (386) 555-3733, +49 30 1234567890123456, +1 2", "🙂 a@b.c 🙂 10.0.0.1", "@" * 2000, "a" * 20_000 + "@", "1" * 20_000, "1." * 5000, "a@b" + ".c" * 5000]
+    for _ in range(300):
+        out.append("".join(rng.choice(["a", "B", "1", "2", "5", "25", "9", ".", "@", "-", " ", "+", "(", ")", "_", "%", "é", "🙂", "4111111111111111"]) for _ in range(rng.randrange(1, 80))))
+    return out
+
+
+def test_base_spans_match_plain_patterns(spark):
+    texts = pii_texts() + documents("/root/testdata/sf0.01").text.tolist()
+    got = sanitise.base_spans(docs(spark, list(enumerate(texts)))).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = brute_spans(texts[r["doc_id"]])
+        assert {k: [(s["start"], s["end"]) for s in r[k]] for k in PLAIN} == want
+        assert r["body"] == (texts[r["doc_id"]] if any(want.values()) else None)
+
+
+def corpus():
+    rng = random.Random(11)
+    filler = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    text = lambda: " ".join(rng.choice(filler) for _ in range(30))
+    rows = [text() for _ in range(200)]
+    rows += [f"{text()} Zanzibar joe@mail.com {text()}", f"{text()} joe@mail.com zanzibar {text()} Zanzibar", f"{text()} +1 555 123 4567 {text()}"]
+    rows += [f"{text()} once 10.0.0.1 {text()} onlyhere"] * 3  # copies of one text are no support
+    return list(enumerate(rows))
+
+
+def test_disclosing_terms_match_brute_force(spark):
+    rows = corpus()
+    d = docs(spark, rows)
+    got = {(r["entity"], r["term"]): r["share"] for r in sanitise.disclosing_terms(d, sanitise.base_spans(d), generalise=0.2).collect()}
+    near, texts, n_e, n_t = Counter(), defaultdict(set), Counter(), Counter()
+    for i, t in rows:
+        n_t.update(set(re.findall(r"[^\W\d_]{4,}", t.lower())))
+        found = {k: [t[a:b] for a, b in v] for k, v in brute_spans(t).items()}
+        for k, values in found.items():
+            for v in set(values):
+                e = f"{k}:{v.lower() if k == 'email' else v if k == 'ip' else re.sub('[^0-9]', '', v)}"
+                n_e[e] += 1
+                at = t.index(v)
+                a = max(0, at - sanitise.WINDOW)
+                before = t[a:at] if a == 0 else re.sub(r"^[^\W\d_]+", "", t[a:at])
+                after = t[at + len(v):at + len(v) + sanitise.WINDOW]
+                after = re.sub(r"[^\W\d_]+$", "", after) if len(after) == sanitise.WINDOW else after
+                for w in set(re.findall(r"[^\W\d_]{4,}", (before + " " + after).lower())):
+                    near[(e, w)] += 1
+                    texts[(e, w)].add(t)
+    want = {}
+    for (e, w), c in near.items():
+        if len(texts[(e, w)]) >= 2:
+            share = log2(len(rows) * c / (n_t[w] * n_e[e])) / log2(len(rows) / n_e[e])
+            if share >= 0.2:
+                want[(e, w)] = share
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert got[("email:joe@mail.com", "zanzibar")] > 0.99
+
+
+def test_spans_and_sanitised_texts(spark):
+    rows = corpus()
+    d = docs(spark, rows)
+    got = {r["doc_id"]: r for r in sanitise.span_digests(sanitise.find_spans(d)).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        base = ",".join(f"{k}:{a}:{b}" for k, v in brute_spans(t).items() for a, b in v)
+        terms = [f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)zanzibar", t)]
+        assert got[i]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        assert got[i]["spans"] == ",".join(filter(None, [base, *terms]))
+    clean = {r["doc_id"]: r["body"] for r in sanitise.sanitise(d).collect()}
+    for i, t in rows:
+        want = re.sub("(?i)zanzibar", "", t) if "joe@" in t else t
+        want = want.replace("joe@mail.com", "[EMAIL]").replace("+1 555 123 4567", "[PHONE]").replace("10.0.0.1", "[IP]")
+        assert clean[i] == (want if want != t else None)
+
+
+def test_pii_odd_rows(spark):
+    rows = [(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "a@b.c"), (4, "word " * 60_000 + "a@b.c")]
+    got = sanitise.span_digests(sanitise.find_spans(docs(spark, rows))).collect()
+    assert sorted((str(r["doc_id"]), r["n_email"], r["spans"]) for r in got) == sorted([
+        ("1", 0, ""), ("2", 0, ""), ("None", 1, "email:0:5"), ("3", 1, "email:0:5"), ("3", 1, "email:0:5"), ("4", 1, "email:300000:300005")])
+    assert sanitise.find_spans(docs(spark, [])).collect() == [] and sanitise.sanitise(docs(spark, [])).collect() == []

@@ -5,6 +5,7 @@ from __future__ import annotations
 LOWER = bytes(range(65, 91))
 LETTERS = bytes([*range(65, 91), *range(97, 123)])
 DIGITS = b"0123456789"
+HIGH = bytes(range(128, 256))  # of non-ASCII letters and signs
 PUNCTUATION = bytes(c for c in range(33, 127) if c not in LETTERS and c not in DIGITS)
 
 #: lower case, everything that is not a letter becomes a space; bytes of non-ASCII letters stay

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from veilspark.llm.boosting import BoostedTrees, Isotonic
 from veilspark.llm.common import id_bucket, map_arrow, saved, text_or_empty
-from veilspark.llm.textstats import DIGITS, LETTERS, LOWER, PLAIN, PUNCTUATION, REVEALED, SEPARATORS, count_of
+from veilspark.llm.textstats import DIGITS, HIGH, LETTERS, LOWER, PLAIN, PUNCTUATION, REVEALED, SEPARATORS, count_of
 
 SAMPLE_ROWS = 20_000  # labelled rows that the classifier is fitted on, at most
 LEXICON_TERMS = 400
@@ -71,7 +71,10 @@ def features(text: bytes, lexicon: Lexicon) -> list[float]:
         near = sum(1 for i in hits if not SECOND_PERSON.isdisjoint(words[max(0, i - NEAR):i + NEAR + 1]))
     hidden = 0
     if len(words) != n or count_of(text, DIGITS + PUNCTUATION):
-        hidden = max(0, sum(map(lexicon.holds, text.translate(REVEALED, SEPARATORS).split())) - len(hits))
+        for w in raw:
+            # signs at the ends are punctuation; what is left inside may stand for letters
+            if not w.isalpha() and (core := w.strip(PUNCTUATION)) and core.translate(None, LETTERS + HIGH):
+                hidden += lexicon.holds(core.translate(REVEALED, SEPARATORS))
     letters, size = count_of(text, LETTERS) or 1, len(text) or 1
     upper = count_of(text, LOWER)
     capital_words = sum(map(bytes.isupper, raw)) if upper * 4 > letters else 0
