@@ -19,6 +19,7 @@ def spark():
     s = get_session("local[4]", app="veilspark-tests", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.checkpoint.dir": ckpt,
+        "spark.driver.memory": "6g",
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -15,11 +15,11 @@ INT32_MIN = -(2**31)
 INT32_MAX = 2**31 - 1
 
 # Strict decimal integer text: optional sign, ASCII digits, nothing else.
-INT_TEXT_PATTERN = r"^[+-]?[0-9]+$"
+INT_TEXT_PATTERN = r"^[+-]?[0-9]+\z"
 # Decimal floating-point text accepted by the JVM parser (leading/trailing
 # blanks, optional exponent, optional d/f suffix) plus NaN and Infinity.
 DOUBLE_TEXT_PATTERN = (
-    r"^\s*[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?))\s*$"
+    r"^\s*[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?))\s*\z"
 )
 
 

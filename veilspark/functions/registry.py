@@ -60,12 +60,14 @@ def _generalize(v, r: Rule) -> Column:
 
 
 def _randomize(v, r: Rule) -> Column:
+    # every field draws from its own stream: its name is part of the seed
+    seed = F.xxhash64(v.seed, F.lit(v.name))
     if r.type == "string":
-        return v.out(random_alnum(F.length(v.text), v.seed))
+        return v.out(random_alnum(F.length(v.text), seed))
     if r.type in ("integer", "int"):
-        return v.out(randomize_int32(v.int32, uniform(v.seed, 1)))
+        return v.out(randomize_int32(v.int32, uniform(seed, 1)))
     if r.type in ("double", "float"):
-        return v.out(randomize_double(v.dbl, uniform(v.seed, 2)))
+        return v.out(randomize_double(v.dbl, uniform(seed, 2)))
     return v.passthrough
 
 

@@ -53,7 +53,7 @@ def json_fields(df: DataFrame, value_col: str = "value", include_id: bool = Fals
 
     Text that is not a JSON object yields no rows.  A repeated key counts
     once, with its last value (the parse keeps the last one)."""
-    m = F.try_variant_get(F.try_parse_json(F.col(value_col)), "$", "map<string,variant>")
+    m = F.try_variant_get(V.parse_json_text(F.col(value_col)), "$", "map<string,variant>")
     ex = df.select(F.explode(m).alias("field", "fv"))
     return ex if include_id else ex.where(F.col("field") != "id")
 
@@ -61,7 +61,8 @@ def json_fields(df: DataFrame, value_col: str = "value", include_id: bool = Fals
 def type_profile(df: DataFrame, value_col: str = "value", include_id: bool = False) -> DataFrame:
     """``(field, sql_type, n_values)`` over all records."""
     ex = json_fields(df, value_col, include_id)
-    kinded = ex.select("field", "fv", V.variant_kind(F.col("fv")).alias("kind"))
+    named = ex.select("field", "fv", F.schema_of_variant("fv").alias("s"))
+    kinded = named.select("field", "fv", V.variant_kind(F.col("fv"), F.col("s")).alias("kind"))
     typed = kinded.select("field", sql_type_of(F.col("fv"), F.col("kind")).alias("sql_type"))
     return typed.groupBy("field", "sql_type").agg(F.count(F.lit(1)).alias("n_values"))
 

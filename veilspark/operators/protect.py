@@ -28,12 +28,9 @@ from veilspark.operators import values as V
 from veilspark.policy import Policy, Rule
 
 REASON_PARSE = "parse_error"
-REASON_TOO_LARGE = "too_large"
+REASON_TOO_DEEP = "too_deep"
+REASON_LONG_NUMBER = "long_number"
 REASON_MISSING_ID = "missing_id"
-# The JSON reader refuses a single string value longer than 20,000,000
-# characters; a record that fails to parse and is at least that long is
-# reported as too large rather than malformed.
-MAX_STRING_CHARS = 20_000_000
 
 
 def _c(name: str) -> Column:
@@ -113,14 +110,17 @@ def parse_records(df: DataFrame, value_col: str = "value", keep: list[str] | Non
     """
     keep = list(keep or [])
     parsed = df.select(*[_c(c) for c in keep], _c(value_col).alias("__raw"),
-                       F.explode(F.array(F.try_parse_json(_c(value_col)))).alias("__v"))
+                       F.explode(F.array(V.parse_json_text(_c(value_col)))).alias("__v"))
     idv = V.variant_field(F.col("__v"), "id")
-    too_large = F.octet_length(F.col("__raw")) > MAX_STRING_CHARS
-    reason = (F.when(F.col("__v").isNull() & too_large, F.lit(REASON_TOO_LARGE))
+    with_id = parsed.select("*", idv.alias("__idv"), F.schema_of_variant(idv).alias("__ids"))
+    # a record that can't be parsed and opens more brackets than may be nested
+    brackets = F.length("__raw") - F.length(F.translate("__raw", "[{", ""))
+    reason = (F.when(F.col("__v").isNull() & (brackets > V.MAX_DEPTH), F.lit(REASON_TOO_DEEP))
+              .when(F.col("__v").isNull() & F.col("__raw").rlike("[0-9]{%d}" % (V.MAX_DIGITS + 1)), F.lit(REASON_LONG_NUMBER))
               .when(F.col("__v").isNull(), F.lit(REASON_PARSE))
-              .when(idv.isNull(), F.lit(REASON_MISSING_ID)))
-    return parsed.select(*[_c(c) for c in keep], "__raw", "__v", V.id_text(idv).alias("__id"),
-                         reason.alias("__reason"))
+              .when(F.col("__idv").isNull(), F.lit(REASON_MISSING_ID)))
+    return with_id.select(*[_c(c) for c in keep], "__raw", "__v", V.id_text(F.col("__idv"), "__raw").alias("__id"),
+                          reason.alias("__reason"))
 
 
 def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep: list[str] | None = None,
@@ -144,8 +144,8 @@ def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep:
     st2a = st1.select(*head, *[c for i, fv in enumerate(fvs)
                                for c in (fv, F.schema_of_variant(fv).alias(f"__s{i}"))])
     # kind and text are fixed per field: one SQL expression each builds fast for wide policies
-    st2 = st2a.select(*head, *[c for i, fv in enumerate(fvs)
-                               for c in (fv, F.expr(V.kind_sql(f"`__f{i}`", f"`__s{i}`")).alias(f"__k{i}"))])
+    st2 = st2a.select(*head, *[c for i, (n, fv) in enumerate(zip(names, fvs))
+                               for c in (fv, F.expr(V.kind_sql(f"`__f{i}`", f"`__s{i}`", "`__raw`", n)).alias(f"__k{i}"))])
     texts = []
     for i, (n, fv) in enumerate(zip(names, fvs)):
         texts += [fv, F.col(f"__k{i}"),
@@ -214,15 +214,18 @@ def keep_all_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     tool's order is that of a hash map, i.e. unspecified)."""
     parsed = parse_records(df, value_col)
     m = F.try_variant_get(F.col("__v"), "$", "map<string,variant>")
-    fields = F.map_filter(m, lambda k, _: k != F.lit("id"))
-    # members as their original text, for objects and arrays (original key order)
-    raw_members = F.from_json(F.col("__raw"), "map<string,string>")
+    keys = F.json_object_keys("__raw")
+    parsed = parsed.select("__raw", "__id", "__reason", F.map_filter(m, lambda k, _: k != F.lit("id")).alias("__m"),
+                           (F.size(keys) == F.size(F.array_distinct(keys))).alias("__single"))
 
     def norm(k, fv):
         kind = V.variant_kind(fv)
-        return V.variant_passthrough(fv, kind, V.variant_text(fv, kind, F.element_at(raw_members, k)))
+        # objects and arrays in their original key order, unless a key of the record repeats
+        plain = F.col("__single") & ~k.contains("'")
+        member = F.call_function("get_json_object", F.col("__raw"), F.concat(F.lit("$['"), k, F.lit("']")))
+        text = F.coalesce(F.when(plain, member), F.to_json(fv))
+        return V.variant_passthrough(fv, kind, V.variant_text(fv, kind, text))
 
-    fields = F.transform_values(fields, norm)
     idmap = F.create_map(F.lit("id"), F.col("__id").cast("variant"))
-    out = F.to_json(F.map_concat(idmap, fields))
+    out = F.to_json(F.map_concat(idmap, F.transform_values("__m", norm)))
     return parsed.where(F.col("__reason").isNull()).select(out.alias("value"))

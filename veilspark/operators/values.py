@@ -73,7 +73,8 @@ def typed_value(c: Column, name: str, dtype: T.DataType, seed: Column, hash_key:
         int32 = lambda: wrap_int32(c)
         dbl = lambda: c.cast("double")
     elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        text = lambda: c.cast("double").cast("string")
+        # the type's own digits: a detour over double would make distinct decimals equal
+        text = lambda: c.cast("string")
         int32 = lambda: saturate_int32(c.cast("double"))
         dbl = lambda: c.cast("double")
     elif isinstance(dtype, T.BooleanType):
@@ -116,6 +117,30 @@ def variant_field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, variant_path(name), "variant")
 
 
+# Limits of the JSON reader: strings are as long as a value can be.  A number
+# has up to MAX_DIGITS digits (the path lookup that keeps the digits of large integers
+# reads no more).  Writing a VARIANT back as text recurses per
+# level and ends the executor when the thread's stack is used up (seen at 1,000
+# nested objects), so deeper nesting than this stays a counted reason for rejection.
+MAX_DEPTH, MAX_DIGITS = 500, 1_000
+PARSE_OPTIONS = {"maxStringLen": "2147483647", "maxNumLen": str(MAX_DIGITS), "maxNestingDepth": str(MAX_DEPTH),
+                 "allowNonNumericNumbers": "false"}
+
+
+def parse_json_text(text: Column) -> Column:
+    """JSON text as VARIANT; NULL where it can't be parsed.  The last of repeated keys wins."""
+    return F.from_json(text, "variant", PARSE_OPTIONS)
+
+
+# A number as it is written, where no key of the record repeats (the path
+# lookup below would find the first of repeated keys, the parse keeps the last).
+_WHOLE = "^-?[0-9]+$"
+
+
+def _single_keys(raw: str) -> str:
+    return f"size(json_object_keys({raw})) = size(array_distinct(json_object_keys({raw})))"
+
+
 def variant_kind(fv: Column, schema: Column | None = None) -> Column:
     """Runtime kind of a VARIANT value (see the constants above).  ``schema`` is
     ``schema_of_variant(fv)`` when an earlier projection already computed it."""
@@ -134,25 +159,45 @@ def variant_kind(fv: Column, schema: Column | None = None) -> Column:
     )
 
 
-def kind_sql(fv: str, schema: str) -> str:
+def _raw_member(raw: str | None, name: str | None) -> str | None:
+    """SQL of a top-level member's text in the raw record."""
+    if raw is None or name is None or "'" in name:
+        return None
+    path = "$['" + name + "']"
+    return f"get_json_object({raw}, {_sql_str(path)})"
+
+
+def kind_sql(fv: str, schema: str, raw: str | None = None, name: str | None = None) -> str:
     """:func:`variant_kind` as one SQL expression over named columns (one call
-    to build, which matters for policies with hundreds of fields)."""
+    to build, which matters for policies with hundreds of fields).  With ``raw``
+    and ``name``, numbers beyond 64 bits are told apart by how they are
+    written: digits alone are integers of any length, others are doubles."""
+    big = f"abs(try_variant_get({fv}, '$', 'decimal(38,0)')) >= CAST('{_TWO_POW_63}' AS DECIMAL(38,0))"
+    huge = ""
+    member = _raw_member(raw, name)
+    if member:
+        whole = f"{member} RLIKE '{_WHOLE}'"
+        big += f" AND NOT ({_single_keys(raw)} AND NOT {whole})"
+        huge = (f"WHEN {schema} = 'DOUBLE' AND abs(try_variant_get({fv}, '$', 'double')) >= 1e37 AND "
+                f"{_single_keys(raw)} AND {whole} THEN {BIG_INTEGER} ")
     return (f"CASE WHEN {fv} IS NULL THEN {ABSENT} WHEN {schema} = 'VOID' THEN {NULL} "
             f"WHEN {schema} = 'STRING' THEN {TEXT} WHEN {schema} = 'BIGINT' THEN {INTEGER} "
-            f"WHEN {schema} = 'BOOLEAN' THEN {BOOLEAN} WHEN {schema} = 'DOUBLE' THEN {DOUBLE} "
-            f"WHEN startswith({schema}, 'DECIMAL') AND endswith({schema}, ',0)') AND "
-            f"abs(try_variant_get({fv}, '$', 'decimal(38,0)')) >= CAST('{_TWO_POW_63}' AS DECIMAL(38,0)) "
+            f"WHEN {schema} = 'BOOLEAN' THEN {BOOLEAN} {huge}WHEN {schema} = 'DOUBLE' THEN {DOUBLE} "
+            f"WHEN startswith({schema}, 'DECIMAL') AND endswith({schema}, ',0)') AND {big} "
             f"THEN {BIG_INTEGER} WHEN startswith({schema}, 'DECIMAL') THEN {DOUBLE} ELSE {CONTAINER} END")
 
 
 def text_sql(fv: str, kind: str, raw: str | None = None, name: str | None = None) -> str:
     """:func:`variant_text` as one SQL expression over named columns; with
-    ``raw`` and ``name``, containers take their text from the raw record."""
-    container = f"to_json({fv})"
-    if raw is not None and name is not None and "'" not in name:
-        path = "$['" + name + "']"
-        container = f"get_json_object({raw}, {_sql_str(path)})"
-    return (f"CASE WHEN {kind} IN ({TEXT}, {INTEGER}, {BOOLEAN}, {BIG_INTEGER}) THEN try_variant_get({fv}, '$', 'string') "
+    ``raw`` and ``name``, containers and integers beyond 64 bits take their text
+    from the raw record unless a key of it repeats."""
+    container, big = f"to_json({fv})", f"try_variant_get({fv}, '$', 'string')"
+    member = _raw_member(raw, name)
+    if member:
+        container = f"coalesce(CASE WHEN {_single_keys(raw)} THEN {member} END, to_json({fv}))"
+        big = f"CASE WHEN {_single_keys(raw)} AND {member} RLIKE '{_WHOLE}' THEN {member} ELSE {big} END"
+    return (f"CASE WHEN {kind} IN ({TEXT}, {INTEGER}, {BOOLEAN}) THEN try_variant_get({fv}, '$', 'string') "
+            f"WHEN {kind} = {BIG_INTEGER} THEN {big} "
             f"WHEN {kind} = {DOUBLE} THEN CAST(try_variant_get({fv}, '$', 'double') AS STRING) "
             f"WHEN {kind} = {CONTAINER} THEN {container} END")
 
@@ -167,8 +212,7 @@ def variant_text(fv: Column, kind: Column, container_text: Column | None = None)
 
     Objects and arrays become compact JSON.  A VARIANT keeps object keys
     sorted, so ``container_text`` (the member's text taken from the raw
-    record, see :func:`raw_member_text`) is used when given, to keep the
-    original key order."""
+    record) is used when given, to keep the original key order."""
     return (
         F.when(kind.isin(TEXT, INTEGER, BOOLEAN, BIG_INTEGER), F.try_variant_get(fv, "$", "string"))
         .when(kind == DOUBLE, F.try_variant_get(fv, "$", "double").cast("string"))
@@ -176,14 +220,6 @@ def variant_text(fv: Column, kind: Column, container_text: Column | None = None)
     )
 
 
-def raw_member_text(raw: Column, name: str) -> Column | None:
-    """Compact JSON text of a top-level member, keys in their original order
-    (None when the name cannot be addressed by a JSON path)."""
-    if "'" in name:
-        return None
-    return F.get_json_object(raw, f"$['{name}']")
-
-
 def variant_passthrough(fv: Column, kind: Column, text: Column | None = None) -> Column:
     """The value as the original tool writes it back: decimals become doubles,
     containers and integers beyond 64 bits become text."""
@@ -230,12 +266,14 @@ def json_value(fv: Column, kind: Column, text: Column, name: str, seed: Column,
     )
 
 
-def id_text(idv: Column) -> Column:
+def id_text(idv: Column, raw: str | None = None) -> Column:
     """The record id as text: strings and integers as written, doubles in JVM
-    form, JSON null as ``"null"``, objects and arrays as ``""``; SQL NULL when absent."""
+    form, JSON null as ``"null"``, objects and arrays as ``""``; SQL NULL when
+    absent.  ``raw`` names the column of the record's text."""
     kind = variant_kind(idv)
-    return (
-        F.when(kind == NULL, F.lit("null"))
-        .when(kind == CONTAINER, F.lit(""))
-        .otherwise(variant_text(idv, kind))
-    )
+    if raw is None:
+        text = variant_text(idv, kind)
+        return F.when(kind == NULL, F.lit("null")).when(kind == CONTAINER, F.lit("")).otherwise(text)
+    k = kind_sql("__idv", "__ids", raw, "id")
+    return F.expr(f"CASE WHEN ({k}) = {NULL} THEN 'null' WHEN ({k}) = {CONTAINER} THEN '' "
+                  f"ELSE {text_sql('__idv', f'({k})', raw, 'id')} END")

@@ -220,7 +220,7 @@ SELECT conv_id, turn, {q_mask_format('role', 'X***')} AS role, {q_hash('text')}
        {q_mask_format('text', 'XXXXXXXXXX')} AS text_masked
 FROM conversations""")
 def conversations_whole_text(spark, d):
-    c = inputs.table(spark, d, "conversations", heavy=True).withColumn("text_masked", F.col("text"))
+    c = inputs.table(spark, d, "conversations").withColumn("text_masked", F.col("text"))
     return apply_policy(c, P.CONVERSATIONS, id_col="conv_id")
 
 
@@ -228,7 +228,7 @@ def conversations_whole_text(spark, d):
 SELECT page_id, {q_mask_format('url', 'XXXXXXXX')} AS url, '[REDACTED]' AS html, {q_hash('html')} AS html_hash
 FROM pages""")
 def pages_whole_text(spark, d):
-    p = inputs.table(spark, d, "pages", heavy=True).withColumn("html_hash", F.col("html"))
+    p = inputs.table(spark, d, "pages").withColumn("html_hash", F.col("html"))
     return apply_policy(p, P.PAGES, id_col="page_id")
 
 

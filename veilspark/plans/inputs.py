@@ -10,25 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.operators.partitioning import spread
-
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
 
-# Inputs whose per-row work is heavy (JSON records, whole texts, the largest
-# table): spread over the session's cores when they arrive in fewer partitions.
-HEAVY = {"lineitem", "documents"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if (name in HEAVY if heavy is None else heavy) else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its partitions are the scan's splits (``spark.sql.files.*``)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def customer_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON object per customer; ``id`` is the customer key."""
-    c = table(spark, sf_dir, "customer", heavy=True)
+    c = table(spark, sf_dir, "customer")
     doc = F.struct(F.col("c_custkey").alias("id"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     return c.select(F.to_json(doc).alias("value"))
 
@@ -37,7 +30,7 @@ def event_json(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataF
     """One JSON object per event.  ``props`` is embedded as an object; ``value``
     is present only for purchases and ``note`` (JSON null) only for errors.
     ``with_ts`` also carries the event time as a column (a message timestamp)."""
-    e = table(spark, sf_dir, "events", heavy=True)
+    e = table(spark, sf_dir, "events")
     doc = F.struct(
         F.col("event_id").alias("id"),
         F.col("user_id"),
@@ -54,7 +47,7 @@ def event_json(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataF
 def event_json_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event JSON where error events are cut short (unparsable) and events
     with ``value < 1`` carry no id; every row is kept."""
-    e = table(spark, sf_dir, "events", heavy=True)
+    e = table(spark, sf_dir, "events")
     doc = F.to_json(F.struct(
         F.when(F.col("value") >= 1, F.col("event_id")).alias("id"),
         F.col("user_id"), F.col("event_type"), F.col("value")))
@@ -64,7 +57,7 @@ def event_json_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON object per conversation turn; the whole turn text is a member."""
-    c = table(spark, sf_dir, "conversations", heavy=True)
+    c = table(spark, sf_dir, "conversations")
     doc = F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
                    "role", "text", F.col("turn"))
     return c.select(F.to_json(doc).alias("value"))
