@@ -37,24 +37,77 @@ def test_enrich_stream_upserts_and_evolves(spark, tmp_dir):
                             {"id": "u3", "v": "3", "day": "2024-01-02 09:30:00"}])
     job.start(read_json_text_stream(spark, inp), ck, {"availableNow": True}).awaitTermination()
     got = {r.id: (r.v, r.tier, str(r.event_date_prt)) for r in lake.read_table(spark, table).collect()}
-    assert got == {"u1": (10, "gold", "2024-01-02"), "u2": (2, None, "2024-01-01"), "u3": (3, None, "2024-01-02")}
-    assert [m.record_counts for m in job.metrics] == [{"records_in": 2, "records_applied": 2}] * 2
+    assert got == {"u1": ("10", "gold", "2024-01-02"), "u2": ("2", None, "2024-01-01"), "u3": ("3", None, "2024-01-02")}
+    assert [m["counts"]["records_applied"] for m in job.metrics.rows] == [2, 2]
 
 
 def test_cli_runs_the_protect_then_enrich_jobs(spark, tmp_dir, capsys):
-    from policies import PROFILE_POLICY, E2, E3
+    from policies import M1, M2, MEMBER_POLICY
 
     from veilspark.streaming.cli import main
 
     os.makedirs(f"{tmp_dir}/in")
     with open(f"{tmp_dir}/in/a.json", "w") as fh:
-        fh.write(E2 + "\n" + E3 + "\n")
+        fh.write(M1 + "\n" + M2 + "\n")
     with open(f"{tmp_dir}/p.json", "w") as fh:
-        json.dump(PROFILE_POLICY, fh)
+        json.dump(MEMBER_POLICY, fh)
     assert main([f"schema-path={tmp_dir}/p.json", f"input-path={tmp_dir}/in", f"output-path={tmp_dir}/out",
                  f"checkpoint.dir={tmp_dir}/ck1", "execution.mode=batch"]) == 0
     assert main([f"table-path={tmp_dir}/table", f"input-path={tmp_dir}/out/batch=0", f"checkpoint.dir={tmp_dir}/ck2",
-                 "event-time-field=createdAt", "execution.mode=batch"]) == 0
+                 "event-time-field=since", "execution.mode=batch"]) == 0
     rows = {r.id: r for r in lake.read_table(spark, f"{tmp_dir}/table").collect()}
-    assert set(rows) == {"user123", "user456"} and rows["user123"].firstName == "J***"
-    assert str(rows["user456"].event_date_prt) == "2023-03-22" and rows["user123"].keyBlabla == "valBlabla"
+    assert set(rows) == {"m-7", "m-9"} and rows["m-7"].alias == "Qu*****"
+    assert str(rows["m-9"].event_date_prt) == "2022-11-30" and rows["m-7"].shelf == "B12"
+
+
+def table_after(spark, tmp_dir, batches, **kw):
+    job = EnrichStream(spark, f"{tmp_dir}/table", event_time_field="day", event_time_format="yyyy-MM-dd", **kw)
+    for i, lines in enumerate(batches):
+        job.process(spark.createDataFrame([(x if isinstance(x, str) else json.dumps(x),) for x in lines], "value string"), i)
+    return job, {r.id: r for r in lake.read_table(spark, f"{tmp_dir}/table").collect()}
+
+
+def test_rows_without_a_day_survive_a_merge(spark, tmp_dir):
+    _, rows = table_after(spark, tmp_dir, [[{"id": "a", "day": "2024-01-01"}, {"id": "b"}], [{"id": "c"}, {"id": "a", "day": "2024-01-02"}]])
+    assert {k: str(r.event_date_prt) for k, r in rows.items()} == {"a": "2024-01-02", "b": "None", "c": "None"}
+
+
+def test_changed_types_widen_without_loss(spark, tmp_dir):
+    _, rows = table_after(spark, tmp_dir, [
+        [{"id": "a", "day": "2024-01-01", "n": 1, "m": 7}], [{"id": "b", "day": "2024-01-02", "n": 2.75, "m": 8}],
+        [{"id": "c", "day": "2024-01-03", "n": 3, "m": "abc"}], [{"id": "d", "day": "2024-01-01", "n": 4, "m": 9}]])
+    assert {k: (r.n, r.m) for k, r in rows.items()} == {"a": (1.0, "7"), "b": (2.75, "8"), "c": (3.0, "abc"), "d": (4.0, "9")}
+
+
+def test_bad_records_do_not_stop_the_stream(spark, tmp_dir):
+    job, rows = table_after(spark, tmp_dir, [
+        ["{broken", "also broken"],                                             # only malformed lines
+        [{"id": "a", "day": "n/a"}, {"id": "b", "day": "2024-01-01"}, "{oops"],  # text that is no day
+        [{"id": "c", "Name": "x"}, {"id": "d", "name": "y"}, {"other": 1}],      # no day at all, names that differ in case
+    ], quarantine_path=f"{tmp_dir}/bad")
+    assert {k: str(r.event_date_prt) for k, r in rows.items()} == {"a": "None", "b": "2024-01-01", "c": "None", "d": "None"}
+    assert {rows["c"]["Name"], rows["d"]["name__2"]} == {"x", "y"}
+    assert [m["counts"]["records_rejected"] for m in job.metrics.rows] == [2, 1, 1]
+    bad = spark.read.json(f"{tmp_dir}/bad")
+    assert sorted(r.reason for r in bad.collect()) == ["missing_key", "parse_error", "parse_error", "parse_error"]
+
+
+def test_second_run_goes_on_where_the_first_ended(spark, tmp_dir, capsys):
+    """Without checkpoint.dir: only new input is read and the first output stays."""
+    import pytest
+
+    from policies import M1, M2, MEMBER_POLICY
+    from veilspark.streaming.cli import main
+
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/p.json", "w") as fh:
+        json.dump(MEMBER_POLICY, fh)
+    args = [f"schema-path={tmp_dir}/p.json", f"input-path={tmp_dir}/in", f"output-path={tmp_dir}/out", "execution.mode=batch"]
+    for name, record in (("a", M1), ("b", M2)):
+        with open(f"{tmp_dir}/in/{name}.json", "w") as fh:
+            fh.write(record + "\n")
+        assert main(args) == 0
+        assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["counts"]["records_in"] == 1
+    assert sorted(json.loads(r.value)["id"] for r in spark.read.text(f"{tmp_dir}/out").collect()) == ["m-7", "m-9"]
+    with pytest.raises(ValueError, match="another run"):
+        main([*args, f"checkpoint.dir={tmp_dir}/elsewhere"])

@@ -1,11 +1,13 @@
 """Expected outputs of FIXTURES.md §3 through the JSON record path."""
 
+import base64
+import hashlib
 import json
 
 import pytest
 
-from policies import E1, E2, E3, PIPELINE_POLICY, PROFILE_POLICY
-from veilspark.operators.protect import apply_policy_json, protect_json, split_rejected
+from policies import M1, M2, MEMBER_POLICY, P1, PARCEL_POLICY
+from veilspark.operators.protect import apply_policy_json, keep_all_json, protect_json, split_rejected
 from veilspark.policy import Policy
 
 
@@ -15,32 +17,31 @@ def run(spark, policy, docs):
             for r in protect_json(df, Policy.from_dict(policy)).collect()]
 
 
-def test_pipeline_record(spark):
-    (out,) = run(spark, PIPELINE_POLICY, [E1])
-    assert out["id"] == "user-123"
-    assert out["name"] == "Jo******t*"
-    assert out["email"] == "j" + "*" * 20 + "m"
-    assert out["ssn"] == "AaVGKe+5Uih+VU6yPvacUgl6da7MDjqTyghVq216MaA="
-    assert out["age"] == "30-50"
-    assert out["address"] == "[REDACTED]"
-    assert out["phoneNumber"] == "********4567"
-    assert isinstance(out["income"], int) and 60000 <= out["income"] <= 89999
-    assert list(out) == ["id", "name", "email", "ssn", "age", "address", "phoneNumber", "income"]
-
-
-def test_profile_records(spark):
-    e2, e3 = run(spark, PROFILE_POLICY, [E2, E3])
-    assert (e2["firstName"], e2["lastName"], e3["firstName"], e3["lastName"]) == ("J***", "S****", "J***", "D**")
-    assert e2["email"] == "john.smith.dsass@example.com"
-    assert (e2["phoneNumber"], e3["phoneNumber"]) == ("555*123***67", "555*987***43")
-    assert e2["ssn"] == e3["ssn"] == "[REDACTED]"
-    assert e2["address"] == "1" + "*" * 32 + "0" and e3["address"] == "4" + "*" * 33 + "1"
-    assert e2["dateOfBirth"] == e3["dateOfBirth"] == "<1950"
-    assert 9876.536 <= e2["accountBalance"] < 14814.804
-    assert 79012.344 <= e3["accountBalance"] < 118518.516
-    assert (e2["accountType"], e2["createdAt"], e2["isActive"]) == ("savings", "2023-01-15T14:30:45Z", True)
-    assert e2["keyBlabla"] == "valBlabla" and "keyBlabla" not in e3 and "keyBlabla2" not in e2
-    assert "loyaltyLevel" not in e3
+def test_parcel_record(spark):
+    (out,) = run(spark, PARCEL_POLICY, [P1])
+    assert out["id"] == "pcl-31"
+    assert out["sender"] == "M**s" + "*" * 7  # kept at places 1 and 4; starred beyond the format
+    assert out["contact"] == "d" + "*" * 14 + "t"
+    assert out["tag"] == base64.b64encode(hashlib.sha256(b"QX-99").digest()).decode()
+    assert out["weight"] == "5-20"
+    assert out["door"] == "[REDACTED]"
+    assert out["code"] == "K7****ZZ"
+    assert isinstance(out["worth"], int) and 200 <= out["worth"] <= 299
+    assert list(out) == ["id", "sender", "contact", "tag", "weight", "door", "code", "worth"]
+
+
+def test_member_records(spark):
+    m1, m2 = run(spark, MEMBER_POLICY, [M1, M2])
+    assert (m1["alias"], m2["alias"]) == ("Qu*****", "Ib")
+    assert (m1["branch"], m2["branch"]) == ("North Pier", "Harbour")  # a mask on a field that is not sensitive
+    assert (m1["card"], m2["card"]) == ("***44****", "***11****")
+    assert m1["phrase"] == m2["phrase"] == "[REDACTED]"
+    assert (m1["remark"], m2["remark"]) == ("p" + "*" * 18 + "s", "**")
+    assert (m1["visits"], m2["visits"]) == ("<3", "3-7")  # text that is no number counts as 0
+    assert 32.4 <= m1["fines"] < 48.6 and 1.6 <= m2["fines"] < 2.4
+    assert (m1["since"], m1["open"], m2["open"]) == ("2021-05-04T08:00:00Z", True, False)
+    assert m1["shelf"] == "B12" and "shelf" not in m2 and "locker" not in m1
+    assert "hold" not in m2
 
 
 def rule(op, type_="string", **kw):
@@ -102,13 +103,13 @@ def test_ids_and_rejects(spark):
 
 
 def test_empty_policy_keeps_only_id(spark):
-    (out,) = run(spark, {"name": "not a policy"}, [E3])
-    assert out == {"id": "user456"}
+    (out,) = run(spark, {"name": "not a policy"}, [M2])
+    assert out == {"id": "m-9"}
 
 
 def test_null_and_absent_are_kept_apart(spark):
-    (out,) = run(spark, PIPELINE_POLICY, ['{"id":"a","name":null,"age":null}'])
-    assert out == {"id": "a", "name": None, "age": None}
+    (out,) = run(spark, PARCEL_POLICY, ['{"id":"a","sender":null,"weight":null}'])
+    assert out == {"id": "a", "sender": None, "weight": None}
 
 
 def test_containers_keep_key_order(spark):
@@ -116,18 +117,45 @@ def test_containers_keep_key_order(spark):
     out = field_out(spark, pol, ['{"z":1, "b":[1, 2.50, {"y":true,"a":null}]}'])
     assert out == ['{"z":1,"b":[1,2.5,{"y":true,"a":null}]}']
     df = spark.createDataFrame([('{"id":"a","h":{"z":1,"b":2}}',)], "value string")
-    import hashlib, base64
     want = base64.b64encode(hashlib.sha256(b'{"z":1,"b":2}').digest()).decode()
     assert json.loads(apply_policy_json(df, Policy.from_dict(pol)).first().value)["h"] == want
 
 
-def test_oversized_record_is_quarantined(spark):
-    big = '{"id":"x","t":"' + "a" * 20_000_001 + '"}'
-    fine = '{"id":"y","t":"' + "a" * 17_000_000 + '"}'
-    df = spark.createDataFrame([(big,), (fine,)], "value string")
+def test_large_records_are_protected(spark):
+    """A 21-million-character string, 500 levels and 1,000 digits are protected like any other value."""
+    rows = ['{"id":"s","t":"' + "a" * 21_000_000 + '"}', '{"id":"d","t":' + "[" * 498 + "]" * 498 + "}", '{"id":"n","t":' + "7" * 1000 + "}"]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    good, bad = split_rejected(df, Policy.from_dict({"fields": [{"name": "t", "isPII": True}]}))
+    out = {r["id"]: r["t"] for r in (json.loads(x.value) for x in good.collect())}
+    assert bad.count() == 0
+    assert out["s"] == "a" + "*" * 20_999_998 + "a" and out["d"] == "[" + "*" * 994 + "]" and out["n"] == "7" + "*" * 998 + "7"
+
+
+def test_too_deep_records_are_counted(spark):
+    """The limits that are left have reasons of their own."""
+    rows = ['{"id":"d","t":' + "[" * 600 + "]" * 600 + "}", '{"id":"x","t":[1', '{"id":"y"}', '{"id":"n","t":' + "7" * 1100 + "}"]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
     good, bad = split_rejected(df, Policy.from_dict({"fields": [{"name": "t"}]}))
-    assert [json.loads(r.value)["id"] for r in good.collect()] == ["y"]
-    assert [r.reason for r in bad.collect()] == ["too_large"]
+    assert sorted(r.reason for r in bad.collect()) == ["long_number", "parse_error", "too_deep"] and good.count() == 1
+
+
+def test_numbers_as_written(spark):
+    """Digits alone are integers of any length; a fraction or exponent makes a double, whatever its size."""
+    digits = "1234567890" * 5
+    rows = ['{"id":1,"f":' + digits + "}", '{"id":2,"f":10000000000000000000.0}', '{"id":3,"f":1e45}', '{"id":4,"f":-12345678901234567890}',
+            '{"id":5,"f":7.50}', '{"id":' + digits + ',"f":1}']
+    pol = {"fields": [{"name": "f"}]}
+    out = {x["id"]: x["f"] for x in run(spark, pol, rows)}
+    assert out == {"1": digits, "2": 1e19, "3": 1e45, "4": "-12345678901234567890", "5": 7.5, digits: 1}
+
+
+def test_last_of_repeated_keys_wins(spark):
+    rows = ['{"id":"a","x":{"a":1},"x":{"b":2}}', '{"id":"b","x":1,"x":[2]}', '{"id":"c","x":99999999999999999999,"x":88888888888888888888}']
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    want = {"a": '{"b":2}', "b": "[2]", "c": "88888888888888888888"}
+    pol = Policy.from_dict({"fields": [{"name": "x"}]})
+    for out in (apply_policy_json(df, pol), keep_all_json(df)):
+        assert {x["id"]: x["x"] for x in (json.loads(r.value) for r in out.collect())} == want
 
 
 def test_keep_columns_with_dots(spark):

@@ -2,20 +2,20 @@ import json
 
 import pytest
 
-from policies import PIPELINE_POLICY, PROFILE_POLICY
+from policies import MEMBER_POLICY, PARCEL_POLICY
 from veilspark.policy import Policy, Rule, check, java_double_text, lint, load_policy, rules_frame
 
 
-def test_accessors_of_pipeline_policy():
-    p = Policy.from_dict(PIPELINE_POLICY)
+def test_accessors_of_a_policy():
+    p = Policy.from_dict(PARCEL_POLICY)
     assert len(p.rules) == 8
-    assert p.field_names() == ["name", "email", "ssn", "age", "address", "phoneNumber", "income"]
-    assert p.rule("ssn").operation == "hash"
-    assert p.rule("age").type == "integer"
-    assert p.rule("age").ranges == (0, 18, 30, 50, 65, 100)
-    assert p.rule("name").mask_format == "XX******X"
+    assert p.field_names() == ["sender", "contact", "tag", "weight", "door", "code", "worth"]
+    assert p.rule("tag").operation == "hash"
+    assert p.rule("weight").type == "integer"
+    assert p.rule("weight").ranges == (0, 2, 5, 20)
+    assert p.rule("sender").mask_format == "X**X"
     assert p.rule("id").is_pii is False
-    assert [r.name for r in p.pii_rules()] == ["name", "email", "ssn", "age", "address", "phoneNumber", "income"]
+    assert [r.name for r in p.pii_rules()] == ["sender", "contact", "tag", "weight", "door", "code", "worth"]
 
 
 def test_defaults_and_lenient_reading():
@@ -38,7 +38,7 @@ def test_defaults_and_lenient_reading():
 
 
 def test_missing_fields_array_means_no_rules():
-    p = Policy.from_dict({"id": "user456", "firstName": "Jane"})
+    p = Policy.from_dict({"id": "m-9", "alias": "Ib"})
     assert p.rules == () and not p.has_fields_array
     assert any(f.severity == "error" for f in lint(p))
     with pytest.raises(ValueError):
@@ -62,20 +62,19 @@ def test_first_rule_wins_and_lint():
 
 
 def test_digest_changes_with_content():
-    a = Policy.from_dict(PROFILE_POLICY)
-    b = Policy.from_dict({**PROFILE_POLICY, "version": "2.0"})
-    assert a.digest != b.digest and a.digest == Policy.from_dict(PROFILE_POLICY).digest
+    a = Policy.from_dict(MEMBER_POLICY)
+    b = Policy.from_dict({**MEMBER_POLICY, "version": "4"})
+    assert a.digest != b.digest and a.digest == Policy.from_dict(MEMBER_POLICY).digest
 
 
 def test_load_through_spark_and_rules_frame(spark, tmp_dir):
     path = f"{tmp_dir}/policy.json"
     with open(path, "w") as fh:
-        json.dump(PROFILE_POLICY, fh, indent=2)
+        json.dump(MEMBER_POLICY, fh, indent=2)
     p = load_policy(path, spark)
     assert p == load_policy(path)
     rows = rules_frame(spark, p).where("is_pii").select("name").collect()
-    assert [r.name for r in rows] == ["firstName", "lastName", "phoneNumber", "ssn", "address",
-                                      "dateOfBirth", "accountBalance"]
+    assert [r.name for r in rows] == ["alias", "card", "phrase", "remark", "visits", "fines"]
     with pytest.raises(FileNotFoundError):
         load_policy(f"{tmp_dir}/missing.json", spark)
 

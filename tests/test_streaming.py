@@ -2,12 +2,12 @@ import glob
 import json
 import os
 
-from policies import PROFILE_POLICY, E2, E3
+from policies import M1, M2, MEMBER_POLICY
 from veilspark.policy import Policy
 from veilspark.sources.files import read_json_text, read_json_text_stream
 from veilspark.sources.kafka import kafka_available
 from veilspark.streaming.job import PolicyMonitor, ProtectStream, run_batch
-from veilspark.streaming.metrics import RunMetrics, metrics_frame
+from veilspark.streaming.metrics import Totals, metrics_frame, run_row
 
 
 def write(path, text):
@@ -29,34 +29,33 @@ def test_stream_reload_restart_and_quarantine(spark, tmp_dir):
     inp, out, bad, ck = (f"{tmp_dir}/{n}" for n in ("in", "out", "bad", "ck"))
     os.makedirs(inp)
     pol = f"{tmp_dir}/policy.json"
-    write(pol, json.dumps(PROFILE_POLICY))
-    write(f"{inp}/a.json", E2 + "\n" + "not json\n")
+    write(pol, json.dumps(MEMBER_POLICY))
+    write(f"{inp}/a.json", M1 + "\n" + "not json\n")
     mon = PolicyMonitor(spark, pol, refresh_seconds=0)
     job = ProtectStream(spark, mon, out, quarantine_path=bad, metrics_path=f"{tmp_dir}/metrics")
     q = job.start(read_json_text_stream(spark, inp), ck, {"availableNow": True})
     q.awaitTermination()
     first = outputs(out)
     mrow = spark.read.parquet(f"{tmp_dir}/metrics").first()
-    assert mrow.batch_id == 0 and mrow.record_counts["records_rejected"] == 1
-    assert json.loads(mrow.job_metrics["policy_digest"]) == Policy.from_dict(PROFILE_POLICY).digest
-    assert list(first) == [0] and first[0][0]["firstName"] == "J***"
-    assert job.metrics[-1].record_counts == {"records_in": 2, "records_out": 1, "records_rejected": 1,
-                                             "records_with_undeclared": 0}
-
-    # edit the policy: firstName is no longer protected; a restart only sees new input
-    changed = json.loads(json.dumps(PROFILE_POLICY))
+    assert mrow.batch_id == 0 and mrow.counts["records_rejected"] == 1
+    assert json.loads(mrow.details["policy_digest"]) == Policy.from_dict(MEMBER_POLICY).digest
+    assert list(first) == [0] and first[0][0]["alias"] == "Qu*****"
+    assert job.metrics.last["counts"] == {"records_in": 2, "records_out": 1, "records_rejected": 1}
+
+    # edit the policy: alias is no longer protected; a restart only sees new input
+    changed = json.loads(json.dumps(MEMBER_POLICY))
     changed["fields"][1]["isPII"] = False
     write(pol, json.dumps(changed))
-    write(f"{inp}/b.json", E3 + "\n")
+    write(f"{inp}/b.json", M2 + "\n")
     job2 = ProtectStream(spark, mon, out, quarantine_path=bad, drift_path=f"{tmp_dir}/drift")
     q = job2.start(read_json_text_stream(spark, inp), ck, {"availableNow": True})
     q.awaitTermination()
     second = outputs(out)
     assert sorted(second) == [0, 1]
-    assert second[1][0]["id"] == "user456" and second[1][0]["firstName"] == "Jane"
-    assert job2.metrics[-1].record_counts["records_with_undeclared"] == 1  # loyaltyLevel
+    assert second[1][0]["id"] == "m-9" and second[1][0]["alias"] == "Ib"
+    assert job2.metrics.last["counts"]["records_with_undeclared"] == 1  # hold
     drift_rows = spark.read.parquet(f"{tmp_dir}/drift").collect()
-    assert [(r.field, r.n_records, r.batch) for r in drift_rows] == [("loyaltyLevel", 1, 1)]
+    assert [(r.field, r.n_records, r.batch) for r in drift_rows] == [("hold", 1, 1)]
     assert mon.reloads == 1
 
     # a broken policy file keeps the last good version; an empty restart runs no batch
@@ -65,7 +64,7 @@ def test_stream_reload_restart_and_quarantine(spark, tmp_dir):
     job3 = ProtectStream(spark, mon, out)
     q = job3.start(read_json_text_stream(spark, inp), ck, {"availableNow": True})
     q.awaitTermination()
-    assert job3.metrics == []
+    assert job3.metrics.batches == 0
     rejected = [json.loads(l) for f in glob.glob(f"{bad}/batch=*/part-*") for l in open(f) if l.strip()]
     assert rejected == [{"value": "not json", "reason": "parse_error"}]
 
@@ -74,28 +73,30 @@ def test_batch_equals_stream(spark, tmp_dir):
     inp, out_b, out_s, ck = (f"{tmp_dir}/{n}" for n in ("in", "ob", "os", "ck"))
     os.makedirs(inp)
     pol = f"{tmp_dir}/p.json"
-    det = json.loads(json.dumps(PROFILE_POLICY))
+    det = json.loads(json.dumps(MEMBER_POLICY))
     det["fields"] = [f for f in det["fields"] if f.get("piiOperation") != "randomize"]
     write(pol, json.dumps(det))
-    write(f"{inp}/a.json", E2 + "\n" + E3 + "\n")
+    write(f"{inp}/a.json", M1 + "\n" + M2 + "\n")
     run_batch(spark, read_json_text(spark, inp), Policy.from_dict(det), out_b)
     job = ProtectStream(spark, PolicyMonitor(spark, pol), out_s)
     run = job.run(read_json_text_stream(spark, inp), ck)
-    assert run.status == "SUCCESS" and run.record_counts["records_out"] == 2 and run.job_metrics["query_id"]
+    assert run["status"] == "SUCCESS" and run["counts"]["records_out"] == 2 and run["details"]["query_id"]
     batch = sorted(l for f in glob.glob(f"{out_b}/part-*") for l in open(f) if l.strip())
     stream = sorted(l for f in glob.glob(f"{out_s}/batch=*/part-*") for l in open(f) if l.strip())
     assert batch == stream and len(batch) == 2
 
 
-def test_metrics_model(spark):
-    m = RunMetrics.start("X", "Stream Job")
-    assert m.status == "RUNNING" and m.end_time is None
-    m2 = m.with_status("SUCCESS").add_record_count("in", 5).add_timing("t", 10) \
-        .add_business_metric("schema_monitoring_enabled", True).with_end_time(m.start_time + 1500)
-    assert (m2.record_counts, m2.timings, m2.duration_seconds) == ({"in": 5}, {"t": 10}, 1.5)
-    assert m.record_counts == {}
-    row = metrics_frame(spark, [m2]).first()
-    assert row.business_metrics == {"schema_monitoring_enabled": "true"} and row.status == "SUCCESS"
+def test_metrics_rows(spark):
+    import time
+
+    row = run_row("j", "Name", "id-1", time.time() - 2, {"records_in": 5}, batch_id=3)
+    assert 2 <= row["seconds"] < 10 and row["status"] == "SUCCESS" and row["error"] is None
+    got = metrics_frame(spark, [row]).first()
+    assert got.counts == {"records_in": 5} and got.details == {"batch_id": "3"} and got.job_id == "id-1"
+    t = Totals(keep=3)
+    for i in range(10):
+        t.add(run_row("j", "n", "x", time.time(), {"records_in": i}))
+    assert (t.counts, t.batches, len(t.rows), t.last["counts"]) == ({"records_in": 45}, 10, 3, {"records_in": 9})
 
 
 def test_kafka_connector_detection(spark):
@@ -107,13 +108,13 @@ def test_custom_sink_and_missing_output(spark, tmp_dir):
     from veilspark.streaming.job import console_sink
 
     pol = f"{tmp_dir}/p.json"
-    write(pol, json.dumps(PROFILE_POLICY))
+    write(pol, json.dumps(MEMBER_POLICY))
     with pytest.raises(ValueError):
         ProtectStream(spark, PolicyMonitor(spark, pol))
     seen = []
     job = ProtectStream(spark, PolicyMonitor(spark, pol), sink=lambda df, b: seen.append((b, df.count())))
     os.makedirs(f"{tmp_dir}/in")
-    write(f"{tmp_dir}/in/a.json", E2 + "\n")
+    write(f"{tmp_dir}/in/a.json", M1 + "\n")
     job.run(read_json_text_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/ck")
     assert seen == [(0, 1)] and callable(console_sink())
 
@@ -127,13 +128,13 @@ def test_cli_settings(spark, tmp_dir):
                                  "output-path=" + f"{tmp_dir}/out", "execution.mode=batch", "stray",
                                  "job-id=job-1", "schema.refresh.interval.seconds=5"])
     assert ignored == ["stray"]
-    write(f"{tmp_dir}/p.json", json.dumps(PROFILE_POLICY))
+    write(f"{tmp_dir}/p.json", json.dumps(MEMBER_POLICY))
     os.makedirs(f"{tmp_dir}/in")
-    write(f"{tmp_dir}/in/a.json", E2 + "\n" + E3 + "\n")
+    write(f"{tmp_dir}/in/a.json", M1 + "\n" + M2 + "\n")
     job, source, ckpt, trigger = build(spark, cfg)
     assert trigger == {"availableNow": True} and ckpt.endswith("/job-1") and job.monitor.refresh_seconds == 5
     summary = job.run(source, ckpt, trigger)
-    assert summary.status == "SUCCESS" and summary.record_counts["records_out"] == 2
+    assert summary["status"] == "SUCCESS" and summary["counts"]["records_out"] == 2
     assert len(outputs(f"{tmp_dir}/out")[0]) == 2
     with pytest.raises(ValueError, match="output"):
         build(spark, {"schema-path": f"{tmp_dir}/p.json", "input-path": f"{tmp_dir}/in"})
@@ -142,15 +143,14 @@ def test_cli_settings(spark, tmp_dir):
 def test_cli_main(spark, tmp_dir, capsys):
     from veilspark.streaming.cli import main
 
-    write(f"{tmp_dir}/p.json", json.dumps(PROFILE_POLICY))
+    write(f"{tmp_dir}/p.json", json.dumps(MEMBER_POLICY))
     os.makedirs(f"{tmp_dir}/in")
-    write(f"{tmp_dir}/in/a.json", E2 + "\n" + "oops\n")
+    write(f"{tmp_dir}/in/a.json", M1 + "\n" + "oops\n")
     code = main([f"schema-path={tmp_dir}/p.json", f"input-path={tmp_dir}/in", f"output-path={tmp_dir}/out",
                  f"quarantine-path={tmp_dir}/bad", f"checkpoint.dir={tmp_dir}/ck", "execution.mode=batch"])
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and summary["status"] == "SUCCESS"
-    assert summary["record_counts"] == {"records_in": 2, "records_out": 1, "records_rejected": 1,
-                                        "records_with_undeclared": 0}
+    assert summary["counts"] == {"records_in": 2, "records_out": 1, "records_rejected": 1}
 
 
 def test_policy_monitor_interval_return_and_strict(spark, tmp_dir):
@@ -253,9 +253,9 @@ def test_cli_usage_errors(capsys):
 def test_console_sink_prints_the_batch(spark, tmp_dir, capfd):
     from veilspark.streaming.job import console_sink
 
-    write(f"{tmp_dir}/p.json", json.dumps(PROFILE_POLICY))
+    write(f"{tmp_dir}/p.json", json.dumps(MEMBER_POLICY))
     os.makedirs(f"{tmp_dir}/in")
-    write(f"{tmp_dir}/in/a.json", E2 + "\n")
+    write(f"{tmp_dir}/in/a.json", M1 + "\n")
     job = ProtectStream(spark, PolicyMonitor(spark, f"{tmp_dir}/p.json"), sink=console_sink())
     summary = job.run(read_json_text_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/ck")
-    assert summary.record_counts["records_out"] == 1 and "J***" in capfd.readouterr().out
+    assert summary["counts"]["records_out"] == 1 and "Qu*****" in capfd.readouterr().out

@@ -22,11 +22,15 @@ MERGE should be preferred where one is installed.
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from veilspark.operators import values as V
+from veilspark.operators.values import parse_json_text
 from veilspark.session import scratch_dir
 
 EVENT_DATE = "event_date"
@@ -82,22 +86,41 @@ def write_daily(df: DataFrame, path: str, mode: str = "append") -> None:
     w.parquet(path)
 
 
+SCHEMA_FOLDER = "_schema"  # hidden from partition discovery
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the table's schema beside its data, so that reading it opens no data file."""
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a daily table, merging the schemas of all its files."""
+    """Read a daily table with its kept schema; without one, from all its files."""
+    folder = f"{path.rstrip('/')}/{SCHEMA_FOLDER}"
+    if _exists(spark, folder):
+        return spark.read.schema(T.StructType.fromJson(json.loads(spark.read.text(folder).first()[0]))).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _in_days(days: list) -> Column:
+    """Rows of the listed days; None stands for rows without a day."""
+    some = [d for d in days if d is not None]
+    out = F.col(PARTITION_COL).isin(some) if some else F.lit(False)
+    return out | F.col(PARTITION_COL).isNull() if None in days else out
+
+
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str] | str,
                order: list[str] | str, keys_can_move: bool = True) -> DataFrame:
     """Latest-wins upsert of ``updates`` (which must carry ``event_date_prt``)
     into the daily table at ``path``; rewrites the touched days only and
     returns the days that were left without rows (and removed).
 
-    The touched days are broadcast to the scan of the table (dynamic partition
-    pruning), so only those days are read for the merge.  Finding the days
-    that updated keys move away from needs the key column of the whole table
-    (a semi join on the key); with ``keys_can_move=False`` (a key's day never
-    changes) that scan is skipped."""
+    The touched days (a list bounded by the calendar; rows without a day are a
+    day of their own) become a constant filter on the partition column, so
+    only those folders are read, and no join shuffles the table by day.
+    Finding the days that updated keys move away from needs the key column of
+    the whole table (a semi join on the key); with ``keys_can_move=False`` (a
+    key's day never changes) that scan is skipped and the cost follows the batch alone."""
     key = [key] if isinstance(key, str) else list(key)
     existing = read_table(spark, path)
     touched = updates.select(PARTITION_COL).distinct()
@@ -107,23 +130,31 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str
         pairs = existing.select(*key, PARTITION_COL).distinct()
         moved = pairs.join(updates.select(*key).distinct(), key, "left_semi")
         touched = touched.unionByName(moved.select(PARTITION_COL)).distinct()
-    current = existing.join(touched, PARTITION_COL, "left_semi")
-    merged = upsert_latest(current, updates, key, order)
+    days = [r[0] for r in touched.collect()]
+    merged = upsert_latest(existing.where(_in_days(days)), updates, key, order)
     staging = scratch_dir(spark, f"merge-{uuid.uuid4().hex}")
     rebalance_days(merged).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(staging)
-    staged = read_table(spark, staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
     # touched days left without rows (every key moved away) are not rewritten
-    # by a dynamic overwrite; their folders are removed.  The list holds days,
-    # so it is bounded by the calendar, not by the data.
-    emptied = [r[0] for r in touched.join(staged.select(PARTITION_COL).distinct(), PARTITION_COL, "left_anti")
-               .collect()]
+    # by a dynamic overwrite; their folders are removed
+    left = {r[0] for r in staged.select(PARTITION_COL).distinct().collect()}
+    emptied = [d for d in days if d not in left]
     write_daily(staged, path, mode="overwrite")
+    save_schema(spark, path, merged.schema)
     if emptied:
-        _delete_paths(spark, [f"{path.rstrip('/')}/{PARTITION_COL}={d}" for d in emptied])
+        _delete_paths(spark, [f"{path.rstrip('/')}/{PARTITION_COL}={NULL_FOLDER if d is None else d}" for d in emptied])
     _delete_paths(spark, [staging])  # the merge's own staging table, once the table is written
     return emptied
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of rows without a day
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _delete_paths(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -149,21 +180,30 @@ def record_field_types(df: DataFrame, value_col: str = "value") -> dict[str, str
     row per distinct field, so it is bounded by the record width, not by the
     number of records.  Objects, arrays, fields with mixed types and all-null
     fields become text."""
-    m = F.try_variant_get(F.try_parse_json(F.col(f"`{value_col}`")), "$", "map<string,variant>")
+    m = F.try_variant_get(parse_json_text(F.col(f"`{value_col}`")), "$", "map<string,variant>")
     rows = (df.select(F.explode(m).alias("field", "fv"))
               .groupBy("field").agg(F.schema_of_variant_agg("fv").alias("t")).collect())
     return {r.field: _column_type(r.t) for r in sorted(rows, key=lambda r: r.field)}
 
 
+def column_names(fields: list[str]) -> list[str]:
+    """Column names for fields: those that differ from an earlier one only in case get a number."""
+    seen: dict[str, int] = {}
+    out = []
+    for f in fields:
+        n = seen[f.lower()] = seen.get(f.lower(), 0) + 1
+        out.append(f if n == 1 else f"{f}__{n}")
+    return out
+
+
 def records_to_columns(df: DataFrame, types: dict[str, str], value_col: str = "value") -> DataFrame:
     """JSON records as typed columns (one parse); text columns hold strings as
     they are and other values as compact JSON text (objects in their original
     key order)."""
-    from veilspark.operators import values as V
-
     names = list(types)
+    columns = column_names(names)
     parsed = df.select(F.col(f"`{value_col}`").alias("__raw"),
-                       F.explode(F.array(F.try_parse_json(F.col(f"`{value_col}`")))).alias("__v"))
+                       F.explode(F.array(parse_json_text(F.col(f"`{value_col}`")))).alias("__v"))
     parsed = parsed.where(F.col("__v").isNotNull())
     fields = parsed.select("__raw", *[V.variant_field(F.col("__v"), n).alias(f"__f{i}") for i, n in enumerate(names)])
     text_fields = [i for i, n in enumerate(names) if types[n] == "string"]
@@ -173,21 +213,63 @@ def records_to_columns(df: DataFrame, types: dict[str, str], value_col: str = "v
     for i, n in enumerate(names):
         if types[n] == "string":
             kind = V.kind_sql(f"`__f{i}`", f"`__s{i}`")
-            cols.append(F.expr(V.text_sql(f"`__f{i}`", f"({kind})", "`__raw`", n)).alias(n))
+            cols.append(F.expr(V.text_sql(f"`__f{i}`", f"({kind})", "`__raw`", n)).alias(columns[i]))
         else:
-            cols.append(F.try_variant_get(F.col(f"__f{i}"), "$", types[n]).alias(n))
+            cols.append(F.try_variant_get(F.col(f"__f{i}"), "$", types[n]).alias(columns[i]))
     return schemas.select(*cols)
 
 
-def align_to_table(df: DataFrame, table_schema) -> DataFrame:
-    """Cast incoming columns to the type an existing table already has for them
-    (text absorbs anything); new columns keep their own type (schema evolution)."""
-    existing = {f.name: f.dataType for f in table_schema.fields}
-    out = []
-    for f in df.schema.fields:
-        t = existing.get(f.name)
-        if t is None or t == f.dataType:
-            out.append(F.col(f"`{f.name}`"))
-        else:
-            out.append(F.col(f"`{f.name}`").try_cast(t).alias(f.name))
-    return df.select(*out)
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both: numbers widen to double, anything else becomes text."""
+    if a == b:
+        return a
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if isinstance(a, whole) and isinstance(b, whole):
+        return T.LongType()
+    numbers = (*whole, T.FloatType, T.DoubleType)
+    return T.DoubleType() if isinstance(a, numbers) and isinstance(b, numbers) else T.StringType()
+
+
+def widened_schema(table: T.StructType, incoming: T.StructType) -> T.StructType:
+    """The table's fields with types that also hold the incoming values, then new fields."""
+    new = {f.name: f.dataType for f in incoming.fields}
+    known = [T.StructField(f.name, common_type(f.dataType, new.get(f.name, f.dataType))) for f in table.fields]
+    names = {f.name for f in table.fields}
+    return T.StructType(known + [f for f in incoming.fields if f.name not in names])
+
+
+def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``df`` in the types of ``schema``, which hold all their values."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in df.columns])
+
+
+def widen_table(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """Rewrite the daily table at ``path`` where a column's type became wider; True if it was.
+
+    A type change touches every file once; batches without one never come here."""
+    existing = read_table(spark, path)
+    types = {f.name: f.dataType for f in schema.fields}
+    if all(types.get(f.name, f.dataType) == f.dataType for f in existing.schema.fields):
+        return False
+    wide = align_to(existing, schema)
+    staging = scratch_dir(spark, f"widen-{uuid.uuid4().hex}")
+    wide.write.partitionBy(PARTITION_COL).parquet(staging)
+    write_daily(spark.read.schema(wide.schema).parquet(staging), path, mode="overwrite")
+    save_schema(spark, path, wide.schema)
+    _delete_paths(spark, [staging])
+    return True
+
+
+def merge_evolving(spark: SparkSession, path: str, updates: DataFrame, key: list[str] | str, order: list[str] | str,
+                   keys_can_move: bool = True) -> list:
+    """:func:`merge_into`, also where fields are new or have another type than
+    the table: the table's type widens (whole numbers to double, else to text), nothing is cast down.  Makes the table if there is none."""
+    if not _exists(spark, path):
+        first = latest_per_key(updates, key, order)
+        write_daily(first, path)
+        save_schema(spark, path, first.schema)
+        return []
+    schema = widened_schema(read_table(spark, path).schema, updates.schema)
+    widen_table(spark, path, schema)
+    return merge_into(spark, path, align_to(updates, schema), key, order, keys_can_move)

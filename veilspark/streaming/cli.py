@@ -16,10 +16,14 @@ Keys (same names as the original tool's job settings where one exists):
 ``drift-path``                      folder for per-batch undeclared-field counts (optional)
 ``schema.refresh.interval.seconds`` policy re-read interval, default 60
 ``schema.strict``                   ``true``: refuse policies with lint errors
-``checkpoint.dir``                  streaming checkpoint; default: ``spark.checkpoint.dir``/``<job-id>``
+``checkpoint.dir``                  streaming checkpoint; default: ``spark.checkpoint.dir``/``<job-id>``, without
+                                    a job id ``_checkpoint`` under the output, so the next run goes on
 ``checkpoint.interval``             trigger interval in ms, default 10000
 ``execution.mode``                  ``streaming`` (default) or ``batch`` (process what is there, then stop)
 ``job-id``, ``metrics-name``        run metrics identity
+``hash-key-env``, ``seed-env``      environment variables with the key of keyed hashes and the seed of
+                                    replay-stable random values
+``keys-can-move``                   enrichment: ``false`` if a key's day never changes
 ``table-path``                      enrichment job instead: upsert protected records into this daily table
 ``input-table``, ``output-table``   table job instead: protect the typed columns of a parquet table
 ``id-column``, ``partition-by``     table job: the id column (kept as is) and output partition columns
@@ -33,9 +37,12 @@ error (the job would otherwise run without writing anything).
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import sys
 
+from veilspark.operators import lake
 from veilspark.operators.protect import apply_policy
 from veilspark.policy import check, load_policy
 from veilspark.session import checkpoint_dir, get_session
@@ -43,7 +50,6 @@ from veilspark.sources.files import read_json_text_stream
 from veilspark.sources.kafka import DEFAULT_GROUP, DEFAULT_SERVERS, read_kafka
 from veilspark.streaming.enrich import EnrichStream
 from veilspark.streaming.job import PolicyMonitor, ProtectStream, kafka_sink
-from veilspark.streaming.metrics import RunMetrics
 
 
 def parse_config(args: list[str]) -> tuple[dict[str, str], list[str]]:
@@ -73,14 +79,40 @@ def build(spark, config: dict[str, str]) -> tuple[ProtectStream, object, str, di
     job = ProtectStream(spark, monitor, output_path=config.get("output-path"),
                         quarantine_path=config.get("quarantine-path"),
                         name=config.get("metrics-name", "Stream Job"), sink=sink,
-                        metrics_path=config.get("metrics-path"), drift_path=config.get("drift-path"))
-    if "job-id" in config:
-        job.summary = RunMetrics.start(type(job).__module__ + ".ProtectStream", job.name, job_id=config["job-id"])
+                        metrics_path=config.get("metrics-path"), drift_path=config.get("drift-path"),
+                        job_id=config.get("job-id"), hash_key=_secret(config, "hash-key-env"), seed_by=_secret(config, "seed-env"))
     source = _source(spark, config)
-    ckpt = config.get("checkpoint.dir") or f"{checkpoint_dir(spark).rstrip('/')}/{job.summary.job_id}"
+    ckpt = default_checkpoint(spark, config)
+    if "output-path" in config and _has_batches(spark, config["output-path"]) and not lake._exists(spark, f"{ckpt}/offsets"):
+        raise ValueError(f"{config['output-path']} holds the output of another run; name its checkpoint.dir or another output-path")
     return job, source, ckpt, _trigger(config)
 
 
+def _secret(config: dict[str, str], name: str) -> str | None:
+    """A secret by the name of the environment variable that holds it, so it is in no command line."""
+    return os.environ[config[name]] if name in config else None
+
+
+def default_checkpoint(spark, config: dict[str, str]) -> str:
+    """Where the run's position is kept: the same for every run of the same
+    job, input and output, so a run without ``checkpoint.dir`` goes on where the last one ended."""
+    if "checkpoint.dir" in config:
+        return config["checkpoint.dir"].rstrip("/")
+    if "job-id" in config:
+        return f"{checkpoint_dir(spark).rstrip('/')}/{config['job-id']}"
+    home = config.get("output-path") or config.get("table-path")
+    if home:
+        return f"{home.rstrip('/')}/_checkpoint"
+    same = "|".join(config.get(k, "") for k in ("schema-path", "input-topic", "input-path", "output-topic", "bootstrap-servers", "group-id"))
+    return f"{checkpoint_dir(spark).rstrip('/')}/protect-{hashlib.sha256(same.encode()).hexdigest()[:16]}"
+
+
+def _has_batches(spark, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(f.getPath().getName().startswith("batch=") for f in fs.listStatus(p))
+
+
 def _source(spark, config: dict[str, str]):
     if "input-topic" in config:
         return read_kafka(spark, config["input-topic"], config.get("bootstrap-servers", DEFAULT_SERVERS),
@@ -100,9 +132,9 @@ def run_enrich(spark, config: dict[str, str]) -> int:
     """The enrichment job: protected records into the daily table at ``table-path``."""
     job = EnrichStream(spark, config["table-path"], key=config.get("key", "id"),
                        event_time_field=config.get("event-time-field"),
-                       event_time_format=config.get("event-time-format"))
-    ckpt = config.get("checkpoint.dir") or f"{checkpoint_dir(spark).rstrip('/')}/enrich-{config.get('job-id', 'job')}"
-    q = job.start(_source(spark, config), ckpt, _trigger(config))
+                       event_time_format=config.get("event-time-format"), quarantine_path=config.get("quarantine-path"),
+                       keys_can_move=config.get("keys-can-move", "true").lower() == "true")
+    q = job.start(_source(spark, config), default_checkpoint(spark, config), _trigger(config))
     q.awaitTermination()
     print(json.dumps({"status": "SUCCESS", "table": config["table-path"], "query_id": str(q.id)}))
     return 0
@@ -147,10 +179,8 @@ def main(argv: list[str] | None = None) -> int:
         return run_table(spark, config)
     job, source, ckpt, trigger = build(spark, config)
     summary = job.run(source, ckpt, trigger)
-    print(json.dumps({"job_id": summary.job_id, "status": summary.status, "error": summary.error,
-                      "duration_seconds": summary.duration_seconds, "record_counts": summary.record_counts,
-                      "job_metrics": {k: str(v) for k, v in summary.job_metrics.items()}}))
-    return 0 if summary.status == "SUCCESS" else 1
+    print(json.dumps({k: summary[k] for k in ("job_id", "status", "error", "seconds", "counts", "details")}))
+    return 0 if summary["status"] == "SUCCESS" else 1
 
 
 if __name__ == "__main__":

@@ -16,34 +16,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.operators import lake
-from veilspark.streaming.metrics import SUCCESS, RunMetrics
+from veilspark.operators.values import parse_json_text
+from veilspark.sources.files import write_batch
+from veilspark.streaming.metrics import Totals, run_row
 
-
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+JOB = "veilspark.streaming.enrich.EnrichStream"
 
 
 def enrich_frame(df: DataFrame, value_col: str = "value", event_time_field: str | None = None,
-                 event_time_format: str | None = None, types: dict[str, str] | None = None) -> DataFrame:
+                 event_time_format: str | None = None, types: dict[str, str] | None = None,
+                 required: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns of the records plus ``event_date``, ``processing_timestamp``
     and ``event_date_prt``.  The event time comes from ``event_time_field``
-    (text parsed with ``event_time_format``, or a timestamp); without it the
-    processing time is used."""
-    types = types if types is not None else lake.record_field_types(df, value_col)
+    (text parsed with ``event_time_format``, or a timestamp); text that is no time,
+    or a record without the field, has no event day.  Without
+    ``event_time_field`` the processing time is used.  ``required`` fields are columns
+    (text) even where no record has them."""
+    types = dict(types if types is not None else lake.record_field_types(df, value_col))
+    for n in (*required, *([event_time_field] if event_time_field else [])):
+        types.setdefault(n, "string")
     cols = lake.records_to_columns(df, types, value_col)
+    ts = F.current_timestamp()
     if event_time_field:
-        ts = F.to_timestamp(F.col(f"`{event_time_field}`"), event_time_format) if event_time_format \
-            else F.to_timestamp(F.col(f"`{event_time_field}`"))
-        return lake.add_time_columns(cols.withColumn("__event_ts", ts), "__event_ts").drop("__event_ts")
-    return lake.add_time_columns(cols.withColumn("__event_ts", F.current_timestamp()), "__event_ts") \
-        .drop("__event_ts")
+        text = F.col(f"`{event_time_field}`").cast("string")
+        ts = F.try_to_timestamp(text, F.lit(event_time_format)) if event_time_format else F.try_to_timestamp(text)
+    return lake.add_time_columns(cols.withColumn("__event_ts", ts), "__event_ts").drop("__event_ts")
 
 
 @dataclass
 class EnrichStream:
-    """Upsert protected records into the daily table at ``table_path``."""
+    """Upsert protected records into the daily table at ``table_path``.
+
+    Lines that can't be parsed and records without the key are counted and, with
+    ``quarantine_path``, kept there with the reason.  ``keys_can_move=False``
+    (a key's day never changes) spares the scan for moved keys."""
 
     spark: SparkSession
     table_path: str
@@ -52,37 +58,38 @@ class EnrichStream:
     event_time_field: str | None = None
     event_time_format: str | None = None
     value_col: str = "value"
+    quarantine_path: str | None = None
+    keys_can_move: bool = True
+    name: str = "Enrich Job"
+    job_id: str = "enrich"
 
     def __post_init__(self):
-        self.metrics: list[RunMetrics] = []
+        self.metrics = Totals()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         started = time.time()
         batch = batch.persist()
         try:
-            rows = enrich_frame(batch, self.value_col, self.event_time_field, self.event_time_format)
+            rows = enrich_frame(batch, self.value_col, self.event_time_field, self.event_time_format, required=(self.key,))
             # the updates feed several branches of the merge plan, so the counts
             # are one aggregation over the persisted batch rather than observed
-            counts = rows.agg(F.count(F.lit(1)).alias("records_in"),
-                              F.count_if(F.col(f"`{self.key}`").isNotNull()).alias("records_applied")).first()
-            rows = rows.where(F.col(f"`{self.key}`").isNotNull())
+            has_key = F.col(f"`{self.key}`").isNotNull()
+            parsed = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(has_key).alias("keyed"),
+                              F.count_if(has_key & F.col(lake.PARTITION_COL).isNull()).alias("undated")).first()
+            counts = {"records_in": batch.count(), "records_applied": parsed["keyed"], "records_without_day": parsed["undated"]}
+            counts["records_rejected"] = counts["records_in"] - parsed["keyed"]
+            if self.quarantine_path:
+                v = parse_json_text(F.col(f"`{self.value_col}`"))
+                known = F.try_variant_get(v, f"$['{self.key}']", "string")
+                bad = batch.select(F.col(f"`{self.value_col}`").alias("value"), F.when(v.isNull(), F.lit("parse_error")).when(
+                    known.isNull(), F.lit("missing_key")).alias("reason")).where("reason is not null")
+                write_batch(bad, self.quarantine_path, batch_id, fmt="json")
             emptied: list = []
-            if not _table_exists(self.spark, self.table_path):
-                lake.write_daily(lake.latest_per_key(rows, self.key, list(self.order)), self.table_path)
-            else:
-                existing = lake.read_table(self.spark, self.table_path)
-                emptied = lake.merge_into(self.spark, self.table_path, lake.align_to_table(rows, existing.schema),
-                                          self.key, list(self.order))
+            if parsed["keyed"]:
+                emptied = lake.merge_evolving(self.spark, self.table_path, rows.where(has_key), self.key, list(self.order), self.keys_can_move)
         finally:
             batch.unpersist()
-        self.metrics.append(
-            RunMetrics.start("veilspark.streaming.enrich.EnrichStream", "Enrich Job")
-            .add_record_count("records_in", counts["records_in"])
-            .add_record_count("records_applied", counts["records_applied"])
-            .add_timing("batch_ms", int((time.time() - started) * 1000))
-            .add_job_metric("batch_id", batch_id)
-            .add_job_metric("emptied_days", [str(d) for d in emptied])
-            .with_status(SUCCESS).with_end_time())
+        self.metrics.add(run_row(JOB, self.name, self.job_id, started, counts, batch_id=batch_id, emptied_days=[str(d) for d in emptied]))
 
     def start(self, source: DataFrame, checkpoint: str, trigger: dict | None = None):
         w = source.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)

@@ -3,8 +3,9 @@
 * the policy file is re-read on the driver between micro-batches, at most
   once per refresh interval; a failed re-read keeps the last good policy, a
   failed first read is fatal;
-* each micro-batch is protected with one policy version (its digest is kept
-  in the batch metrics), so a replayed batch is reproducible;
+* each micro-batch is protected with one policy version, whose digest is kept
+  in the batch metrics.  A replayed batch is the same if the policy is and no
+  field is randomized, or ``seed_by`` is given;
 * good records go to the sink, rejected ones (unparsable, no id) optionally
   to a quarantine sink; both writes are per-batch overwrites, so replays after
   a failure do not duplicate output;
@@ -30,9 +31,10 @@ from veilspark.operators.drift import drift_report, undeclared_fields
 from veilspark.operators.protect import json_output, protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
-from veilspark.streaming.metrics import FAILED, SUCCESS, RunMetrics, count_columns, metrics_frame
+from veilspark.streaming.metrics import FAILED, MONITORING_FLAG, SUCCESS, Totals, count_columns, metrics_frame, run_row
 
 log = logging.getLogger(__name__)
+JOB = "veilspark.streaming.job.ProtectStream"
 
 
 class PolicyMonitor:
@@ -70,13 +72,14 @@ class CompiledPolicy:
     policy changes (column expressions refer to columns by name, so one
     expression serves every micro-batch; the random seed is not part of it)."""
 
-    def __init__(self):
+    def __init__(self, hash_key: str | None = None):
         self._digest: str | None = None
         self._column = None
+        self._hash_key = hash_key
 
     def get(self, policy: Policy):
         if policy.digest != self._digest:
-            self._column = json_output(policy, policy.field_names())
+            self._column = json_output(policy, policy.field_names(), self._hash_key)
             self._digest = policy.digest
         return self._column
 
@@ -97,8 +100,16 @@ def kafka_sink(topic: str, servers: str = "localhost:9092", options: dict | None
 
 
 def console_sink(n: int = 20) -> Sink:
-    """Print the first rows of each batch (for trying a policy out)."""
-    return lambda df, batch_id: df.show(n, truncate=False)
+    """Print the first rows of each batch (for trying a policy out).  The rest
+    is computed too, so that the counts are those of the whole batch."""
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            df.count()
+            df.show(n, truncate=False)
+        finally:
+            df.unpersist()
+    return sink
 
 
 @dataclass
@@ -111,7 +122,9 @@ class ProtectStream:
     ``metrics_path`` keeps one metrics row per micro-batch (counts, timing,
     policy digest) under ``batch_id=<id>``, overwritten when a batch is
     replayed; ``drift_path`` keeps the undeclared fields of each batch with
-    their record counts the same way."""
+    their record counts the same way.  ``hash_key`` makes hashes HMACs under
+    that key; ``seed_by`` is a secret that, with the record's text, seeds
+    random values, so a replayed batch gives the same ones."""
 
     spark: SparkSession
     monitor: PolicyMonitor
@@ -122,16 +135,18 @@ class ProtectStream:
     sink: Sink | None = None
     metrics_path: str | None = None
     drift_path: str | None = None
+    job_id: str | None = None
+    hash_key: str | None = None
+    seed_by: str | None = None
 
     def __post_init__(self):
         if self.sink is None:
             if self.output_path is None:
                 raise ValueError("an output path or a sink is required")
             self.sink = file_sink(self.output_path)
-        self.metrics: list[RunMetrics] = []
-        self._compiled = CompiledPolicy()
-        self.summary = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name) \
-            .add_business_metric("schema_monitoring_enabled", True)
+        self.job_id = self.job_id or str(uuid.uuid4())
+        self.metrics = Totals()
+        self._compiled = CompiledPolicy(self.hash_key)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: protect with the current policy, write, count.
@@ -143,9 +158,13 @@ class ProtectStream:
         policy = self.monitor.current()
         started = time.time()
         obs = Observation(f"veilspark_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
-        undeclared = F.size(F.coalesce(undeclared_fields(F.col("raw"), policy), F.array().cast("array<string>")))
-        res = protect_batch(batch, policy, self.value_col, compiled=self._compiled.get(policy)).observe(
-            obs, *count_columns("reason"), F.count_if(undeclared > 0).alias("records_with_undeclared"))
+        seed = F.concat_ws("\n", F.lit(self.seed_by), F.col(f"`{self.value_col}`")) if self.seed_by else None
+        res = protect_batch(batch, policy, self.value_col, compiled=self._compiled.get(policy), seed_col=seed, hash_key=self.hash_key)
+        counts = count_columns("reason")
+        if self.drift_path:  # reads the keys of every record once more
+            undeclared = F.size(F.coalesce(undeclared_fields(F.col("raw"), policy), F.array().cast("array<string>")))
+            counts.append(F.count_if(undeclared > 0).alias("records_with_undeclared"))
+        res = res.observe(obs, *counts)
         shared = bool(self.quarantine_path or self.drift_path)  # read by more than one output
         if shared:
             res = res.persist()
@@ -160,16 +179,8 @@ class ProtectStream:
         finally:
             if shared:
                 res.unpersist()
-        m = (RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.summary.job_id)
-             .add_record_count("records_in", counts["records_in"])
-             .add_record_count("records_out", counts["records_out"])
-             .add_record_count("records_rejected", counts["records_rejected"])
-             .add_record_count("records_with_undeclared", counts["records_with_undeclared"])
-             .add_timing("batch_ms", int((time.time() - started) * 1000))
-             .add_job_metric("batch_id", batch_id)
-             .add_job_metric("policy_digest", policy.digest)
-             .with_status(SUCCESS).with_end_time())
-        self.metrics.append(m)
+        m = run_row(JOB, self.name, self.job_id, started, counts, batch_id=batch_id, policy_digest=policy.digest)
+        self.metrics.add(m)
         if self.metrics_path:
             metrics_frame(self.spark, [m]).write.mode("overwrite").parquet(
                 f"{self.metrics_path.rstrip('/')}/batch_id={batch_id}")
@@ -182,36 +193,27 @@ class ProtectStream:
         return w.start()
 
     def run(self, source: DataFrame, checkpoint: str, trigger: dict | None = None,
-            timeout_seconds: float | None = None) -> RunMetrics:
+            timeout_seconds: float | None = None) -> dict:
         """Start, wait for the end (``availableNow`` ends by itself) and return
-        the job-level metrics: query id, status, error text, duration, totals."""
-        started = RunMetrics.start("veilspark.streaming.job.ProtectStream", self.name, job_id=self.summary.job_id)
-        q = None
+        the job's metrics row: counts of all batches, duration, query and run id."""
+        started, q = time.time(), None
         try:
             q = self.start(source, checkpoint, trigger or {"availableNow": True})
             if timeout_seconds is None:
                 q.awaitTermination()
             elif not q.awaitTermination(timeout_seconds):
                 q.stop()
-            status, error = SUCCESS, None
         except Exception as exc:  # reported, then raised
-            status, error = FAILED, str(exc).splitlines()[0] if str(exc) else type(exc).__name__
-            self.summary = self._job_metrics(started, q, status, error)
+            first_line = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+            self.summary = self._job_row(started, q, FAILED, first_line)
             raise
-        self.summary = self._job_metrics(started, q, status, error)
+        self.summary = self._job_row(started, q, SUCCESS, None)
         return self.summary
 
-    def _job_metrics(self, started: RunMetrics, q, status: str, error: str | None) -> RunMetrics:
-        m = started.add_business_metric("schema_monitoring_enabled", True).with_status(status)
-        if error:
-            m = m.with_error(error)
-        for k in ("records_in", "records_out", "records_rejected", "records_with_undeclared"):
-            m = m.add_record_count(k, sum(b.record_counts.get(k, 0) for b in self.metrics))
-        if q is not None:
-            m = m.add_job_metric("query_id", str(q.id)).add_job_metric("run_id", str(q.runId))
-        m = m.add_job_metric("batches", len(self.metrics)).add_job_metric("policy_reloads", self.monitor.reloads)
-        m = m.with_end_time()
-        return m.add_job_metric("net_runtime_seconds", m.duration_seconds)
+    def _job_row(self, started: float, q, status: str, error: str | None) -> dict:
+        ids = {"query_id": str(q.id), "run_id": str(q.runId)} if q is not None else {}
+        return run_row(JOB, self.name, self.job_id, started, self.metrics.counts, status, error,
+                       batches=self.metrics.batches, policy_reloads=self.monitor.reloads, **MONITORING_FLAG, **ids)
 
 
 def run_batch(spark: SparkSession, source: DataFrame, policy: Policy, output_path: str) -> None:

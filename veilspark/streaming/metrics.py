@@ -1,4 +1,4 @@
-"""Run metrics: a value object per run (or micro-batch) and its table form.
+"""Run metrics: one row per run or micro-batch.
 
 Record counts come from ``DataFrame.observe`` — computed by the executors
 while the batch is written, with no extra pass over the data.
@@ -6,82 +6,57 @@ while the batch is written, with no extra pass over the data.
 
 from __future__ import annotations
 
-import dataclasses
 import json
 import time
-import uuid
-from dataclasses import dataclass, field
-from typing import Any
+from collections import deque
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
+# Status words of a run and the one flag that every run reports.
+SUCCESS, FAILED = "SUCCESS", "FAILED"
+MONITORING_FLAG = {"schema_monitoring_enabled": True}
 
+# A run or micro-batch as a row: who ran, when, how it ended, what was counted
+# (``counts``: name -> number) and everything else as JSON (``details``).
+METRICS_SCHEMA = ("job_id STRING, job STRING, name STRING, started TIMESTAMP, seconds DOUBLE, status STRING, error STRING, "
+                  "counts MAP<STRING,BIGINT>, details MAP<STRING,STRING>")
 
-def _now_ms() -> int:
-    return int(time.time() * 1000)
 
+def run_row(job: str, name: str, job_id: str, started: float, counts: dict, status: str = SUCCESS,
+            error: str | None = None, **details) -> dict:
+    """One metrics row, from the observed ``counts`` of a write and the details of the query that made it.
 
-@dataclass(frozen=True)
-class RunMetrics:
-    job_id: str
-    stream_class: str
-    name: str
-    start_time: int
-    end_time: int | None = None
-    status: str = RUNNING
-    error: str | None = None
-    record_counts: dict[str, int] = field(default_factory=dict)
-    timings: dict[str, int] = field(default_factory=dict)
-    business_metrics: dict[str, Any] = field(default_factory=dict)
-    job_metrics: dict[str, Any] = field(default_factory=dict)
+    ``started`` is seconds since the epoch; the row's duration ends now."""
+    return {"job_id": job_id, "job": job, "name": name, "started": datetime.fromtimestamp(started, timezone.utc),
+            "seconds": time.time() - started, "status": status, "error": error,
+            "counts": {k: int(v) for k, v in counts.items()}, "details": {k: json.dumps(v) for k, v in details.items()}}
 
-    @classmethod
-    def start(cls, stream_class: str, name: str = "Stream Job", job_id: str | None = None) -> "RunMetrics":
-        return cls(job_id=job_id or str(uuid.uuid4()), stream_class=stream_class, name=name, start_time=_now_ms())
 
-    def with_end_time(self, t: int | None = None) -> "RunMetrics":
-        return dataclasses.replace(self, end_time=_now_ms() if t is None else t)
+def metrics_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """Metrics rows for appending to a metrics table."""
+    return spark.createDataFrame([tuple(r.values()) for r in rows], METRICS_SCHEMA)
 
-    def with_status(self, status: str) -> "RunMetrics":
-        return dataclasses.replace(self, status=status)
 
-    def with_error(self, error: str) -> "RunMetrics":
-        return dataclasses.replace(self, error=error)
+class Totals:
+    """Sums of the counts of all batches, and the last rows only: a stream that
+    runs for ever keeps a bounded list."""
 
-    def add_record_count(self, name: str, n: int) -> "RunMetrics":
-        return dataclasses.replace(self, record_counts={**self.record_counts, name: int(n)})
+    def __init__(self, keep: int = 100):
+        self.rows: deque[dict] = deque(maxlen=keep)
+        self.counts: dict[str, int] = {}
+        self.batches = 0
 
-    def add_timing(self, name: str, ms: int) -> "RunMetrics":
-        return dataclasses.replace(self, timings={**self.timings, name: int(ms)})
-
-    def add_business_metric(self, name: str, value: Any) -> "RunMetrics":
-        return dataclasses.replace(self, business_metrics={**self.business_metrics, name: value})
-
-    def add_job_metric(self, name: str, value: Any) -> "RunMetrics":
-        return dataclasses.replace(self, job_metrics={**self.job_metrics, name: value})
+    def add(self, row: dict) -> None:
+        self.rows.append(row)
+        self.batches += 1
+        for k, v in row["counts"].items():
+            self.counts[k] = self.counts.get(k, 0) + v
 
     @property
-    def duration_seconds(self) -> float | None:
-        return None if self.end_time is None else (self.end_time - self.start_time) / 1000.0
-
-
-METRICS_SCHEMA = (
-    "job_id STRING, stream_class STRING, name STRING, start_time BIGINT, end_time BIGINT, status STRING, "
-    "error STRING, duration_seconds DOUBLE, record_counts MAP<STRING,BIGINT>, timings MAP<STRING,BIGINT>, "
-    "business_metrics MAP<STRING,STRING>, job_metrics MAP<STRING,STRING>"
-)
-
-
-def metrics_frame(spark: SparkSession, runs: list[RunMetrics]) -> DataFrame:
-    """Metrics rows for appending to a metrics table (values of the free-form
-    maps are stored as JSON text)."""
-    def js(d):
-        return {k: json.dumps(v) for k, v in d.items()}
-    rows = [(m.job_id, m.stream_class, m.name, m.start_time, m.end_time, m.status, m.error, m.duration_seconds,
-             m.record_counts, m.timings, js(m.business_metrics), js(m.job_metrics)) for m in runs]
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
+    def last(self) -> dict:
+        return self.rows[-1]
 
 
 def count_columns(reason_col: str = "reason") -> list[Column]:
