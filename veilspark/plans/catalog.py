@@ -13,6 +13,7 @@ side compiles the format to runs).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from veilspark.operators.protect import apply_policy, apply_policy_json, keep_al
 from veilspark.operators.versions import apply_policy_asof, protect_json_asof
 from veilspark.plans import inputs
 from veilspark.plans import policies as P
+from veilspark.session import scratch_dir
 from veilspark.streaming.enrich import enrich_frame
 from veilspark.streaming.metrics import count_columns
 
@@ -175,6 +177,30 @@ def randomize_violations(spark, d):
                    F.count_if(bad_int).alias("bad_int"), F.count_if(bad_dbl).alias("bad_double"))
 
 
+@register("randomize_independence", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS same_text, CAST(0 AS BIGINT) AS kept_text, CAST(0 AS BIGINT) AS same_ratio,
+       CAST(0 AS BIGINT) AS kept_double, true AS few_same_shift, true AS few_kept_int, true AS covers_range
+FROM customer""")
+def randomize_independence(spark, d):
+    """Two fields of a row share no draws: no equal texts or ratios, integers that move alike
+    or stay only as often as chance has it, and draws from both ends of the range."""
+    c = inputs.table(spark, d, "customer")
+    whole = (F.col("c_custkey") % 1000 + 10_000).cast("int")
+    src = c.select("c_custkey", F.col("c_name").alias("t1"), F.col("c_name").alias("t2"), whole.alias("i1"), (whole * 2).alias("i2"),
+                   (F.abs("c_acctbal") + 100).alias("x1"), ((F.abs("c_acctbal") + 100) * 2).alias("x2"),
+                   F.col("c_name").alias("t"), whole.alias("i"), (F.abs("c_acctbal") + 100).alias("x"))
+    out = apply_policy(src, P.RANDOMIZE_PAIRS, id_col="c_custkey", keep=["t", "i", "x"])
+    shift = F.abs(F.col("i1") / F.col("i") - F.col("i2") / (F.col("i") * 2)) < 1e-3
+    n = F.count(F.lit(1))
+    return out.agg(n.alias("n_rows"), F.count_if(F.col("t1") == F.col("t2")).alias("same_text"),
+                   F.count_if((F.col("t1") == F.col("t")) | (F.col("t2") == F.col("t"))).alias("kept_text"),
+                   F.count_if(F.abs(F.col("x1") * 2 - F.col("x2")) < F.col("x") * 1e-9).alias("same_ratio"),
+                   F.count_if((F.col("x1") == F.col("x")) | (F.col("x2") == F.col("x") * 2)).alias("kept_double"),
+                   (F.count_if(shift) < n * 0.1 + 5).alias("few_same_shift"),
+                   (F.count_if(F.col("i1") == F.col("i")) < n * 0.02 + 5).alias("few_kept_int"),
+                   ((F.min(F.col("x1") / F.col("x")) < 0.85) & (F.max(F.col("x1") / F.col("x")) > 1.15)).alias("covers_range"))
+
+
 @register("randomize_whole_text_violations", """
 SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS bad_length, CAST(0 AS BIGINT) AS bad_chars,
        CAST(sum(length(text)) AS BIGINT) AS n_chars
@@ -366,6 +392,14 @@ def type_profile_json(spark, d):
     return drift.type_profile(inputs.event_json(spark, d))
 
 
+@register("type_profile_mixed", """
+SELECT 'm' AS field, CASE event_id % 7 WHEN 0 THEN 'INT' WHEN 1 THEN 'BIGINT' WHEN 2 THEN 'DOUBLE' WHEN 3 THEN 'BOOLEAN' ELSE 'STRING' END AS sql_type,
+       count(*) AS n_values
+FROM events WHERE event_id % 7 < 6 GROUP BY 1, 2""")
+def type_profile_mixed(spark, d):
+    return drift.type_profile(inputs.mixed_json(spark, d))
+
+
 @register("type_profile_table", """
 SELECT 'o_orderkey' AS field, 'BIGINT' AS sql_type, count(o_orderkey) AS n_values FROM orders
 UNION ALL SELECT 'o_custkey', 'BIGINT', count(o_custkey) FROM orders
@@ -460,6 +494,28 @@ def upsert_latest(spark, d):
                               "user_id", ["ts", "event_id"])
 
 
+@register("merge_table", """
+WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts, event_type, value FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS n FROM e)
+SELECT user_id, event_id, event_type, CASE WHEN event_id % 2 = 0 THEN floor(value) ELSE value END AS amount,
+       CASE WHEN event_id % 2 = 0 THEN '' ELSE 'm' END || CAST(event_id AS VARCHAR) AS mark,
+       CASE WHEN event_id % 2 = 1 THEN event_type END AS extra, strftime(ts, '%Y-%m-%d') AS event_date_prt
+FROM r WHERE n = 1""")
+def merge_table(spark, d):
+    """Two merges into a daily table: keys that move between days, rows without a day, a
+    new field, a number that becomes a double and one that becomes text."""
+    e = inputs.table(spark, d, "events").withColumn("ts", F.when(F.col("event_id") % 97 != 0, F.col("ts")))
+    even = F.col("event_id") % 2 == 0
+    first = e.where(even).select("user_id", "event_id", "ts", "event_type", F.floor("value").cast("bigint").alias("amount"), F.col("event_id").alias("mark"))
+    second = e.where(~even).select("user_id", "event_id", "ts", "event_type", F.col("value").alias("amount"),
+                                   F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("mark"), F.col("event_type").alias("extra"))
+    path = scratch_dir(spark, f"merge-table-{uuid.uuid4().hex}")
+    for part in (first, second):
+        lake.merge_evolving(spark, path, lake.add_time_columns(part, "ts").drop(lake.PROCESSING_TS), "user_id", ["ts", "event_id"])
+    return lake.read_table(spark, path).select("user_id", "event_id", "event_type", "amount", "mark", "extra",
+                                               F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL))
+
+
 @register("evolve_union", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS c_tier FROM customer
 UNION ALL

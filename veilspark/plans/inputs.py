@@ -61,3 +61,17 @@ def conversation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
                    "role", "text", F.col("turn"))
     return c.select(F.to_json(doc).alias("value"))
+
+
+def mixed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event JSON whose member ``m`` changes its type from record to record, by
+    ``event_id % 7``: int, 64-bit int, double, boolean, null, text, absent."""
+    e = table(spark, sf_dir, "events")
+    turn = F.col("event_id") % 7
+    m = (F.when(turn == 0, F.col("user_id").cast("variant"))
+         .when(turn == 1, (F.col("event_id") * 3_000_000_000).cast("variant"))
+         .when(turn == 2, F.col("value").cast("variant"))
+         .when(turn == 3, (F.col("value") > 50).cast("variant"))
+         .when(turn == 4, F.parse_json(F.lit("null")))
+         .when(turn == 5, F.col("event_type").cast("variant")))
+    return e.select(F.to_json(F.struct(F.col("event_id").alias("id"), m.alias("m"))).alias("value"))

@@ -39,6 +39,8 @@ GENERALIZE_NO_RANGES = _p(pii("p_size", "generalize", "integer"), pii("p_retailp
                           pii("p_type", "generalize"))
 RANDOMIZE = _p(pii("c_name", "randomize"), pii("c_nationkey", "randomize", "integer"),
                pii("c_acctbal", "randomize", "double"))
+RANDOMIZE_PAIRS = _p(pii("t1", "randomize"), pii("t2", "randomize"), pii("i1", "randomize", "integer"), pii("i2", "randomize", "integer"),
+                     pii("x1", "randomize", "double"), pii("x2", "randomize", "double"))
 UNKNOWN_OP = _p(pii("p_name", "MASK", maskFormat="XX"), pii("p_size", "tokenize", "integer"))
 CUSTOMER_COLUMNS = _p(plain("c_custkey"), pii("c_name", "hash"),
                       pii("c_nationkey", "generalize", "integer", ranges=[0, 5, 10, 15, 20]),
