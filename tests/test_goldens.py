@@ -1,4 +1,4 @@
-"""Expected outputs of FIXTURES.md §3 through the JSON record path."""
+"""Expected outputs of the protection rules through the JSON record path (edge cases: FIXTURES.md)."""
 
 import base64
 import hashlib

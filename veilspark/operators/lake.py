@@ -23,6 +23,7 @@ MERGE should be preferred where one is installed.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 
 from veilspark.operators import values as V
 from veilspark.operators.values import parse_json_text
+from veilspark.policy import Policy
 from veilspark.session import scratch_dir
 
 EVENT_DATE = "event_date"
@@ -186,6 +188,30 @@ def record_field_types(df: DataFrame, value_col: str = "value") -> dict[str, str
     return {r.field: _column_type(r.t) for r in sorted(rows, key=lambda r: r.field)}
 
 
+def protected_types(df: DataFrame, policy: Policy, value_col: str = "value") -> dict[str, str]:
+    """Field name → column type of the records that ``policy`` makes of the raw
+    records ``df``.  An operation fixes the type of what it writes; only
+    fields that pass through are looked at, in one parse and one aggregation."""
+    types, open_ = {"id": "string"}, []
+    for r in policy.effective_rules():
+        t = None
+        if r.is_pii:
+            t = {"hash": "string", "redact": "string", "generalize": "string"}.get(r.operation) or ("string" if r.type == "string" else None)
+            if r.operation == "randomize":
+                t = {"string": "string", "integer": "bigint", "int": "bigint", "double": "double", "float": "double"}.get(r.type)
+        types[r.name] = t or "string"
+        if t is None:
+            open_.append(r.name)
+    if open_:
+        v = df.select(F.explode(F.array(parse_json_text(F.col(f"`{value_col}`")))).alias("__v"))
+        seen = v.agg(*[F.schema_of_variant_agg(V.variant_field(F.col("__v"), n)).alias(f"t{i}") for i, n in enumerate(open_)]).first()
+        for i, n in enumerate(open_):
+            # integers beyond 64 bits are written as text
+            big = re.match(r"DECIMAL\((\d+),0\)", seen[i] or "")
+            types[n] = "string" if big and int(big[1]) > 18 else _column_type(seen[i] or "VOID")
+    return types
+
+
 def column_names(fields: list[str]) -> list[str]:
     """Column names for fields: those that differ from an earlier one only in case get a number."""
     seen: dict[str, int] = {}

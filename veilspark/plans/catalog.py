@@ -468,8 +468,9 @@ FROM events""")
 def enrich_events(spark, d):
     """Protected event records as typed columns with the daily partition (the
     enrichment step before the upsert; processing time left out)."""
-    protected = apply_policy_json(inputs.event_json(spark, d), P.EVENT_JSON)
-    e = enrich_frame(protected, event_time_field="day", event_time_format="yyyy-MM-dd")
+    raw = inputs.event_json(spark, d)
+    e = enrich_frame(apply_policy_json(raw, P.EVENT_JSON), event_time_field="day", event_time_format="yyyy-MM-dd",
+                     types=lake.protected_types(raw, P.EVENT_JSON))
     return e.select("id", "user_id", "event_type", "value", "props", "day", "note",
                     F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL))
 
