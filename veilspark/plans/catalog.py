@@ -32,6 +32,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# The operator's own output where a query reads it back into columns to compare it.
+OUTPUTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def output_of(name: str):
+    def deco(fn):
+        OUTPUTS[name] = fn
+        return fn
+    return deco
+
+
 def register(name: str, sql: str | None):
     def deco(fn):
         QUERIES[name] = fn
@@ -285,8 +296,12 @@ SELECT CAST(c_custkey AS VARCHAR) AS id, {q_mask_format('c_name', P.CUSTOMER_FOR
        'id,c_name,c_nationkey,c_acctbal,c_mktsegment' AS out_keys
 FROM customer""")
 def apply_policy_json_q(spark, d):
-    out = apply_policy_json(inputs.customer_json(spark, d), P.CUSTOMER_JSON)
-    return _read_back(out, CUSTOMER_JSON_SCHEMA)
+    return _read_back(customer_json_out(spark, d), CUSTOMER_JSON_SCHEMA)
+
+
+@output_of("apply_policy_json")
+def customer_json_out(spark, d):
+    return apply_policy_json(inputs.customer_json(spark, d), P.CUSTOMER_JSON)
 
 
 EVENT_JSON_SCHEMA = "id STRING, user_id STRING, event_type STRING, value STRING, props STRING, day STRING"
@@ -301,8 +316,12 @@ SELECT CAST(event_id AS VARCHAR) AS id, {q_hash('CAST(user_id AS VARCHAR)')} AS
          || CASE WHEN event_type = 'error' THEN ',note' ELSE '' END AS out_keys
 FROM events""")
 def apply_policy_json_events(spark, d):
-    out = apply_policy_json(inputs.event_json(spark, d), P.EVENT_JSON)
-    return _read_back(out, EVENT_JSON_SCHEMA)
+    return _read_back(event_json_out(spark, d), EVENT_JSON_SCHEMA)
+
+
+@output_of("apply_policy_json_events")
+def event_json_out(spark, d):
+    return apply_policy_json(inputs.event_json(spark, d), P.EVENT_JSON)
 
 
 CONVERSATION_JSON_SCHEMA = "id STRING, role STRING, text STRING, turn STRING"
@@ -315,8 +334,12 @@ SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, {q_hash('
 FROM conversations""")
 def apply_policy_json_conversations(spark, d):
     """Whole turn texts inside JSON records: escaping, masking and hashing of long text."""
-    out = apply_policy_json(inputs.conversation_json(spark, d), P.CONVERSATION_JSON)
-    return _read_back(out, CONVERSATION_JSON_SCHEMA)
+    return _read_back(conversation_json_out(spark, d), CONVERSATION_JSON_SCHEMA)
+
+
+@output_of("apply_policy_json_conversations")
+def conversation_json_out(spark, d):
+    return apply_policy_json(inputs.conversation_json(spark, d), P.CONVERSATION_JSON)
 
 
 KEEP_ALL_SCHEMA = "id STRING, user_id BIGINT, event_type STRING, value DOUBLE, day STRING, props STRING"
@@ -330,7 +353,12 @@ SELECT CAST(event_id AS VARCHAR) AS id, user_id, event_type,
          || CASE WHEN event_type = 'purchase' THEN ',value' ELSE '' END AS out_keys
 FROM events""")
 def keep_all_json_q(spark, d):
-    return _read_back(keep_all_json(inputs.event_json(spark, d)), KEEP_ALL_SCHEMA)
+    return _read_back(keep_all_out(spark, d), KEEP_ALL_SCHEMA)
+
+
+@output_of("keep_all_json")
+def keep_all_out(spark, d):
+    return keep_all_json(inputs.event_json(spark, d))
 
 
 @register("reject_split", """
@@ -453,9 +481,13 @@ FROM (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 3 WHEN ts >= TIMESTA
                      ELSE 1 END AS v
       FROM events WHERE ts >= TIMESTAMP '2024-01-01')""")
 def policy_asof_json(spark, d):
+    return _read_back_with(asof_json_out(spark, d), ASOF_JSON_SCHEMA, ["policy_version"])
+
+
+@output_of("policy_asof_json")
+def asof_json_out(spark, d):
     res = protect_json_asof(inputs.event_json(spark, d, with_ts=True), P.ASOF_VERSIONS, F.col("ts"))
-    good = res.where(F.col("reason").isNull())
-    return _read_back_with(good, ASOF_JSON_SCHEMA, ["policy_version"])
+    return res.where(F.col("reason").isNull())
 
 
 @register("enrich_events", f"""
