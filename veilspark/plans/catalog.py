@@ -542,7 +542,7 @@ def merge_table(spark, d):
     first = e.where(even).select("user_id", "event_id", "ts", "event_type", F.floor("value").cast("bigint").alias("amount"), F.col("event_id").alias("mark"))
     second = e.where(~even).select("user_id", "event_id", "ts", "event_type", F.col("value").alias("amount"),
                                    F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("mark"), F.col("event_type").alias("extra"))
-    path = scratch_dir(spark, f"merge-table-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, f"daily-table-{uuid.uuid4().hex}")
     for part in (first, second):
         lake.merge_evolving(spark, path, lake.add_time_columns(part, "ts").drop(lake.PROCESSING_TS), "user_id", ["ts", "event_id"])
     return lake.read_table(spark, path).select("user_id", "event_id", "event_type", "amount", "mark", "extra",
