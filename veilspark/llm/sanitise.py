@@ -131,7 +131,6 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, remove: float = REMOVE, g
     pairs = saved(pairs.select("entity", "term", "n_te"), "pii-pairs")
     n_e = m.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     n_t = docs.select(F.explode(_words(text_or_empty())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    n_t = n_t.join(pairs.select("term").distinct(), "term", "left_semi")
     total = docs.count()
     j = pairs.join(n_t, "term").join(n_e, "entity")
     given = F.log2(F.lit(float(max(total, 1))) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
