@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Persist ``df`` on the executors' disks: computed once, and computed again
+    from its lineage where an executor is lost.  For intermediate results that are
+    a function of the input rows; ``spark.catalog.clearCache()`` lets go of them."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 # Texts are long: batches of this size keep a Python worker's memory small.
 # Each setting with Spark's default and the value used in its place.
 BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),

@@ -14,7 +14,7 @@ shuffled join, and come back to the chunk's texts.  No table of words is broadca
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilspark.llm.common import id_bucket, map_arrow, saved, text_or_empty
+from veilspark.llm.common import id_bucket, kept, map_arrow, text_or_empty
 
 CHUNK_BYTES = 16 << 20  # of text scored together
 TASK_WORDS = 300_000    # distinct words that a task counts before it hands them on
@@ -56,31 +56,35 @@ class Lattice:
             node = self.root
             for c in piece:
                 node = node.setdefault(c, {})
-            node[""] = i  # the piece that ends here
+            node[""] = self._entry((i,), len(piece))  # the piece that ends here
 
-    def edges(self, word: str) -> list[list[tuple]]:
-        """For every place in the marked word, the pieces that start there as
-        ``(end, pieces, log probability)``.  A character that is no piece is spelled by its bytes."""
+    def _entry(self, ids: tuple, chars: int) -> tuple:
+        """Pieces, log probability, and probability scaled by their characters."""
+        lp = sum(self.logp[x] for x in ids)
+        return ids, lp, math.exp(lp + CHAR_SCALE * chars)
+
+    def edges(self, word: str) -> list[tuple]:
+        """``(start, end, entry)`` of every piece at every place of the marked word,
+        by start.  A character that is no piece is spelled by its bytes."""
         text = START + word
-        out, logp, root = [], self.logp, self.root
+        n, out, root = len(text), [], self.root
         for i, first in enumerate(text):
-            node, here, j = root.get(first), [], i + 1
+            node = root.get(first)
             if node is None or "" not in node:
-                ids = [self.byte[b] for b in first.encode("utf-8", "surrogatepass")]
-                here.append((j, ids, sum(logp[x] for x in ids)))
+                out.append((i, i + 1, self._entry(tuple(self.byte[b] for b in first.encode("utf-8", "surrogatepass")), 1)))
+            j = i + 1
             while node is not None:
-                if (p := node.get("")) is not None:
-                    here.append((j, (p,), logp[p]))
-                if j == len(text):
+                if "" in node:
+                    out.append((i, j, node[""]))
+                if j == n:
                     break
                 node = node.get(text[j])
                 j += 1
-            out.append(here)
         return out
 
     def forward(self, word: str) -> float:
         """Natural log of the word's probability, over all segmentations."""
-        return _forward(self.edges(word))[-1]
+        return _forward(self.edges(word), len(word) + 1)[-1]
 
     def expect(self, word: str, weight: float, counts: list[float]) -> None:
         """Add the expected number of each piece in ``weight`` copies of the
@@ -88,37 +92,34 @@ class Lattice:
         n = len(word) + 1
         if n > PLAIN_CHARS:
             return self._expect_long(word, weight, counts)
-        edges = []
+        edges = self.edges(word)
         f = [0.0] * (n + 1)
         f[0] = 1.0
-        for i, here in enumerate(self.edges(word)):
-            a = f[i]
-            for j, ids, lp in here:
-                p = math.exp(lp + CHAR_SCALE * (j - i))
-                f[j] += a * p
-                edges.append((i, j, ids, p))
+        for i, j, e in edges:
+            f[j] += f[i] * e[2]
         b = [0.0] * (n + 1)
-        b[n] = 1.0
-        for i, j, _, p in reversed(edges):
-            b[i] += p * b[j]
-        weight /= f[n]
-        for i, j, ids, p in edges:
-            share = weight * f[i] * p * b[j]
-            for x in ids:
+        b[n] = weight / f[n]
+        for i, j, e in reversed(edges):
+            share = e[2] * b[j]
+            b[i] += share
+            share *= f[i]
+            for x in e[0]:
                 counts[x] += share
 
     def _expect_long(self, word: str, weight: float, counts: list[float]) -> None:
-        edges = self.edges(word)
-        f = _forward(edges)
-        n = len(edges)
+        edges, n = self.edges(word), len(word) + 1
+        f = _forward(edges, n)
+        after: list[list[float]] = [[] for _ in range(n)] + [[0.0]]
         b = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            b[i] = _log_sum([lp + b[j] for j, _, lp in edges[i]])
-        for i, here in enumerate(edges):
-            for j, ids, lp in here:
-                share = weight * math.exp(min(0.0, f[i] + lp + b[j] - f[n]))
-                for x in ids:
-                    counts[x] += share
+        at = n
+        for i, j, e in reversed(edges):
+            while at > i:  # all pieces that start at or after ``at`` have been seen
+                b[at] = _log_sum(after[at])
+                at -= 1
+            after[i].append(e[1] + b[j])
+            share = weight * math.exp(min(0.0, f[i] + e[1] + b[j] - f[n]))
+            for x in e[0]:
+                counts[x] += share
 
 
 def _log_sum(terms: list[float]) -> float:
@@ -128,15 +129,17 @@ def _log_sum(terms: list[float]) -> float:
     return m if m == -math.inf else m + math.log(sum([math.exp(t - m) for t in terms]))
 
 
-def _forward(edges: list[list[tuple]]) -> list[float]:
-    n = len(edges)
+def _forward(edges: list[tuple], n: int) -> list[float]:
+    """Log of the summed probability of all ways to each place; edges come by start."""
     into: list[list[float]] = [[] for _ in range(n + 1)]
     into[0].append(0.0)
     f = [0.0] * (n + 1)
-    for i in range(n):
-        a = f[i] = _log_sum(into[i])
-        for j, _, lp in edges[i]:
-            into[j].append(a + lp)
+    at = -1
+    for i, j, e in edges:
+        if i != at:
+            a = f[i] = _log_sum(into[i])
+            at = i
+        into[j].append(a + e[1])
     f[n] = _log_sum(into[n])
     return f
 
@@ -229,23 +232,24 @@ def _score_chunk(total: int, distinct: int, ends: int, end_lp: float):
     names = [f.name for f in _SCORES]
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        known = defaultdict(lambda: (0, 0.0), zip(words.column("h").to_pylist(), zip(words.column("n").to_pylist(), words.column("lp").to_pylist())))
-        base_of = lambda n: math.log10((n + 1) / (total + distinct + 1))
-        cache: dict[bytes, tuple] = {}
-        out = []
+        place = dict(zip(words.column("h").to_pylist(), range(words.num_rows)))
+        n = words.column("n").to_numpy()
+        base, lp = np.log10((n + 1) / (total + distinct + 1)), words.column("lp").to_numpy()
+
+        class Places(dict):
+            def __missing__(self, word):
+                at = self[word] = place[_hash(word)]
+                return at
+
+        at = Places()
+        cols: list[list] = [[] for _ in names]
         for i, held, t in zip(texts.column("id").to_pylist(), texts.column("held_out").to_pylist(), texts.column("body")):
-            base, score, n_known, n = [base_of(ends)], [end_lp], int(ends > 0), 1
-            for w, c in Counter(t.as_py().lower().split()).items():
-                v = cache.get(w)
-                if v is None:
-                    count, lp = known[_hash(w)]
-                    v = cache[w] = (base_of(count), lp, count > 0)
-                base.append(c * v[0])
-                score.append(c * v[1])
-                n_known += c * v[2]
-                n += c
-            out.append((i, held, n, n_known, total, math.fsum(base), math.fsum(score)))
-        cols = list(zip(*out)) if out else [[]] * len(names)
+            ws = t.as_py().lower().split()
+            x = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
+            row = (i, held, len(ws) + 1, int(np.count_nonzero(n[x])) + (ends > 0), total,
+                   float(base[x].sum()) + math.log10((ends + 1) / (total + distinct + 1)), float(lp[x].sum()) + end_lp)
+            for c, v in zip(cols, row):
+                c.append(v)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table({k: pa.array(c, t) for k, c, t in zip(names, cols, kinds)})
     return run
@@ -274,11 +278,11 @@ def score_documents(docs: DataFrame, vocabulary_path: str, held_out_modulus: int
     pieces = read_vocabulary(vocabulary_path)
 
     partial = map_arrow(d.select("body", (~F.col("held_out")).alias("train")), _count_words, _COUNTS)
-    counts = saved(partial.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    counts = kept(partial.groupBy("word").agg(F.sum("n").alias("n")))
     r = counts.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
     total, distinct = (r["n"] or 0) + ends, (r["v"] or 0) + (ends > 0)
     logp = train(counts, pieces, ends, steps)
-    words = saved(map_arrow(counts, _score_words(pieces, logp[:-1]), "h long, n long, lp double"), "lm-words")
+    words = kept(map_arrow(counts, _score_words(pieces, logp[:-1]), "h long, n long, lp double"))
 
     chunks = max(1, -(-n_bytes // chunk_bytes))
     parts = d.withColumn("chunk", F.pmod(F.xxhash64("id", "body"), F.lit(chunks))).repartition("chunk")
