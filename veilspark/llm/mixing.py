@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veilspark.llm.common import saved, text_or_empty, word_count
+from veilspark.llm.common import kept, saved, text_or_empty, word_count
 
 DIGIT_BITS = 12  # 4,096 buckets per histogram
 DIGITS = 5       # 60 hash bits: enough for any table
@@ -100,7 +100,7 @@ def _planned(docs: DataFrame, weights: tuple[int, ...], max_repeats: int) -> Dat
     """``docs`` plus ``__size, __source_size, __target, __copies``."""
     key = F.struct(F.col("source").isNull().alias("none"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name"))
     d = docs.withColumns({"__size": word_count(text_or_empty()), "__hash": F.xxhash64("doc_id", "text"), "__source": key})
-    plan = saved(d.select(F.col("__source").alias("source"), F.col("__hash").alias("hash"), F.col("__size").alias("size")), "mix-sizes")
+    plan = kept(d.select(F.col("__source").alias("source"), F.col("__hash").alias("hash"), F.col("__size").alias("size")))
     per_source = plan.groupBy("source").agg(F.sum("size").alias("source_size"))
     t = source_targets(per_source, weights, max_repeats)
     some = F.col("source_size") > 0

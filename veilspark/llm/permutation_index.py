@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilspark.llm.common import map_arrow, saved
+from veilspark.llm.common import kept, map_arrow
 
 PIVOTS = 128          # bounded sample that the index is fitted on
 PLACES = 64           # nearest pivots that represent a vector
@@ -115,16 +115,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = P
     by hash and meet every block of queries, so equal vectors spread over blocks;
     each block returns ``k`` rows per query.
     """
-    rows = saved(usable(vectors), "vectors")
+    rows = kept(usable(vectors))
     basis = fit_pivots(rows, pivots)
     spark = vectors.sparkSession
     if not basis.size:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     count, dim = basis.shape
     places = min(places, count)
-    index = saved(build_index(rows, basis, places), "index")
+    index = kept(build_index(rows, basis, places))
     asked = usable(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = saved(build_index(asked, basis, places), "queries")
+    asked = kept(build_index(asked, basis, places))
     blocks = max(1, -(-index.count() // block_rows))
     groups = max(1, -(-asked.count() // query_rows))
     data = index.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))

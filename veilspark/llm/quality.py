@@ -145,7 +145,7 @@ def classify(docs: DataFrame, model: QualityModel, columns: list[str], host: str
     as empty.  Repeated rows count each time.
     """
     site = {"__host": F.col(f"`{host}`").cast("string"), "__path": F.col(f"`{path}`").cast("string")}
-    seen = saved(with_evidence(docs.select("text", *[v.alias(k) for k, v in site.items()]), model, list(site), "p"), "evidence")
+    seen = with_evidence(docs.select("text", *[v.alias(k) for k, v in site.items()]), model, list(site), "p")
     sites, share = site_posteriors(seen)
     sites = sites.select(F.col("__host").alias("__h"), F.col("__path").alias("__p"), F.col("n").alias("__n"), F.col("s").alias("__s"),
                          F.col("host_posterior").alias("__hp"), F.col("strength").alias("__m"))
