@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
 import tempfile
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from pyspark.sql import types as T
 
 from veilspark.llm.common import map_arrow, text_or_empty
 
-TASK_WORDS = 400_000   # distinct words that a task keeps encodings of
+TASK_WORDS = 800_000   # distinct words that a task keeps encodings of
 STEP_WORDS = 50_000    # words per recursive query
 LONG_WORD = 256        # bytes; longer words are contracted with a heap, as a row per step would be quadratic
 DUCKDB_MEMORY = "300MB"
@@ -51,29 +54,30 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"l": pa.array(left, pa.int64()), "r": pa.array(right, pa.int64()), "m": pa.array(new, pa.int64())})
 
 
-# One step: of every word's neighbouring pairs that are in the merge table, the
-# one of least rank, the leftmost of equals; its left row becomes the new
-# token and its right row goes.  Ranks, positions and the right row's
-# position are packed into one number so that one minimum finds all three.
-# A word without such a pair is done.
+# A row is a token at its place: the word's number and the place in it are one
+# key, ``k``, place in the low 16 bits.  One step: of every word's neighbouring
+# pairs that are in the merge table, the one of least rank, the leftmost of
+# equals; its left row becomes the new token and its right row goes.  The rank and
+# both places are packed into one number so that one minimum finds all
+# three.  A word without such a pair is done.
 CONTRACT = """
-WITH RECURSIVE step(w, pos, tok, done) AS (
-  SELECT w, pos, tok, false FROM letters
+WITH RECURSIVE step(k, tok, done) AS (
+  SELECT (w::BIGINT << 16) + pos, tok, false FROM letters
   UNION ALL
-  SELECT s.w, s.pos, CASE WHEN s.pos = (best // 65536) % 65536 THEN (best // 4294967296)::INTEGER ELSE s.tok END, best IS NULL
+  SELECT s.k, CASE WHEN (s.k & 65535) = ((best >> 16) & 65535) THEN (best >> 32)::INTEGER ELSE s.tok END, best IS NULL
   FROM step s LEFT JOIN (
-    SELECT p.w, min(g.m * 4294967296 + p.pos * 65536 + p.next) AS best
-    FROM (SELECT w, pos::BIGINT AS pos, tok * 65536::BIGINT + lead(tok) OVER o AS pair, lead(pos) OVER o AS next
-          FROM step WHERE NOT done WINDOW o AS (PARTITION BY w ORDER BY pos)) p
-    JOIN merges g USING (pair) GROUP BY p.w) b ON s.w = b.w
-  WHERE NOT s.done AND (best IS NULL OR s.pos <> best % 65536)
+    SELECT (p.k >> 16) AS w, min((g.m << 32) + ((p.k & 65535) << 16) + (p.next & 65535)) AS best
+    FROM (SELECT k, (tok::BIGINT << 16) + lead(tok) OVER o AS pair, lead(k) OVER o AS next
+          FROM step WHERE NOT done WINDOW o AS (ORDER BY k)) p
+    JOIN merges g USING (pair) WHERE (p.k >> 16) = (p.next >> 16) GROUP BY (p.k >> 16)) b ON (s.k >> 16) = b.w
+  WHERE NOT s.done AND (best IS NULL OR (s.k & 65535) <> (best & 65535))
 )
-SELECT w, pos, tok FROM step WHERE done
+SELECT (k >> 16)::INTEGER AS w, (k & 65535)::INTEGER AS pos, tok FROM step WHERE done
 """
 
 ENCODE = """
-SELECT o.doc, flatten(list(w.ids ORDER BY o.place)) AS ids, unhex(string_agg(w.hex, '' ORDER BY o.place)) AS decoded
-FROM occurrences o JOIN words w ON o.w = w.w GROUP BY o.doc ORDER BY o.doc
+SELECT o.doc, flatten(list(w.ids ORDER BY o.place)) AS ids, string_agg(w.decoded, '' ORDER BY o.place) AS decoded
+FROM occurrences o JOIN words w ON o.w = w.w GROUP BY o.doc
 """
 
 DECODE = "SELECT doc, unhex(string_agg(hex, '' ORDER BY place)) AS decoded FROM ids JOIN tokens USING (tok) GROUP BY doc ORDER BY doc"
@@ -111,6 +115,17 @@ def contract_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class _Pieces(dict):
+    """Word numbers of the pieces after a space, found when first asked for."""
+
+    def __init__(self, encoder):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> tuple:
+        at = self[piece] = self.encoder._words_of(" " + piece)
+        return at
+
+
 class TaskEncoder:
     """Encodes texts; keeps the distinct words seen so far, up to a bound."""
 
@@ -120,6 +135,7 @@ class TaskEncoder:
 
         self.ranks = read_ranks(rank_lines)
         self.split = regex.compile(pattern).findall
+        self.spaced = regex.compile(r"\s ").search
         self.task_words = task_words
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": tempfile.gettempdir()})
         pairs = merge_table(self.ranks)
@@ -133,7 +149,8 @@ class TaskEncoder:
 
     def forget(self):
         self.known: dict[str, int] = {}
-        self.db.execute("CREATE OR REPLACE TABLE words (w INTEGER, ids INTEGER[], hex VARCHAR)")
+        self.pieces = _Pieces(self)
+        self.db.execute("CREATE OR REPLACE TABLE words (w INTEGER, ids INTEGER[], decoded VARCHAR)")
 
     def _learn(self, words: list[str], first: int) -> None:
         """Encode new words, numbered from ``first``, into the table of words."""
@@ -159,18 +176,31 @@ class TaskEncoder:
                 "tok": self.letter[flat]}))
             self.db.register("whole", pa.table({"w": pa.array(w, pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(tok, pa.int32())}))
             self.db.execute(f"""INSERT INTO words
-                SELECT w, list(tok ORDER BY pos), string_agg(hex, '' ORDER BY pos)
+                SELECT w, list(tok ORDER BY pos), decode(unhex(string_agg(hex, '' ORDER BY pos)))
                 FROM (SELECT * FROM ({CONTRACT}) UNION ALL SELECT * FROM whole) JOIN tokens USING (tok) GROUP BY w""")
 
+    def _numbers(self, text: str) -> np.ndarray:
+        """Numbers of the text's words.  A word ends before a space that follows
+        no white space, so texts without such a pair are cut there first and
+        every distinct piece is matched against the pattern once."""
+        if " " not in text or self.spaced(text):
+            return np.array(self._words_of(text), np.int32)
+        first, *rest = text.split(" ")
+        return np.fromiter(chain(self._words_of(first), chain.from_iterable(map(self.pieces.__getitem__, rest))), np.int32)
+
+    def _words_of(self, text: str) -> tuple:
+        known = self.known
+        return tuple([known.setdefault(w, len(known)) for w in self.split(text)])
+
     def encode(self, texts: list[str]) -> pa.Table:
         """``(doc, ids, decoded)`` for the texts that have any word, by their place in ``texts``."""
         if len(self.known) > self.task_words:
             self.forget()
-        known, first, numbers, size = self.known, len(self.known), [], []
-        for t in texts:
-            at = [known.setdefault(w, len(known)) for w in self.split(t)]
-            size.append(len(at))
-            numbers.append(np.array(at, np.int32))
+        if len(self.pieces) > 3 * self.task_words // 4:
+            self.pieces.clear()
+        known, first = self.known, len(self.known)
+        numbers = [self._numbers(t) for t in texts]
+        size = [len(x) for x in numbers]
         new = list(known)[first:] if len(known) > first else []
         self._learn(new, first)
         w = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
@@ -187,6 +217,16 @@ class TaskEncoder:
         return self.db.sql(DECODE).to_arrow_table()
 
 
+def worker_encoder(rank_lines: bytes, pattern: str, task_words: int) -> TaskEncoder:
+    """The worker process's encoder: a worker runs one task after the other, and
+    the words of earlier tasks stay known, up to the same bound."""
+    held = sys.modules.setdefault("_veilspark_bpe", ModuleType("_veilspark_bpe")).__dict__
+    key = hash((rank_lines, pattern, task_words))
+    if held.get("key") != key:
+        held["encoder"], held["key"] = TaskEncoder(rank_lines, pattern, task_words), key
+    return held["encoder"]
+
+
 def _scatter(n: int, places: pa.ChunkedArray, values: pa.ChunkedArray, empty) -> pa.Array:
     """``values`` at their ``places`` in a column of ``n`` rows, ``empty`` elsewhere."""
     back = np.full(n, len(values), np.int64)
@@ -194,19 +234,21 @@ def _scatter(n: int, places: pa.ChunkedArray, values: pa.ChunkedArray, empty) ->
     return pa.chunked_array([*values.chunks, pa.array([empty], values.type)]).take(pa.array(back)).combine_chunks()
 
 
-def bpe_encode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+def bpe_encode(docs: DataFrame, rank_path: str, pattern: str, task_words: int = TASK_WORDS, keep_words: bool = True) -> DataFrame:
     """``doc_id, ids, decoded`` for every row of ``docs``: the ids of the whole
     text without special tokens, and the bytes that they decode to.
 
     A null or empty text has no ids and decodes to no bytes.  Repeated rows
     and null ids give a row each; extra columns are ignored.  The rank file
-    (under 2 MB) travels to the tasks with the function.
+    (under 2 MB) travels to the tasks with the function.  A task keeps the
+    encodings of at most ``task_words`` words; with ``keep_words`` its Python
+    worker keeps them for the next task, which saves time and holds memory.
     """
     with open(rank_path, "rb") as f:
         lines = f.read()
 
     def run(batches):
-        encoder = TaskEncoder(lines, pattern)
+        encoder = (worker_encoder if keep_words else TaskEncoder)(lines, pattern, task_words)
         for b in batches:
             texts = b.column("body").to_pylist()
             r = encoder.encode(texts)
