@@ -7,10 +7,11 @@ densification, banded buckets, star-shaped candidate edges.
   so bins stay independent draws.
 * Bands of signature rows are bucket keys.  In a bucket every member is paired
   with a centre only, never all with all: pairs are linear in bucket size.
-* Pairs are confirmed on the full shingle sets.  A centre that is not similar
-  to some members says nothing about those members among themselves, so
-  rounds go on, with more centres each time, until no bucket holds two
-  members of different components that were not compared.
+* Pairs are confirmed on the full shingle sets.  The centre is the member that
+  shares most buckets with others, so nearly all links of a group are in
+  its star.  A centre that is not similar to some members says nothing about
+  those members among themselves, so rounds go on, each with the next centres of the
+  buckets that still hold different components, until two rounds in a row linked nothing new.
 * Documents with equal sets form one class before any of this; what crosses
   the network per copy is a key.
 
@@ -27,10 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilspark.llm.common import map_arrow, saved, text_or_empty
+from veilspark.llm.common import kept, map_arrow, saved, text_or_empty
 from veilspark.llm.components import stars
 
 BANDS, ROWS = 40, 5
+IDLE_ROUNDS = 2  # rounds in a row without a new link that end the search
 CACHE_WORDS = 300_000  # word hashes that a task remembers
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a 64-bit mixing function
@@ -160,19 +162,23 @@ def _sets(k: int):
     return run
 
 
-def _order(round_no: int) -> Column:
-    """Members of a bucket in an order that differs by bucket and round; its own inverse on the id."""
-    return F.shiftrightunsigned(F.xxhash64("bucket", F.lit(round_no)), 1)
+def _shared(members: DataFrame) -> DataFrame:
+    """``bucket, cid, weight`` of the buckets with several members.  The weight of a
+    member is the sum of its buckets' sizes: the more texts are like it, the larger."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    m = kept(members.join(sizes, "bucket"))
+    weight = m.groupBy("cid").agg(F.sum("size").alias("weight"))
+    return m.join(weight, "cid").select("bucket", "cid", "weight")
 
 
-def _centres(members: DataFrame, round_no: int) -> DataFrame:
-    """Up to ``2 ** (round_no - 1)`` members of each bucket of ``members(bucket, cid, comp)``."""
-    slots = 1 << (round_no - 1)
-    c = (members.groupBy("bucket", F.pmod(F.xxhash64("cid", F.lit(round_no)), F.lit(slots)).alias("slot"))
-         .agg(F.min(F.col("cid").bitwiseXOR(_order(round_no))).alias("o"), F.min("comp").alias("a"), F.max("comp").alias("b")))
-    if slots == 1:
-        c = c.where("a <> b")
-    return c.select("bucket", F.col("o").bitwiseXOR(_order(round_no)).alias("centre"))
+def _centres(members: DataFrame) -> DataFrame:
+    """``bucket, centre``: the heaviest member of each bucket of ``members(bucket,
+    cid, weight, comp)`` that holds several components.  The order is the same in all buckets, so the
+    buckets of a group agree on its centre and k documents give about k pairs; and the
+    heaviest is the text that most others are like, so one star links most of them."""
+    best = F.max(F.struct("weight", F.xxhash64("cid").alias("h"), "cid")).alias("best")
+    c = members.groupBy("bucket").agg(best, F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
+    return c.select("bucket", F.col("best.cid").alias("centre"))
 
 
 def _confirmed(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -181,8 +187,8 @@ def _confirmed(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int
         return df.select(F.col("cid").alias(name), *[F.col(c).alias(c + "_" + name) for c in cols])
 
     # sets of too different sizes can't reach it
-    fit = saved(pairs.join(side("u", sizes, ["n"]), "u").join(side("v", sizes, ["n"]), "v")
-                .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent).select("u", "v"), "pairs-fit")
+    fit = (pairs.join(side("u", sizes, ["n"]), "u").join(side("v", sizes, ["n"]), "v")
+           .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent).select("u", "v"))
     common = F.size(F.array_intersect("shingles_u", "shingles_v"))
     j = fit.join(side("u", sets, ["shingles"]), "u").join(side("v", sets, ["shingles"]), "v").withColumn("common", common)
     union = F.size("shingles_u") + F.size("shingles_v") - F.col("common")
@@ -201,40 +207,39 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     if none has an id), and it is kept only if none has.  Extra columns are ignored.
     """
     body = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().cast("binary").alias("body"))
-    sig = saved(map_arrow(body, _signatures(k, bands, rows), _SIGNATURES), "signatures")
+    sig = kept(map_arrow(body, _signatures(k, bands, rows), _SIGNATURES))
     some = sig.where("n > 0").withColumn("cid", F.coalesce("id", "nameless"))
     # classes of equal sets, named by their smallest id
-    classes = saved(some.groupBy("set_key").agg(F.min("id").alias("low"), F.max("n").alias("n"), F.max("nameless").alias("nameless"))
-                    .select("set_key", F.coalesce("low", "nameless").alias("cid"), "low", "n"), "classes")
+    classes = kept(some.groupBy("set_key").agg(F.min("id").alias("low"), F.max("n").alias("n"), F.max("nameless").alias("nameless"))
+                    .select("set_key", F.coalesce("low", "nameless").alias("cid"), "low", "n"))
     named = some.join(classes.select("cid", "set_key"), ["cid", "set_key"], "left_semi").select("cid", F.explode("keys").alias("bucket"))
-    members = saved(named, "bands").withColumn("comp", F.col("cid"))
-    centres = saved(_centres(members, 1), "centres")
     # only buckets with several members matter from here on
-    members = saved(members.join(centres.select("bucket"), "bucket", "left_semi").select("bucket", "cid"), "buckets")
+    members = saved(_shared(named), "buckets")
     sets = _candidate_sets(body, members, k)
-    star, compared, round_no = None, None, 1
-    while True:
-        now = _with_components(members, "cid", "comp", star)
-        if round_no > 1:
-            several = now.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-            now = saved(now.join(several.select("bucket"), "bucket", "left_semi"), "open")
-            if now.isEmpty():
-                break
-            centres = saved(_centres(now, round_no), "centres")
+    star, compared, asked, idle = None, None, None, 0
+    while idle < IDLE_ROUNDS:
+        now = members
+        if asked is not None:
+            # without the members that were centres of the bucket
+            now = members.join(asked.select("bucket", F.col("centre").alias("cid")), ["bucket", "cid"], "left_anti")
+        now = _with_components(now, "cid", "comp", star)
+        centres = saved(_centres(now), "centres")
         met = now.join(_with_components(centres, "centre", "centre_comp", star), "bucket").where("comp <> centre_comp")
         pairs = met.select(F.greatest("cid", "centre").alias("u"), F.least("cid", "centre").alias("v")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["u", "v"], "left_anti")
         pairs = saved(pairs, "pairs")
+        links = saved(_confirmed(pairs, classes.select("cid", "n"), sets, percent), "links")
+        if links.isEmpty():
+            idle += 1
+        else:
+            # a link between two components makes them one
+            star, idle = stars(links if star is None else links.unionByName(star)), 0
         compared = pairs if compared is None else compared.unionByName(pairs)
-        links = _confirmed(pairs, classes.select("cid", "n"), sets, percent)
-        star = stars(links if star is None else links.unionByName(star))
         # a centre has now been compared with every other component of its bucket
-        members = saved(now.select("bucket", "cid").join(
-            centres.select("bucket", F.col("centre").alias("cid")), ["bucket", "cid"], "left_anti"), "rest")
-        round_no += 1
+        asked = centres if asked is None else asked.unionByName(centres)
     c = _with_components(classes.select("set_key", "cid", "low"), "cid", "comp", star)
-    c = saved(c.join(c.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("set_key", "component"), "components")
+    c = kept(c.join(c.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("set_key", "component"))
     comp = F.coalesce("component", "id")
     return sig.select("id", "n", "set_key").join(c, "set_key", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), comp.alias("component_id"),
@@ -250,10 +255,12 @@ def _with_components(df: DataFrame, node: str, name: str, star: DataFrame | None
 
 def _candidate_sets(body: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """The full shingle sets of the classes that share a bucket."""
-    ids = saved(members.select("cid").distinct(), "candidates")
-    with_id = map_arrow(body.join(ids.withColumnRenamed("cid", "id"), "id", "left_semi"), _sets(k), _SETS)
+    ids = members.select("cid").distinct()
+    with_id = map_arrow(body.join(ids.withColumnRenamed("cid", "id").hint("merge"), "id", "left_semi"), _sets(k), _SETS)
     without = map_arrow(body.where("id is null"), _sets(k), _SETS).join(ids, "cid", "left_semi").dropDuplicates(["cid"])
-    return saved(with_id.unionByName(without), "sets")
+    # dealt by id once: every round's joins then move pairs, not sets
+    parts = int(body.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return kept(with_id.unionByName(without).repartition(parts, "cid"))
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
