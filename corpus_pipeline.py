@@ -37,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every row."""
     # smaller tables, as the executors hold what the stages before have left in their heaps
-    ids = bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, task_words=200_000, keep_words=False)
+    ids = bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, task_words=50_000, keep_words=False)
     return bpe.token_digests(ids)
 
 
