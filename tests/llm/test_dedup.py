@@ -98,6 +98,37 @@ def test_near_components_rounds(spark):
     assert rows_of(got, "doc_id", "component_id") == sorted(near_components(rows, 2).items(), key=repr)
 
 
+def test_near_components_until_no_open_pair(spark):
+    """Pairs of similar texts in one large bucket of texts that are not similar to them, and rounds that link nothing before they meet."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(30):
+        w = base + [f"own{i}x{j}" for j in range(30)]
+        rows.append((100 + i, " ".join(w)))
+    for i in range(3):  # the light pairs
+        w = base + [f"pair{i}x{j}" for j in range(30)]
+        rows += [(10 + i, " ".join(w)), (50 + i, " ".join(w[:-rng.randrange(1, 4)]))]
+    want = near_components(rows, 2)
+    assert sum(a != b for a, b in want.items()) == 3
+    for rows_of_band in (1, 2):
+        sigs = [near_dedup.OnePermutation(1, rows_of_band).band_keys(near_dedup.shingle_set(t.encode(), 2, near_dedup._WordHashes()))[0] for _, t in rows]
+        got = near_dedup.near_components(docs(spark, rows), k=2, bands=1, rows=rows_of_band)
+        same = {i: s for (i, _), s in zip(rows, sigs)}
+        sure = {i: (c if same[i] == same[c] else i) for i, c in want.items()}
+        assert rows_of(got, "doc_id", "component_id") == sorted(sure.items(), key=repr)
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(1)
+    for size in (1, 30, 300, 5000):
+        for share in (0.0, 0.5, 0.8, 0.95, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            b = np.unique(np.r_[a[:int(size * share)], rng.integers(0, 1 << 63, int(size * (1 - share)) + 1, dtype=np.uint64)])
+            cells = sum(bin(int(x)).count("1") for x in (near_dedup.sketch(a) ^ near_dedup.sketch(b)).view(np.uint64))
+            assert cells <= len(np.setxor1d(a, b))
+
+
 def test_near_components_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, " \t "), (4, "Hello"), (5, "hello"), (6, "hello there"), (7, long), (8, long + " end"), (None, long + " end end"), (4, "Hello")]

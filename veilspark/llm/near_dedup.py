@@ -10,8 +10,12 @@ densification, banded buckets, star-shaped candidate edges.
 * Pairs are confirmed on the full shingle sets.  The centre is the member that
   shares most buckets with others, so nearly all links of a group are in
   its star.  A centre that is not similar to some members says nothing about
-  those members among themselves, so rounds go on, each with the next centres of the
-  buckets that still hold different components, until two rounds in a row linked nothing new.
+  those members among themselves, so rounds go on, each with more of the untried members of
+  the buckets that still hold different components as centres, until no bucket holds a pair of
+  different components that was not compared.
+* After the first round a pair is only confirmed where two exact bounds let it reach the
+  threshold: the ratio of the sizes, and the parities of the shingles per cell of a
+  sketch, which differ in at most as many cells as the sets differ in shingles.
 * Documents with equal sets form one class before any of this; what crosses
   the network per copy is a key.
 
@@ -32,7 +36,8 @@ from veilspark.llm.common import kept, map_arrow, saved, text_or_empty
 from veilspark.llm.components import stars
 
 BANDS, ROWS = 40, 5
-IDLE_ROUNDS = 2  # rounds in a row without a new link that end the search
+GROWTH = 4  # times as many centres a bucket in each round as in the one before
+SKETCH_WORDS = 8  # 64-bit words of parities
 CACHE_WORDS = 300_000  # word hashes that a task remembers
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a 64-bit mixing function
@@ -109,9 +114,17 @@ class OnePermutation:
         return key.view(np.int64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in ``64 * SKETCH_WORDS`` cells, as 64-bit words."""
+    cells = (shingles % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 _SIGNATURES = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("set_key", T.BinaryType()),
-    T.StructField("nameless", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    T.StructField("nameless", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())),
+    T.StructField("sketch", T.ArrayType(T.LongType()))])
 _SETS = T.StructType([T.StructField("cid", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
 
@@ -134,16 +147,17 @@ def _signatures(k: int, bands: int, rows: int):
     def run(batches):
         hashes, oph = _WordHashes(), OnePermutation(bands, rows)
         for b in batches:
-            n, key, nameless, keys = [], [], [], []
+            n, key, nameless, keys, sketches = [], [], [], [], []
             for t in b.column("body"):
                 s = shingle_set(t.as_py(), k, hashes)
                 n.append(len(s))
                 key.append(_set_key(s))
                 nameless.append(_nameless(s))
                 keys.append(oph.band_keys(s) if len(s) else np.empty(0, np.int64))
+                sketches.append(sketch(s))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(nameless, pa.int64()), _lists(keys)],
-                ["id", "n", "set_key", "nameless", "keys"])
+                [b.column("id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(nameless, pa.int64()), _lists(keys), _lists(sketches)],
+                ["id", "n", "set_key", "nameless", "keys", "sketch"])
     return run
 
 
@@ -171,14 +185,27 @@ def _shared(members: DataFrame) -> DataFrame:
     return m.join(weight, "cid").select("bucket", "cid", "weight")
 
 
-def _centres(members: DataFrame) -> DataFrame:
-    """``bucket, centre``: the heaviest member of each bucket of ``members(bucket,
-    cid, weight, comp)`` that holds several components.  The order is the same in all buckets, so the
-    buckets of a group agree on its centre and k documents give about k pairs; and the
-    heaviest is the text that most others are like, so one star links most of them."""
+def _with_centres(members: DataFrame, width: int) -> DataFrame:
+    """The rows of ``members(bucket, cid, weight, comp)`` whose bucket holds several
+    components, and whether they are its ``centre``: the heaviest member, and about ``width - 1``
+    others.  The order is the same in all buckets, so the buckets of a group agree on its
+    centres and k documents give about k pairs for each; and the heaviest is the text
+    that most others are like, so one star links most of them."""
     best = F.max(F.struct("weight", F.xxhash64("cid").alias("h"), "cid")).alias("best")
-    c = members.groupBy("bucket").agg(best, F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-    return c.select("bucket", F.col("best.cid").alias("centre"))
+    b = (members.groupBy("bucket").agg(best, F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("rows"))
+         .where("a <> b").select("bucket", F.col("best.cid").alias("best"), "rows"))
+    place = F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    centre = (F.col("cid") == F.col("best")) | (place * F.col("rows") < width - 1)
+    return members.join(b, "bucket").withColumn("centre", centre).drop("best", "rows")
+
+
+def _may_reach(percent: int) -> Column:
+    """Whether two sets of ``n, n_centre`` shingles can have ``100 * common >= percent * union``, by exact
+    bounds: ``common`` is at most the smaller size, and sketches differ in at most
+    ``n + n_centre - 2 * common`` cells."""
+    cells = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("sketch_centre")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    sizes = F.least("n", "n_centre") * 100 >= F.greatest("n", "n_centre") * percent
+    return sizes & (cells * (100 + percent) <= (F.col("n") + F.col("n_centre")) * (100 - percent))
 
 
 def _confirmed(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -210,34 +237,38 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     sig = kept(map_arrow(body, _signatures(k, bands, rows), _SIGNATURES))
     some = sig.where("n > 0").withColumn("cid", F.coalesce("id", "nameless"))
     # classes of equal sets, named by their smallest id
-    classes = kept(some.groupBy("set_key").agg(F.min("id").alias("low"), F.max("n").alias("n"), F.max("nameless").alias("nameless"))
-                    .select("set_key", F.coalesce("low", "nameless").alias("cid"), "low", "n"))
+    classes = kept(some.groupBy("set_key").agg(F.min("id").alias("low"), F.max("n").alias("n"), F.max("nameless").alias("nameless"),
+                                                   F.first("sketch").alias("sketch"))
+                    .select("set_key", F.coalesce("low", "nameless").alias("cid"), "low", "n", "sketch"))
     named = some.join(classes.select("cid", "set_key"), ["cid", "set_key"], "left_semi").select("cid", F.explode("keys").alias("bucket"))
     # only buckets with several members matter from here on
     members = saved(_shared(named), "buckets")
     sets = _candidate_sets(body, members, k)
-    star, compared, asked, idle = None, None, None, 0
-    while idle < IDLE_ROUNDS:
-        now = members
-        if asked is not None:
-            # without the members that were centres of the bucket
-            now = members.join(asked.select("bucket", F.col("centre").alias("cid")), ["bucket", "cid"], "left_anti")
-        now = _with_components(now, "cid", "comp", star)
-        centres = saved(_centres(now), "centres")
-        met = now.join(_with_components(centres, "centre", "centre_comp", star), "bucket").where("comp <> centre_comp")
-        pairs = met.select(F.greatest("cid", "centre").alias("u"), F.least("cid", "centre").alias("v")).distinct()
+    star, compared, width = None, None, 1
+    while True:
+        now = saved(_with_centres(_with_components(members, "cid", "comp", star), width), "open")
+        if now.isEmpty():
+            break
+        centres = now.where("centre").select("bucket", F.col("cid").alias("v"), F.col("comp").alias("comp_v"),
+                                             *[F.col(c).alias(c + "_centre") for c in ("n", "sketch") if c in now.columns])
+        met = now.join(centres, "bucket").where("comp <> comp_v")
+        if "sketch" in now.columns:
+            met = met.where(_may_reach(percent))
+        pairs = met.select(F.greatest("cid", "v").alias("u"), F.least("cid", "v").alias("v")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["u", "v"], "left_anti")
         pairs = saved(pairs, "pairs")
         links = saved(_confirmed(pairs, classes.select("cid", "n"), sets, percent), "links")
-        if links.isEmpty():
-            idle += 1
-        else:
+        if not links.isEmpty():
             # a link between two components makes them one
-            star, idle = stars(links if star is None else links.unionByName(star)), 0
+            star = stars(links if star is None else links.unionByName(star))
         compared = pairs if compared is None else compared.unionByName(pairs)
-        # a centre has now been compared with every other component of its bucket
-        asked = centres if asked is None else asked.unionByName(centres)
+        # a centre has now been compared with every other component of its bucket; components only
+        # grow, so a bucket that holds one is done
+        members = now.where("not centre").drop("centre", "comp")
+        if "sketch" not in members.columns:
+            members = members.join(classes.select("cid", "n", "sketch"), "cid")
+        width *= GROWTH
     c = _with_components(classes.select("set_key", "cid", "low"), "cid", "comp", star)
     c = kept(c.join(c.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("set_key", "component"))
     comp = F.coalesce("component", "id")
