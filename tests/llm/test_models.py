@@ -135,6 +135,14 @@ def test_toxicity_features():
     assert len(toxicity.features(b"", lex)) == len(toxicity.FEATURES)
 
 
+def test_capital_words_count_in_every_text():
+    """A shouted sentence within a longer text in small letters."""
+    text = ("the quiet part of a text goes on and on " * 10 + "GO AWAY NOW " + "and goes on " * 10).encode()
+    n = len(text.split())
+    assert dict(zip(toxicity.FEATURES, toxicity.features(text, toxicity.Lexicon([]))))["capital word rate"] == pytest.approx(3 / n)
+    assert dict(zip(quality.FEATURES, quality.features(text)))["capital word share"] == pytest.approx(3 / n)
+
+
 def test_quality_held_out(spark):
     d, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     r = quality.classify(d, quality.fit(d, labels), ["doc_id"]).join(labels, "doc_id").toPandas()

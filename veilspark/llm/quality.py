@@ -45,7 +45,7 @@ def features(text: bytes) -> list[float]:
     upper = count_of(text, LOWER)
     lines = text.split(b"\n")
     return [math.log1p(n), letters / n, len(counts) / n, sum(map(bytes.__eq__, raw, raw[1:])) / n, max(counts.values(), default=0) / n,
-            upper / letters, (sum(map(bytes.isupper, raw)) if upper * 4 > letters else 0) / n, count_of(text, PUNCTUATION) / size,
+            upper / letters, (sum(map(bytes.isupper, raw)) if upper else 0) / n, count_of(text, PUNCTUATION) / size,
             count_of(text, DIGITS) / size, count_of(text, SIGNS) / size, text.count(b"|") / n, (text.count(b".") + text.count(b"!") + text.count(b"?")) / n,
             text.count(b",") / n, len(lines) / n, 1 - len(set(lines)) / len(lines), sum(1 for w, c in counts.items() if len(w) == 1 for _ in range(c)) / n,
             1 - len(text.decode("utf-8", "replace")) / size]

@@ -77,7 +77,7 @@ def features(text: bytes, lexicon: Lexicon) -> list[float]:
                 hidden += lexicon.holds(core.translate(REVEALED, SEPARATORS))
     letters, size = count_of(text, LETTERS) or 1, len(text) or 1
     upper = count_of(text, LOWER)
-    capital_words = sum(map(bytes.isupper, raw)) if upper * 4 > letters else 0
+    capital_words = sum(map(bytes.isupper, raw)) if upper else 0
     odd = len(words) - n  # words cut by signs or digits
     return [len(hits) / n, math.log1p(len(hits)), hidden / n, near / n, sum(map(SECOND_PERSON.__contains__, words)) / n,
             upper / letters, capital_words / n, text.count(b"!") / size, text.count(b"?") / size,
