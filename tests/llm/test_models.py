@@ -64,6 +64,24 @@ def test_lattice_sums_all_segmentations():
     assert math.isfinite(lat.forward("ab" * 5000))
 
 
+def test_lattice_counts_of_improbable_words():
+    """Words whose probability leaves the range of floating-point numbers at the first step's weights."""
+    pieces = lattice.read_vocabulary(VOCABULARY)
+    logp = -np.log(np.arange(len(pieces)) + 2.7)
+    lat = lattice.Lattice(pieces, logp - np.log(np.exp(logp).sum()))
+    single = set(pieces)
+    listed3 = next(c for c in map(chr, range(0x4E00, 0x9FFF)) if c in single)
+    unlisted3 = next(c for c in map(chr, range(0x9FFF, 0x4E00, -1)) if c not in single)
+    unlisted4 = next(c for c in map(chr, range(0x20000, 0x2A000)) if c not in single)
+    for c in (listed3, unlisted3, unlisted4, listed3 + unlisted4, "a" + unlisted4, unlisted4 * 17 + "a" * 40):
+        for n in (1, 10, 15, 16, 17, 18, 20, 21, 22, 23, 24, 30, 40, 60, 79):
+            w = (c * n)[:max(n, 57 if len(c) > 2 else 0)]
+            got, want = [0.0] * len(pieces), [0.0] * len(pieces)
+            lat.expect(w, 7, got)
+            lat._expect_long(w, 7, want)
+            assert all(map(math.isfinite, got)) and got == pytest.approx(want, rel=1e-6)
+
+
 def test_lm_scores(spark):
     t = documents(SF)
     rows = list(zip(t.doc_id.tolist(), t.text)) + [(None, "the zzzzqq"), (5000, None), (5001, ""), (5002, "x" * 20_000), (0, t.text[0])]

@@ -29,7 +29,8 @@ CHUNK_BYTES = 16 << 20  # of text scored together
 TASK_WORDS = 300_000    # distinct words that a task counts before it hands them on
 START = "▁"        # fixed value: the mark of a word's start in the vocabulary
 LOG10 = math.log(10)
-PLAIN_CHARS, CHAR_SCALE = 80, 3.0  # words up to this length need no logarithms, at this scale per character
+PLAIN_CHARS, CHAR_SCALE = 80, 3.0  # words up to this length are tried without logarithms, at this scale per character
+PLAIN_LEAST = 1e-280  # a smaller sum at any place of a word is worked out by logarithms
 
 
 def read_vocabulary(path: str) -> list[str]:
@@ -88,7 +89,8 @@ class Lattice:
 
     def expect(self, word: str, weight: float, counts: list[float]) -> None:
         """Add the expected number of each piece in ``weight`` copies of the
-        word, by forward and backward sums; usual words without logarithms."""
+        word, by forward and backward sums; without logarithms where no sum comes
+        near the smallest numbers that keep all their digits."""
         n = len(word) + 1
         if n > PLAIN_CHARS:
             return self._expect_long(word, weight, counts)
@@ -97,6 +99,9 @@ class Lattice:
         f[0] = 1.0
         for i, j, e in edges:
             f[j] += f[i] * e[2]
+        # every place is reached; a backward sum is at most the weight over the forward sum
+        if min(f) < PLAIN_LEAST:
+            return self._expect_long(word, weight, counts)
         b = [0.0] * (n + 1)
         b[n] = weight / f[n]
         for i, j, e in reversed(edges):
