@@ -161,6 +161,41 @@ def test_spans_and_sanitised_texts(spark):
         assert clean[i] == (want if want != t else None)
 
 
+def whole_text_terms(rows, generalise):
+    """Shares by plain counting over whole texts."""
+    words = lambda t: set(re.findall(r"[^\W_]+", t.lower()))
+    n_t, n_e, n_te, texts = Counter(), Counter(), Counter(), defaultdict(set)
+    for _, t in rows:
+        n_t.update(words(t))
+        plain = {"email": str.lower, "ip": str}
+        found = {f"{k}:{plain.get(k, lambda v: re.sub('[^0-9]', '', v))(t[a:b])}" for k, v in brute_spans(t).items() for a, b in v}
+        n_e.update(found)
+        for e in found:
+            for w in words(t):
+                n_te[(e, w)] += 1
+                texts[(e, w)].add(t)
+    share = {(e, w): log2(len(rows) * c / (n_t[w] * n_e[e])) / log2(len(rows) / n_e[e]) for (e, w), c in n_te.items() if len(texts[(e, w)]) >= 2}
+    return {k: v for k, v in share.items() if v >= generalise}
+
+
+def test_terms_of_whole_texts(spark):
+    """Terms far from the mention, near in some texts only, short ones, CJK names and codes."""
+    far = " ".join(["wordaa wordbb wordcc worddd"] * 12)
+    own = [f"Quenya report {far} write ann@site.org {far} Li Bo", f"Quenya note ann@site.org {far} 王小明 {far} Li Bo", f"{far} 王小明 K7 X99Z ann@site.org {far} K7 X99Z quenya li bo"]
+    rows = list(enumerate([t for _, t in corpus()] + own + [f"{own[2]} K7 X99Z"]))
+    d = docs(spark, rows)
+    base = sanitise.base_spans(d)
+    for generalise in (0.2, 0.7):
+        want = whole_text_terms(rows, generalise)
+        got = {(r["entity"], r["term"]): r["share"] for r in sanitise.disclosing_terms(d, base, generalise=generalise, whole=True).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert {w for e, w in want if e == "email:ann@site.org"} >= {"quenya", "li", "bo", "王小明", "k7", "x99z"}
+    spans = {r["doc_id"]: r["terms"] for r in sanitise.find_spans(d).collect()}
+    for i, t in rows[-4:]:
+        marked = {t[s["start"]:s["end"]] for s in spans[i]}
+        assert {w for w in re.findall(r"[^\W_]+", t) if w.lower() in ("quenya", "li", "bo", "王小明", "k7", "x99z")} <= marked
+
+
 def test_pii_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "a@b.c"), (4, "word " * 60_000 + "a@b.c")]
     got = sanitise.span_digests(sanitise.find_spans(docs(spark, rows))).collect()

@@ -1,16 +1,17 @@
 """Information-theoretic sanitisation of personal data, built-in functions only.
 
 Patterns find the protected entities: mail addresses, IP addresses, card and
-phone numbers.  Words near an entity may give it away too.  How strongly is
+phone numbers.  Other words of its documents may give an entity away too.  How strongly is
 estimated from the corpus: with ``p`` over documents, the information that a
 term ``t`` gives about an entity ``e`` is ``log2(p(t, e) / (p(t) p(e)))``, and
 its share of the entity's whole information ``-log2 p(e)`` is 1 for a term that
 occurs nowhere else.  Terms above one threshold are removed from the entity's
 documents, terms above a lower one are generalised.
 
-A term counts with an entity when it stands within ``WINDOW`` characters of a
-mention, and needs two different texts in which it does.  Document counts of
-terms and entities are over all documents, with partial sums before every shuffle.
+A term is a run of letters, marks and digits.  It counts with an entity in every
+document that holds both, wherever it stands, and needs two different texts in which
+it does.  Document counts of terms and entities are over all documents, with partial
+sums before every shuffle.  :func:`disclosing_terms` alone can be held to long words near a mention.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from veilspark.llm.common import saved, text_or_empty
 
-WINDOW = 100       # characters on either side of a mention
-SUPPORT = 2        # different texts in which a term stands near an entity
+WINDOW = 100       # characters on either side of a mention, where only words near one count
+SUPPORT = 2        # different texts in which a term stands with an entity
 REMOVE, GENERALISE = 0.9, 0.7  # shares of an entity's information
 
 KINDS = ("email", "ip", "card", "phone")
@@ -35,7 +36,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20\-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9\-]+[0-9]",
 }
-WORD = r"\p{L}{4,}+"
+WORD = r"\p{L}{4,}+"  # a term near a mention
+TERMS = r"[\p{L}\p{M}\p{N}]++"  # a term of a whole text
 
 SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
@@ -100,12 +102,24 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return saved(d.withColumn("body", F.when(some, t)), "pii-base")
 
 
+def _name(kind: str, value: Column) -> Column:
+    """The entity that a mention names."""
+    plain = {"email": F.lower, "ip": lambda v: v, "card": _digits, "phone": _digits}[kind]
+    return F.concat(F.lit(kind + ":"), plain(value))
+
+
+def _names() -> Column:
+    """The distinct entities of a row."""
+    def names(kind):
+        return F.transform(kind, lambda s: _name(kind, s["value"]))
+
+    return F.array_distinct(F.concat(*[names(k) for k in KINDS]))
+
+
 def mentions(base: DataFrame) -> DataFrame:
     """``row, entity, text_key, near``: one row per mention; ``near`` is the text around it."""
     def entities(kind):
-        plain = {"email": F.lower, "ip": lambda v: v, "card": _digits, "phone": _digits}[kind]
-        return F.transform(kind, lambda s: F.struct(
-            F.concat(F.lit(kind + ":"), plain(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
+        return F.transform(kind, lambda s: F.struct(_name(kind, s["value"]).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
 
     lists = [entities(k) for k in KINDS]
     m = base.where(F.col("body").isNotNull()).select("row", "body", F.explode(F.concat(*lists)).alias("m"))
@@ -118,19 +132,44 @@ def mentions(base: DataFrame) -> DataFrame:
     return m.select("row", F.col("m.entity").alias("entity"), F.xxhash64("body").alias("text_key"), F.concat_ws(" ", before, after).alias("near"))
 
 
-def _words(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+def _words(text: Column, pattern: str = WORD) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0)))
+
+
+def _near_pairs(base: DataFrame, support: int) -> DataFrame:
+    """``entity, term, n_te``: words near a mention, in how many rows."""
+    near = mentions(base).select("row", "entity", F.col("text_key"), F.explode(_words(F.col("near"))).alias("term")).distinct()
+    return (near.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
+            .groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("texts"))
+            .where(F.col("texts") >= support).select("entity", "term", "n_te"))
+
+
+def _whole_pairs(base: DataFrame, support: int) -> DataFrame:
+    """``entity, term, n_te``: terms of whole texts, in how many rows with the entity.  A row has each
+    of its terms and entities once, so rows are counted before the shuffle, by both: a frequent entity spreads over its terms."""
+    rows = base.where(F.col("body").isNotNull()).select(
+        _names().alias("names"), F.xxhash64("body").alias("text_key"), F.explode(_words(F.col("body"), TERMS)).alias("term"))
+    pairs = rows.select(F.explode("names").alias("entity"), "term", "text_key").groupBy("entity", "term")
+    if support > 2:
+        counted = pairs.agg(F.count("*").alias("n_te"), F.count_distinct("text_key").alias("texts")).where(F.col("texts") >= support)
+    else:
+        counted = pairs.agg(F.count("*").alias("n_te"), F.min("text_key").alias("a"), F.max("text_key").alias("b"))
+        counted = counted.where("a <> b") if support == 2 else counted
+    return counted.select("entity", "term", "n_te")
+
+
+def _entities(base: DataFrame) -> DataFrame:
+    """``row, entity``: the distinct entities of every row."""
+    return base.where(F.col("body").isNotNull()).select("row", F.explode(_names()).alias("entity"))
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, remove: float = REMOVE, generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
-    """``entity, term, share, remove``: the terms that disclose an entity."""
-    m = saved(mentions(base).select("row", "entity", "text_key", _words(F.col("near")).alias("terms")), "pii-mentions")
-    near = m.select("row", "entity", "text_key", F.explode("terms").alias("term")).distinct()
-    pairs = near.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    pairs = saved(pairs.select("entity", "term", "n_te"), "pii-pairs")
-    n_e = m.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_t = docs.select(F.explode(_words(text_or_empty())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+def disclosing_terms(docs: DataFrame, base: DataFrame, remove: float = REMOVE, generalise: float = GENERALISE, support: int = SUPPORT,
+                     whole: bool = False) -> DataFrame:
+    """``entity, term, share, remove``: the terms that disclose an entity; of the ``whole`` texts
+    of its documents, or else the long words near its mentions."""
+    pairs = saved(_whole_pairs(base, support) if whole else _near_pairs(base, support), "pii-pairs")
+    n_e = _entities(base).groupBy("entity").agg(F.count("*").alias("n_e"))
+    n_t = docs.select(F.explode(_words(text_or_empty(), TERMS if whole else WORD)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.count()
     j = pairs.join(n_t, "term").join(n_e, "entity")
     given = F.log2(F.lit(float(max(total, 1))) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
@@ -148,16 +187,16 @@ def find_spans(docs: DataFrame, remove: float = REMOVE, generalise: float = GENE
     Repeated rows and null ids give a row each and count each time.  Extra columns are ignored.
     """
     base = base_spans(docs)
-    terms = disclosing_terms(docs, base, remove, generalise, support)
+    terms = disclosing_terms(docs, base, remove, generalise, support, whole=True)
     # one list per entity, so that a frequent entity meets its documents as one row
     lists = saved(terms.groupBy("entity").agg(F.collect_set(F.struct("term", "remove")).alias("found")), "pii-terms")
-    per_row = (mentions(base).select("row", "entity").distinct().join(lists, "entity")
+    per_row = (_entities(base).join(lists, "entity")
                .groupBy("row").agg(F.flatten(F.collect_list("found")).alias("found")))
     t = base.select("row", "body", *KINDS).join(per_row, "row")
     names = F.array_distinct(F.transform("found", lambda x: x["term"]))
     gone = F.array_distinct(F.transform(F.filter("found", lambda x: x["remove"]), lambda x: x["term"]))
     t = t.select("row", *KINDS, "body", names.alias("names"), gone.alias("gone"))
-    places = matches(F.col("body"), WORD, lambda m: F.array_contains(F.col("names"), F.lower(m)), F.lit(True))
+    places = matches(F.col("body"), TERMS, lambda m: F.array_contains(F.col("names"), F.lower(m)), F.lit(True))
     protected = F.concat(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS])
     t = t.select("row", protected.alias("protected"), "gone", places.alias("places"))
     free = F.filter("places", lambda s: ~F.exists("protected", lambda p: (s["start"] < p["end"]) & (p["start"] < s["end"])))
