@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mix", "bpe"]
 
@@ -28,7 +28,8 @@ def test_every_operator_is_registered():
 def test_query_matches_oracle(spark, name):
     got = E.queries()[name](spark, SF)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "labels", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cols = sorted(got.columns)
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLES[name]})").fetchall()
     assert rows_of(got, *cols) == sorted(want, key=repr)
@@ -84,7 +85,7 @@ def test_run_is_the_stages_in_turn(spark):
 def test_empty_tables(spark):
     """Every query and the pipeline give an empty result for empty tables."""
     folder = tempfile.mkdtemp(prefix="veilspark-empty-")
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         table(spark, "/root/testdata/sf0.001", t).limit(0).write.parquet(f"{folder}/{t}.parquet")
     for name in [*queries.QUERIES, "pipeline"]:
         assert E.queries()[name](spark, folder).collect() == [], name
