@@ -76,6 +76,12 @@ def test_contamination_of_dense_texts(spark, seed):
     assert rows_of(got, "doc_id", "n_words", "n_hit", "n_items", "items") == brute_contamination(rows, items, 6)
 
 
+def test_many_items_are_met_by_salted_joins(spark, monkeypatch):
+    monkeypatch.setattr(positional_index, "BROADCAST_ROWS", 0)
+    got = positional_index.contamination(docs(spark, TEXTS), items_frame(spark, ITEMS))
+    assert rows_of(got, "doc_id", "n_words", "n_hit", "n_items", "items") == brute_contamination(TEXTS, ITEMS)
+
+
 def test_no_items_or_no_documents(spark):
     none = items_frame(spark, ITEMS).limit(0)
     got = positional_index.contamination(docs(spark, TEXTS), none)

@@ -28,6 +28,9 @@ WINDOW = 10  # words of an item that make a hit
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+BROADCAST_ROWS = 500_000  # rows of two or three numbers that are sent to every executor; a larger side is met by a shuffle
+SALTS = 32                # parts that each term's postings are dealt to then
+
 DOC = ["d1", "d2"]  # a document: its id and a hash of its text, so that repeated ids with other texts stay apart
 
 
@@ -71,6 +74,16 @@ def _ranked(index: PositionalIndex, phrases: DataFrame) -> DataFrame:
     return per.where(F.size("terms") == F.col("len")).drop("len")
 
 
+def _of_terms(postings: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
+    """``postings`` joined with ``side`` by term.  A ``side`` of counted, bounded size goes to the postings; a
+    larger one is copied per part of a term's postings, as one term may hold a third of them."""
+    if side.count() <= BROADCAST_ROWS:
+        return postings.join(F.broadcast(side), "term", how)
+    salted = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = F.pmod(F.hash(*DOC, "pos"), F.lit(SALTS))
+    return postings.withColumn("__salt", own).join(salted, ["term", "__salt"], how).drop("__salt")
+
+
 def _at(terms: str, i: int, *names: str) -> list[Column]:
     return [F.col(terms)[i][n].alias(n) for n in names]
 
@@ -82,17 +95,16 @@ def phrase_matches(index: PositionalIndex, phrases: DataFrame) -> DataFrame:
     on = ["term", *DOC, "pos"]
 
     first = plan.select("phrase", *_at("terms", 0, "term", "off"))
-    places = kept(index.postings.join(first, "term").select("phrase", *DOC, (F.col("pos") - F.col("off")).alias("start")).where("start >= 0").distinct())
+    places = kept(_of_terms(index.postings, first).select("phrase", *DOC, (F.col("pos") - F.col("off")).alias("start")).where("start >= 0").distinct())
     # the second rarest term, of phrases that have one
     second = plan.where(F.size("terms") > 1).select("phrase", *_at("terms", 1, "term", "off"))
     asked = places.join(second, "phrase").select("phrase", "start", "term", *DOC, (F.col("start") + F.col("off")).alias("pos"))
-    lists = index.postings.join(second.select("term").distinct(), "term", "left_semi")
+    lists = _of_terms(index.postings, second.select("term").distinct(), "left_semi")
     two = kept(asked.join(lists, on, "left_semi").select("phrase", *DOC, "start"))
     # all others at once: a place stays if each of them is met
     rest = plan.where(F.size("terms") > 2).select("phrase", F.explode(F.slice(F.col("terms"), F.lit(3), F.size("terms"))).alias("t"), (F.size("terms") - 2).alias("need"))
     asked = two.join(rest, "phrase").select("phrase", "start", "need", F.col("t.term").alias("term"), *DOC, (F.col("start") + F.col("t.off")).alias("pos"))
-    lists = index.postings.join(rest.select(F.col("t.term").alias("term")).distinct(), "term", "left_semi")
-    all_met = (asked.join(lists, on, "left_semi").groupBy("phrase", *DOC, "start", "need").agg(F.count(F.lit(1)).alias("met"))
+    all_met = (asked.join(index.postings, on, "left_semi").groupBy("phrase", *DOC, "start", "need").agg(F.count(F.lit(1)).alias("met"))
                .where("met = need").select("phrase", *DOC, "start"))
     short = plan.select("phrase", F.size("terms").alias("len"))
     one = places.join(short.where("len = 1").select("phrase"), "phrase", "left_semi").select("phrase", *DOC, "start")
@@ -107,12 +119,12 @@ def proximity_matches(index: PositionalIndex, phrases: DataFrame, width: int) ->
     plan = saved(_ranked(index, each), "index-near-plan")
     size = width + 1
     first = plan.select("phrase", (F.size("terms") - 1).alias("need"), *_at("terms", 0, "term"))
-    places = index.postings.join(first, "term").select("phrase", "need", *DOC, "pos").distinct()
+    places = _of_terms(index.postings, first).select("phrase", "need", *DOC, "pos").distinct()
     rest = plan.select("phrase", F.explode(F.slice(F.col("terms"), F.lit(2), F.size("terms"))["term"]).alias("term"))
     # stretches of width + 1 words: a word that is near stands in the same one or a neighbour
     stretch = F.floor(F.col("pos") / size)
     asked = places.join(rest, "phrase").withColumn("stretch", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
-    lists = (index.postings.join(rest.select("term").distinct(), "term", "left_semi").distinct()
+    lists = (_of_terms(index.postings, rest.select("term").distinct(), "left_semi").distinct()
              .select("term", *DOC, stretch.alias("stretch"), F.col("pos").alias("there")))
     near = asked.join(lists, ["term", *DOC, "stretch"]).where(F.abs(F.col("pos") - F.col("there")) <= width)
     many = (near.select("phrase", *DOC, "pos", "need", "term").distinct().groupBy("phrase", *DOC, "pos", "need").agg(F.count(F.lit(1)).alias("met"))
