@@ -4,8 +4,8 @@ A task splits its texts by the tokenizer's pattern and hands the distinct
 words to an in-memory DuckDB as token-position rows, one row per byte.  A
 recursive query joins neighbouring tokens with the merge table and contracts
 the leftmost pair of least rank of every word, until no pair of a word is in
-the table.  Joins by position and ordered aggregation then put the words of
-each document together again, as ids and as decoded bytes.
+the table.  Joins and ordered aggregation then spell every word from its tokens
+and every document from its words; ids are gathered by word number.
 
 The vocabulary is given (a rank file); nothing is trained here.
 """
@@ -20,6 +20,7 @@ from itertools import chain
 from types import ModuleType
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,10 +76,10 @@ WITH RECURSIVE step(k, tok, done) AS (
 SELECT (k >> 16)::INTEGER AS w, (k & 65535)::INTEGER AS pos, tok FROM step WHERE done
 """
 
-ENCODE = """
-SELECT o.doc, flatten(list(w.ids ORDER BY o.place)) AS ids, string_agg(w.decoded, '' ORDER BY o.place) AS decoded
-FROM occurrences o JOIN words w ON o.w = w.w GROUP BY o.doc
-"""
+# Bytes of every word from its tokens, and of every text from its words.
+SPELL = """INSERT INTO words SELECT w, decode(unhex(string_agg(hex, '' ORDER BY pos))) FROM contracted JOIN tokens USING (tok) GROUP BY w"""
+
+ENCODE = "SELECT o.doc, string_agg(w.decoded, '' ORDER BY o.place) AS decoded FROM occurrences o JOIN words w ON o.w = w.w GROUP BY o.doc ORDER BY o.doc"
 
 DECODE = "SELECT doc, unhex(string_agg(hex, '' ORDER BY place)) AS decoded FROM ids JOIN tokens USING (tok) GROUP BY doc ORDER BY doc"
 
@@ -115,6 +116,12 @@ def contract_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start[i], start[i] + 1, ..`` (``size[i]`` numbers) for every i, one after the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()), dtype=np.int64)
+
+
 class _Pieces(dict):
     """Word numbers of the pieces after a space, found when first asked for."""
 
@@ -129,14 +136,17 @@ class _Pieces(dict):
 class TaskEncoder:
     """Encodes texts; keeps the distinct words seen so far, up to a bound."""
 
-    def __init__(self, rank_lines: bytes, pattern: str, task_words: int = TASK_WORDS):
+    def __init__(self, rank_lines: bytes, pattern: str, task_words: int = TASK_WORDS, cut: bool = False):
+        """``cut``: with this pattern a word ends before every space that follows no white space."""
         import duckdb
         import regex
 
         self.ranks = read_ranks(rank_lines)
+        if max(self.ranks.values(), default=0) >= 1 << 16:
+            raise ValueError("the merge table's key holds tokens below 65,536 only")
         self.split = regex.compile(pattern).findall
         self.spaced = regex.compile(r"\s ").search
-        self.task_words = task_words
+        self.task_words, self.cut = task_words, cut
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": tempfile.gettempdir()})
         pairs = merge_table(self.ranks)
         tokens = pa.table({"tok": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]})
@@ -148,15 +158,32 @@ class TaskEncoder:
         self.forget()
 
     def forget(self):
-        self.known: dict[str, int] = {}
+        """Start anew with the words that were met more than once, the more frequent half of the bound at most."""
+        old, used = list(getattr(self, "known", ())), getattr(self, "used", np.empty(0, np.int64))
+        used = used[:len(old)]
+        keep = np.flatnonzero(used > 1)
+        if len(keep) > self.task_words // 2:
+            keep = np.sort(keep[np.argpartition(-used[keep], self.task_words // 2)[:self.task_words // 2]])
         self.pieces = _Pieces(self)
-        self.db.execute("CREATE OR REPLACE TABLE words (w INTEGER, ids INTEGER[], decoded VARCHAR)")
+        if len(keep):
+            self.db.register("keep", pa.table({"old": keep.astype(np.int32), "w": np.arange(len(keep), dtype=np.int32)}))
+            self.db.execute("CREATE OR REPLACE TABLE words AS SELECT k.w, decoded FROM words o JOIN keep k ON o.w = k.old")
+            self.known = {old[i]: n for n, i in enumerate(keep)}
+            at = _ranges(self.start[keep], self.size[keep])
+            self.ids, self.size = self.ids[at], self.size[keep]
+        else:
+            self.db.execute("CREATE OR REPLACE TABLE words (w INTEGER, decoded VARCHAR)")
+            self.known: dict[str, int] = {}
+            self.ids, self.size = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.used = np.zeros(len(keep), np.int64)  # counted anew: what is not met again can go the next time
 
     def _learn(self, words: list[str], first: int) -> None:
-        """Encode new words, numbered from ``first``, into the table of words."""
+        """Encode new words, numbered from ``first``: their ids follow those of the known words, their bytes go to the table of words."""
         for s in range(0, len(words), STEP_WORDS):
             w, pos, tok, letters = [], [], [], []
-            for i, word in enumerate(words[s:s + STEP_WORDS], first + s):
+            step = words[s:s + STEP_WORDS]
+            for i, word in enumerate(step, first + s):
                 b = word.encode("utf-8", "surrogatepass")
                 if (rank := self.ranks.get(b)) is not None:
                     ids = [rank]
@@ -175,15 +202,19 @@ class TaskEncoder:
                 "pos": np.arange(len(flat), dtype=np.int32) - np.repeat(np.cumsum(size, dtype=np.int32) - size.astype(np.int32), size),
                 "tok": self.letter[flat]}))
             self.db.register("whole", pa.table({"w": pa.array(w, pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(tok, pa.int32())}))
-            self.db.execute(f"""INSERT INTO words
-                SELECT w, list(tok ORDER BY pos), decode(unhex(string_agg(hex, '' ORDER BY pos)))
-                FROM (SELECT * FROM ({CONTRACT}) UNION ALL SELECT * FROM whole) JOIN tokens USING (tok) GROUP BY w""")
+            self.db.execute(f"CREATE OR REPLACE TABLE contracted AS SELECT * FROM ({CONTRACT}) UNION ALL SELECT * FROM whole")
+            self.db.execute(SPELL)
+            found = self.db.sql("SELECT w, pos, tok FROM contracted").fetchnumpy()
+            order = np.argsort((found["w"].astype(np.int64) << 32) + found["pos"])
+            self.ids = np.concatenate([self.ids, found["tok"][order].astype(np.int32)])
+            self.size = np.concatenate([self.size, np.bincount(found["w"] - (first + s), minlength=len(step))])
+        self.start = np.cumsum(self.size) - self.size
 
     def _numbers(self, text: str) -> np.ndarray:
-        """Numbers of the text's words.  A word ends before a space that follows
-        no white space, so texts without such a pair are cut there first and
+        """Numbers of the text's words.  Where words end before a space that follows
+        no white space, texts without such a pair are cut there first and
         every distinct piece is matched against the pattern once."""
-        if " " not in text or self.spaced(text):
+        if not self.cut or " " not in text or self.spaced(text):
             return np.array(self._words_of(text), np.int32)
         first, *rest = text.split(" ")
         return np.fromiter(chain(self._words_of(first), chain.from_iterable(map(self.pieces.__getitem__, rest))), np.int32)
@@ -193,20 +224,26 @@ class TaskEncoder:
         return tuple([known.setdefault(w, len(known)) for w in self.split(text)])
 
     def encode(self, texts: list[str]) -> pa.Table:
-        """``(doc, ids, decoded)`` for the texts that have any word, by their place in ``texts``."""
+        """``(doc, ids, decoded)`` for every text, by its place in ``texts``."""
         if len(self.known) > self.task_words:
             self.forget()
         if len(self.pieces) > 3 * self.task_words // 4:
             self.pieces.clear()
         known, first = self.known, len(self.known)
         numbers = [self._numbers(t) for t in texts]
-        size = [len(x) for x in numbers]
+        size = np.array([len(x) for x in numbers], np.int64)
         new = list(known)[first:] if len(known) > first else []
         self._learn(new, first)
         w = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
+        self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)]) + np.bincount(w, minlength=len(known))
         self.db.register("occurrences", pa.table({
             "doc": np.repeat(np.arange(len(texts), dtype=np.int32), size), "place": np.arange(len(w), dtype=np.int32), "w": w}))
-        return self.db.sql(ENCODE).to_arrow_table()
+        r = self.db.sql(ENCODE).to_arrow_table()
+        tokens = np.concatenate([[0], np.cumsum(self.size[w])])
+        ends = tokens[np.concatenate([[0], np.cumsum(size)])]
+        ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(self.ids[_ranges(self.start[w], self.size[w])]))
+        decoded = _scatter(len(texts), r.column("doc"), r.column("decoded").cast(pa.binary()), b"")
+        return pa.table({"doc": np.arange(len(texts), dtype=np.int32), "ids": ids, "decoded": decoded})
 
     def decode(self, ids: list[list[int]]) -> pa.Table:
         """``(doc, decoded)`` for the lists that have any id, by their place in ``ids``."""
@@ -217,13 +254,13 @@ class TaskEncoder:
         return self.db.sql(DECODE).to_arrow_table()
 
 
-def worker_encoder(rank_lines: bytes, pattern: str, task_words: int) -> TaskEncoder:
+def worker_encoder(rank_lines: bytes, pattern: str, task_words: int, cut: bool) -> TaskEncoder:
     """The worker process's encoder: a worker runs one task after the other, and
     the words of earlier tasks stay known, up to the same bound."""
     held = sys.modules.setdefault("_veilspark_bpe", ModuleType("_veilspark_bpe")).__dict__
-    key = hash((rank_lines, pattern, task_words))
+    key = hash((rank_lines, pattern, task_words, cut))
     if held.get("key") != key:
-        held["encoder"], held["key"] = TaskEncoder(rank_lines, pattern, task_words), key
+        held["encoder"], held["key"] = TaskEncoder(rank_lines, pattern, task_words, cut), key
     return held["encoder"]
 
 
@@ -246,16 +283,16 @@ def bpe_encode(docs: DataFrame, rank_path: str, pattern: str, task_words: int =
     """
     with open(rank_path, "rb") as f:
         lines = f.read()
+    cut = pattern == public_tokenizers.PATTERN
 
     def run(batches):
-        encoder = (worker_encoder if keep_words else TaskEncoder)(lines, pattern, task_words)
+        encoder = (worker_encoder if keep_words else TaskEncoder)(lines, pattern, task_words, cut)
         for b in batches:
             texts = b.column("body").to_pylist()
-            r = encoder.encode(texts)
-            ids = _scatter(len(texts), r.column("doc"), r.column("ids").cast(pa.list_(pa.int32())), [])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), ids, _scatter(len(texts), r.column("doc"), r.column("decoded").cast(pa.binary()), b"")],
-                ["doc_id", "ids", "decoded"])
+            if not texts:
+                continue
+            found = encoder.encode(texts).combine_chunks()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), found.column("ids").chunk(0), found.column("decoded").chunk(0)], ["doc_id", "ids", "decoded"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("body")), run, ENCODED)
 
