@@ -25,7 +25,7 @@ from veilspark.operators.versions import apply_policy_asof, protect_json_asof
 from veilspark.plans import inputs
 from veilspark.plans import policies as P
 from veilspark.session import scratch_dir
-from veilspark.streaming.enrich import enrich_frame
+from veilspark.streaming.enrich import EnrichStream, enrich_frame, fields_map
 from veilspark.streaming.metrics import count_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -528,27 +528,98 @@ def upsert_latest(spark, d):
 
 
 @register("merge_table", """
-WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts, event_type, value FROM events),
-r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS n FROM e)
+WITH e AS (SELECT CASE WHEN event_id % 89 <> 0 THEN user_id END AS user_id, event_id, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts, event_type, value FROM events),
+r AS (SELECT *, CASE WHEN user_id IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) END AS n FROM e)
 SELECT user_id, event_id, event_type, CASE WHEN event_id % 2 = 0 THEN floor(value) ELSE value END AS amount,
        CASE WHEN event_id % 2 = 0 THEN '' ELSE 'm' END || CAST(event_id AS VARCHAR) AS mark,
+       CASE WHEN event_id % 2 = 0 THEN CAST(9007199254740993 + event_id AS VARCHAR) ELSE CAST(floor(value) + 0.5 AS VARCHAR) END AS large,
        CASE WHEN event_id % 2 = 1 THEN event_type END AS extra, strftime(ts, '%Y-%m-%d') AS event_date_prt
 FROM r WHERE n = 1""")
 def merge_table(spark, d):
-    """Two merges into a daily table: keys that move between days, rows without a day, a
-    new field, a number that becomes a double and one that becomes text."""
-    e = inputs.table(spark, d, "events").withColumn("ts", F.when(F.col("event_id") % 97 != 0, F.col("ts")))
+    """Two merges into a daily table: keys that move between days, rows without a day or a key, a
+    new field, a number that becomes a double, one that becomes text and whole numbers that no double holds."""
+    e = inputs.table(spark, d, "events").withColumns({"ts": F.when(F.col("event_id") % 97 != 0, F.col("ts")),
+                                                      "user_id": F.when(F.col("event_id") % 89 != 0, F.col("user_id"))})
     even = F.col("event_id") % 2 == 0
-    first = e.where(even).select("user_id", "event_id", "ts", "event_type", F.floor("value").cast("bigint").alias("amount"), F.col("event_id").alias("mark"))
+    first = e.where(even).select("user_id", "event_id", "ts", "event_type", F.floor("value").cast("bigint").alias("amount"), F.col("event_id").alias("mark"),
+                                 (F.col("event_id") + F.lit(9007199254740993)).alias("large"))
     second = e.where(~even).select("user_id", "event_id", "ts", "event_type", F.col("value").alias("amount"),
-                                   F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("mark"), F.col("event_type").alias("extra"))
+                                   F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("mark"),
+                                   (F.floor("value") + F.lit(0.5)).cast("double").alias("large"), F.col("event_type").alias("extra"))
     path = scratch_dir(spark, f"daily-table-{uuid.uuid4().hex}")
     for part in (first, second):
         lake.merge_evolving(spark, path, lake.add_time_columns(part, "ts").drop(lake.PROCESSING_TS), "user_id", ["ts", "event_id"])
-    return lake.read_table(spark, path).select("user_id", "event_id", "event_type", "amount", "mark", "extra",
+    return lake.read_table(spark, path).select("user_id", "event_id", "event_type", "amount", "mark", "large", "extra",
                                                F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL))
 
 
+@register("merge_partitions", """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events),
+l AS (SELECT user_id, event_id, event_type, ts FROM r WHERE n = 1)
+SELECT 'hour' AS strategy, user_id, event_id, event_type, strftime(ts, '%Y-%m-%d-%H') AS event_date_prt FROM l
+UNION ALL SELECT 'bucket:8', user_id, event_id, event_type, 'one of 8' FROM l""")
+def merge_partitions(spark, d):
+    """Two merges of events by user into tables with other partition strategies; keys move between hours."""
+    e = inputs.table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
+    out = None
+    for strategy in ("hour", "bucket:8"):
+        path = scratch_dir(spark, f"table-{strategy.replace(':', '')}-{uuid.uuid4().hex}")
+        for i in range(2):
+            part = lake.add_time_columns(e.where(F.col("event_id") % 2 == i), "ts", strategy, "user_id").drop(lake.PROCESSING_TS)
+            lake.merge_into(spark, path, part, "user_id", ["ts", "event_id"])
+        value = F.col(lake.PARTITION_COL).cast("string")
+        if strategy.startswith("bucket"):
+            value = F.when(value.cast("int").between(0, 7), F.lit("one of 8"))
+        t = lake.read_table(spark, path).select(F.lit(strategy).alias("strategy"), "user_id", "event_id", "event_type", value.alias(lake.PARTITION_COL))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@register("enrich_batches", f"""
+WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC, CAST(event_id AS VARCHAR) DESC) AS n FROM e)
+SELECT CAST(event_id AS VARCHAR) AS id, {q_hash('CAST(user_id AS VARCHAR)')} AS user_id,
+       {q_mask_format('event_type', P.EVENT_TYPE_FORMAT)} AS event_type,
+       CASE WHEN event_type = 'purchase' THEN {q_label(q_int_of_double('value'), [0, 100, 200, 300])} END AS value,
+       CAST(json(props) AS VARCHAR) AS props, day, CAST(NULL AS VARCHAR) AS note, day AS event_date_prt
+FROM r WHERE n = 1""")
+def enrich_batches(spark, d):
+    """Protected events through the enrichment job in three batches: the newest record of every user, types from the policy."""
+    raw = inputs.event_json(spark, d)
+    table = scratch_dir(spark, f"enriched-{uuid.uuid4().hex}")
+    job = EnrichStream(spark, table, key="user_id", order=(lake.EVENT_DATE, "id"), event_time_field="day", event_time_format="yyyy-MM-dd", policy=P.EVENT_JSON)
+    turn = F.pmod(F.xxhash64("value"), F.lit(3))
+    for i in range(3):
+        job.process(apply_policy_json(raw.where(turn == i), P.EVENT_JSON), i)
+    return lake.read_table(spark, table).select("id", "user_id", "event_type", "value", "props", "day", "note",
+                                                F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL))
+
+
+@register("open_fields", """
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, event_type AS kind, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS own,
+       CASE WHEN event_id % 3 = 0 THEN '{"at":' || CAST(event_id AS VARCHAR) || '}' END AS place, true AS few_columns
+FROM events""")
+def open_fields(spark, d):
+    """Records with a field named by the user's id: a bounded number of columns, all others in a map, every value read back by its name."""
+    e = inputs.table(spark, d, "events")
+    fixed = F.to_json(F.struct(F.col("event_id").alias("id"), "user_id", F.col("event_type").alias("kind")))
+    own = F.to_json(F.create_map(F.concat(F.lit("u"), F.col("user_id").cast("string")), F.floor("value").cast("bigint")))
+    place = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.struct(F.col("event_id").alias("at")).alias("place"))))
+    inner = lambda c: F.expr(f"substring({c}, 2, length({c}) - 2)")
+    parts = e.select(fixed.alias("a"), own.alias("b"), place.alias("c")).select(F.concat_ws(",", inner("a"), inner("b"), inner("c")).alias("body"))
+    rows = parts.select(F.concat(F.lit("{"), "body", F.lit("}")).alias("value"))
+    table = scratch_dir(spark, f"open-fields-{uuid.uuid4().hex}")
+    job = EnrichStream(spark, table, max_fields=5)
+    turn = F.pmod(F.xxhash64("value"), F.lit(2))
+    for i in range(2):
+        job.process(rows.where(turn == i), i)
+    t = lake.read_table(spark, table)
+    few = len(lake.field_columns(t.schema)) <= 5
+    m = t.select(fields_map(t).alias("m"))
+    return m.select(F.col("m")["id"].alias("id"), F.col("m")["user_id"].alias("user_id"), F.col("m")["kind"].alias("kind"),
+                    F.col("m")[F.concat(F.lit("u"), F.col("m")["user_id"])].alias("own"), F.col("m")["place"].alias("place"), F.lit(few).alias("few_columns"))
+
+
 @register("evolve_union", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS c_tier FROM customer
 UNION ALL

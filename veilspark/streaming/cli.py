@@ -7,7 +7,7 @@
 Keys (same names as the original tool's job settings where one exists):
 
 ==================================  ==============================================
-``schema-path``                     policy file (any Hadoop filesystem), required
+``schema-path``                     policy file (any Hadoop filesystem), required; enrichment: optional, gives the column types
 ``input-topic`` / ``input-path``    message-queue topic, or folder of JSON lines
 ``output-topic`` / ``output-path``  topic, or folder (per-batch idempotent files)
 ``bootstrap-servers``, ``group-id`` queue connection (``localhost:9092``, ``pii-processor``)
@@ -24,7 +24,9 @@ Keys (same names as the original tool's job settings where one exists):
 ``hash-key-env``, ``seed-env``      environment variables with the key of keyed hashes and the seed of
                                     replay-stable random values
 ``keys-can-move``                   enrichment: ``false`` if a key's day never changes
-``table-path``                      enrichment job instead: upsert protected records into this daily table
+``table-path``                      enrichment job instead: upsert protected records into this table
+``partition-strategy``              enrichment: ``event`` (day, default), ``processing``, ``hour``, ``month``, ``bucket:N``
+``max-fields``                      enrichment: most columns that records' fields get; all others share one map column
 ``input-table``, ``output-table``   table job instead: protect the typed columns of a parquet table
 ``id-column``, ``partition-by``     table job: the id column (kept as is) and output partition columns
 ``key``, ``event-time-field``,      enrichment: record key (``id``), event-time field and its format
@@ -42,10 +44,10 @@ import json
 import os
 import sys
 
-from veilspark.operators import lake
 from veilspark.operators.protect import apply_policy
 from veilspark.policy import check, load_policy
 from veilspark.session import checkpoint_dir, get_session
+from veilspark.sources import storage
 from veilspark.sources.files import read_json_text_stream
 from veilspark.sources.kafka import DEFAULT_GROUP, DEFAULT_SERVERS, read_kafka
 from veilspark.streaming.enrich import EnrichStream
@@ -83,7 +85,7 @@ def build(spark, config: dict[str, str]) -> tuple[ProtectStream, object, str, di
                         job_id=config.get("job-id"), hash_key=_secret(config, "hash-key-env"), seed_by=_secret(config, "seed-env"))
     source = _source(spark, config)
     ckpt = default_checkpoint(spark, config)
-    if "output-path" in config and _has_batches(spark, config["output-path"]) and not lake._exists(spark, f"{ckpt}/offsets"):
+    if "output-path" in config and _has_batches(spark, config["output-path"]) and not storage.exists(spark, f"{ckpt}/offsets"):
         raise ValueError(f"{config['output-path']} holds the output of another run; name its checkpoint.dir or another output-path")
     return job, source, ckpt, _trigger(config)
 
@@ -133,7 +135,10 @@ def run_enrich(spark, config: dict[str, str]) -> int:
     job = EnrichStream(spark, config["table-path"], key=config.get("key", "id"),
                        event_time_field=config.get("event-time-field"),
                        event_time_format=config.get("event-time-format"), quarantine_path=config.get("quarantine-path"),
-                       keys_can_move=config.get("keys-can-move", "true").lower() == "true")
+                       keys_can_move=config.get("keys-can-move", "true").lower() == "true",
+                       policy=load_policy(config["schema-path"], spark) if "schema-path" in config else None,
+                       partition_from=config.get("partition-strategy", "event"),
+                       max_fields=int(config["max-fields"]) if "max-fields" in config else None)
     q = job.start(_source(spark, config), default_checkpoint(spark, config), _trigger(config))
     q.awaitTermination()
     print(json.dumps({"status": "SUCCESS", "table": config["table-path"], "query_id": str(q.id)}))
