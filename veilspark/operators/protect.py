@@ -30,6 +30,7 @@ from veilspark.policy import Policy, Rule
 REASON_PARSE = "parse_error"
 REASON_TOO_DEEP = "too_deep"
 REASON_LONG_NUMBER = "long_number"
+REASON_TOO_LARGE = "too_large"
 REASON_MISSING_ID = "missing_id"
 
 
@@ -113,10 +114,10 @@ def parse_records(df: DataFrame, value_col: str = "value", keep: list[str] | Non
                        F.explode(F.array(V.parse_json_text(_c(value_col)))).alias("__v"))
     idv = V.variant_field(F.col("__v"), "id")
     with_id = parsed.select("*", idv.alias("__idv"), F.schema_of_variant(idv).alias("__ids"))
-    # a record that can't be parsed and opens more brackets than may be nested
-    brackets = F.length("__raw") - F.length(F.translate("__raw", "[{", ""))
-    reason = (F.when(F.col("__v").isNull() & (brackets > V.MAX_DEPTH), F.lit(REASON_TOO_DEEP))
-              .when(F.col("__v").isNull() & F.col("__raw").rlike("[0-9]{%d}" % (V.MAX_DIGITS + 1)), F.lit(REASON_LONG_NUMBER))
+    bad = F.col("__v").isNull()
+    reason = (F.when(bad & (F.octet_length("__raw") > V.MAX_BYTES), F.lit(REASON_TOO_LARGE))
+              .when(bad & (V.nesting_depth(F.col("__raw")) > V.MAX_DEPTH), F.lit(REASON_TOO_DEEP))
+              .when(bad & V.outside_strings(F.col("__raw")).rlike("[0-9]{%d}" % (V.MAX_DIGITS + 1)), F.lit(REASON_LONG_NUMBER))
               .when(F.col("__v").isNull(), F.lit(REASON_PARSE))
               .when(F.col("__idv").isNull(), F.lit(REASON_MISSING_ID)))
     return with_id.select(*[_c(c) for c in keep], "__raw", "__v", V.id_text(F.col("__idv"), "__raw").alias("__id"),

@@ -117,12 +117,14 @@ def variant_field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, variant_path(name), "variant")
 
 
-# Limits of the JSON reader: strings are as long as a value can be.  A number
+# Limits of the JSON reader: a record is at most 128 MiB as a VARIANT (MAX_BYTES: of text, short
+# of that by what a record's own bookkeeping may take); strings have no limit beside it.  A number
 # has up to MAX_DIGITS digits (the path lookup that keeps the digits of large integers
 # reads no more).  Writing a VARIANT back as text recurses per
 # level and ends the executor when the thread's stack is used up (seen at 1,000
 # nested objects), so deeper nesting than this stays a counted reason for rejection.
 MAX_DEPTH, MAX_DIGITS = 500, 1_000
+MAX_BYTES = (1 << 27) - (1 << 16)
 PARSE_OPTIONS = {"maxStringLen": "2147483647", "maxNumLen": str(MAX_DIGITS), "maxNestingDepth": str(MAX_DEPTH),
                  "allowNonNumericNumbers": "false"}
 
@@ -132,6 +134,24 @@ def parse_json_text(text: Column) -> Column:
     return F.from_json(text, "variant", PARSE_OPTIONS)
 
 
+def outside_strings(text: Column) -> Column:
+    """A record's text with every string emptied, also one that is not ended."""
+    return F.regexp_replace(text, r'(?s)"(?:[^"\\\\]|\\\\.)*+"?', '""')
+
+
+def nesting_depth(text: Column) -> Column:
+    """How many brackets are open at once at most, those in strings left out.  Up to MAX_DEPTH brackets: their number."""
+    brackets = F.regexp_replace(outside_strings(text), r"[^\[\]{}]++", "")
+
+    def step(state, c):
+        now = state["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    zero = F.lit(0)
+    walked = F.aggregate(F.split(brackets, ""), F.struct(zero.alias("now"), zero.alias("most")), step, lambda s: s["most"])
+    return F.when(F.length(brackets) > MAX_DEPTH, walked).otherwise(F.length(brackets))
+
+
 # A number as it is written, where no key of the record repeats (the path
 # lookup below would find the first of repeated keys, the parse keeps the last).
 _WHOLE = "^-?[0-9]+$"

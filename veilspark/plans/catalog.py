@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from veilspark.operators import drift, lake, validate
 from veilspark.operators.protect import apply_policy, apply_policy_json, keep_all_json, protect_json
+from veilspark.operators.rules_table import RULE, protect_asof_table
 from veilspark.operators.versions import apply_policy_asof, protect_json_asof
 from veilspark.plans import inputs
 from veilspark.plans import policies as P
@@ -370,6 +371,16 @@ def reject_split(spark, d):
     return res.groupBy(F.coalesce(F.col("reason"), F.lit("ok")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("reject_reasons", """
+SELECT CASE event_id % 7 WHEN 1 THEN 'parse_error' WHEN 2 THEN 'too_deep' WHEN 3 THEN 'long_number' WHEN 4 THEN 'parse_error'
+                         WHEN 6 THEN 'missing_id' ELSE 'ok' END AS status, count(*) AS n
+FROM events GROUP BY 1""")
+def reject_reasons(spark, d):
+    """Every reason for a rejection, also where a record looks like another one: brackets side by side, digits in strings."""
+    res = protect_json(inputs.event_json_with_limits(spark, d), P.EVENT_FAULTS)
+    return res.groupBy(F.coalesce(F.col("reason"), F.lit("ok")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("run_metrics", """
 SELECT count(*) AS records_in, CAST(count_if(event_type <> 'error' AND value >= 1) AS BIGINT) AS records_out,
        CAST(count_if(NOT (event_type <> 'error' AND value >= 1)) AS BIGINT) AS records_rejected
@@ -490,6 +501,31 @@ def asof_json_out(spark, d):
     return res.where(F.col("reason").isNull())
 
 
+@register("policy_asof_table", f"""
+WITH e AS (SELECT *, user_id % 20 AS tenant FROM events),
+v AS (SELECT tenant, ts AS valid_from, max(event_id) AS label FROM e WHERE event_id % 5 = 0 AND ts >= TIMESTAMP '2024-01-03' GROUP BY ALL),
+j AS (SELECT e.*, v.label, 10 + v.label % 90 AS high FROM e ASOF LEFT JOIN v ON e.tenant = v.tenant AND e.ts >= v.valid_from)
+SELECT event_id, label AS policy_version,
+       CASE label % 4 WHEN 0 THEN {q_mask_default('event_type')} WHEN 1 THEN {q_mask_format('event_type', 'X*xX')} WHEN 2 THEN {q_hash('event_type')}
+                      WHEN 3 THEN '[REDACTED]' END AS event_type,
+       CASE WHEN label % 3 = 0 THEN NULL WHEN label % 3 = 1 THEN CAST(user_id AS VARCHAR)
+            WHEN user_id < 0 THEN '<0' WHEN user_id < high THEN '0-' || high ELSE high || '+' END AS user_id,
+       CASE WHEN label IS NULL THEN 'no_policy' END AS reason
+FROM j""")
+def policy_asof_table(spark, d):
+    """Events of 20 tenants under a table of policy versions, a fifth as many as there are events: rules, formats and ranges are data."""
+    e = inputs.table(spark, d, "events").select("event_id", "ts", "event_type", "user_id").withColumn("tenant", F.col("user_id") % 20)
+    turn = F.col("event_id") % 4
+    op = F.when(turn < 2, "mask").when(turn == 2, "hash").otherwise("redact")
+    none, no_ranges = F.lit(None).cast("string"), F.array().cast("array<int>")
+    text = F.struct(F.lit(True), op, F.lit("string"), F.when(turn == 1, F.lit("X*xX")).otherwise(none), no_ranges).cast(RULE)
+    number = F.struct(F.col("event_id") % 3 == 2, F.lit("generalize"), F.lit("integer"), none, F.array(F.lit(0), (F.col("event_id") % 90 + 10).cast("int"))).cast(RULE)
+    rules = F.when(F.col("event_id") % 3 == 0, F.create_map(F.lit("event_type"), text)).otherwise(F.create_map(F.lit("event_type"), text, F.lit("user_id"), number))
+    versions = (e.where((F.col("event_id") % 5 == 0) & (F.col("ts") >= F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")))
+                .select("tenant", F.col("ts").alias("valid_from"), F.col("event_id").alias("label"), rules.alias("rules")))
+    return protect_asof_table(e, versions, ["tenant"], "ts", ["event_type", "user_id"], tie=["label"], keep=["event_id"])
+
+
 @register("enrich_events", f"""
 SELECT CAST(event_id AS VARCHAR) AS id, {q_hash('CAST(user_id AS VARCHAR)')} AS user_id,
        {q_mask_format('event_type', P.EVENT_TYPE_FORMAT)} AS event_type,

@@ -55,6 +55,21 @@ def event_json_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.when(F.col("event_type") == "error", broken).otherwise(doc).alias("value"))
 
 
+def event_json_with_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event JSON, by ``event_id % 7``: good; cut short after many sibling arrays; nested too deep; a number too long;
+    a string that is not ended and holds as many digits; brackets and digits inside a string (good); without an id."""
+    e = table(spark, sf_dir, "events")
+    turn = F.col("event_id") % 7
+    member = (F.when(turn == 1, F.concat(F.lit("["), F.repeat(F.lit("[],"), 600)))
+              .when(turn == 2, F.concat(F.repeat(F.lit("["), 600), F.repeat(F.lit("]"), 600), F.lit("}")))
+              .when(turn == 3, F.concat(F.repeat(F.lit("7"), 1200), F.lit("}")))
+              .when(turn == 4, F.concat(F.lit('"'), F.repeat(F.lit("7"), 1200)))
+              .when(turn == 5, F.concat(F.lit('"\\"'), F.repeat(F.lit("[{7"), 600), F.repeat(F.lit("7"), 1200), F.lit('"}')))
+              .otherwise(F.lit("1}")))
+    head = F.when(turn == 6, F.lit("{")).otherwise(F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(",")))
+    return e.select(F.concat(head, F.lit('"m":'), member).alias("value"))
+
+
 def conversation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON object per conversation turn; the whole turn text is a member."""
     c = table(spark, sf_dir, "conversations")
