@@ -82,3 +82,24 @@ def test_a_record_beyond_the_size_limit_has_its_own_reason(spark, monkeypatch):
     df = spark.createDataFrame([('{"id":"1","a":"%s"' % ("x" * 90),), ('{"id":"2","a":"%s"}' % ("x" * 90),)], "value string")
     got = [r.reason for r in protect_json(df, Policy.from_dict({"fields": [{"name": "id"}]})).collect()]
     assert sorted(got, key=str) == [None, "too_large"]
+
+
+def test_rules_table_writes_what_the_compiled_policy_writes(spark, monkeypatch):
+    from policies import M1, M2, MEMBER_POLICY
+
+    from veilspark.operators import rules_table
+    from veilspark.operators.protect import apply_policy_json
+    from veilspark.policy import rules_frame
+
+    fields = MEMBER_POLICY["fields"] + [{"name": "o"}, {"name": "s", "isPII": True, "type": "string"}, {"name": "o", "isPII": True}, {"name": "n", "isPII": True, "type": "integer", "piiOperation": "redact"}, {"name": "id", "isPII": True}]
+    fields = [f for f in fields if f.get("piiOperation") != "randomize"]
+    policy = Policy.from_dict({**MEMBER_POLICY, "fields": fields})
+    records = [M1, M2, M2, '{"id":1}', '{"id":"x","o":{"z":1,"a":[2, "\\""]},"s":"h\\u00e9llo","n":null}', '{"id":null,"s":5,"s":"last","o":{"b":1}}', "broken", '{"no":1}',
+               '{"id":"big","o":123456789012345678901234567890,"other":1,"n":1.50}', '{"id":{"k":1},"s":""}']
+    df = spark.createDataFrame([(r,) for r in records], "value string")
+    want = sorted(r.value for r in apply_policy_json(df, policy).collect())
+    rules = rules_frame(spark, policy)
+    assert sorted(r.value for r in rules_table.protect_json_by_table(df, rules).collect()) == want
+    monkeypatch.setattr(rules_table, "MAX_BROADCAST_RULES", 0)
+    assert sorted(r.value for r in rules_table.protect_json_by_table(df, rules).collect()) == want
+    assert rules_table.protect_json_by_table(df.limit(0), rules).collect() == []

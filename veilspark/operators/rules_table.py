@@ -7,6 +7,8 @@ the attributes of :class:`veilspark.policy.Rule` that decide what an operation w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from veilspark.functions.masking import hash_text, mask_text, redacted
 from veilspark.functions.randomness import random_alnum, randomize_double, randomize_int32, row_seed, uniform
 from veilspark.operators import values as V
+from veilspark.operators.protect import parse_records
 
 RULE = "struct<is_pii:boolean,operation:string,type:string,mask_format:string,ranges:array<int>>"
 REASON_NO_POLICY = "no_policy"
@@ -35,26 +38,77 @@ def range_label_of(x: Column, ranges: Column) -> Column:
             .otherwise(F.concat(F.get(b, below - 1).cast("string"), F.lit("-"), F.get(b, below).cast("string"))))
 
 
-def by_rule(fv: V.FieldValue, rule: Column) -> Column:
-    """A value as its rule column has it, as text; null without a rule.  The same values as the compiled operations write."""
+def _written(fv: V.FieldValue, rule: Column, seed: Column, same: Column, wrap: Callable[[Column], Column], nothing: Column) -> Column:
+    """What the rule column's operation writes; ``same``: the value as it is, ``wrap``: a result in the output's form."""
     text, op, kind = fv.text, rule["operation"], rule["type"]
     is_text = kind == "string"
-    seed = F.xxhash64(fv.seed, F.lit(fv.name))
-    default = F.when(is_text, mask_text(text, None)).otherwise(text)
-    random = (F.when(is_text, random_alnum(F.length(text), seed))
-              .when(kind.isin("integer", "int"), randomize_int32(fv.int32, uniform(seed, 1)).cast("string"))
-              .when(kind.isin("double", "float"), randomize_double(fv.dbl, uniform(seed, 2)).cast("string")).otherwise(text))
+    default = F.when(is_text, wrap(mask_text(text, None))).otherwise(same)
+    random = (F.when(is_text, wrap(random_alnum(F.length(text), seed)))
+              .when(kind.isin("integer", "int"), wrap(randomize_int32(fv.int32, uniform(seed, 1))))
+              .when(kind.isin("double", "float"), wrap(randomize_double(fv.dbl, uniform(seed, 2)))).otherwise(same))
     some = F.coalesce(F.size(rule["ranges"]) > 0, F.lit(False))
-    return (F.when(rule.isNull() | ~fv.present, F.lit(None).cast("string"))
-            .when(~F.coalesce(rule["is_pii"], F.lit(False)), text)
-            .when(op == "mask", F.when(is_text & F.coalesce(F.length(rule["mask_format"]) > 0, F.lit(False)), mask_by_format(text, rule["mask_format"])).otherwise(default))
-            .when(op == "hash", hash_text(text, fv.hash_key))
-            .when(op == "redact", F.when(is_text, redacted()))
-            .when(op == "generalize", F.when(some, range_label_of(fv.int32, rule["ranges"])).otherwise(text))
+    formatted = is_text & F.coalesce(F.length(rule["mask_format"]) > 0, F.lit(False))
+    return (F.when(~F.coalesce(rule["is_pii"], F.lit(False)), same)
+            .when(op == "mask", F.when(formatted, wrap(mask_by_format(text, rule["mask_format"]))).otherwise(default))
+            .when(op == "hash", wrap(hash_text(text, fv.hash_key)))
+            .when(op == "redact", F.when(is_text, wrap(redacted())).otherwise(nothing))
+            .when(op == "generalize", wrap(F.when(some, range_label_of(fv.int32, rule["ranges"])).otherwise(text)))
             .when(op == "randomize", random)
             .otherwise(default))
 
 
+def by_rule(fv: V.FieldValue, rule: Column) -> Column:
+    """A typed value as its rule column has it, as text; null without a rule.  The same values as the compiled operations write."""
+    out = _written(fv, rule, F.xxhash64(fv.seed, F.lit(fv.name)), fv.text, lambda c: c.cast("string"), F.lit(None).cast("string"))
+    return F.when(rule.isNotNull() & fv.present, out)
+
+
+MAX_BROADCAST_RULES = 100_000
+SALTS = 32
+
+
+def protect_json_by_table(df: DataFrame, rules: DataFrame, value_col: str = "value", *, seed_col: Column | None = None, hash_key: str | None = None) -> DataFrame:
+    """Good records as JSON text, protected by a table of rules (``position, name, is_pii, operation, type, mask_format,
+    ranges``): what :func:`veilspark.operators.protect.apply_policy_json` gives for the same rules compiled.
+
+    Records are taken apart into fields, each field meets its rule by name, is rewritten, and a record's fields
+    are put together again in the order of the rules (``id`` first).  A record is named by its place in the input meanwhile, so ``df`` should
+    read files or a written table.  Fields without a rule are dropped; the first of repeated rules wins; a rule for
+    ``id`` has no effect.  The rules go to the fields below a counted size.  Beyond it both are shuffled by name, and as a field may be in every record, its rows
+    are dealt to ``SALTS`` parts with a copy of the rule each."""
+    rule = F.struct("is_pii", "operation", "type", "mask_format", "ranges").cast(RULE)
+    first = (rules.where("name is not null and name <> 'id'").groupBy(F.col("name").alias("field"))
+             .agg(F.min("position").alias("pos"), F.min_by(rule, "position").alias("rule")))
+    parsed = parse_records(df, value_col).where(F.col("__reason").isNull())
+    members = F.map_entries(F.map_filter(F.try_variant_get(F.col("__v"), "$", "map<string,variant>"), lambda k, _: k != F.lit("id")))
+    keys = F.json_object_keys("__raw")
+    # the entry without a name stands for the record itself, so that one without a listed field stays
+    own = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("__id").cast("variant").alias("value")))
+    each = parsed.select("__raw", F.monotonically_increasing_id().alias("__rec"), (F.size(keys) == F.size(F.array_distinct(keys))).alias("__single"),
+                         (seed_col if seed_col is not None else F.rand()).alias("__seed"), F.concat(own, members).alias("__m"))
+    each = each.select("__raw", "__rec", "__single", "__seed", F.explode("__m").alias("m")).select("*", F.col("m.key").alias("field"), F.col("m.value").alias("fv"))
+    each = each.withColumn("kind", V.variant_kind(F.col("fv")))
+    # objects and arrays in their original key order, unless a key of the record repeats
+    raw = F.call_function("get_json_object", F.col("__raw"), F.concat(F.lit("$['"), F.col("field"), F.lit("']")))
+    container = F.coalesce(F.when(F.col("__single") & ~F.col("field").contains("'"), raw), F.to_json("fv"))
+    each = each.select("__rec", "field", "fv", "kind", V.variant_text(F.col("fv"), F.col("kind"), container).alias("text"),
+                       F.xxhash64("__seed", "field").alias("seed"))
+    if first.count() <= MAX_BROADCAST_RULES:
+        met = each.join(F.broadcast(first), "field", "left")
+    else:
+        copies = first.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # the record's own entry has no name: spread by record, it meets nothing
+        met = each.withColumn("__salt", F.pmod("__rec", F.lit(SALTS)).cast("int")).join(copies, ["field", "__salt"], "left")
+    met = met.where("field is null or pos is not null")
+    value = V.json_value(F.col("fv"), F.col("kind"), F.col("text"), "", F.col("seed"), hash_key)
+    written = _written(value, F.col("rule"), F.col("seed"), value.passthrough, value.out, value.null_out)
+    out = F.when(F.col("field").isNull(), F.col("fv")).when(value.present, written).otherwise(F.col("fv"))
+    pair = F.to_json(F.create_map(F.coalesce("field", F.lit("id")), out))
+    piece = F.struct(F.coalesce("pos", F.lit(-1)).alias("pos"), F.substring(pair, F.lit(2), F.length(pair) - 2).alias("text"))
+    whole = met.select("__rec", piece.alias("piece")).groupBy("__rec").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    return whole.select(F.concat(F.lit("{"), F.array_join("pieces.text", ","), F.lit("}")).alias("value"))
+
+
 def asof_join(events: DataFrame, versions: DataFrame, by: list[str], ts: str, valid_from: str, tie: list[str] | None = None,
               width: int = 86_400, salts: int = 8) -> DataFrame:
     """``events`` plus ``version``: the row of ``versions`` (as a struct) that is the latest of its ``by`` at or before ``ts``; null

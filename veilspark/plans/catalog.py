@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 
 from veilspark.operators import drift, lake, validate
 from veilspark.operators.protect import apply_policy, apply_policy_json, keep_all_json, protect_json
-from veilspark.operators.rules_table import RULE, protect_asof_table
+from veilspark.operators.rules_table import RULE, protect_asof_table, protect_json_by_table
 from veilspark.operators.versions import apply_policy_asof, protect_json_asof
 from veilspark.plans import inputs
 from veilspark.plans import policies as P
+from veilspark.policy import rules_frame
 from veilspark.session import scratch_dir
 from veilspark.streaming.enrich import EnrichStream, enrich_frame, fields_map
-from veilspark.streaming.metrics import count_columns
+from veilspark.streaming.metrics import count_columns, sketch_columns, united
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -325,6 +326,20 @@ def event_json_out(spark, d):
     return apply_policy_json(inputs.event_json(spark, d), P.EVENT_JSON)
 
 
+ORACLES["apply_rules_table"] = ORACLES["apply_policy_json_events"]
+
+
+@register("apply_rules_table", None)
+def apply_rules_table(spark, d):
+    """The same records and rules as ``apply_policy_json_events``, the rules as a table that the fields of the records meet."""
+    return _read_back(rules_table_out(spark, d), EVENT_JSON_SCHEMA)
+
+
+@output_of("apply_rules_table")
+def rules_table_out(spark, d):
+    return protect_json_by_table(inputs.event_json(spark, d), rules_frame(spark, P.EVENT_JSON))
+
+
 CONVERSATION_JSON_SCHEMA = "id STRING, role STRING, text STRING, turn STRING"
 
 
@@ -390,6 +405,21 @@ def run_metrics(spark, d):
     return res.agg(*count_columns("reason"))
 
 
+@register("metrics_sketches", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS ids_close, true AS quartiles_close FROM orders""")
+def metrics_sketches(spark, d):
+    """Distinct customers and quartiles of the price from one sketch row a month, against the exact figures: 3 % and 3 % of the ranks."""
+    o = inputs.table(spark, d, "orders")
+    rows = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("batch")).agg(*sketch_columns("o_custkey", "o_totalprice"))
+    u = united(rows)
+    exact = o.agg(F.count_distinct("o_custkey").alias("exact_ids"), F.percentile("o_totalprice", [0.22, 0.28, 0.47, 0.53, 0.72, 0.78]).alias("near"))
+    q, near = F.col("quartiles"), F.col("near")
+    both = u.select(F.lit(1).alias("one"), "n_rows", "n_ids", F.col("quantiles").alias("quartiles")).join(exact.withColumn("one", F.lit(1)), "one")  # a row each
+    close = [(q[i] >= near[2 * i]) & (q[i] <= near[2 * i + 1]) for i in range(3)]
+    return both.select("n_rows", (F.abs(F.col("n_ids") - F.col("exact_ids")) <= F.col("exact_ids") * 0.03).alias("ids_close"),
+                       (close[0] & close[1] & close[2]).alias("quartiles_close"))
+
+
 # ---------------------------------------------------------------------------
 # drift, type profile, validation
 # ---------------------------------------------------------------------------
