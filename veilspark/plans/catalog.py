@@ -661,11 +661,11 @@ def enrich_batches(spark, d):
                                                 F.date_format(lake.PARTITION_COL, "yyyy-MM-dd").alias(lake.PARTITION_COL))
 
 
-@register("open_fields", """
+@register("fields_open", """
 SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, event_type AS kind, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS own,
        CASE WHEN event_id % 3 = 0 THEN '{"at":' || CAST(event_id AS VARCHAR) || '}' END AS place, true AS few_columns
 FROM events""")
-def open_fields(spark, d):
+def fields_open(spark, d):
     """Records with a field named by the user's id: a bounded number of columns, all others in a map, every value read back by its name."""
     e = inputs.table(spark, d, "events")
     fixed = F.to_json(F.struct(F.col("event_id").alias("id"), "user_id", F.col("event_type").alias("kind")))
@@ -674,7 +674,7 @@ def open_fields(spark, d):
     inner = lambda c: F.expr(f"substring({c}, 2, length({c}) - 2)")
     parts = e.select(fixed.alias("a"), own.alias("b"), place.alias("c")).select(F.concat_ws(",", inner("a"), inner("b"), inner("c")).alias("body"))
     rows = parts.select(F.concat(F.lit("{"), "body", F.lit("}")).alias("value"))
-    table = scratch_dir(spark, f"open-fields-{uuid.uuid4().hex}")
+    table = scratch_dir(spark, f"fields-open-{uuid.uuid4().hex}")
     job = EnrichStream(spark, table, max_fields=5)
     turn = F.pmod(F.xxhash64("value"), F.lit(2))
     for i in range(2):
