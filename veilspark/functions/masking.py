@@ -18,6 +18,8 @@ MASK_CHAR = "*"
 KEEP_CHARS = ("X", "x")
 REDACTED_TEXT = "[REDACTED]"
 
+HASH_BLOCK = 64  # bytes of a SHA-256 block
+
 
 def mask_default(c: Column) -> Column:
     """First and last character kept, the rest starred; up to two characters all starred."""
@@ -62,31 +64,36 @@ def mask_text(c: Column, fmt: str | None) -> Column:
     return F.when(F.length(c) == 0, c).otherwise(body)
 
 
-def hmac_sha256(c: Column, key: str) -> Column:
-    """HMAC-SHA256 (RFC 2104) of the UTF-8 text under a constant key, as binary.
+def hmac_sha256(c: Column, key: str | Column) -> Column:
+    """HMAC-SHA256 (RFC 2104) of the UTF-8 text under a key, as binary.
 
-    The key pads are constants computed here, so the expression is two
-    built-in SHA-256 calls over concatenated binaries."""
-    block = 64
-    k = key.encode("utf-8")
-    if len(k) > block:
-        k = hashlib.sha256(k).digest()
-    k = k.ljust(block, b"\0")
-    ipad = bytes(b ^ 0x36 for b in k)
-    opad = bytes(b ^ 0x5C for b in k)
-    inner = F.unhex(F.sha2(F.concat(F.lit(ipad), F.encode(c, "UTF-8")), 256))
-    return F.unhex(F.sha2(F.concat(F.lit(opad), inner), 256))
+    The pads of a constant key are constants computed here; those of a key column are its members ``inner_pad`` and
+    ``outer_pad``.  Either way the expression is two built-in SHA-256 calls over concatenated binaries."""
+    if isinstance(key, Column):
+        ipad, opad = key["inner_pad"], key["outer_pad"]
+    else:
+        k = key.encode("utf-8")
+        if len(k) > HASH_BLOCK:
+            k = hashlib.sha256(k).digest()
+        k = k.ljust(HASH_BLOCK, b"\0")
+        ipad, opad = F.lit(bytes(b ^ 0x36 for b in k)), F.lit(bytes(b ^ 0x5C for b in k))
+    inner = F.unhex(F.sha2(F.concat(ipad, F.encode(c, "UTF-8")), 256))
+    return F.unhex(F.sha2(F.concat(opad, inner), 256))
 
 
-def hash_text(c: Column, key: str | None = None) -> Column:
+def hash_text(c: Column, key: str | Column | None = None) -> Column:
     """SHA-256 over the UTF-8 text, Base64 encoded; empty stays empty.
 
     With ``key`` the digest is an HMAC-SHA256 under that key, which defeats
     enumeration of short values; without it the output equals the original
-    unsalted hash.
+    unsalted hash.  A key column (``key_id, inner_pad, outer_pad``) also names
+    the key: ``key_id:digest``; null where the row has no key.
     """
-    digest = hmac_sha256(c, key) if key else F.unhex(F.sha2(c, 256))
-    return F.when(F.length(c) == 0, c).otherwise(F.base64(digest))
+    if isinstance(key, Column):
+        digest = F.concat(key["key_id"], F.lit(":"), F.base64(hmac_sha256(c, key)))
+    else:
+        digest = F.base64(hmac_sha256(c, key) if key else F.unhex(F.sha2(c, 256)))
+    return F.when(F.length(c) == 0, c).otherwise(digest)
 
 
 def redacted() -> Column:

@@ -54,7 +54,7 @@ def _uses_random_text(rule: Rule | None) -> bool:
 # typed columns
 # ---------------------------------------------------------------------------
 def protected_columns(dtypes: dict, policy: Policy, fields: list[str], seed: Column,
-                      hash_key: str | None = None) -> dict[str, Column]:
+                      hash_key: str | Column | None = None) -> dict[str, Column]:
     """Protected expression of each typed field (by name), in ``fields`` order."""
     out: dict[str, Column] = {}
     for n in fields:
@@ -73,7 +73,7 @@ SEED_COL = "__veil_seed"
 
 
 def apply_policy(df: DataFrame, policy: Policy, id_col: str | None = "id", *,
-                 seed_col: Column | None = None, hash_key: str | None = None,
+                 seed_col: Column | None = None, hash_key: str | Column | None = None,
                  keep: list[str] | None = None) -> DataFrame:
     """Protect a typed DataFrame.
 
@@ -154,7 +154,7 @@ def json_stages(df: DataFrame, names: list[str], value_col: str = "value", keep:
     return st2.select(*head, *texts)
 
 
-def json_output(policy: Policy, names: list[str], hash_key: str | None = None) -> Column:
+def json_output(policy: Policy, names: list[str], hash_key: str | Column | None = None) -> Column:
     """The protected record as JSON text, from the columns of :func:`json_stages`
     (``names`` is the field list the stages were built for)."""
     fields: list[Column] = [F.col("__id").alias("id")]
@@ -172,7 +172,7 @@ def seed_for(policies: list[Policy], seed_col: Column | None) -> Column | None:
 
 
 def protect_json(df: DataFrame, policy: Policy, value_col: str = "value", *, keep: list[str] | None = None,
-                 seed_col: Column | None = None, hash_key: str | None = None,
+                 seed_col: Column | None = None, hash_key: str | Column | None = None,
                  output_col: str = "value", with_raw: bool = False, compiled: Column | None = None) -> DataFrame:
     """All records with the protected JSON in ``output_col`` (NULL for rejected
     records) and ``reason`` (NULL for good records); ``with_raw`` also carries

@@ -36,7 +36,7 @@ class FieldValue:
 
     def __init__(self, name: str, present: Column, text: Callable[[], Column], int32: Callable[[], Column],
                  dbl: Callable[[], Column], passthrough: Callable[[], Column], out: Callable[[Column], Column],
-                 null_out: Callable[[], Column], seed: Column, hash_key: str | None = None,
+                 null_out: Callable[[], Column], seed: Column, hash_key: str | Column | None = None,
                  fallback: Column | None = None):
         self.name, self.present, self.out, self.seed, self.hash_key = name, present, out, seed, hash_key
         # value used for null/absent input; None means "NULL of the result type"
@@ -59,7 +59,7 @@ class FieldValue:
 # ---------------------------------------------------------------------------
 # typed columns
 # ---------------------------------------------------------------------------
-def typed_value(c: Column, name: str, dtype: T.DataType, seed: Column, hash_key: str | None = None) -> FieldValue:
+def typed_value(c: Column, name: str, dtype: T.DataType, seed: Column, hash_key: str | Column | None = None) -> FieldValue:
     if isinstance(dtype, T.StringType):
         text = lambda: c
         int32 = lambda: parse_int_strict(c)
@@ -253,7 +253,7 @@ def variant_passthrough(fv: Column, kind: Column, text: Column | None = None) ->
 
 
 def json_value(fv: Column, kind: Column, text: Column, name: str, seed: Column,
-               hash_key: str | None = None) -> FieldValue:
+               hash_key: str | Column | None = None) -> FieldValue:
     """A FieldValue for a VARIANT field; ``kind`` and ``text`` should be columns
     computed in an earlier projection so that every operation shares them."""
     def as_text():

@@ -23,6 +23,8 @@ Keys (same names as the original tool's job settings where one exists):
 ``job-id``, ``metrics-name``        run metrics identity
 ``hash-key-env``, ``seed-env``      environment variables with the key of keyed hashes and the seed of
                                     replay-stable random values
+``hash-keys-path``                  table of keys instead: hashes under the key valid when a batch starts, which they name
+``progress-path``                   folder for the engine's progress rows: rates, offsets and lag, state, failures (optional)
 ``keys-can-move``                   enrichment: ``false`` if a key's day never changes
 ``table-path``                      enrichment job instead: upsert protected records into this table
 ``partition-strategy``              enrichment: ``event`` (day, default), ``processing``, ``hour``, ``month``, ``bucket:N``
@@ -82,7 +84,8 @@ def build(spark, config: dict[str, str]) -> tuple[ProtectStream, object, str, di
                         quarantine_path=config.get("quarantine-path"),
                         name=config.get("metrics-name", "Stream Job"), sink=sink,
                         metrics_path=config.get("metrics-path"), drift_path=config.get("drift-path"),
-                        job_id=config.get("job-id"), hash_key=_secret(config, "hash-key-env"), seed_by=_secret(config, "seed-env"))
+                        job_id=config.get("job-id"), hash_key=_secret(config, "hash-key-env"), seed_by=_secret(config, "seed-env"),
+                        keys_path=config.get("hash-keys-path"), progress_path=config.get("progress-path"))
     source = _source(spark, config)
     ckpt = default_checkpoint(spark, config)
     if "output-path" in config and _has_batches(spark, config["output-path"]) and not storage.exists(spark, f"{ckpt}/offsets"):

@@ -24,14 +24,16 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.operators.drift import drift_report, undeclared_fields
+from veilspark.operators.keys import KEY_COL, refuse_bare, with_key
 from veilspark.operators.protect import json_output, protect_json
 from veilspark.policy import Policy, check, load_policy
 from veilspark.sources.files import write_batch
 from veilspark.streaming.metrics import FAILED, MONITORING_FLAG, SUCCESS, Totals, count_columns, metrics_frame, run_row
+from veilspark.streaming.progress import ProgressLog
 
 log = logging.getLogger(__name__)
 JOB = "veilspark.streaming.job.ProtectStream"
@@ -72,7 +74,7 @@ class CompiledPolicy:
     policy changes (column expressions refer to columns by name, so one
     expression serves every micro-batch; the random seed is not part of it)."""
 
-    def __init__(self, hash_key: str | None = None):
+    def __init__(self, hash_key: str | Column | None = None):
         self._digest: str | None = None
         self._column = None
         self._hash_key = hash_key
@@ -124,7 +126,12 @@ class ProtectStream:
     replayed; ``drift_path`` keeps the undeclared fields of each batch with
     their record counts the same way.  ``hash_key`` makes hashes HMACs under
     that key; ``seed_by`` is a secret that, with the record's text, seeds
-    random values, so a replayed batch gives the same ones."""
+    random values, so a replayed batch gives the same ones.
+
+    ``keys_path`` is a table of keys (:mod:`veilspark.operators.keys`), read anew for each batch, in place of ``hash_key``: hashes are
+    made under the key valid at ``key_time``, a time column of the source, else when the batch starts; they name it, and records
+    without a valid one are rejected.  ``progress_path`` keeps what the engine reports of the query (rates, offsets and lag,
+    state, failures; :class:`veilspark.streaming.progress.ProgressLog`)."""
 
     spark: SparkSession
     monitor: PolicyMonitor
@@ -138,6 +145,9 @@ class ProtectStream:
     job_id: str | None = None
     hash_key: str | None = None
     seed_by: str | None = None
+    keys_path: str | None = None
+    key_time: str | None = None
+    progress_path: str | None = None
 
     def __post_init__(self):
         if self.sink is None:
@@ -146,7 +156,10 @@ class ProtectStream:
             self.sink = file_sink(self.output_path)
         self.job_id = self.job_id or str(uuid.uuid4())
         self.metrics = Totals()
-        self._compiled = CompiledPolicy(self.hash_key)
+        if self.hash_key and self.keys_path:
+            raise ValueError("either a key or a table of keys")
+        self._compiled = CompiledPolicy(F.col(KEY_COL) if self.keys_path else self.hash_key)
+        self.progress: ProgressLog | None = None
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: protect with the current policy, write, count.
@@ -159,7 +172,14 @@ class ProtectStream:
         started = time.time()
         obs = Observation(f"veilspark_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
         seed = F.concat_ws("\n", F.lit(self.seed_by), F.col(f"`{self.value_col}`")) if self.seed_by else None
-        res = protect_batch(batch, policy, self.value_col, compiled=self._compiled.get(policy), seed_col=seed, hash_key=self.hash_key)
+        if self.keys_path:
+            at = F.col(f"`{self.key_time}`") if self.key_time else F.timestamp_micros(F.lit(int(started * 1_000_000)))
+            timed = batch.select(F.col(f"`{self.value_col}`"), at.alias("__at"))
+            batch = with_key(timed, self.spark.read.parquet(self.keys_path), "__at")
+        res = protect_batch(batch, policy, self.value_col, compiled=self._compiled.get(policy), seed_col=seed, hash_key=self.hash_key,
+                            keep=[KEY_COL] if self.keys_path else None)
+        if self.keys_path:
+            res = refuse_bare(res, policy)
         counts = count_columns("reason")
         if self.drift_path:  # reads the keys of every record once more
             undeclared = F.size(F.coalesce(undeclared_fields(F.col("raw"), policy), F.array().cast("array<string>")))
@@ -197,23 +217,28 @@ class ProtectStream:
         """Start, wait for the end (``availableNow`` ends by itself) and return
         the job's metrics row: counts of all batches, duration, query and run id."""
         started, q = time.time(), None
+        self.progress = ProgressLog(self.spark, self.progress_path).attach()
         try:
             q = self.start(source, checkpoint, trigger or {"availableNow": True})
+            self.progress.follow(str(q.runId))
             if timeout_seconds is None:
                 q.awaitTermination()
             elif not q.awaitTermination(timeout_seconds):
                 q.stop()
         except Exception as exc:  # reported, then raised
             first_line = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+            self.progress.detach(wait=q is not None)
             self.summary = self._job_row(started, q, FAILED, first_line)
             raise
+        finally:
+            self.progress.detach(wait=q is not None and not q.isActive)
         self.summary = self._job_row(started, q, SUCCESS, None)
         return self.summary
 
     def _job_row(self, started: float, q, status: str, error: str | None) -> dict:
         ids = {"query_id": str(q.id), "run_id": str(q.runId)} if q is not None else {}
         return run_row(JOB, self.name, self.job_id, started, self.metrics.counts, status, error,
-                       batches=self.metrics.batches, policy_reloads=self.monitor.reloads, **MONITORING_FLAG, **ids)
+                       batches=self.metrics.batches, policy_reloads=self.monitor.reloads, progress=self.progress.totals(), **MONITORING_FLAG, **ids)
 
 
 def run_batch(spark: SparkSession, source: DataFrame, policy: Policy, output_path: str) -> None:
