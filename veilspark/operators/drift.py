@@ -48,23 +48,23 @@ def sql_type_of(fv: Column, kind: Column) -> Column:
     )
 
 
-def json_fields(df: DataFrame, value_col: str = "value", include_id: bool = False) -> DataFrame:
-    """One row per (record, field): ``field`` and its VARIANT ``fv``.
+def field_types(df: DataFrame, value_col: str = "value", include_id: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """One row per (record, field): ``keep`` columns, ``field`` and ``sql_type``.
 
     Text that is not a JSON object yields no rows.  A repeated key counts
     once, with its last value (the parse keeps the last one)."""
-    m = F.try_variant_get(V.parse_json_text(F.col(value_col)), "$", "map<string,variant>")
-    ex = df.select(F.explode(m).alias("field", "fv"))
-    return ex if include_id else ex.where(F.col("field") != "id")
+    carry = [F.col(f"`{c}`") for c in keep or []]
+    m = F.try_variant_get(V.parse_json_text(F.col(f"`{value_col}`")), "$", "map<string,variant>")
+    rows = df.select(*carry, F.explode(m).alias("field", "fv"))
+    rows = rows if include_id else rows.where(F.col("field") != "id")
+    named = rows.select(*carry, "field", "fv", F.schema_of_variant("fv").alias("s"))
+    kinded = named.select(*carry, "field", "fv", V.variant_kind(F.col("fv"), F.col("s")).alias("kind"))
+    return kinded.select(*carry, "field", sql_type_of(F.col("fv"), F.col("kind")).alias("sql_type"))
 
 
 def type_profile(df: DataFrame, value_col: str = "value", include_id: bool = False) -> DataFrame:
     """``(field, sql_type, n_values)`` over all records."""
-    ex = json_fields(df, value_col, include_id)
-    named = ex.select("field", "fv", F.schema_of_variant("fv").alias("s"))
-    kinded = named.select("field", "fv", V.variant_kind(F.col("fv"), F.col("s")).alias("kind"))
-    typed = kinded.select("field", sql_type_of(F.col("fv"), F.col("kind")).alias("sql_type"))
-    return typed.groupBy("field", "sql_type").agg(F.count(F.lit(1)).alias("n_values"))
+    return field_types(df, value_col, include_id).groupBy("field", "sql_type").agg(F.count(F.lit(1)).alias("n_values"))
 
 
 def sql_type_name(dtype: T.DataType) -> str:

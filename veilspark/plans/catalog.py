@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.operators import drift, lake, validate
+from veilspark.operators import drift, keys, lake, validate
 from veilspark.operators.protect import apply_policy, apply_policy_json, keep_all_json, protect_json
 from veilspark.operators.rules_table import RULE, protect_asof_table, protect_json_by_table
 from veilspark.operators.versions import apply_policy_asof, protect_json_asof
@@ -28,6 +28,7 @@ from veilspark.plans import policies as P
 from veilspark.policy import rules_frame
 from veilspark.session import scratch_dir
 from veilspark.streaming.enrich import EnrichStream, enrich_frame, fields_map
+from veilspark.streaming.fields import FieldWatch
 from veilspark.streaming.metrics import count_columns, sketch_columns, united
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -693,3 +694,67 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_mktsegment ||
 def evolve_union(spark, d):
     c = inputs.table(spark, d, "customer")
     return lake.evolve_union(c, c.withColumn("c_tier", F.concat(F.col("c_mktsegment"), F.lit("-T"))))
+
+
+@register("field_watch", """
+WITH closed AS (SELECT *, date_trunc('day', ts) AS day FROM events
+                WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR),
+f AS (SELECT 'user_id' AS field, 'INT' AS sql_type, ts, day FROM closed
+      UNION ALL SELECT 'event_type', 'STRING', ts, day FROM closed
+      UNION ALL SELECT 'value', 'DOUBLE', ts, day FROM closed WHERE event_type = 'purchase'
+      UNION ALL SELECT 'day', 'STRING', ts, day FROM closed
+      UNION ALL SELECT 'ts', 'STRING', ts, day FROM closed
+      UNION ALL SELECT 'props', 'STRING', ts, day FROM closed
+      UNION ALL SELECT 'note', 'STRING', ts, day FROM closed WHERE event_type = 'error'),
+w AS (SELECT field, sql_type, day, count(*) AS n_window, min(ts) AS first_seen, max(ts) AS last_seen FROM f GROUP BY ALL)
+SELECT field, sql_type, strftime(day, '%Y-%m-%d') AS day, n_window, CAST(sum(n_window) OVER p AS BIGINT) AS n_total,
+       CASE WHEN row_number() OVER p = 1 THEN 'new_field' ELSE 'seen' END AS event,
+       epoch_us(min(first_seen) OVER p) AS first_us, epoch_us(max(last_seen) OVER p) AS last_us
+FROM w WINDOW p AS (PARTITION BY field ORDER BY day)""")
+def field_watch(spark, d):
+    """First-seen times and counts of the fields of event records as a stream's state, over two runs of the query: the events before a day and the rest."""
+    home = scratch_dir(spark, f"field-watch-{uuid.uuid4().hex}")
+    e = inputs.event_json(spark, d, with_ts=True)
+    before = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    watch = FieldWatch(spark, f"{home}/report", "ts")
+    for part in (before, ~before):
+        e.where(part).write.mode("append").parquet(f"{home}/in")
+        watch.run(spark.readStream.schema(e.schema).parquet(f"{home}/in"), f"{home}/checkpoint")
+    return watch.events().select("field", "sql_type", F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n_window", "n_total", "event",
+                                 F.unix_micros("first_seen").alias("first_us"), F.unix_micros("last_seen").alias("last_us"))
+
+
+# The pads of a key: its bytes xor-ed with a constant; the secrets here are 64 hexadecimal digits, so all of them stay ASCII.
+def q_pad(secret: str, byte: int) -> str:
+    return f"array_to_string([chr(xor(ascii(substr({secret}, i, 1)), {byte})) FOR i IN range(1, 65)], '')"
+
+
+def q_keyed(text: str) -> str:
+    inner = f"unhex(sha256(inner_pad || {text}))"
+    return f"key_id || ':' || base64(unhex(sha256(encode(outer_pad) || {inner})))"
+
+
+@register("hash_rotated", f"""
+WITH s AS (SELECT date_trunc('week', ts) AS week, sha256(strftime(date_trunc('week', ts), '%Y-%m-%d')) AS secret FROM events GROUP BY 1),
+k AS (SELECT 'k' || strftime(week, '%Y%m%d') AS key_id, week, {q_pad('secret', 0x36)} AS inner_pad, {q_pad('secret', 0x5C)} AS outer_pad FROM s),
+e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, ts, date_trunc('week', ts) AS week FROM events)
+SELECT event_id, event_type, CASE WHEN dayofweek(ts) <> 0 THEN {q_keyed('user_id')} END AS hashed,
+       CASE WHEN dayofweek(ts) = 0 THEN 'no_key' END AS reason, CASE WHEN dayofweek(ts) <> 0 THEN true END AS verified
+FROM e JOIN k USING (week)""")
+def hash_rotated(spark, d):
+    """Event records hashed under a table of weekly keys, each valid until Sunday: hashes name their key, records of Sundays have none and
+    are rejected, and every hash is verified under the key that it names."""
+    e = inputs.table(spark, d, "events")
+    week = F.date_trunc("week", F.col("ts").cast("timestamp"))
+    weeks = e.select(week.alias("valid_from")).distinct()
+    made = weeks.select(F.concat(F.lit("k"), F.date_format("valid_from", "yyyyMMdd")).alias("key_id"),
+                        F.encode(F.sha2(F.date_format("valid_from", "yyyy-MM-dd"), 256), "UTF-8").alias("secret"), "valid_from",
+                        (F.col("valid_from") + F.expr("INTERVAL 6 DAYS")).alias("valid_to"))
+    path = scratch_dir(spark, f"keys-{uuid.uuid4().hex}")
+    made.write.parquet(path)
+    table = spark.read.parquet(path)
+    doc = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("user_id"), "event_type"))
+    records = e.select("event_id", F.col("user_id").cast("string").alias("user"), "event_type", "ts", doc.alias("value"))
+    out = keys.protect_json_keyed(records, P.KEYED_JSON, table, "ts", keep=["event_id", "user", "event_type"])
+    out = out.withColumn("hashed", F.get_json_object("value", "$.user_id"))
+    return keys.verify(out, "hashed", "user", table).select("event_id", "event_type", "hashed", "reason", "verified")

@@ -74,3 +74,4 @@ PAGES = _p(pii("url", "mask", maskFormat="XXXXXXXX"), pii("html", "redact"), pii
 DOCUMENTS_RANDOM = _p(pii("text", "randomize"))
 CONVERSATION_JSON = _p(pii("role", "hash"), pii("text", "mask", maskFormat="X" * 20),
                       pii("turn", "generalize", "integer", ranges=[0, 2, 4, 8]))
+KEYED_JSON = _p(plain("id"), pii("user_id", "hash"), plain("event_type"))

@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def delete(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         fs, p = _fs(spark, path)
