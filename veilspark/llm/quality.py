@@ -96,23 +96,34 @@ def with_evidence(docs: DataFrame, model: QualityModel, columns: list[str], name
     return map_arrow(d, run, schema)
 
 
-def _strength(groups: DataFrame, n: str, s: str) -> Column:
-    """Prior strength from the spread of group means, as one value per call.
-
-    With means ``m_i`` of ``n_i`` documents around the overall mean ``m``, the
-    variance between groups is what is left of the weighted spread after the
-    sampling variance ``m (1 - m)`` of each group; the strength is
-    ``m (1 - m) / between - 1``.  Without any spread it is the upper bound."""
-    r = groups.agg(F.sum(n).alias("n"), F.sum(s).alias("s"), F.count("*").alias("k"), F.sum(F.col(n) * F.col(n)).alias("nn"),
-                   F.sum(F.col(s) * F.col(s) / F.col(n)).alias("ss")).first()
+def _prior(var: float, between: float) -> float:
+    """Strength of a Beta prior whose means vary by ``between`` around shares with the sampling variance ``var``."""
+    return min(max(var / between - 1, STRENGTH[0]), STRENGTH[1]) if between > 0 else STRENGTH[1]
+
+
+def _strengths(paths: DataFrame, host: str) -> tuple[float, float]:
+    """Prior strengths of hosts around the global share and of paths around their host's, from the spread of means.
+
+    With means ``m_i`` of ``n_i`` documents around a mean ``m``, the variance between them is what is left of the weighted spread after the
+    sampling variance ``m (1 - m)`` of each; the strength is ``m (1 - m) / between - 1``.  For paths, ``m`` is the mean of
+    their host, and spread, sampling variance and weight are summed over hosts, so that what sets hosts apart is no part of it; a host
+    of one path says nothing.  Without any spread a strength is its upper bound."""
+    hosts = paths.groupBy(host).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("k"),
+                                    F.sum(F.col("n") * F.col("n")).alias("nn"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"))
+    own = F.col("s") / F.col("n") * (1 - F.col("s") / F.col("n"))  # sampling variance inside the host
+    r = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("k"), F.sum(F.col("n") * F.col("n")).alias("nn"),
+                  F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"), F.sum(F.col("ss") - F.col("s") * F.col("s") / F.col("n")).alias("path_spread"),
+                  F.sum((F.col("k") - 1) * own).alias("path_noise"), F.sum(F.col("n") - F.col("nn") / F.col("n")).alias("path_scale"),
+                  F.sum(F.when(F.col("k") > 1, F.col("n") * own).otherwise(0.0)).alias("path_var"),
+                  F.sum(F.when(F.col("k") > 1, F.col("n")).otherwise(0)).alias("path_n")).first()
     if not r["n"]:
-        return STRENGTH[1]
+        return STRENGTH[1], STRENGTH[1]
     mean = r["s"] / r["n"]
-    spread = r["ss"] - r["n"] * mean * mean
-    scale = r["n"] - r["nn"] / r["n"]
     var = mean * (1 - mean)
-    between = (spread - (r["k"] - 1) * var) / scale if scale > 0 else 0.0
-    return min(max(var / between - 1, STRENGTH[0]), STRENGTH[1]) if between > 0 else STRENGTH[1]
+    scale = r["n"] - r["nn"] / r["n"]
+    m_host = _prior(var, (r["ss"] - r["n"] * mean * mean - (r["k"] - 1) * var) / scale if scale > 0 else 0.0)
+    between = (r["path_spread"] - r["path_noise"]) / r["path_scale"] if r["path_scale"] > 0 else 0.0
+    return m_host, _prior(r["path_var"] / r["path_n"] if r["path_n"] else 0.0, between)
 
 
 def site_posteriors(evidence: DataFrame, host: str = "__host", path: str = "__path") -> tuple[DataFrame, float]:
@@ -122,8 +133,7 @@ def site_posteriors(evidence: DataFrame, host: str = "__host", path: str = "__pa
     hosts = paths.groupBy(host).agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
     total = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     share = (total["s"] + 1.0) / (total["n"] + 2.0) if total["n"] else 0.5
-    m_host = _strength(hosts, "host_n", "host_s")
-    m_path = _strength(paths, "n", "s")
+    m_host, m_path = _strengths(paths, host)
     h = hosts.select(F.col(host).alias("__h"), ((F.col("host_s") + m_host * share) / (F.col("host_n") + m_host)).alias("host_posterior"))
     out = paths.join(h, F.col(host).eqNullSafe(F.col("__h"))).drop("__h").withColumn("strength", F.lit(float(m_path)))
     return saved(out, "sites"), share
