@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 from itertools import product
@@ -135,6 +136,75 @@ def test_toxicity_never_learns_from_held_out_rows(spark):
     assert a.terms == b.terms and toxicity.score(d, a).subtract(toxicity.score(d, b)).count() == 0
 
 
+def plain_lexicon(rows, size):
+    """Terms by their shrunk log odds, counted in plain Python over ``(label, text)``."""
+    seen = {0: Counter(), 1: Counter()}
+    for y, text in rows:
+        t = {w.lower() for w in re.findall("[A-Za-z\x80-\xff]+", text.encode().decode("latin-1"))}
+        seen[y].update(t | {w[:k] + "*" for w in t for k in (4, 5, 6) if len(w) >= k})
+    n = Counter(y for y, _ in rows)
+    low = {}
+    for t, a in seen[1].items():
+        b = seen[0][t]
+        odds = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
+        low[t] = odds - math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) if a >= 3 else 0.0
+    return [t for t in sorted(low, key=lambda t: (-round(low[t], 9), t)) if low[t] > 1][:size]
+
+
+def plain_features(text, terms):
+    """The features written out over the text's bytes as single characters, with expressions only."""
+    t = text.encode().decode("latin-1")
+    alike = dict(zip("013457@$!|", "oieastasil"))
+    listed = lambda w: w in terms or any(w[:k] + "*" in terms for k in (4, 5, 6))
+    raw, words = re.findall(r"[^ \t-\r]+", t), [w.lower() for w in re.findall("[A-Za-z\x80-\xff]+", t)]
+    n, size = max(1, len(raw)), max(1, len(t))
+    second = {w.decode("latin-1") for w in toxicity.SECOND_PERSON}
+    hits = [i for i, w in enumerate(words) if listed(w)]
+    near = [i for i in hits if second & set(words[max(0, i - 5):i + 6])]
+    hidden = 0
+    for w in raw:
+        core = w.strip("".join(c for c in map(chr, range(33, 127)) if not c.isalnum()))
+        if re.search("[^A-Za-z\x80-\xff]", core):
+            hidden += listed("".join(alike.get(c, c.lower() if c.isascii() else c) for c in core if c in alike or not re.match(r"[!-/:-@\[-`{-~]", c)))
+    count = lambda kinds: len(re.findall(kinds, t))
+    letters = count("[A-Za-z]") or 1
+    shouted = sum(1 for w in raw if re.search("[A-Z]", w) and not re.search("[a-z]", w))
+    return [len(hits) / n, math.log1p(len(hits)), hidden / n, len(near) / n, sum(w in second for w in words) / n, count("[A-Z]") / letters, shouted / n,
+            count("!") / size, count(r"\?") / size, count(r"[!-/:-@\[-`{-~]") / size, count("[0-9]") / size, max(0, len(words) - len(raw)) / n,
+            math.log1p(n), letters / n]
+
+
+def test_toxicity_matches_brute_force(spark):
+    """Lexicon from the fitting parts, features and scores against a plain recomputation; the trees and the calibration are given."""
+    d, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = toxicity.fit(d, labels)
+    parts = {r["__id"]: r["part"] for r in d.selectExpr("cast(doc_id as long) as __id", "cast(pmod(xxhash64(cast(doc_id as long), 1), 3) as int) as part").collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in d.select("doc_id", "text").collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    learned = [i for i in toxic if i in texts and toxic[i] in (0, 1) and zlib.crc32(str(i).encode()) % 5 != 0]
+    terms = plain_lexicon([(toxic[i], texts[i]) for i in learned if parts[i] != 0], toxicity.LEXICON_TERMS)
+    assert len(terms) > 50 and sorted(t.decode("latin-1") for t in model.terms) == sorted(terms)
+    odd = {-1: "", -2: "you IDIOT! i.d.i.o.t 1d10t?? Größe übel", -3: "A B-C $$$ d4mn\tx\x0by", -4: "!!! ... 123 @@"}
+    for x, want in ((toxicity.features(t.encode(), toxicity.Lexicon(model.terms)), plain_features(t, set(terms))) for t in odd.values()):
+        assert x == pytest.approx(want)
+    some = [i for i in sorted(texts) if i % 7 == 0]
+    x = np.array([plain_features(texts[i], set(terms)) for i in some])
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(d, model).collect()}
+    assert [got[i] for i in some] == pytest.approx(list(model.score(x)), abs=1e-9)
+
+
+def test_toxicity_calibration_part_is_not_in_the_lexicon(spark):
+    """A word that marks the toxic rows of the calibrating third only is no term; with labels of one kind there it is."""
+    part = {r["i"]: r["p"] for r in spark.range(400).selectExpr("id as i", "cast(pmod(xxhash64(id, 1), 3) as int) as p").collect()}
+    text = {i: "quiet words " + ("grumble " if i % 2 else "") + ("zonk" if i % 2 and part[i] == 0 else "") for i in part}
+    d = docs(spark, list(text.items()))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in part], "doc_id long, quality int, toxic int")
+    terms = toxicity.fit(d, labels).terms
+    assert b"grumble" in terms and b"zonk" not in terms
+    only = spark.createDataFrame([(i, 1, i % 2) for i in part if part[i] == 0], "doc_id long, quality int, toxic int")
+    assert b"zonk" in toxicity.fit(d, only).terms
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (None, 0, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     rows = [(1, "you idiot"), (2, "fine"), (None, None), (4, ""), (4, ""), (5, "word " * 50_000)]
@@ -179,13 +249,18 @@ def test_site_posteriors_match_brute_force(spark):
     t = pd.DataFrame(rows, columns=["h", "p", "v"]).fillna("-")
     assert share == pytest.approx((t.v.sum() + 1) / (len(t) + 2))
 
-    def strength(g):
-        n, s = g.v.count(), g.v.sum()
-        m = t.v.mean()
-        spread = (n * (s / n - m) ** 2).sum()
-        between = (spread - (len(n) - 1) * m * (1 - m)) / (n.sum() - (n ** 2).sum() / n.sum())
-        return min(max(m * (1 - m) / between - 1, 1), 1e6) if between > 0 else 1e6
-    mh, mp = strength(t.groupby("h")), strength(t.groupby(["h", "p"]))
+    def moments(g, by):
+        """Spread, noise, weight of the means of ``by`` around that of ``g``."""
+        n, m = g.groupby(by).v.count(), g.v.mean()
+        return (n * (g.groupby(by).v.mean() - m) ** 2).sum(), (len(n) - 1) * m * (1 - m), n.sum() - (n ** 2).sum() / n.sum()
+
+    def prior(var, spread, noise, weight):
+        return min(max(var * weight / (spread - noise) - 1, 1), 1e6) if spread > noise else 1e6
+    m = t.v.mean()
+    mh = prior(m * (1 - m), *moments(t, "h"))
+    inside = [(g, moments(g, "p")) for _, g in t.groupby("h") if g.p.nunique() > 1]
+    var = sum(len(g) * g.v.mean() * (1 - g.v.mean()) for g, _ in inside) / sum(len(g) for g, _ in inside)
+    mp = prior(var, *(sum(x[i] for _, x in inside) for i in range(3)))
     got = {(r["__host"] or "-", r["__path"] or "-"): r for r in sites.collect()}
     host = {h: (g.v.sum() + mh * share) / (len(g) + mh) for h, g in t.groupby("h")}
     assert len(got) == t.groupby(["h", "p"]).ngroups
@@ -194,6 +269,22 @@ def test_site_posteriors_match_brute_force(spark):
         assert (r["n"], r["s"], r["host_posterior"], r["strength"]) == pytest.approx((len(g), g.v.sum(), host[h], mp))
 
 
+def test_path_prior_is_that_of_paths_within_a_host(spark):
+    """Hosts far apart, their paths close to them (a Beta of strength 30 around the host's share): the estimate finds the latter."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for h in range(150):
+        share = rng.beta(1.0, 1.0) * 0.9 + 0.05
+        for p in range(12):
+            q = rng.beta(30 * share, 30 * (1 - share))
+            rows += [(f"h{h}", f"p{p}", float(v)) for v in rng.random(12) < q]
+    sites, _ = quality.site_posteriors(spark.createDataFrame(pd.DataFrame(rows, columns=["__host", "__path", "p"])))
+    assert 18 < sites.first()["strength"] < 50
+    # a host of one path says nothing about paths; no documents at all, nothing
+    alone, _ = quality.site_posteriors(spark.createDataFrame([("a", "p", 1.0), ("b", "p", 0.0), ("b", "p", 0.5)], "__host string, __path string, p double"))
+    assert {r["strength"] for r in alone.collect()} == {quality.STRENGTH[1]}
+
+
 def test_sparse_sites_shrink(spark):
     """One bad document alone on a site leaves its neighbour near the global share; many bad ones do not."""
     rows = [("small", "p", 0.1), ("small", "p", 0.9)] + [("bad", "p", 0.05)] * 300 + [(f"g{i}", "p", 0.95) for i in range(300) for _ in range(5)]
