@@ -73,3 +73,16 @@ def test_table_profile(spark):
     df = spark.createDataFrame([(1, "a", None)], "i int, s string, t timestamp")
     got = {(r.field, r.sql_type, r.n_values) for r in drift.table_type_profile(df).collect()}
     assert got == {("i", "INT", 1), ("s", "STRING", 1), ("t", "TIMESTAMP(3)", 0)}
+
+
+def test_sizes_hold_text_only_where_asked(spark):
+    docs = ['{"id":1,"s":"abcd","n":12345,"i":"xyz"}', '{"id":2,"s":"abcde"}', '{"id":3,"s":""}', '{"id":4,"s":null}',
+            '{"id":5,"s":"\U0001d54f\U0001d54f\U0001d54f\U0001d54f"}', '{"id":6,"s":[1,2,3,4,5]}', '{"id":7}']
+    df = spark.createDataFrame([(d,) for d in docs], "value string")
+    policy = Policy.from_dict({"fields": [{"name": "s", "type": "string", "size": 4}, {"name": "n", "type": "integer", "size": 2},
+                                          {"name": "i", "type": "integer", "size": 9}, {"name": "id", "type": "string", "size": 0}]})
+    plain = {r.id: r["__validationResults"] for r in validate.validate_fields(df, policy).collect()}
+    held = {r.id: r["__validationResults"] for r in validate.validate_fields(df, policy, sizes=True).collect()}
+    assert all(plain[i]["s"] for i in plain)
+    assert {i for i in held if not held[i]["s"]} == {"2"}
+    assert held["1"] == {"s": True, "n": True, "i": False, "id": True}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspark.operators import values as V
-from veilspark.policy import INT32_MAX, INT32_MIN, Policy
+from veilspark.policy import Policy
 
 
 def undeclared_fields(value: Column, policy: Policy) -> Column:
@@ -35,16 +35,18 @@ def drift_report(df: DataFrame, policy: Policy, value_col: str = "value") -> Dat
     return und.groupBy("field").agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def sql_type_of(fv: Column, kind: Column) -> Column:
-    """SQL type name of a runtime JSON value: STRING, INT, BIGINT, DOUBLE,
-    BOOLEAN; null, containers and integers beyond 64 bits are STRING."""
-    big = F.try_variant_get(fv, "$", "bigint")
+def sql_type_of(fv: Column, schema: Column) -> Column:
+    """SQL type name of a runtime JSON value, given its ``schema_of_variant``: STRING, INT,
+    BIGINT, DOUBLE, BOOLEAN; null, containers and integers beyond 64 bits are STRING.
+    The value itself is read again only where its size decides."""
+    beyond = F.abs(F.try_variant_get(fv, "$", "decimal(38,0)")) >= F.lit(V.TWO_POW_63).cast("decimal(38,0)")
     return (
-        F.when((kind == V.INTEGER) & big.between(INT32_MIN, INT32_MAX), F.lit("INT"))
-        .when(kind == V.INTEGER, F.lit("BIGINT"))
-        .when(kind == V.DOUBLE, F.lit("DOUBLE"))
-        .when(kind == V.BOOLEAN, F.lit("BOOLEAN"))
-        .otherwise(F.lit("STRING"))
+        F.when(schema == "STRING", F.lit("STRING"))
+        .when(schema == "BIGINT", F.when(F.try_variant_get(fv, "$", "int").isNotNull(), F.lit("INT")).otherwise(F.lit("BIGINT")))
+        .when(schema.isin("DOUBLE", "BOOLEAN"), schema)
+        .when(~schema.startswith("DECIMAL"), F.lit("STRING"))
+        .when(schema.endswith(",0)") & beyond, F.lit("STRING"))
+        .otherwise(F.lit("DOUBLE"))
     )
 
 
@@ -58,8 +60,7 @@ def field_types(df: DataFrame, value_col: str = "value", include_id: bool = Fals
     rows = df.select(*carry, F.explode(m).alias("field", "fv"))
     rows = rows if include_id else rows.where(F.col("field") != "id")
     named = rows.select(*carry, "field", "fv", F.schema_of_variant("fv").alias("s"))
-    kinded = named.select(*carry, "field", "fv", V.variant_kind(F.col("fv"), F.col("s")).alias("kind"))
-    return kinded.select(*carry, "field", sql_type_of(F.col("fv"), F.col("kind")).alias("sql_type"))
+    return named.select(*carry, "field", sql_type_of(F.col("fv"), F.col("s")).alias("sql_type"))
 
 
 def type_profile(df: DataFrame, value_col: str = "value", include_id: bool = False) -> DataFrame:

@@ -7,6 +7,9 @@ point, ``boolean`` → boolean, anything else → valid.  An absent field is
 valid.  A JSON null is valid unless the rule says ``required``.  Type names
 are compared case-insensitively.  When two rules share a name, the later one
 decides (results are collected into a map in rule order).
+
+A rule's ``size`` is read by nothing in the original tool; with ``sizes=True``
+text of more code points than it is invalid, whatever type is declared.
 """
 
 from __future__ import annotations
@@ -46,9 +49,10 @@ def _decisive_rules(policy: Policy) -> dict[str, Rule]:
 
 
 def validate_fields(df: DataFrame, policy: Policy, value_col: str = "value",
-                    keep: list[str] | None = None) -> DataFrame:
+                    keep: list[str] | None = None, sizes: bool = False) -> DataFrame:
     """Records with an id, with ``id`` (text), the input ``value`` and a
-    ``__validationResults`` map of field name → valid."""
+    ``__validationResults`` map of field name → valid.  ``sizes`` also holds
+    text to the size of its rule."""
     keep = list(keep or [])
     rules = _decisive_rules(policy)
     parsed = parse_records(df, value_col, keep).where(F.col("__reason").isNull())
@@ -60,12 +64,17 @@ def validate_fields(df: DataFrame, policy: Policy, value_col: str = "value",
     schemas = fields.select(*carried, *[c for i in range(len(names))
                                         for c in (F.col(f"__f{i}"), F.schema_of_variant(f"__f{i}").alias(f"__s{i}"))])
     # the id is not a field of the record: its rule always sees "absent"
+    held = [i for i, n in enumerate(names) if sizes and rules[n].size is not None and n != "id"]
     kinds = schemas.select(*carried, *[
         (F.lit(V.ABSENT) if n == "id" else F.expr(V.kind_sql(f"`__f{i}`", f"`__s{i}`"))).alias(f"__k{i}")
-        for i, n in enumerate(names)])
+        for i, n in enumerate(names)], *[
+        F.when(F.col(f"__s{i}") == "STRING", F.length(F.try_variant_get(f"__f{i}", "$", "string"))).alias(f"__n{i}") for i in held])
     pairs: list[Column] = []
     for i, n in enumerate(names):
-        pairs += [F.lit(n), _valid(F.col(f"__k{i}"), rules[n])]
+        ok = _valid(F.col(f"__k{i}"), rules[n])
+        if i in held:
+            ok &= F.coalesce(F.col(f"__n{i}") <= rules[n].size, F.lit(True))
+        pairs += [F.lit(n), ok]
     results = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,boolean>")
     return kinds.select(*[F.col(f"`{c}`") for c in keep], "id", F.col(f"`{value_col}`"), results.alias(RESULTS_COL))
 

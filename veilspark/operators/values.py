@@ -27,7 +27,7 @@ from veilspark.functions.numeric import parse_double_lenient, parse_int_strict,
 
 # Runtime kinds of a JSON value (a small int column, computed once per field).
 ABSENT, NULL, TEXT, INTEGER, DOUBLE, BOOLEAN, BIG_INTEGER, CONTAINER = range(8)
-_TWO_POW_63 = "9223372036854775808"
+TWO_POW_63 = "9223372036854775808"
 
 
 class FieldValue:
@@ -165,7 +165,7 @@ def variant_kind(fv: Column, schema: Column | None = None) -> Column:
     """Runtime kind of a VARIANT value (see the constants above).  ``schema`` is
     ``schema_of_variant(fv)`` when an earlier projection already computed it."""
     s = F.schema_of_variant(fv) if schema is None else schema
-    big = F.abs(F.try_variant_get(fv, "$", "decimal(38,0)")) >= F.lit(_TWO_POW_63).cast("decimal(38,0)")
+    big = F.abs(F.try_variant_get(fv, "$", "decimal(38,0)")) >= F.lit(TWO_POW_63).cast("decimal(38,0)")
     return (
         F.when(fv.isNull(), F.lit(ABSENT))
         .when(s == "VOID", F.lit(NULL))
@@ -192,7 +192,7 @@ def kind_sql(fv: str, schema: str, raw: str | None = None, name: str | None = No
     to build, which matters for policies with hundreds of fields).  With ``raw``
     and ``name``, numbers beyond 64 bits are told apart by how they are
     written: digits alone are integers of any length, others are doubles."""
-    big = f"abs(try_variant_get({fv}, '$', 'decimal(38,0)')) >= CAST('{_TWO_POW_63}' AS DECIMAL(38,0))"
+    big = f"abs(try_variant_get({fv}, '$', 'decimal(38,0)')) >= CAST('{TWO_POW_63}' AS DECIMAL(38,0))"
     huge = ""
     member = _raw_member(raw, name)
     if member:

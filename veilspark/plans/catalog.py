@@ -493,6 +493,30 @@ def validate_fields_q(spark, d):
     return validate.validation_summary(checked)
 
 
+# the kinds of the member by event_id % 7 that each declared type accepts besides null (4) and absent (6)
+MIXED_ACCEPTED = {"string": "5", "integer": "0, 1", "double": "2", "boolean": "3", "date": "0, 1, 2, 3, 5"}
+
+
+@register("validate_mixed", "\nUNION ALL ".join(
+    f"SELECT '{t}{end}' AS field, count(*) FILTER (ok) AS n_valid, count(*) FILTER (NOT ok) AS n_invalid "
+    f"FROM (SELECT event_id % 7 IN ({MIXED_ACCEPTED[t]}, 6{'' if end else ', 4'}) AS ok FROM events)"
+    for t in P.MIXED_TYPES for end in ("", "_required")))
+def validate_mixed(spark, d):
+    records = inputs.mixed_json(spark, d, tuple(r.name for r in P.MIXED_VALIDATION.rules))
+    return validate.validation_summary(validate.validate_fields(records, P.MIXED_VALIDATION))
+
+
+@register("validate_sizes", """
+SELECT 'role' AS field, count(*) FILTER (n <= 6) AS n_valid, count(*) FILTER (n > 6) AS n_invalid
+FROM (SELECT coalesce(length(role), 0) AS n FROM conversations)
+UNION ALL SELECT 'text', count(*) FILTER (n <= 120), count(*) FILTER (n > 120)
+FROM (SELECT coalesce(length(text), 0) AS n FROM conversations)
+UNION ALL SELECT 'turn', count(*), 0 FROM conversations""")
+def validate_sizes(spark, d):
+    checked = validate.validate_fields(inputs.conversation_json(spark, d), P.TURN_SIZES, sizes=True)
+    return validate.validation_summary(checked)
+
+
 # ---------------------------------------------------------------------------
 # policy versions, lake tables
 # ---------------------------------------------------------------------------

@@ -7,7 +7,7 @@ data-driven conditions (``to_json`` leaves SQL NULL members out).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -78,15 +78,19 @@ def conversation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.to_json(doc).alias("value"))
 
 
-def mixed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event JSON whose member ``m`` changes its type from record to record, by
+def mixed_member() -> Column:
+    """A member of events that changes its type from record to record, by
     ``event_id % 7``: int, 64-bit int, double, boolean, null, text, absent."""
-    e = table(spark, sf_dir, "events")
     turn = F.col("event_id") % 7
-    m = (F.when(turn == 0, F.col("user_id").cast("variant"))
-         .when(turn == 1, (F.col("event_id") * 3_000_000_000).cast("variant"))
-         .when(turn == 2, F.col("value").cast("variant"))
-         .when(turn == 3, (F.col("value") > 50).cast("variant"))
-         .when(turn == 4, F.parse_json(F.lit("null")))
-         .when(turn == 5, F.col("event_type").cast("variant")))
-    return e.select(F.to_json(F.struct(F.col("event_id").alias("id"), m.alias("m"))).alias("value"))
+    return (F.when(turn == 0, F.col("user_id").cast("variant"))
+            .when(turn == 1, (F.col("event_id") * 3_000_000_000).cast("variant"))
+            .when(turn == 2, F.col("value").cast("variant"))
+            .when(turn == 3, (F.col("value") > 50).cast("variant"))
+            .when(turn == 4, F.parse_json(F.lit("null")))
+            .when(turn == 5, F.col("event_type").cast("variant")))
+
+
+def mixed_json(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("m",)) -> DataFrame:
+    """Event JSON with :func:`mixed_member` under each of ``names``."""
+    members = [mixed_member().alias(n) for n in names]
+    return table(spark, sf_dir, "events").select(F.to_json(F.struct(F.col("event_id").alias("id"), *members)).alias("value"))

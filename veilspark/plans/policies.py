@@ -56,6 +56,13 @@ EVENT_DECLARED = _p(plain("id"), plain("user_id", "integer"), plain("event_type"
 CUSTOMER_VALIDATION = _p({"name": "id", "type": "string", "isPII": False, "required": True},
                          plain("c_name"), plain("c_nationkey", "integer"), plain("c_acctbal", "integer"),
                          plain("c_mktsegment", "boolean"), plain("c_phone"))
+# each declared type twice: null allowed, null refused
+MIXED_TYPES = ("string", "integer", "double", "boolean", "date")
+MIXED_VALIDATION = _p(*[{"name": t + end, "type": t, "isPII": False, "required": bool(end)}
+                        for t in MIXED_TYPES for end in ("", "_required")])
+TURN_SIZES = _p({"name": "role", "type": "string", "isPII": False, "size": 6},
+                {"name": "text", "type": "string", "isPII": False, "size": 120},
+                {"name": "turn", "type": "integer", "isPII": False, "size": 1})
 LINEITEM = _p(pii("l_partkey", "hash", "integer"), pii("l_suppkey", "generalize", "integer", ranges=[0, 250, 500, 750]),
               pii("l_quantity", "generalize", "double", ranges=[0, 10, 20, 30, 40, 50]),
               plain("l_extendedprice", "double"), pii("l_returnflag", "mask"), pii("l_linestatus", "redact"))
