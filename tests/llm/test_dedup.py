@@ -119,6 +119,30 @@ def test_near_components_until_no_open_pair(spark):
         assert rows_of(got, "doc_id", "component_id") == sorted(sure.items(), key=repr)
 
 
+def test_near_components_of_a_bucket_in_parts(spark, monkeypatch):
+    """A large bucket dealt to parts of a few members gives what one task gives, links between parts too."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for i in range(70):
+        w = base[:] + [f"own{i // 3}x{j}" for j in range(18)]
+        w[rng.randrange(70)] = f"v{i}"
+        rows.append((i + 1, " ".join(w)))
+    want = sorted(near_components(rows, 2).items(), key=repr)
+    assert 1 < len({c for _, c in want}) < len(want)
+    sigs = {near_dedup.OnePermutation(1, 1).band_keys(near_dedup.shingle_set(t.encode(), 2, near_dedup._WordHashes()))[0] for _, t in rows}
+    assert len(sigs) < 30  # few buckets for 70 texts
+    got = [rows_of(near_dedup.near_components(docs(spark, rows), k=2, bands=6, rows=1), "doc_id", "component_id")]
+    monkeypatch.setattr(near_dedup, "PART_ROWS", 4)
+    got.append(rows_of(near_dedup.near_components(docs(spark, rows), k=2, bands=6, rows=1), "doc_id", "component_id"))
+    assert got[0] == got[1] == want
+    members = spark.range(3000).selectExpr("id div 1000 as bucket", "id as cid")
+    shared = near_dedup._shared(members.where("bucket < 2 or cid = 2000"))
+    parts = shared.groupBy("bucket", "parts", near_dedup._part().alias("part")).count().collect()
+    assert {(r["bucket"], r["parts"]) for r in parts} == {(0, 250), (1, 250)}  # dealt by hash, about four to a part
+    assert len(parts) > 400 and max(r["count"] for r in parts) <= 20 and sum(r["count"] for r in parts) == 2000
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(1)
     for size in (1, 30, 300, 5000):

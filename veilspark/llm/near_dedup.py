@@ -16,6 +16,8 @@ densification, banded buckets, star-shaped candidate edges.
 * After the first round a pair is only confirmed where two exact bounds let it reach the
   threshold: the ratio of the sizes, and the parities of the shingles per cell of a
   sketch, which differ in at most as many cells as the sets differ in shingles.
+* A bucket's members meet its centres in parts, to each of which the centres are copied, so a
+  bucket that many texts share is the work of many tasks.
 * Documents with equal sets form one class before any of this; what crosses
   the network per copy is a key.
 
@@ -37,6 +39,8 @@ from veilspark.llm.components import stars
 
 BANDS, ROWS = 40, 5
 GROWTH = 4  # times as many centres a bucket in each round as in the one before
+SALTS = 63  # parts at most in which a bucket's members meet their number
+PART_ROWS = 256  # members of a bucket's part, about, from then on
 SKETCH_WORDS = 8  # 64-bit words of parities
 CACHE_WORDS = 300_000  # word hashes that a task remembers
 
@@ -177,26 +181,41 @@ def _sets(k: int):
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """``bucket, cid, weight`` of the buckets with several members.  The weight of a
-    member is the sum of its buckets' sizes: the more texts are like it, the larger."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    m = kept(members.join(sizes, "bucket"))
+    """``bucket, cid, weight, parts`` of the buckets with several members.  The weight of a
+    member is the sum of its buckets' sizes: the more texts are like it, the larger.  A bucket's
+    members are counted, and meet their count, in up to ``SALTS`` parts, of which a word of bits says which
+    there are; from then on a bucket has ``parts`` of about ``PART_ROWS`` members."""
+    dealt = members.withColumn("salt", F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(SALTS)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_or(bit).alias("salts")).where("size > 1")
+    there = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("salts", i) == 1)
+    m = kept(dealt.join(sizes.select("bucket", "size", F.explode(there).alias("salt")), ["bucket", "salt"]).drop("salt"))
     weight = m.groupBy("cid").agg(F.sum("size").alias("weight"))
-    return m.join(weight, "cid").select("bucket", "cid", "weight")
+    return m.join(weight, "cid").select("bucket", "cid", "weight", F.ceil(F.col("size") / PART_ROWS).cast("int").alias("parts"))
+
+
+def _part(of: str = "cid") -> Column:
+    """The part of its bucket that a member is in."""
+    return F.pmod(F.xxhash64(of, F.lit(2)), F.col("parts")).cast("int")
+
+
+def _every_part() -> Column:
+    """A copy of a row of a bucket for each of its parts."""
+    return F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
 
 
 def _with_centres(members: DataFrame, width: int) -> DataFrame:
-    """The rows of ``members(bucket, cid, weight, comp)`` whose bucket holds several
-    components, and whether they are its ``centre``: the heaviest member, and about ``width - 1``
+    """The rows of ``members(bucket, cid, weight, parts, comp)`` whose bucket holds several
+    components, with their ``part``, and whether they are its ``centre``: the heaviest member, and about ``width - 1``
     others.  The order is the same in all buckets, so the buckets of a group agree on its
     centres and k documents give about k pairs for each; and the heaviest is the text
     that most others are like, so one star links most of them."""
     best = F.max(F.struct("weight", F.xxhash64("cid").alias("h"), "cid")).alias("best")
-    b = (members.groupBy("bucket").agg(best, F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("rows"))
-         .where("a <> b").select("bucket", F.col("best.cid").alias("best"), "rows"))
+    b = (members.groupBy("bucket").agg(best, F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("rows"), F.max("parts").alias("parts"))
+         .where("a <> b").select("bucket", F.col("best.cid").alias("best"), "rows", _every_part().alias("part")))
     place = F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
     centre = (F.col("cid") == F.col("best")) | (place * F.col("rows") < width - 1)
-    return members.join(b, "bucket").withColumn("centre", centre).drop("best", "rows")
+    return members.withColumn("part", _part()).join(b, ["bucket", "part"]).withColumn("centre", centre).drop("best", "rows")
 
 
 def _may_reach(percent: int) -> Column:
@@ -249,9 +268,9 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         now = saved(_with_centres(_with_components(members, "cid", "comp", star), width), "open")
         if now.isEmpty():
             break
-        centres = now.where("centre").select("bucket", F.col("cid").alias("v"), F.col("comp").alias("comp_v"),
+        centres = now.where("centre").select("bucket", _every_part().alias("part"), F.col("cid").alias("v"), F.col("comp").alias("comp_v"),
                                              *[F.col(c).alias(c + "_centre") for c in ("n", "sketch") if c in now.columns])
-        met = now.join(centres, "bucket").where("comp <> comp_v")
+        met = now.join(centres, ["bucket", "part"]).where("comp <> comp_v")
         if "sketch" in now.columns:
             met = met.where(_may_reach(percent))
         pairs = met.select(F.greatest("cid", "v").alias("u"), F.least("cid", "v").alias("v")).distinct()
@@ -265,7 +284,7 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         compared = pairs if compared is None else compared.unionByName(pairs)
         # a centre has now been compared with every other component of its bucket; components only
         # grow, so a bucket that holds one is done
-        members = now.where("not centre").drop("centre", "comp")
+        members = now.where("not centre").drop("centre", "comp", "part")
         if "sketch" not in members.columns:
             members = members.join(classes.select("cid", "n", "sketch"), "cid")
         width *= GROWTH
