@@ -5,6 +5,7 @@ import re
 import tempfile
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import docs, documents, near_components, rows_of, shingles
 from veilspark.llm import components, exact_dedup, near_dedup
@@ -138,9 +139,14 @@ def test_near_components_of_a_bucket_in_parts(spark, monkeypatch):
     assert got[0] == got[1] == want
     members = spark.range(3000).selectExpr("id div 1000 as bucket", "id as cid")
     shared = near_dedup._shared(members.where("bucket < 2 or cid = 2000"))
-    parts = shared.groupBy("bucket", "parts", near_dedup._part().alias("part")).count().collect()
-    assert {(r["bucket"], r["parts"]) for r in parts} == {(0, 250), (1, 250)}  # dealt by hash, about four to a part
-    assert len(parts) > 400 and max(r["count"] for r in parts) <= 20 and sum(r["count"] for r in parts) == 2000
+    open_ = shared.withColumn("comp", F.col("cid"))
+    for width, n in ((1, 250), (4, 250), (64, 16), (4096, 1)):  # dealt by hash, about four members to a part, or as many as there are centres
+        now = near_dedup._with_centres(open_, width)
+        parts = now.groupBy("bucket", "parts", "part").count().collect()
+        assert {(r["bucket"], r["parts"]) for r in parts} == {(0, n), (1, n)} and sum(r["count"] for r in parts) == 2000
+        assert max(r["count"] for r in parts) <= 20 * max(1, 50 // n, width // 10)
+        assert now.where("centre").select(near_dedup._every_part()).count() <= 2 * 2000
+    assert {(r["bucket"], r["size"]) for r in shared.collect()} == {(0, 1000), (1, 1000)}
 
 
 def test_sketches_bound_the_difference():

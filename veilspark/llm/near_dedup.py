@@ -40,7 +40,7 @@ from veilspark.llm.components import stars
 BANDS, ROWS = 40, 5
 GROWTH = 4  # times as many centres a bucket in each round as in the one before
 SALTS = 63  # parts at most in which a bucket's members meet their number
-PART_ROWS = 256  # members of a bucket's part, about, from then on
+PART_ROWS = 256  # members of a bucket's part, about, when they meet its centres; more where the centres are more
 SKETCH_WORDS = 8  # 64-bit words of parities
 CACHE_WORDS = 300_000  # word hashes that a task remembers
 
@@ -181,22 +181,28 @@ def _sets(k: int):
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """``bucket, cid, weight, parts`` of the buckets with several members.  The weight of a
+    """``bucket, cid, weight, size`` of the buckets with several members.  The weight of a
     member is the sum of its buckets' sizes: the more texts are like it, the larger.  A bucket's
     members are counted, and meet their count, in up to ``SALTS`` parts, of which a word of bits says which
-    there are; from then on a bucket has ``parts`` of about ``PART_ROWS`` members."""
+    there are."""
     dealt = members.withColumn("salt", F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(SALTS)).cast("int"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_or(bit).alias("salts")).where("size > 1")
     there = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("salts", i) == 1)
     m = kept(dealt.join(sizes.select("bucket", "size", F.explode(there).alias("salt")), ["bucket", "salt"]).drop("salt"))
     weight = m.groupBy("cid").agg(F.sum("size").alias("weight"))
-    return m.join(weight, "cid").select("bucket", "cid", "weight", F.ceil(F.col("size") / PART_ROWS).cast("int").alias("parts"))
+    return m.join(weight, "cid").select("bucket", "cid", "weight", "size")
 
 
-def _part(of: str = "cid") -> Column:
+def _parts(width: int) -> Column:
+    """How many parts a bucket has in a round of ``width`` centres.  Parts grow with the centres,
+    so that a bucket's centres are copied into about as many rows as it has members at most."""
+    return F.ceil(F.col("size") / max(PART_ROWS, width)).cast("int")
+
+
+def _part() -> Column:
     """The part of its bucket that a member is in."""
-    return F.pmod(F.xxhash64(of, F.lit(2)), F.col("parts")).cast("int")
+    return F.pmod(F.xxhash64("cid", F.lit(2)), F.col("parts")).cast("int")
 
 
 def _every_part() -> Column:
@@ -205,12 +211,13 @@ def _every_part() -> Column:
 
 
 def _with_centres(members: DataFrame, width: int) -> DataFrame:
-    """The rows of ``members(bucket, cid, weight, parts, comp)`` whose bucket holds several
-    components, with their ``part``, and whether they are its ``centre``: the heaviest member, and about ``width - 1``
+    """The rows of ``members(bucket, cid, weight, size, comp)`` whose bucket holds several
+    components, with their ``part`` of its ``parts``, and whether they are its ``centre``: the heaviest member, and about ``width - 1``
     others.  The order is the same in all buckets, so the buckets of a group agree on its
     centres and k documents give about k pairs for each; and the heaviest is the text
     that most others are like, so one star links most of them."""
     best = F.max(F.struct("weight", F.xxhash64("cid").alias("h"), "cid")).alias("best")
+    members = members.withColumn("parts", _parts(width))
     b = (members.groupBy("bucket").agg(best, F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("rows"), F.max("parts").alias("parts"))
          .where("a <> b").select("bucket", F.col("best.cid").alias("best"), "rows", _every_part().alias("part")))
     place = F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
@@ -284,7 +291,7 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         compared = pairs if compared is None else compared.unionByName(pairs)
         # a centre has now been compared with every other component of its bucket; components only
         # grow, so a bucket that holds one is done
-        members = now.where("not centre").drop("centre", "comp", "part")
+        members = now.where("not centre").drop("centre", "comp", "part", "parts")
         if "sketch" not in members.columns:
             members = members.join(classes.select("cid", "n", "sketch"), "cid")
         width *= GROWTH
