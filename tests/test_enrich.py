@@ -67,6 +67,22 @@ def table_after(spark, tmp_dir, batches, **kw):
     return job, {r.id: r for r in lake.read_table(spark, f"{tmp_dir}/table").collect()}
 
 
+def test_batches_are_not_held_in_memory(spark, tmp_dir, monkeypatch):
+    """While a batch is merged, what is kept of it lies on disk."""
+    held, merge = [], lake.merge_evolving
+
+    def watched(*args):
+        merge(*args)
+        held.append([(i.memSize(), i.diskSize()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if i.isCached()])
+        return []
+
+    monkeypatch.setattr(lake, "merge_evolving", watched)
+    spark.catalog.clearCache()
+    lines = spark.range(500).selectExpr("concat('{\"id\":', id, ',\"u', id, '\":1}') as value")
+    EnrichStream(spark, f"{tmp_dir}/table", max_fields=2).process(lines, 0)
+    assert len(held[0]) >= 2 and all(memory == 0 and disk > 0 for memory, disk in held[0])
+
+
 def test_rows_without_a_day_survive_a_merge(spark, tmp_dir):
     _, rows = table_after(spark, tmp_dir, [[{"id": "a", "day": "2024-01-01"}, {"id": "b"}], [{"id": "c"}, {"id": "a", "day": "2024-01-02"}]])
     assert {k: str(r.event_date_prt) for k, r in rows.items()} == {"a": "2024-01-02", "b": "None", "c": "None"}

@@ -208,3 +208,26 @@ def test_types_from_the_policy(spark, tmp_dir):
     t = enriched(spark, f"{tmp_dir}/t", [[{"id": "a", "n": "0-10", "p": 3}]], policy=policy)
     types = {f.name: f.dataType.simpleString() for f in t.schema.fields}
     assert (types["n"], types["p"], types["never"], types["day"]) == ("string", "bigint", "string", "string")
+
+
+def test_many_keys_are_not_collected_to_be_sent(spark, tmp_dir, monkeypatch):
+    """Keys of a cached batch, whose size Spark takes for small: beyond ``FEW_KEYS`` no plan of the merge broadcasts them."""
+    path = f"{tmp_dir}/t"
+    lake.merge_into(spark, path, rows(spark, [(i, "2024-01-01 00:00:00", "a") for i in range(300)]), "k", "ts")
+    lake.merge_into(spark, path, rows(spark, [(1000, "2024-02-01 00:00:00", "a")]), "k", "ts")  # makes the locator
+    loc = locator.KeyLocator.load(spark, path)
+    batch = rows(spark, [(i, "2024-01-02 00:00:00", "b") for i in range(100, 400)]).persist()
+    batch.count()
+    keys = batch.select("k").distinct()
+    plan = lambda: loc.locate(keys)._jdf.queryExecution().executedPlan().toString()
+    want = {(i, "2024-01-01") for i in range(100, 300)}
+    assert "BroadcastExchange" in plan() and {(r.k, str(r.day)) for r in loc.locate(keys).collect()} == want
+    asked = []
+    monkeypatch.setattr(locator, "counted", lambda k, n, counted=locator.counted: asked.append(n) or counted(k, n))
+    monkeypatch.setattr(locator, "FEW_KEYS", 250)
+    assert "BroadcastExchange" not in plan() and asked == [4 * 300, 300]
+    assert {(r.k, str(r.day)) for r in loc.locate(keys).collect()} == want
+    lake.merge_into(spark, path, batch, "k", "ts")
+    batch.unpersist()
+    got = held(spark, path)
+    assert len(got) == 401 and got[99] == ("a", "2024-01-01") and {got[i] for i in range(100, 400)} == {("b", "2024-01-02")}

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspark.operators import values as V
-from veilspark.operators.locator import KeyLocator, no_null_key
+from veilspark.operators.locator import KeyLocator, counted, no_null_key
 from veilspark.operators.values import parse_json_text
 from veilspark.policy import Policy
 from veilspark.sources import storage
@@ -246,12 +246,13 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: list[str
     staged = spark.read.schema(schema).parquet(f"{staging}/data")
     left = set(_partitions(staged))
     emptied = [d for d in days if d not in left]
-    version = None
+    version, n_keys = None, 0
     if locator is not None:
+        n_keys = keys.count()
         version = locator.meta["version"] + 1
-        staged.join(keys, key, "left_semi").select(*key, F.col(PARTITION_COL).alias("day")).distinct().write.mode("overwrite").parquet(f"{staging}/keys")
+        staged.join(counted(keys, n_keys), key, "left_semi").select(*key, F.col(PARTITION_COL).alias("day")).distinct().write.mode("overwrite").parquet(f"{staging}/keys")
     intent = {"id": name, "days": days, "emptied": emptied, "schema": schema.json(), "key": key, "version": version,
-              "new_keys": max(0, keys.count() - known) if locator else 0}
+              "new_keys": max(0, n_keys - known)}
     storage.write_text(spark, f"{path}/{INTENT}", json.dumps(intent))
     complete_merge(spark, path)
     return [r[0] for r in spark.createDataFrame([(d,) for d in emptied], "d string").select(F.col("d").cast(schema[PARTITION_COL].dataType)).collect()] if emptied else []

@@ -28,6 +28,7 @@ BITS_PER_KEY = 12        # about one false answer in two hundred
 KEYS_PER_BUCKET = 500_000
 LEAST_BUCKETS = 16
 MOST_VERSIONS = 64       # appended versions before the locator is rebuilt
+FEW_KEYS = 50_000        # keys that may be sent to every task
 
 
 def no_null_key(key: list[str]) -> Column:
@@ -37,6 +38,12 @@ def no_null_key(key: list[str]) -> Column:
     return out
 
 
+def counted(keys: DataFrame, n: int) -> DataFrame:
+    """``keys`` for a join: sent to every task where their counted number ``n`` is small, else dealt out like the other side.
+    Estimates of cached rows are far too small to choose by: a large batch would be collected by the driver."""
+    return keys.hint("broadcast" if n <= FEW_KEYS else "merge")
+
+
 @dataclass
 class KeyLocator:
     spark: SparkSession
@@ -122,8 +129,9 @@ class KeyLocator:
         rows = self.spark.read.schema(f"{schema}, version int, bucket int").parquet(root)
         return rows.where((F.col("version") >= self.meta["first"]) & (F.col("version") <= self.meta["version"]) & F.col("bucket").isin(buckets))
 
-    def maybe_known(self, keys: DataFrame) -> list[int]:
-        """Buckets in which the filter doesn't rule out every key of ``keys``."""
+    def maybe_known(self, keys: DataFrame, n: int | None = None) -> list[int]:
+        """Buckets in which the filter doesn't rule out every key of ``keys``, of which there are ``n``."""
+        n = keys.count() if n is None else n
         asked = self._bits(keys)
         buckets = sorted(r[0] for r in asked.select("bucket").distinct().collect())  # as many as there are buckets at most
         if not buckets:
@@ -131,14 +139,15 @@ class KeyLocator:
         filters = self._read("filter", "segment int, bits binary", buckets).groupBy("bucket", "segment").agg(F.bitmap_or_agg("bits").alias("bits"))
         byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
         met = F.expr("shiftright(__byte, cast(bit % 8 as int)) & 1")
-        hits = asked.join(filters, ["bucket", "segment"]).withColumn("__byte", byte).select(*self.key, "bucket", met.alias("met"))
+        hits = counted(asked, n * PROBES).join(filters, ["bucket", "segment"]).withColumn("__byte", byte).select(*self.key, "bucket", met.alias("met"))
         known = hits.groupBy(*self.key, "bucket").agg(F.sum("met").alias("met")).where(F.col("met") == PROBES)
         return sorted(r[0] for r in known.select("bucket").distinct().collect())
 
     def locate(self, keys: DataFrame) -> DataFrame:
         """``key.., day`` of the keys that are known (``keys``: distinct, not null)."""
+        n = keys.count()
         fields = ", ".join(f"`{k}` {t}" for k, t in zip(self.key, self.meta["types"]))
-        rows = self._read("entries", f"{fields}, day {self.meta['day']}", self.maybe_known(keys))
-        own = rows.join(keys.select(*self.key), self.key, "left_semi")
+        rows = self._read("entries", f"{fields}, day {self.meta['day']}", self.maybe_known(keys, n))
+        own = rows.join(counted(keys.select(*self.key), n), self.key, "left_semi")
         days = own.groupBy(*self.key, "version").agg(F.collect_set(F.struct("day")).alias("days"))  # partitions of one key: bounded by the calendar
         return days.groupBy(*self.key).agg(F.max_by("days", "version").alias("days")).select(*self.key, F.explode("days").alias("d")).select(*self.key, F.col("d.day").alias("day"))

@@ -129,7 +129,8 @@ class EnrichStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        batch = batch.persist()
+        # on disk: a batch may be larger than memory, which the merge's sorts need
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         rows = None
         try:
             known = lake.field_columns(lake.read_table(self.spark, self.table_path).schema) if lake.is_table(self.spark, self.table_path) else {}
@@ -140,7 +141,7 @@ class EnrichStream:
             # the rows feed the counts and several steps of the merge: made once
             rows = enrich_frame(batch, self.value_col, self.event_time_field, self.event_time_format, types, required=(self.key,), columns=known,
                                 others=OTHERS if self.max_fields is not None else None, partition_from=self.partition_from,
-                                key=self.key).persist(StorageLevel.MEMORY_AND_DISK)
+                                key=self.key).persist(StorageLevel.DISK_ONLY)
             has_key = F.col(f"`{key}`").isNotNull()
             parsed = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(has_key).alias("keyed"),
                               F.count_if(has_key & F.col(lake.PARTITION_COL).isNull()).alias("undated")).first()
