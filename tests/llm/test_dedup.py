@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import docs, documents, near_components, rows_of, shingles
-from veilspark.llm import components, exact_dedup, near_dedup
+from veilspark.llm import common, components, exact_dedup, near_dedup
+from veilspark.session import checkpoint_dir
 
 ODD = [(1, "a  b"), (2, "a b"), (3, None), (4, ""), (5, "a\tb "), (None, "a b"), (None, "n"), (7, "n"), (2, "a b"), (8, "x" * 3_000_00), (9, "x" * 3_000_00)]
 
@@ -75,6 +76,36 @@ def test_components(spark):
     assert components.stars(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_components_of_stars_need_no_step(spark, monkeypatch):
+    """Whether edges are stars is seen from the edges, not from a further step that changes nothing."""
+    steps = []
+    monkeypatch.setattr(components, "_large_star", lambda e, step=components._large_star: steps.append(1) or step(e))
+    made = components.stars(spark.createDataFrame([(1, 5), (6, 1), (9, 8), (5, 1)], "u long, v long"))
+    assert {tuple(r) for r in made.collect()} == {(5, 1), (6, 1), (9, 8)} and not steps
+    made = components.stars(spark.createDataFrame([(5, 9), (5, 7), (5, 3)], "u long, v long"))
+    assert {tuple(r) for r in made.collect()} == {(9, 3), (7, 3), (5, 3)} and len(steps) == 1
+
+
+def test_rounds_leave_no_tables_or_shuffles(spark):
+    """What a round wrote for the next one goes when the next one is done; of a saved table only its files stay."""
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    count = lambda: [sum(f"llm-{x}-" in n for n in os.listdir(folder)) for x in ("open", "pairs", "links", "edges")]
+    before = count()
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base + [f"own{i // 2}x{j}" for j in range(30)] + [f"v{i}"])) for i in range(40)]
+    got = near_dedup.near_components(docs(spark, rows), k=2, bands=1, rows=1).collect()
+    assert len({r["component_id"] for r in got}) < 40 and len(got) == 40
+    assert [b - a for a, b in zip(before, count())] == [0, 0, 0, 1]  # the last components are read by the result
+    conf = spark.conf.get(common.SHUFFLE_CLEANUP)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {b.toString() for b in [disk.getAllBlocks().apply(i) for i in range(disk.getAllBlocks().size())] if b.toString().startswith("shuffle_")}
+    there = shuffles()
+    t = common.saved(spark.range(1000).groupBy(F.col("id") % 7).count(), "test")
+    assert t.count() == 7 and spark.conf.get(common.SHUFFLE_CLEANUP) == conf
+    common.forget(t, None)
+    assert not any("llm-test-" in n for n in os.listdir(folder)) and len(shuffles() - there) <= 2  # of the count
+
+
 def test_near_components_match_brute_force(spark):
     t = documents("/root/testdata/sf0.01").head(600)
     rows = list(zip(t.doc_id.tolist(), t.text))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.session import scratch_dir
+from veilspark.sources import storage
 
 # fixed values: the white space that separates words
 SPACES = r"[\x20\x09-\x0D]+"
@@ -17,6 +19,10 @@ NON_SPACES = r"[^\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SAVED_AT: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -27,8 +33,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     plan with known sizes."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the table is what is read from here on, not the shuffles that made it
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _SAVED_AT[table] = path
+    return table
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete tables made by :func:`saved` that nothing reads any more."""
+    for t in tables:
+        if t is not None and t in _SAVED_AT:
+            storage.delete(t.sparkSession, [_SAVED_AT.pop(t)])
 
 
 def kept(df: DataFrame) -> DataFrame:

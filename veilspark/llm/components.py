@@ -2,7 +2,7 @@
 
 Each step links every node to the smallest node it knows of.  Edges become
 stars around the smallest node of each component; the number of rounds grows
-with the logarithm of the longest path.  Only two sums per round reach the driver.
+with the logarithm of the longest path.  Only whether there is an open node reaches the driver, per round.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.llm.common import saved
+from veilspark.llm.common import forget, saved
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -27,9 +27,11 @@ def _small_star(e: DataFrame) -> DataFrame:
     return far.unionByName(low.select("u", F.col("low").alias("v"))).where("u <> v").distinct()
 
 
-def _state(e: DataFrame) -> tuple:
-    r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-    return r[0], r[1]
+def _all_stars(e: DataFrame) -> bool:
+    """Whether every node is either a centre or a leaf with one edge.  Edges have u > v, distinct."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("end"))
+    node = ends.select("end.*").groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return node.where("up > 1 or up = 1 and n > 1").isEmpty()
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -37,10 +39,7 @@ def stars(edges: DataFrame) -> DataFrame:
     ``(u, v)`` where ``v`` is the smallest id of ``u``'s component and ``u > v``.
     Ids that only have loops, and edges with a null end, are left out."""
     e = saved(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = _state(e)
-    while state[0]:
-        e = saved(_small_star(_large_star(e)), "edges")
-        last, state = state, _state(e)
-        if state == last:
-            break
+    while not _all_stars(e):
+        last, e = e, saved(_small_star(_large_star(e)), "edges")
+        forget(last)
     return e

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilspark.llm.common import kept, map_arrow, saved, text_or_empty
+from veilspark.llm.common import forget, kept, map_arrow, saved, text_or_empty
 from veilspark.llm.components import stars
 
 BANDS, ROWS = 40, 5
@@ -234,14 +234,15 @@ def _may_reach(percent: int) -> Column:
     return sizes & (cells * (100 + percent) <= (F.col("n") + F.col("n_centre")) * (100 - percent))
 
 
-def _confirmed(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have ``100 * common >= percent * union``."""
+def _confirmed(pairs: DataFrame, sizes: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets have ``100 * common >= percent * union``.  Without ``sizes`` they fit by size."""
     def side(name, df, cols):
         return df.select(F.col("cid").alias(name), *[F.col(c).alias(c + "_" + name) for c in cols])
 
-    # sets of too different sizes can't reach it
-    fit = (pairs.join(side("u", sizes, ["n"]), "u").join(side("v", sizes, ["n"]), "v")
-           .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent).select("u", "v"))
+    fit = pairs
+    if sizes is not None:  # sets of too different sizes can't reach it
+        fit = (pairs.join(side("u", sizes, ["n"]), "u").join(side("v", sizes, ["n"]), "v")
+               .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent).select("u", "v"))
     common = F.size(F.array_intersect("shingles_u", "shingles_v"))
     j = fit.join(side("u", sets, ["shingles"]), "u").join(side("v", sets, ["shingles"]), "v").withColumn("common", common)
     union = F.size("shingles_u") + F.size("shingles_v") - F.col("common")
@@ -270,31 +271,38 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     # only buckets with several members matter from here on
     members = saved(_shared(named), "buckets")
     sets = _candidate_sets(body, members, k)
-    star, compared, width = None, None, 1
+    star, compared, now, found, width = None, None, None, [], 1
     while True:
-        now = saved(_with_centres(_with_components(members, "cid", "comp", star), width), "open")
+        last, now = now, saved(_with_centres(_with_components(members, "cid", "comp", star), width), "open")
+        forget(last)
         if now.isEmpty():
             break
+        bounded = "sketch" in now.columns
         centres = now.where("centre").select("bucket", _every_part().alias("part"), F.col("cid").alias("v"), F.col("comp").alias("comp_v"),
                                              *[F.col(c).alias(c + "_centre") for c in ("n", "sketch") if c in now.columns])
         met = now.join(centres, ["bucket", "part"]).where("comp <> comp_v")
-        if "sketch" in now.columns:
+        if bounded:
             met = met.where(_may_reach(percent))
         pairs = met.select(F.greatest("cid", "v").alias("u"), F.least("cid", "v").alias("v")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["u", "v"], "left_anti")
         pairs = saved(pairs, "pairs")
-        links = saved(_confirmed(pairs, classes.select("cid", "n"), sets, percent), "links")
-        if not links.isEmpty():
-            # a link between two components makes them one
-            star = stars(links if star is None else links.unionByName(star))
-        compared = pairs if compared is None else compared.unionByName(pairs)
+        if not pairs.isEmpty():
+            links = saved(_confirmed(pairs, None if bounded else classes.select("cid", "n"), sets, percent), "links")
+            if not links.isEmpty():
+                # a link between two components makes them one
+                old, star = star, stars(links if star is None else links.unionByName(star))
+                forget(old)
+            forget(links)
+            compared = pairs if compared is None else compared.unionByName(pairs)
+        found.append(pairs)
         # a centre has now been compared with every other component of its bucket; components only
         # grow, so a bucket that holds one is done
         members = now.where("not centre").drop("centre", "comp", "part", "parts")
-        if "sketch" not in members.columns:
+        if not bounded:
             members = members.join(classes.select("cid", "n", "sketch"), "cid")
         width *= GROWTH
+    forget(now, *found)
     c = _with_components(classes.select("set_key", "cid", "low"), "cid", "comp", star)
     c = kept(c.join(c.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("set_key", "component"))
     comp = F.coalesce("component", "id")
