@@ -8,7 +8,9 @@ from itertools import product
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import xxhash
 
 from tests.llm.helpers import docs, documents, rows_of
 from veilspark.llm import boosting, lattice, permutation_index, quality, toxicity
@@ -83,6 +85,38 @@ def test_lattice_counts_of_improbable_words():
             assert all(map(math.isfinite, got)) and got == pytest.approx(want, rel=1e-6)
 
 
+def test_lattice_needs_no_logarithms_for_plain_words(monkeypatch):
+    pieces = lattice.read_vocabulary(VOCABULARY)
+    logp = -np.log(np.arange(len(pieces)) + 2.7)
+    lat = lattice.Lattice(pieces, logp - np.log(np.exp(logp).sum()))
+    unlisted4 = next(c for c in map(chr, range(0x20000, 0x2A000)) if c not in set(pieces))
+    plain, long = ["", "the", "é", "a" + unlisted4, "segmentation" * 6], [unlisted4 * 60, "ab" * 300]
+    want = [lattice._forward(lat.edges(w), len(w) + 1)[-1] for w in plain + long]
+    assert [lat.forward(w) for w in plain + long] == pytest.approx(want, rel=1e-12)
+    monkeypatch.setattr(lattice, "_forward", None)
+    assert [lat.forward(w) for w in plain] == pytest.approx(want[:len(plain)], rel=1e-12)
+
+
+def test_words_of_a_batch_match_the_split_of_bytes():
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("aAzZéÉ\x00\x1c\x1f\x85\xa0 \t\n\x0b\x0c\r  ", k=rng.randrange(30))).encode() for _ in range(300)]
+    texts += [b"", b" ", b"\xff\xc3 A\xff"]
+    for some in (texts, texts[:0], [b"", b"\t"]):
+        words, begin = lattice._words(pa.array([b"before", *some], pa.binary())[1:])
+        want = [t.lower().split() for t in some]
+        got = words.cast(pa.binary()).to_pylist()
+        assert [got[i:j] for i, j in zip(begin[:-1], begin[1:])] == want
+        assert lattice._hashes(words).tolist() == [xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in got]
+    table = pa.table({"chunk": [7] * 303, "body": pa.chunked_array([pa.array(texts[:100], pa.binary()), pa.array(texts[100:], pa.binary())])})
+    distinct = {w for t in texts for w in t.lower().split()}
+    assert sorted(lattice._chunk_words(table)["h"].to_pylist()) == sorted(xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in distinct)
+
+
+def test_lm_scores_of_empty_texts(spark):
+    rows = lattice.score_documents(docs(spark, [(1, None), (2, ""), (3, " \n")]), VOCABULARY).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["n_known"]) for r in rows) == [(1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 def test_lm_scores(spark):
     t = documents(SF)
     rows = list(zip(t.doc_id.tolist(), t.text)) + [(None, "the zzzzqq"), (5000, None), (5001, ""), (5002, "x" * 20_000), (0, t.text[0])]

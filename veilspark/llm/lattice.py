@@ -3,8 +3,8 @@
 An existing subword vocabulary gives the pieces; its scores (ranks) give the
 starting weights, and one expectation step over the counts of all training
 words gives the probability of each piece.  A word's probability is the sum
-over all its segmentations into pieces, by forward recursion in log space; a
-text's is the product over its words and an end piece.
+over all its segmentations into pieces, by forward recursion (in log space where
+plain numbers could lose digits); a text's is the product over its words and an end piece.
 
 The corpus is counted once per distinct word.  Texts are scored in chunks of
 bounded size: the distinct words of a chunk meet the table of words by a
@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,23 +49,31 @@ class Lattice:
     """Pieces with log probabilities, as a trie over characters."""
 
     def __init__(self, pieces: list[str], logp: np.ndarray):
-        self.root: dict = {}
+        self.root: dict = {}  # by character: the piece that ends here, if any, and what may follow
         self.byte: dict[int, int] = {}
+        self.spelled: dict[str, tuple] = {}
         self.logp = [float(x) for x in logp]
         for i, piece in enumerate(pieces):
             if len(piece) == 6 and piece.startswith("<0x"):
                 self.byte[int(piece[3:5], 16)] = i
                 continue
-            node = self.root
+            node: list = [None, self.root]
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = self._entry((i,), len(piece))  # the piece that ends here
+                node = node[1].setdefault(c, [None, {}])
+            node[0] = self._entry((i,), len(piece))
 
     def _entry(self, ids: tuple, chars: int) -> tuple:
         """Pieces, log probability, and probability scaled by their characters."""
         lp = sum(self.logp[x] for x in ids)
         return ids, lp, math.exp(lp + CHAR_SCALE * chars)
 
+    def _bytes(self, c: str) -> tuple:
+        """The entry of a character spelled by its bytes."""
+        e = self.spelled.get(c)
+        if e is None:
+            e = self.spelled[c] = self._entry(tuple(self.byte[b] for b in c.encode("utf-8", "surrogatepass")), 1)
+        return e
+
     def edges(self, word: str) -> list[tuple]:
         """``(start, end, entry)`` of every piece at every place of the marked word,
         by start.  A character that is no piece is spelled by its bytes."""
@@ -71,26 +81,53 @@ class Lattice:
         n, out, root = len(text), [], self.root
         for i, first in enumerate(text):
             node = root.get(first)
-            if node is None or "" not in node:
-                out.append((i, i + 1, self._entry(tuple(self.byte[b] for b in first.encode("utf-8", "surrogatepass")), 1)))
+            if node is None or node[0] is None:
+                out.append((i, i + 1, self._bytes(first)))
             j = i + 1
             while node is not None:
-                if "" in node:
-                    out.append((i, j, node[""]))
+                e, kids = node
+                if e is not None:
+                    out.append((i, j, e))
                 if j == n:
                     break
-                node = node.get(text[j])
+                node = kids.get(text[j])
                 j += 1
         return out
 
     def forward(self, word: str) -> float:
-        """Natural log of the word's probability, over all segmentations."""
+        """Natural log of the word's probability, over all segmentations; without
+        logarithms where no sum comes near the smallest numbers that keep all their digits."""
+        n = len(word) + 1
+        if n > PLAIN_CHARS:
+            return self._forward_long(word)
+        text = START + word
+        root = self.root
+        f = [0.0] * (n + 1)
+        f[0] = 1.0
+        for i, first in enumerate(text):
+            a = f[i]
+            if a < PLAIN_LEAST:
+                return self._forward_long(word)
+            node = root.get(first)
+            if node is None or node[0] is None:
+                f[i + 1] += a * self._bytes(first)[2]
+            j = i + 1
+            while node is not None:
+                e, kids = node
+                if e is not None:
+                    f[j] += a * e[2]
+                if j == n:
+                    break
+                node = kids.get(text[j])
+                j += 1
+        return math.log(f[n]) - CHAR_SCALE * n if f[n] >= PLAIN_LEAST else self._forward_long(word)
+
+    def _forward_long(self, word: str) -> float:
         return _forward(self.edges(word), len(word) + 1)[-1]
 
     def expect(self, word: str, weight: float, counts: list[float]) -> None:
         """Add the expected number of each piece in ``weight`` copies of the
-        word, by forward and backward sums; without logarithms where no sum comes
-        near the smallest numbers that keep all their digits."""
+        word, by forward and backward sums; without logarithms as in :meth:`forward`."""
         n = len(word) + 1
         if n > PLAIN_CHARS:
             return self._expect_long(word, weight, counts)
@@ -104,11 +141,11 @@ class Lattice:
             return self._expect_long(word, weight, counts)
         b = [0.0] * (n + 1)
         b[n] = weight / f[n]
-        for i, j, e in reversed(edges):
-            share = e[2] * b[j]
+        for i, j, (ids, _, p) in reversed(edges):
+            share = p * b[j]
             b[i] += share
             share *= f[i]
-            for x in e[0]:
+            for x in ids:
                 counts[x] += share
 
     def _expect_long(self, word: str, weight: float, counts: list[float]) -> None:
@@ -149,8 +186,26 @@ def _forward(edges: list[tuple], n: int) -> list[float]:
     return f
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def _hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of the bytes of an array of words."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    words = words.cast(pa.binary())
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32, len(words) + 1, 4 * words.offset).tolist()
+    data, digest = memoryview(data or b""), xxhash.xxh3_64_intdigest
+    return (np.array([digest(data[i:j]) for i, j in pairwise(ends)], np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts, and where each text's words begin
+    among them, the end last.  Of bytes: exactly the ASCII letters and white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words, begin = lists.flatten(), np.append(0, np.cumsum(pc.list_value_length(lists)))
+    real = np.asarray(pc.not_equal(pc.binary_length(words), 0))  # white space at an end leaves an empty word
+    if real.all():
+        return words, begin
+    return words.filter(pa.array(real)), np.append(0, np.cumsum(real))[begin]
 
 
 _COUNTS = "word binary, n long"
@@ -195,7 +250,7 @@ def _score_words(pieces: list[str], logp: np.ndarray):
         for b in batches:
             words = b.column("word").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_hash(w) for w in words], pa.int64()), b.column("n"),
+                [pa.array(_hashes(b.column("word"))), b.column("n"),
                  pa.array([lattice.forward(w.decode("utf-8", "replace")) / LOG10 for w in words], pa.float64())], ["h", "n", "lp"])
     return run
 
@@ -220,10 +275,9 @@ def train(counts: DataFrame, pieces: list[str], n_docs: int, steps: int = 2, smo
 
 def _chunk_words(table: pa.Table) -> pa.Table:
     chunk = table.column("chunk")[0].as_py()
-    seen: set = set()
-    for t in table.column("body"):
-        seen.update(t.as_py().lower().split())
-    return pa.table({"chunk": pa.array([chunk] * len(seen), pa.int64()), "h": pa.array([_hash(w) for w in seen], pa.int64())})
+    # each of Spark's batches gives its distinct words first, so that not all words of the chunk are held
+    seen = pa.chunked_array([_words(b)[0].unique() for b in table.column("body").chunks], pa.string()).unique()
+    return pa.table({"chunk": pa.array(np.full(len(seen), chunk, np.int64)), "h": pa.array(_hashes(seen))})
 
 
 _SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
@@ -237,26 +291,31 @@ def _score_chunk(total: int, distinct: int, ends: int, end_lp: float):
     names = [f.name for f in _SCORES]
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        place = dict(zip(words.column("h").to_pylist(), range(words.num_rows)))
-        n = words.column("n").to_numpy()
-        base, lp = np.log10((n + 1) / (total + distinct + 1)), words.column("lp").to_numpy()
-
-        class Places(dict):
-            def __missing__(self, word):
-                at = self[word] = place[_hash(word)]
-                return at
-
-        at = Places()
-        cols: list[list] = [[] for _ in names]
-        for i, held, t in zip(texts.column("id").to_pylist(), texts.column("held_out").to_pylist(), texts.column("body")):
-            ws = t.as_py().lower().split()
-            x = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
-            row = (i, held, len(ws) + 1, int(np.count_nonzero(n[x])) + (ends > 0), total,
-                   float(base[x].sum()) + math.log10((ends + 1) / (total + distinct + 1)), float(lp[x].sum()) + end_lp)
-            for c, v in zip(cols, row):
-                c.append(v)
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table({k: pa.array(c, t) for k, c, t in zip(names, cols, kinds)})
+        h, n, lp = (words.column(c).to_numpy() for c in ("h", "n", "lp"))
+        order = np.argsort(h)
+        h, n, lp = h[order], n[order], lp[order]
+        base, known = np.log10((n + 1) / (total + distinct + 1)), n > 0
+        coded, begins = [], []
+        for b in texts.column("body").chunks:
+            ws, begin = _words(b)
+            coded.append(ws.dictionary_encode())
+            begins.append(begin)
+        coded = pa.chunked_array(coded, pa.dictionary(pa.int32(), pa.string())).unify_dictionaries().chunks
+        wanted = _hashes(coded[0].dictionary)
+        place = np.searchsorted(h, wanted)
+        if not np.array_equal(h[place[place < len(h)]], wanted):
+            raise KeyError("a word of the chunk has no counts")
+        cols: list[list] = [[] for _ in names[2:]]
+        for ws, begin in zip(coded, begins):
+            x = place[ws.indices.to_numpy()]
+            for i, j in pairwise(begin.tolist()):
+                y = x[i:j]
+                row = (j - i + 1, int(np.count_nonzero(known[y])) + (ends > 0), total,
+                       float(base[y].sum()) + math.log10((ends + 1) / (total + distinct + 1)), float(lp[y].sum()) + end_lp)
+                for c, v in zip(cols, row):
+                    c.append(v)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table(dict(zip(names, [texts.column("id"), texts.column("held_out"), *(pa.array(c, t) for c, t in zip(cols, kinds))])))
     return run
 
 
